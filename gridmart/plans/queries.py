@@ -1,37 +1,369 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-Every query reads the driver tables (through the bronze-shaped adapter) and
-runs over all of their rows. Results are settled (doubles to 6 places) only
-at the very end, for comparison with the DuckDB oracle.
+Every query reads the driver tables (through the bronze-shaped adapter in
+``gridmart.sources.adapters``) and runs over all of their rows. Doubles are
+settled to 6 places only at the very end, for comparison with the DuckDB
+oracle in ``gridmart.plans.oracles``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridmart import session
+from gridmart import dims, session
 from gridmart.functions.numeric import settle_doubles
+from gridmart.functions.time import market_day, market_window_end
+from gridmart.operators import checks, contracts, conform, grid, mix, outcomes, reshape, resolution
+from gridmart.operators import serve, series
+from gridmart.operators.revisions import latest_revision, retracted_keys
 from gridmart.plans.fact import fct_from_bronze
 from gridmart.sources import adapters as A
+from gridmart.sources import mart
+from gridmart.specs import SOURCES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed parameters of the registered queries.
+PAGE_ZONE = "DE_LU"
+PAGE_START = datetime(2024, 1, 8, tzinfo=UTC)
+PAGE_END = datetime(2024, 1, 15, tzinfo=UTC)
+PAGE_LIMIT = 50
+ZONES_CSV = "DE_LU, AT ,NL, FR, DK_1, DK_2"
+FRESHNESS_NOW = [
+    datetime(2024, 1, 31, 0, 0, tzinfo=UTC),
+    datetime(2024, 2, 1, 6, 0, tzinfo=UTC),
+    datetime(2024, 2, 3, 0, 0, tzinfo=UTC),
+]
+
 
 def _prep(spark: SparkSession) -> SparkSession:
     return session.configure(spark)
 
 
+def _fct(spark: SparkSession, sf_dir: str, with_month: bool = False) -> DataFrame:
+    return fct_from_bronze(
+        spark,
+        A.raw_load(spark, sf_dir),
+        A.raw_generation(spark, sf_dir),
+        A.raw_price(spark, sf_dir),
+        with_month=with_month,
+    )
+
+
+# -- fact, staging, revisions -------------------------------------------------
+
+
 def q_fct_grid_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
-    fct = fct_from_bronze(
-        spark, A.raw_load(spark, sf_dir), A.raw_generation(spark, sf_dir), A.raw_price(spark, sf_dir)
+    return settle_doubles(_fct(spark, sf_dir))
+
+
+def q_stg_load_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return settle_doubles(conform.stg_load(A.raw_load(spark, sf_dir)))
+
+
+def q_stg_generation_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return settle_doubles(conform.stg_generation(A.raw_generation(spark, sf_dir)))
+
+
+def q_stg_price_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return settle_doubles(conform.stg_price(A.raw_price(spark, sf_dir)))
+
+
+def q_latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest load revision per interval, null measures included."""
+    _prep(spark)
+    latest = latest_revision(A.raw_load(spark, sf_dir), SOURCES["load"].key)
+    return settle_doubles(latest.drop("event_id"))
+
+
+def q_null_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals whose newest revision is null although an older one had a value."""
+    _prep(spark)
+    return settle_doubles(retracted_keys(A.raw_load(spark, sf_dir), SOURCES["load"].key, "load_mw"))
+
+
+def q_generation_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    stg = conform.stg_generation(A.raw_generation(spark, sf_dir))
+    return settle_doubles(mix.generation_mix(stg, dims.dim_production_type(spark)))
+
+
+def q_storage_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    stg = conform.stg_generation(A.raw_generation(spark, sf_dir))
+    return settle_doubles(mix.storage_draw(stg, dims.dim_production_type(spark)))
+
+
+# -- serving ------------------------------------------------------------------
+
+_MARTS: dict[tuple[str, str], str] = {}
+
+
+def published_fct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written as a month-partitioned mart (once per session and input)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARTS:
+        path = session.fresh_path(spark, "mart-fct_grid_hourly")
+        mart.write_fct(_fct(spark, sf_dir, with_month=True), path)
+        _MARTS[key] = path
+    return spark.read.schema(mart.FCT_SCHEMA).parquet(_MARTS[key])
+
+
+def q_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone list (ordered by code) with each zone's hour coverage in the mart."""
+    _prep(spark)
+    return serve.zone_list(dims.dim_zone(spark), published_fct(spark, sf_dir))
+
+
+def _page_request(after: datetime | None = None) -> serve.PageRequest:
+    from gridmart.functions.text import encode_cursor
+
+    return serve.PageRequest.make(
+        PAGE_ZONE, PAGE_START, PAGE_END, PAGE_LIMIT, encode_cursor(after) if after else None
+    )
+
+
+def q_hourly_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First page of DE_LU hours in [2024-01-08, 2024-01-15), 50 rows."""
+    _prep(spark)
+    req = _page_request()
+    fct = mart.read_fct(spark, _mart_path(spark, sf_dir), req.start, req.end)
+    return settle_doubles(serve.page_frame(fct, req))
+
+
+def q_hourly_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second page: follows the cursor returned with the first page."""
+    _prep(spark)
+    from gridmart.functions.text import decode_cursor
+
+    first = _page_request()
+    fct = mart.read_fct(spark, _mart_path(spark, sf_dir), first.start, first.end)
+    _, cursor = serve.hourly_page(fct, first)
+    after = decode_cursor(cursor) if cursor else first.end
+    return settle_doubles(serve.page_frame(fct, _page_request(after)))
+
+
+def _mart_path(spark: SparkSession, sf_dir: str) -> str:
+    published_fct(spark, sf_dir)
+    return _MARTS[(spark.sparkContext.applicationId, sf_dir)]
+
+
+# -- landing / ingest-side reshaping -------------------------------------------
+
+
+def q_unpivot_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-level header -> flat names -> wide landing frame -> long rows (nulls kept)."""
+    _prep(spark)
+    two = A.landing_generation_two_level(spark, sf_dir)
+    flat = two.select(
+        "zone_code", "ts_utc",
+        reshape.flatten_header(F.col("name"), F.col("measure")).alias("production_type"),
+        "value",
+    )
+    names = A.GENERATION_TYPES_LANDED
+    wide = reshape.widen(flat, ["zone_code", "ts_utc"], "production_type", "value", names)
+    long = reshape.melt(wide, ["zone_code", "ts_utc"], names, "production_type", "generation_mw")
+    return settle_doubles(long)
+
+
+def q_resolution_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolution per (zone, market day) batch of the load feed."""
+    _prep(spark)
+    rows = A.raw_load(spark, sf_dir).withColumn("market_day", market_day("ts_utc"))
+    return resolution.detect_resolution(rows, ["zone_code", "market_day"])
+
+
+def _landing_price_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridmart.functions.time import parse_instant
+
+    lp = A.landing_price(spark, sf_dir)
+    return lp.withColumn("ts_utc", parse_instant("ts")).drop("ts")
+
+
+def q_first_available_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (zone, market day): rows of the 15-minute series if any, else hourly."""
+    _prep(spark)
+    lp = _landing_price_utc(spark, sf_dir)
+    picked = series.first_available_series(lp, ["zone_code", "market_day"])
+    return settle_doubles(picked.drop("event_id"))
+
+
+def q_market_day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every market day from the first to the last event, with its UTC window."""
+    _prep(spark)
+    ev = A.events(spark, sf_dir)
+    bounds = ev.agg(
+        F.min(market_day("ts")).alias("first_day"), F.max(market_day("ts")).alias("last_day")
+    )
+    return grid.with_market_window(grid.backfill_days(bounds))
+
+
+def q_end_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed price rows parsed to UTC, minus the next day's first stamp."""
+    _prep(spark)
+    lp = _landing_price_utc(spark, sf_dir).withColumn("window_end_utc", market_window_end("market_day"))
+    kept = series.drop_end_boundary(lp, "window_end_utc")
+    return settle_doubles(kept.select("zone_code", "market_day", "ts_utc", "price_eur_mwh", "series_resolution"))
+
+
+def _landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = []
+    for name, fn in A.RAW_FEEDS.items():
+        parts.append(fn(spark, sf_dir).select(F.lit(name).alias("source"), "zone_code", market_day("ts_utc").alias("market_day")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("source", "zone_code", "market_day").agg(F.count(F.lit(1)).alias("landed_rows"))
+
+
+def _expected_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = A.events(spark, sf_dir)
+    bounds = ev.agg(F.min(market_day("ts")).alias("first_day"), F.max(market_day("ts")).alias("last_day"))
+    days = grid.with_market_window(grid.backfill_days(bounds))
+    return grid.job_grid(days, list(SOURCES), ZONES_CSV)
+
+
+def q_job_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected (source, zone, day) batches with their window and landed rows."""
+    _prep(spark)
+    expected = _expected_batches(spark, sf_dir)
+    landed = _landed_batches(spark, sf_dir)
+    out = expected.join(landed, ["source", "zone_code", "market_day"], "left")
+    return out.select(
+        "source", "zone_code", "market_day", "window_start_utc", "window_end_utc", "window_hours",
+        F.coalesce(F.col("landed_rows"), F.lit(0)).cast("bigint").alias("landed_rows"),
+    )
+
+
+def q_fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch attempts classified transient / permanent / ok, per zone-day."""
+    _prep(spark)
+    m = outcomes.classify(A.landing_manifest(spark, sf_dir))
+    return m.groupBy("zone_code", "market_day", "outcome").agg(
+        F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("retryable")).alias("retryable")
+    )
+
+
+# -- contracts and ledger -------------------------------------------------------
+
+
+def _flagged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    feed = A.contract_feed(spark, sf_dir, source)
+    return contracts.flag_rows(feed, SOURCES[source].contract)
+
+
+def _verdicts(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return contracts.verdicts(_flagged(spark, sf_dir, source), SOURCES[source].contract)
+
+
+def q_contract_violations_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return _verdicts(spark, sf_dir, "load")
+
+
+def q_contract_violations_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return _verdicts(spark, sf_dir, "generation")
+
+
+def q_contract_violations_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return _verdicts(spark, sf_dir, "price")
+
+
+def q_contract_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of accepted batches, all three feeds, as they would enter bronze."""
+    _prep(spark)
+    out = None
+    for source, spec in SOURCES.items():
+        flagged = _flagged(spark, sf_dir, source)
+        ok = contracts.valid_rows(flagged, contracts.verdicts(flagged, spec.contract), spec.contract)
+        part = ok.select(
+            "source", "zone_code", "market_day", "run_id", "ts_utc",
+            (F.col("production_type") if "production_type" in ok.columns else F.lit(None).cast("string")).alias(
+                "production_type"
+            ),
+            F.col(spec.measure).alias("measure"),
+            "resolution_minutes",
+        )
+        out = part if out is None else out.unionByName(part)
+    return settle_doubles(out)
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdict = None
+    for source in SOURCES:
+        v = _verdicts(spark, sf_dir, source)
+        verdict = v if verdict is None else verdict.unionByName(v)
+    landed = _landed_batches(spark, sf_dir).select("source", "zone_code", "market_day")
+    missing = _expected_batches(spark, sf_dir).join(
+        landed, ["source", "zone_code", "market_day"], "left_anti"
+    ).select("source", "zone_code", "market_day")
+    return contracts.ledger(verdict, missing)
+
+
+def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return _ledger(spark, sf_dir)
+
+
+def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prep(spark)
+    return contracts.summary(_ledger(spark, sf_dir))
+
+
+# -- checks ----------------------------------------------------------------------
+
+
+def q_data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 14 warehouse tests over the fact and its dimensions."""
+    _prep(spark)
+    return checks.data_tests(
+        published_fct(spark, sf_dir), dims.dim_zone(spark), dims.dim_production_type(spark)
     )
-    return settle_doubles(fct)
+
+
+def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness of each bronze feed at three reference instants."""
+    _prep(spark)
+    feeds = {name: fn(spark, sf_dir) for name, fn in A.RAW_FEEDS.items()}
+    return settle_doubles(checks.freshness(feeds, FRESHNESS_NOW))
 
 
 def registry() -> dict[str, Query]:
     return {
         "q_fct_grid_hourly": q_fct_grid_hourly,
+        "q_stg_load_hourly": q_stg_load_hourly,
+        "q_stg_generation_hourly": q_stg_generation_hourly,
+        "q_stg_price_hourly": q_stg_price_hourly,
+        "q_latest_revision": q_latest_revision,
+        "q_null_retraction": q_null_retraction,
+        "q_generation_mix": q_generation_mix,
+        "q_storage_draw": q_storage_draw,
+        "q_zones": q_zones,
+        "q_hourly_page": q_hourly_page,
+        "q_hourly_page_after": q_hourly_page_after,
+        "q_unpivot_generation": q_unpivot_generation,
+        "q_resolution_detect": q_resolution_detect,
+        "q_first_available_series": q_first_available_series,
+        "q_market_day_windows": q_market_day_windows,
+        "q_end_boundary": q_end_boundary,
+        "q_job_grid": q_job_grid,
+        "q_fetch_outcomes": q_fetch_outcomes,
+        "q_contract_violations_load": q_contract_violations_load,
+        "q_contract_violations_generation": q_contract_violations_generation,
+        "q_contract_violations_price": q_contract_violations_price,
+        "q_contract_valid_rows": q_contract_valid_rows,
+        "q_ingest_ledger": q_ingest_ledger,
+        "q_ingest_summary": q_ingest_summary,
+        "q_data_tests": q_data_tests,
+        "q_freshness": q_freshness,
     }

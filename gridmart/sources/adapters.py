@@ -147,3 +147,84 @@ def contract_feed(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         .withColumn("source", F.lit(source))
     )
     return out
+
+
+# ---------------------------------------------------------------------------
+# Landed-file shapes derived from the same rows (what a feed client would
+# have written), used by the ingest-side queries.
+# The two measures of a two-level generation header.
+AGGREGATED_MEASURE = "Actual Aggregated"
+CONSUMPTION_MEASURE = "Actual Consumption"
+# Price series: event_id % 3 = 0 is quarter-hourly, else hourly; quarter-hour
+# rows are withheld on even days of the month, so those zone-days fall back.
+SERIES_15_MOD = 3
+GENERATION_TYPES_LANDED = list(dict.fromkeys(TYPE_BY_EVENT.values()))
+
+
+def landing_generation_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generation as (name, measure, value): the two-level column header."""
+    g = raw_generation(spark, sf_dir)
+    is_cons = F.col("production_type").endswith(" Consumption")
+    return g.select(
+        "zone_code", "ts_utc",
+        F.when(is_cons, F.expr("substring(production_type, 1, length(production_type) - 12)"))
+        .otherwise(F.col("production_type")).alias("name"),
+        F.when(is_cons, F.lit(CONSUMPTION_MEASURE)).otherwise(F.lit(AGGREGATED_MEASURE)).alias("measure"),
+        F.col("generation_mw").alias("value"),
+    )
+
+
+def offset_text(ts_utc: Column, tz: str) -> Column:
+    """ISO-8601 local wall time with its UTC offset, e.g. 2024-01-08T01:00:00+01:00."""
+    local = F.from_utc_timestamp(ts_utc, tz)
+    minutes = ((F.unix_seconds(local) - F.unix_seconds(ts_utc)) / F.lit(60)).cast("int")
+    sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
+    off = F.format_string(
+        "%s%02d:%02d", sign, (F.abs(minutes) / 60).cast("int"), (F.abs(minutes) % 60).cast("int")
+    )
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), off)
+
+
+def landing_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price batches as a feed client delivers them.
+
+    Stamps are local Berlin text with offset; each batch (zone, market day)
+    also repeats the first stamp of the next day, because the upstream client
+    includes the window end. ``series_resolution`` names the published series.
+    """
+    from gridmart.functions.time import BERLIN
+
+    p = raw_price(spark, sf_dir).withColumn("market_day", market_day("ts_utc"))
+    series = F.when(F.col("event_id") % SERIES_15_MOD == 0, F.lit("15min")).otherwise(F.lit("60min"))
+    p = p.withColumn("series_resolution", series).filter(
+        ~((F.col("series_resolution") == "15min") & (F.dayofmonth("market_day") % 2 == 0))
+    )
+    from gridmart.functions.time import market_window_start
+
+    at_start = F.col("ts_utc") == market_window_start("market_day")
+    spill = p.filter(at_start).withColumn("market_day", F.date_sub("market_day", 1))
+    both = p.unionByName(spill)
+    return both.select(
+        "zone_code", "market_day", offset_text(F.col("ts_utc"), BERLIN).alias("ts"),
+        "price_eur_mwh", "series_resolution", "event_id",
+    )
+
+
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fetch attempt per event: how the feed call ended.
+
+    error -> HTTP status 400 + event_id % 200 (covers 429 and 5xx); view ->
+    no data; signup -> timeout; purchase -> connection error; click -> ok.
+    """
+    b = _base(events(spark, sf_dir))
+    kind = (
+        F.when(F.col("event_type") == "error", F.lit("http"))
+        .when(F.col("event_type") == "view", F.lit("no_data"))
+        .when(F.col("event_type") == "signup", F.lit("timeout"))
+        .when(F.col("event_type") == "purchase", F.lit("connection"))
+    )
+    status = F.when(F.col("event_type") == "error", (F.lit(400) + F.col("event_id") % 200).cast("int"))
+    return b.select(
+        "zone_code", market_day("ts_utc").alias("market_day"), "event_id",
+        kind.alias("error_kind"), status.alias("http_status"),
+    )
