@@ -186,11 +186,469 @@ def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(p.strip().rstrip(",") for p in parts)
 
 
+FCT_CTE = f"fct AS ({FCT_BODY})"
+BERLIN_DAY = "CAST((ts_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS DATE)"
+
+
+def win_start(day: str) -> str:
+    return f"CAST((CAST({day} AS TIMESTAMP) AT TIME ZONE 'Europe/Berlin') AT TIME ZONE 'UTC' AS TIMESTAMP)"
+
+
+def win_end(day: str) -> str:
+    return win_start(f"(CAST({day} AS DATE) + INTERVAL 1 DAY)")
+
+
 def fct_sql() -> str:
     return with_ctes(ADAPTER, STAGING, MIX) + "\n" + settle(FCT_BODY, FCT_COLUMNS, FCT_DOUBLES)
 
 
+def _stg_sql(view: str, measure: str, extra: list[str]) -> str:
+    cols = ["zone_code", "ts_hour_utc", *extra, measure, "intervals_aggregated",
+            "source_resolution_minutes", "ingested_at"]
+    return with_ctes(ADAPTER, STAGING) + "\n" + settle(f"SELECT * FROM {view}", cols, [measure])
+
+
+LATEST_LOAD = """
+SELECT zone_code, ts_utc, resolution_minutes, load_mw, ingested_at, run_id
+FROM (SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
+                                   ORDER BY ingested_at DESC, event_id DESC) AS rn
+      FROM raw_load) r
+WHERE rn = 1"""
+
+NULL_RETRACTION = """
+latest AS (
+  SELECT zone_code, ts_utc, load_mw FROM (
+    SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
+                                 ORDER BY ingested_at DESC, event_id DESC) AS rn
+    FROM raw_load) r WHERE rn = 1),
+valued AS (
+  SELECT zone_code, ts_utc, load_mw FROM (
+    SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
+                                 ORDER BY ingested_at DESC, event_id DESC) AS rn
+    FROM raw_load WHERE load_mw IS NOT NULL) r WHERE rn = 1)"""
+
+SERVED = ["zone_code", "ts_hour_utc", "date_local", "load_mw", "renewable_mw", "fossil_mw",
+          "nuclear_mw", "total_generation_mw", "renewable_pct", "residual_load_mw",
+          "carbon_intensity_g_kwh", "price_eur_mwh"]
+SERVED_DOUBLES = [c for c in SERVED if c in FCT_DOUBLES]
+
+PAGE_FILTER = ("zone_code = 'DE_LU' AND ts_hour_utc >= TIMESTAMP '2024-01-08 00:00:00' "
+               "AND ts_hour_utc < TIMESTAMP '2024-01-15 00:00:00'")
+PAGE_LIMIT = 50
+
+
+def _page_select(source: str) -> str:
+    cursor = ("replace(replace(to_base64(encode(strftime(max(ts_hour_utc) OVER (), "
+              "'%Y-%m-%dT%H:%M:%S') || '+00:00')), '+', '-'), '/', '_')")
+    body = (f"SELECT *, CAST(count(*) OVER () AS BIGINT) AS page_count, "
+            f"CASE WHEN count(*) OVER () = {PAGE_LIMIT} THEN {cursor} END AS next_cursor FROM {source}")
+    return settle(body, SERVED + ["page_count", "next_cursor"], SERVED_DOUBLES)
+
+
+def page_sql() -> str:
+    page = (f"page AS (SELECT {', '.join(SERVED)} FROM fct WHERE {PAGE_FILTER} "
+            f"ORDER BY ts_hour_utc LIMIT {PAGE_LIMIT})")
+    return with_ctes(ADAPTER, STAGING, MIX, FCT_CTE, page) + "\n" + _page_select("page")
+
+
+def page_after_sql() -> str:
+    p1 = (f"p1 AS (SELECT {', '.join(SERVED)} FROM fct WHERE {PAGE_FILTER} "
+          f"ORDER BY ts_hour_utc LIMIT {PAGE_LIMIT})")
+    p2 = (f"page AS (SELECT {', '.join(SERVED)} FROM fct WHERE {PAGE_FILTER} "
+          f"AND (SELECT count(*) FROM p1) = {PAGE_LIMIT} "
+          f"AND ts_hour_utc > (SELECT max(ts_hour_utc) FROM p1) "
+          f"ORDER BY ts_hour_utc LIMIT {PAGE_LIMIT})")
+    return with_ctes(ADAPTER, STAGING, MIX, FCT_CTE, p1, p2) + "\n" + _page_select("page")
+
+
+def zones_sql() -> str:
+    return with_ctes(ADAPTER, STAGING, MIX, FCT_CTE) + """
+SELECT z.zone_code, z.zone_name, z.country, z.timezone,
+       CAST(coalesce(c.fact_hours, 0) AS BIGINT) AS fact_hours, c.first_hour_utc, c.last_hour_utc
+FROM dim_zone z
+LEFT JOIN (SELECT zone_code, count(*) AS fact_hours, min(ts_hour_utc) AS first_hour_utc,
+                  max(ts_hour_utc) AS last_hour_utc
+           FROM fct GROUP BY zone_code) c USING (zone_code)
+ORDER BY z.zone_code"""
+
+
+def unpivot_sql() -> str:
+    names = A.GENERATION_TYPES_LANDED
+    wide_cols = ", ".join(
+        f"max(CASE WHEN production_type = {_q(n)} THEN value END) AS c{i}" for i, n in enumerate(names)
+    )
+    two = """
+two AS (
+  SELECT zone_code, ts_utc,
+         CASE WHEN production_type LIKE '% Consumption'
+              THEN substr(production_type, 1, length(production_type) - 12)
+              ELSE production_type END AS name,
+         CASE WHEN production_type LIKE '% Consumption' THEN 'Actual Consumption'
+              ELSE 'Actual Aggregated' END AS measure,
+         generation_mw AS value
+  FROM raw_generation),
+flat AS (
+  SELECT zone_code, ts_utc,
+         CASE WHEN measure = 'Actual Consumption' THEN name || ' Consumption' ELSE name END
+           AS production_type, value
+  FROM two)"""
+    wide = f"wide AS (SELECT zone_code, ts_utc, {wide_cols} FROM flat GROUP BY zone_code, ts_utc)"
+    body = " UNION ALL ".join(
+        f"SELECT zone_code, ts_utc, {_q(n)} AS production_type, c{i} AS generation_mw FROM wide"
+        for i, n in enumerate(names)
+    )
+    cols = ["zone_code", "ts_utc", "production_type", "generation_mw"]
+    return with_ctes(ADAPTER, two, wide) + "\n" + settle(body, cols, ["generation_mw"])
+
+
+def resolution_sql() -> str:
+    return with_ctes(ADAPTER) + f"""
+, stamps AS (
+  SELECT DISTINCT zone_code, {BERLIN_DAY} AS market_day, ts_utc FROM raw_load WHERE ts_utc IS NOT NULL),
+deltas AS (
+  SELECT zone_code, market_day,
+         epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY zone_code, market_day
+                                                       ORDER BY ts_utc)) AS delta_us
+  FROM stamps),
+counted AS (
+  SELECT zone_code, market_day, delta_us, count(*) AS n FROM deltas
+  WHERE delta_us IS NOT NULL GROUP BY zone_code, market_day, delta_us),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY zone_code, market_day ORDER BY n DESC, delta_us ASC) AS rk
+  FROM counted),
+batches AS (SELECT DISTINCT zone_code, market_day FROM stamps)
+SELECT b.zone_code, b.market_day,
+       CAST(coalesce(floor(r.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
+FROM batches b LEFT JOIN ranked r
+  ON r.zone_code = b.zone_code AND r.market_day = b.market_day AND r.rk = 1"""
+
+
+LANDING_PRICE = f"""
+lp0 AS (
+  SELECT zone_code, ts_utc, price_eur_mwh, event_id, {BERLIN_DAY} AS market_day,
+         CASE WHEN event_id % {A.SERIES_15_MOD} = 0 THEN '15min' ELSE '60min' END AS series_resolution
+  FROM raw_price),
+lp1 AS (
+  SELECT * FROM lp0 WHERE NOT (series_resolution = '15min' AND dayofmonth(market_day) % 2 = 0)),
+lp2 AS (
+  SELECT zone_code, ts_utc, price_eur_mwh, event_id, market_day, series_resolution FROM lp1
+  UNION ALL
+  SELECT zone_code, ts_utc, price_eur_mwh, event_id, CAST(market_day - INTERVAL 1 DAY AS DATE),
+         series_resolution
+  FROM lp1 WHERE ts_utc = {win_start('market_day')}),
+lp3 AS (
+  SELECT *, CAST((ts_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS TIMESTAMP) AS local_ts
+  FROM lp2),
+landing_price AS (
+  SELECT zone_code, market_day, price_eur_mwh, series_resolution, event_id,
+         strftime(local_ts, '%Y-%m-%dT%H:%M:%S') ||
+         printf('%s%02d:%02d',
+                CASE WHEN epoch(local_ts) - epoch(ts_utc) < 0 THEN '-' ELSE '+' END,
+                CAST(trunc(abs(epoch(local_ts) - epoch(ts_utc)) / 3600) AS INTEGER),
+                CAST(trunc(abs(epoch(local_ts) - epoch(ts_utc)) / 60) AS INTEGER) % 60) AS ts
+  FROM lp3),
+landing_price_utc AS (
+  SELECT zone_code, market_day, price_eur_mwh, series_resolution, event_id,
+         CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc
+  FROM landing_price)"""
+
+
+def first_series_sql() -> str:
+    body = """
+SELECT zone_code, market_day, price_eur_mwh, series_resolution, ts_utc FROM (
+  SELECT *, min(pref) OVER (PARTITION BY zone_code, market_day) AS best FROM (
+    SELECT *, CASE series_resolution WHEN '15min' THEN 1 WHEN '60min' THEN 2 ELSE 0 END AS pref
+    FROM landing_price_utc) r
+  WHERE pref > 0) b
+WHERE pref = best"""
+    cols = ["zone_code", "market_day", "price_eur_mwh", "series_resolution", "ts_utc"]
+    return with_ctes(ADAPTER, LANDING_PRICE) + "\n" + settle(body, cols, ["price_eur_mwh"])
+
+
+def end_boundary_sql() -> str:
+    body = f"""
+SELECT zone_code, market_day, ts_utc, price_eur_mwh, series_resolution FROM landing_price_utc
+WHERE ts_utc < {win_end('market_day')}"""
+    cols = ["zone_code", "market_day", "ts_utc", "price_eur_mwh", "series_resolution"]
+    return with_ctes(ADAPTER, LANDING_PRICE) + "\n" + settle(body, cols, ["price_eur_mwh"])
+
+
+DAYS = f"""
+bounds AS (
+  SELECT min(CAST((CAST(ts AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS DATE)) AS d0,
+         max(CAST((CAST(ts AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS DATE)) AS d1
+  FROM events),
+days AS (
+  SELECT CAST(d AS DATE) AS market_day
+  FROM (SELECT unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+        FROM bounds) g),
+windows AS (
+  SELECT market_day, {win_start('market_day')} AS window_start_utc,
+         {win_end('market_day')} AS window_end_utc
+  FROM days),
+windows_h AS (
+  SELECT *, CAST((epoch(window_end_utc) - epoch(window_start_utc)) / 3600 AS BIGINT) AS window_hours
+  FROM windows)"""
+
+
+def windows_sql() -> str:
+    return with_ctes(DAYS) + "\nSELECT market_day, window_start_utc, window_end_utc, window_hours FROM windows_h"
+
+
+EXPECTED = """
+zones AS (
+  SELECT trim(z) AS zone_code
+  FROM (SELECT unnest(string_split('DE_LU, AT ,NL, FR, DK_1, DK_2', ',')) AS z) s
+  WHERE trim(z) <> ''),
+sources AS (SELECT * FROM (VALUES ('load'), ('generation'), ('price')) AS s(source)),
+expected AS (
+  SELECT s.source, z.zone_code, w.market_day, w.window_start_utc, w.window_end_utc, w.window_hours
+  FROM windows_h w CROSS JOIN sources s CROSS JOIN zones z),
+landed AS (
+  SELECT source, zone_code, market_day, count(*) AS landed_rows FROM (
+    SELECT 'load' AS source, zone_code, {day} AS market_day FROM raw_load
+    UNION ALL SELECT 'generation', zone_code, {day} FROM raw_generation
+    UNION ALL SELECT 'price', zone_code, {day} FROM raw_price) u
+  GROUP BY source, zone_code, market_day)""".replace("{day}", BERLIN_DAY)
+
+
+def job_grid_sql() -> str:
+    return with_ctes(ADAPTER, DAYS, EXPECTED) + """
+SELECT e.source, e.zone_code, e.market_day, e.window_start_utc, e.window_end_utc, e.window_hours,
+       CAST(coalesce(l.landed_rows, 0) AS BIGINT) AS landed_rows
+FROM expected e LEFT JOIN landed l USING (source, zone_code, market_day)"""
+
+
+def fetch_outcomes_sql() -> str:
+    return with_ctes(ADAPTER) + f"""
+, manifest AS (
+  SELECT zone_code, {BERLIN_DAY} AS market_day,
+         CASE event_type WHEN 'error' THEN 'http' WHEN 'view' THEN 'no_data'
+                         WHEN 'signup' THEN 'timeout' WHEN 'purchase' THEN 'connection' END AS error_kind,
+         CASE WHEN event_type = 'error' THEN CAST(400 + event_id % 200 AS INTEGER) END AS http_status
+  FROM base),
+classified AS (
+  SELECT *, CASE
+      WHEN error_kind IS NULL THEN 'ok'
+      WHEN error_kind = 'no_data' THEN 'permanent'
+      WHEN error_kind = 'http' AND (http_status = 429 OR http_status >= 500) THEN 'transient'
+      WHEN error_kind = 'http' THEN 'permanent'
+      WHEN error_kind IN ('connection', 'timeout') THEN 'transient'
+      ELSE 'unclassified' END AS outcome
+  FROM manifest)
+SELECT zone_code, market_day, outcome, count(*) AS attempts,
+       CAST(count_if(outcome = 'transient') AS BIGINT) AS retryable
+FROM classified GROUP BY zone_code, market_day, outcome"""
+
+
+_CONTRACT = {
+    # source: (raw view, measure, extra key column, low, high)
+    "load": ("raw_load", "load_mw", None, 0, 150000),
+    "generation": ("raw_generation", "generation_mw", "production_type", 0, 150000),
+    "price": ("raw_price", "price_eur_mwh", None, -500, 4000),
+}
+BATCH_COLS = "source, zone_code, market_day, run_id"
+CHECK_NAMES = ["bad_type", "null_required", "bad_zone", "out_of_range", "bad_resolution", "duplicate_keys"]
+
+
+def contract_ctes(source: str) -> str:
+    raw, measure, extra, lo, hi = _CONTRACT[source]
+    key = f"zone_code, ts_utc, {extra}" if extra else "zone_code, ts_utc"
+    extra_sel = f"{extra}, " if extra else ""
+    req = ["zone_code", "ts_utc", *([extra] if extra else []), "resolution_minutes", "run_id"]
+    return f"""
+cf_{source} AS (
+  SELECT '{source}' AS source, zone_code, market_day, ts_utc, {extra_sel}{measure},
+         CASE WHEN event_id % {A.BAD_RESOLUTION_MOD} = 0 THEN CAST(30 AS BIGINT)
+              ELSE resolution_minutes END AS resolution_minutes,
+         zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
+         CAST(least(row_number() OVER (PARTITION BY {key} ORDER BY ingested_at, event_id), {A.RUN_NO_CAP})
+              AS VARCHAR) AS run_id
+  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM {raw}) r),
+fl_{source} AS (
+  SELECT *,
+    FALSE AS bad_type,
+    ({' OR '.join(f'{c} IS NULL' for c in req)}) AS null_required,
+    (zone_code IS NOT NULL AND NOT regexp_matches(zone_code, '^[A-Z]{{2}}(_[A-Z0-9]+)?$')) AS bad_zone,
+    ({measure} IS NOT NULL AND NOT ({measure} BETWEEN {lo} AND {hi})) AS out_of_range,
+    (resolution_minutes IS NOT NULL AND resolution_minutes NOT IN (15, 60)) AS bad_resolution
+  FROM cf_{source}),
+vc_{source} AS (
+  SELECT {BATCH_COLS}, count(*) AS rows,
+         count_if(bad_type) AS bad_type, count_if(null_required) AS null_required,
+         count_if(bad_zone) AS bad_zone, count_if(out_of_range) AS out_of_range,
+         count_if(bad_resolution) AS bad_resolution
+  FROM fl_{source} GROUP BY {BATCH_COLS}),
+vd_{source} AS (
+  SELECT {BATCH_COLS}, count(*) AS duplicate_keys FROM (
+    SELECT {BATCH_COLS}, {key}, count(*) AS c FROM fl_{source}
+    GROUP BY {BATCH_COLS}, {key} HAVING count(*) > 1) d
+  GROUP BY {BATCH_COLS}),
+v_{source} AS (
+  SELECT c.source, c.zone_code, c.market_day, c.run_id,
+         CAST(c.rows AS BIGINT) AS rows, CAST(c.bad_type AS BIGINT) AS bad_type,
+         CAST(c.null_required AS BIGINT) AS null_required, CAST(c.bad_zone AS BIGINT) AS bad_zone,
+         CAST(c.out_of_range AS BIGINT) AS out_of_range,
+         CAST(c.bad_resolution AS BIGINT) AS bad_resolution,
+         CAST(coalesce(d.duplicate_keys, 0) AS BIGINT) AS duplicate_keys
+  FROM vc_{source} c LEFT JOIN vd_{source} d USING (source, zone_code, market_day, run_id)),
+verdict_{source} AS (
+  SELECT *,
+    ({' AND '.join(f'{k} = 0' for k in CHECK_NAMES)}) AS passed,
+    NULLIF(concat_ws(',', {', '.join(f"CASE WHEN {k} > 0 THEN '{k}' END" for k in CHECK_NAMES)}), '')
+      AS reason
+  FROM v_{source})"""
+
+
+def contract_violations_sql(source: str) -> str:
+    return with_ctes(ADAPTER, contract_ctes(source)) + f"\nSELECT * FROM verdict_{source}"
+
+
+def contract_valid_rows_sql() -> str:
+    parts = []
+    for source, (_, measure, extra, _, _) in _CONTRACT.items():
+        pt = extra if extra else "CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"SELECT f.source, f.zone_code, f.market_day, f.run_id, f.ts_utc, {pt} AS production_type, "
+            f"f.{measure} AS measure, f.resolution_minutes FROM fl_{source} f "
+            f"WHERE NOT EXISTS (SELECT 1 FROM verdict_{source} v WHERE NOT v.passed "
+            f"AND v.zone_code = f.zone_code AND v.market_day = f.market_day AND v.run_id = f.run_id)"
+        )
+    cols = ["source", "zone_code", "market_day", "run_id", "ts_utc", "production_type", "measure",
+            "resolution_minutes"]
+    ctes = [contract_ctes(s) for s in _CONTRACT]
+    return with_ctes(ADAPTER, *ctes) + "\n" + settle(" UNION ALL ".join(parts), cols, ["measure"])
+
+
+def _ledger_body() -> str:
+    verdicts = " UNION ALL ".join(f"SELECT * FROM verdict_{s}" for s in _CONTRACT)
+    return f"""
+SELECT source, zone_code, market_day, run_id, rows,
+       CAST(CASE WHEN passed THEN rows ELSE 0 END AS BIGINT) AS rows_loaded,
+       CASE WHEN passed THEN 'loaded' ELSE 'rejected' END AS status, reason
+FROM ({verdicts}) v
+UNION ALL
+SELECT e.source, e.zone_code, e.market_day, CAST(NULL AS VARCHAR), CAST(0 AS BIGINT),
+       CAST(0 AS BIGINT), 'missing', 'no data for the requested window'
+FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.source = e.source AND l.zone_code = e.zone_code
+                  AND l.market_day = e.market_day)"""
+
+
+def ledger_sql() -> str:
+    ctes = [contract_ctes(s) for s in _CONTRACT]
+    return with_ctes(ADAPTER, DAYS, EXPECTED, *ctes) + "\n" + _ledger_body()
+
+
+def summary_sql() -> str:
+    ctes = [contract_ctes(s) for s in _CONTRACT]
+    return with_ctes(ADAPTER, DAYS, EXPECTED, *ctes, f"ledger AS ({_ledger_body()})") + """
+SELECT source, count(DISTINCT zone_code) AS zones, count(*) AS batches,
+       CAST(count_if(status <> 'loaded') AS BIGINT) AS failures, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded
+FROM ledger GROUP BY source"""
+
+
+def data_tests_sql() -> str:
+    f, z, p = "fct_grid_hourly", "dim_zone", "dim_production_type"
+    tests = [
+        (f"not_null_{f}_zone_code", "SELECT count(*) FROM fct WHERE zone_code IS NULL"),
+        (f"not_null_{f}_ts_hour_utc", "SELECT count(*) FROM fct WHERE ts_hour_utc IS NULL"),
+        (f"not_null_{f}_load_mw", "SELECT count(*) FROM fct WHERE load_mw IS NULL"),
+        ("assert_no_impossible_carbon_intensity",
+         "SELECT count(*) FROM fct WHERE carbon_intensity_g_kwh < 0 OR carbon_intensity_g_kwh > 1100"),
+        ("assert_renewable_pct_in_range",
+         "SELECT count(*) FROM fct WHERE renewable_pct < 0 OR renewable_pct > 100"),
+        (f"not_null_{z}_zone_code", "SELECT count(*) FROM dim_zone WHERE zone_code IS NULL"),
+        (f"not_null_{z}_timezone", "SELECT count(*) FROM dim_zone WHERE timezone IS NULL"),
+        (f"not_null_{p}_production_type",
+         "SELECT count(*) FROM dim_production_type WHERE production_type IS NULL"),
+        (f"accepted_values_{p}_category",
+         "SELECT count(*) FROM dim_production_type WHERE category NOT IN "
+         "('renewable', 'fossil', 'nuclear', 'storage', 'other')"),
+        (f"accepted_values_{p}_flow_direction",
+         "SELECT count(*) FROM dim_production_type WHERE flow_direction NOT IN ('generation', 'consumption')"),
+        (f"relationships_{f}_zone_code__{z}",
+         "SELECT count(*) FROM fct c WHERE c.zone_code IS NOT NULL AND c.zone_code NOT IN "
+         "(SELECT zone_code FROM dim_zone)"),
+        (f"unique_combination_{f}_zone_code__ts_hour_utc",
+         "SELECT count(*) FROM (SELECT zone_code, ts_hour_utc FROM fct GROUP BY ALL HAVING count(*) > 1) d"),
+        (f"unique_{z}_zone_code",
+         "SELECT count(*) FROM (SELECT zone_code FROM dim_zone GROUP BY ALL HAVING count(*) > 1) d"),
+        (f"unique_{p}_production_type",
+         "SELECT count(*) FROM (SELECT production_type FROM dim_production_type GROUP BY ALL "
+         "HAVING count(*) > 1) d"),
+    ]
+    body = " UNION ALL ".join(
+        f"SELECT {_q(n)} AS check_name, CAST(({q}) AS BIGINT) AS failing_rows" for n, q in tests
+    )
+    return with_ctes(ADAPTER, STAGING, MIX, FCT_CTE) + (
+        f"\nSELECT check_name, failing_rows, failing_rows = 0 AS passed FROM ({body}) t"
+    )
+
+
+def freshness_sql() -> str:
+    nows = ["2024-01-31 00:00:00", "2024-02-01 06:00:00", "2024-02-03 00:00:00"]
+    parts = []
+    for source, (raw, _, _, _, _) in _CONTRACT.items():
+        for n in nows:
+            parts.append(
+                f"SELECT '{source}' AS source, TIMESTAMP '{n}' AS checked_at, "
+                f"(SELECT max(ingested_at) FROM {raw} WHERE ts_utc >= TIMESTAMP '{n}' - INTERVAL 30 DAY) "
+                f"AS max_loaded_at"
+            )
+    age = "(epoch_us(checked_at) - epoch_us(max_loaded_at)) / 3600000000.0"
+    body = f"""
+SELECT source, checked_at, max_loaded_at, {age} AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN {age} > 48 THEN 'error' WHEN {age} > 26 THEN 'warn' ELSE 'pass' END AS status
+FROM ({' UNION ALL '.join(parts)}) f"""
+    cols = ["source", "checked_at", "max_loaded_at", "age_hours", "status"]
+    return with_ctes(ADAPTER) + "\n" + settle(body, cols, ["age_hours"])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_fct_grid_hourly": fct_sql(),
+        "q_stg_load_hourly": _stg_sql("stg_load", "load_mw", []),
+        "q_stg_generation_hourly": _stg_sql("stg_generation", "generation_mw", ["production_type"]),
+        "q_stg_price_hourly": _stg_sql("stg_price", "price_eur_mwh", []),
+        "q_latest_revision": with_ctes(ADAPTER) + "\n" + settle(
+            LATEST_LOAD,
+            ["zone_code", "ts_utc", "resolution_minutes", "load_mw", "ingested_at", "run_id"],
+            ["load_mw"],
+        ),
+        "q_null_retraction": with_ctes(ADAPTER, NULL_RETRACTION) + "\n" + settle(
+            "SELECT l.zone_code, l.ts_utc, v.load_mw AS superseded_load_mw FROM latest l "
+            "JOIN valued v USING (zone_code, ts_utc) WHERE l.load_mw IS NULL",
+            ["zone_code", "ts_utc", "superseded_load_mw"], ["superseded_load_mw"],
+        ),
+        "q_generation_mix": with_ctes(ADAPTER, STAGING, MIX) + "\n" + settle(
+            "SELECT * FROM generation_mix",
+            ["zone_code", "ts_hour_utc", "renewable_mw", "fossil_mw", "nuclear_mw", "storage_mw",
+             "other_mw", "total_generation_mw", "total_co2_kg"],
+            ["renewable_mw", "fossil_mw", "nuclear_mw", "storage_mw", "other_mw",
+             "total_generation_mw", "total_co2_kg"],
+        ),
+        "q_storage_draw": with_ctes(ADAPTER, STAGING, MIX) + "\n" + settle(
+            "SELECT * FROM storage_draw",
+            ["zone_code", "ts_hour_utc", "storage_consumption_mw"], ["storage_consumption_mw"],
+        ),
+        "q_zones": zones_sql(),
+        "q_hourly_page": page_sql(),
+        "q_hourly_page_after": page_after_sql(),
+        "q_unpivot_generation": unpivot_sql(),
+        "q_resolution_detect": resolution_sql(),
+        "q_first_available_series": first_series_sql(),
+        "q_market_day_windows": windows_sql(),
+        "q_end_boundary": end_boundary_sql(),
+        "q_job_grid": job_grid_sql(),
+        "q_fetch_outcomes": fetch_outcomes_sql(),
+        "q_contract_violations_load": contract_violations_sql("load"),
+        "q_contract_violations_generation": contract_violations_sql("generation"),
+        "q_contract_violations_price": contract_violations_sql("price"),
+        "q_contract_valid_rows": contract_valid_rows_sql(),
+        "q_ingest_ledger": ledger_sql(),
+        "q_ingest_summary": summary_sql(),
+        "q_data_tests": data_tests_sql(),
+        "q_freshness": freshness_sql(),
     }
