@@ -606,6 +606,24 @@ FROM ({' UNION ALL '.join(parts)}) f"""
     return with_ctes(ADAPTER) + "\n" + settle(body, cols, ["age_hours"])
 
 
+def bronze_roundtrip_sql() -> str:
+    tables = {"load": "raw_load", "generation": "raw_generation", "price": "raw_day_ahead_price"}
+    parts = []
+    for source in _CONTRACT:
+        parts.append(
+            f"SELECT '{tables[source]}' AS \"table\", "
+            f"CAST(date_trunc('month', f.ts_utc) AS DATE) AS ts_month, f.zone_code, f.ts_utc, f.run_id "
+            f"FROM fl_{source} f WHERE NOT EXISTS (SELECT 1 FROM verdict_{source} v WHERE NOT v.passed "
+            f"AND v.zone_code = f.zone_code AND v.market_day = f.market_day AND v.run_id = f.run_id)"
+        )
+    ctes = [contract_ctes(s) for s in _CONTRACT]
+    return with_ctes(ADAPTER, *ctes) + f"""
+SELECT "table", ts_month, zone_code, count(*) AS rows, min(ts_utc) AS first_ts_utc,
+       max(ts_utc) AS last_ts_utc, count(DISTINCT run_id) AS runs
+FROM ({' UNION ALL '.join(parts)}) b
+GROUP BY "table", ts_month, zone_code"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_fct_grid_hourly": fct_sql(),
@@ -651,4 +669,6 @@ def oracle_sql() -> dict[str, str]:
         "q_ingest_summary": summary_sql(),
         "q_data_tests": data_tests_sql(),
         "q_freshness": freshness_sql(),
+        "q_bronze_roundtrip": bronze_roundtrip_sql(),
+        "q_incremental_mart": fct_sql(),
     }
