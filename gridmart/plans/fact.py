@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import dims
-from gridmart.functions.numeric import round_half_away
+from gridmart.functions.numeric import round_half_away_sql
 from gridmart.functions.time import local_date, local_day_of_week, month_key
 from gridmart.operators import conform, mix
 from gridmart.specs import FCT_COLUMNS
@@ -53,13 +53,15 @@ def build_fct(
         "other_mw": F.col("other_mw"),
         "total_generation_mw": total,
         "storage_consumption_mw": F.col("storage_consumption_mw"),
-        "renewable_pct": F.when(
-            total > 0, round_half_away(F.col("renewable_mw") / total * F.lit(100.0), 2)
+        "renewable_pct": F.expr(
+            "CASE WHEN total_generation_mw > 0 THEN "
+            f"{round_half_away_sql('renewable_mw / total_generation_mw * 100.0', 2)} END"
         ),
         # What dispatchable plant and imports must cover once renewables are in.
         "residual_load_mw": F.col("load_mw") - F.coalesce(F.col("renewable_mw"), F.lit(0.0)),
-        "carbon_intensity_g_kwh": F.when(
-            total > 0, round_half_away(F.col("total_co2_kg") / total, 1)
+        "carbon_intensity_g_kwh": F.expr(
+            "CASE WHEN total_generation_mw > 0 THEN "
+            f"{round_half_away_sql('total_co2_kg / total_generation_mw', 1)} END"
         ),
         "price_eur_mwh": F.col("price_eur_mwh"),
         "hour_utc": F.hour("ts_hour_utc").cast("bigint"),

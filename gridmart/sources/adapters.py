@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridmart.functions.time import hour_floor, market_day, quarter_floor
+from gridmart.functions.time import market_day
 
 # ---------------------------------------------------------------------------
 # Fixed values of the adapter.
@@ -43,72 +44,85 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` as a UTC instant (parquet stores it zone-less)."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"
-    )
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
 
 
-def _zone(user_id: Column) -> Column:
-    expr = None
-    for i, code in enumerate(ZONE_BY_USER_MOD6):
-        cond = (user_id % 6) == i
-        expr = F.when(cond, code) if expr is None else expr.when(cond, code)
-    return expr
+ZONE_SQL = "CASE user_id % 6 " + " ".join(
+    f"WHEN {i} THEN {_q(z)}" for i, z in enumerate(ZONE_BY_USER_MOD6)
+) + " END"
+TYPE_SQL = "CASE event_type " + " ".join(f"WHEN {_q(e)} THEN {_q(t)}" for e, t in TYPE_BY_EVENT.items()) + " END"
+RESOLUTION_SQL = "CAST(CASE WHEN user_id % 2 = 0 THEN 15 ELSE 60 END AS BIGINT)"
+SLOT_SQL = (
+    "CASE WHEN user_id % 2 = 0 THEN date_trunc('minute', ts) - "
+    "make_interval(0, 0, 0, 0, 0, CAST(minute(ts) % 15 AS INT), 0) "
+    "ELSE date_trunc('hour', ts) END"
+)
 
 
-def _production_type(event_type: Column) -> Column:
-    expr = None
-    for ev, pt in TYPE_BY_EVENT.items():
-        expr = F.when(event_type == ev, pt) if expr is None else expr.when(event_type == ev, pt)
-    return expr
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+_EVENTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``ts`` as a UTC instant (parquet stores it zone-less).
+
+    Read with a declared schema (no footer sampling); the scan definition is
+    built once per session and input and shared by the three feeds.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EVENTS:
+        ev = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        _EVENTS[key] = ev.selectExpr(
+            "event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value"
+        )
+    return _EVENTS[key]
 
 
 def _base(ev: DataFrame) -> DataFrame:
-    res = F.when(F.col("user_id") % 2 == 0, F.lit(15)).otherwise(F.lit(60)).cast("bigint")
-    return ev.select(
+    return ev.selectExpr(
         "event_id",
         "ts",
         "value",
         "event_type",
-        _zone(F.col("user_id")).alias("zone_code"),
-        res.alias("resolution_minutes"),
-        F.when(res == 15, quarter_floor("ts")).otherwise(hour_floor("ts")).alias("ts_utc"),
-        F.col("ts").alias("ingested_at"),
-        F.col("event_id").cast("string").alias("run_id"),
+        f"{ZONE_SQL} AS zone_code",
+        f"{RESOLUTION_SQL} AS resolution_minutes",
+        f"{SLOT_SQL} AS ts_utc",
+        "ts AS ingested_at",
+        "CAST(event_id AS STRING) AS run_id",
     )
 
 
 def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped load rows (all revisions). Carries ``event_id`` as tie-break."""
-    b = _base(events(spark, sf_dir)).filter(F.col("event_id") % LOAD_SKIP_MOD != 0)
-    mw = F.when(F.col("event_id") % LOAD_NULL_MOD == 0, F.lit(None).cast("double")).otherwise(
-        F.col("value") * MW_PER_VALUE
-    )
-    return b.select(
-        "zone_code", "ts_utc", "resolution_minutes", mw.alias("load_mw"), "ingested_at", "run_id",
-        "event_id",
+    b = _base(events(spark, sf_dir)).filter(f"event_id % {LOAD_SKIP_MOD} <> 0")
+    return b.selectExpr(
+        "zone_code", "ts_utc", "resolution_minutes",
+        f"CASE WHEN event_id % {LOAD_NULL_MOD} = 0 THEN CAST(NULL AS DOUBLE) "
+        f"ELSE value * {MW_PER_VALUE} END AS load_mw",
+        "ingested_at", "run_id", "event_id",
     )
 
 
 def raw_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(events(spark, sf_dir)).filter(F.col("event_id") % GENERATION_SKIP_MOD != 0)
-    return b.select(
-        "zone_code", "ts_utc", "resolution_minutes",
-        _production_type(F.col("event_type")).alias("production_type"),
-        (F.col("value") * MW_PER_VALUE).alias("generation_mw"),
-        "ingested_at", "run_id", "event_id",
+    b = _base(events(spark, sf_dir)).filter(f"event_id % {GENERATION_SKIP_MOD} <> 0")
+    return b.selectExpr(
+        "zone_code", "ts_utc", "resolution_minutes", f"{TYPE_SQL} AS production_type",
+        f"value * {MW_PER_VALUE} AS generation_mw", "ingested_at", "run_id", "event_id",
     )
 
 
 def raw_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(events(spark, sf_dir)).filter(F.col("event_id") % PRICE_SKIP_MOD != 0)
-    return b.select(
+    b = _base(events(spark, sf_dir)).filter(f"event_id % {PRICE_SKIP_MOD} <> 0")
+    return b.selectExpr(
         "zone_code", "ts_utc", "resolution_minutes",
-        (F.col("value") * PRICE_SCALE - PRICE_SHIFT).alias("price_eur_mwh"),
-        "ingested_at", "run_id", "event_id",
+        f"value * {PRICE_SCALE} - {PRICE_SHIFT} AS price_eur_mwh", "ingested_at", "run_id", "event_id",
     )
 
 
