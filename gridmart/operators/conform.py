@@ -29,9 +29,14 @@ def hourly(
     recent = bronze.filter(F.col("ts_utc") >= F.lit(since).cast("timestamp"))
     latest = latest_revision(recent, keys)
     valued = latest.filter(F.col(measure).isNotNull())  # after ranking: nulls retract
-    return valued.groupBy(
-        "zone_code", hour_floor("ts_utc").alias("ts_hour_utc"), *extra
-    ).agg(
+    # One shuffle on the fact's join keys. After de-duplication a (zone, hour)
+    # holds at most a few intervals per type, so this key cannot be hot; the
+    # hourly aggregate, the mix aggregate and the fact's left joins all reuse
+    # this partitioning instead of shuffling again.
+    hourly_rows = valued.withColumn("ts_hour_utc", hour_floor("ts_utc")).repartition(
+        "zone_code", "ts_hour_utc"
+    )
+    return hourly_rows.groupBy("zone_code", "ts_hour_utc", *extra).agg(
         F.avg(measure).alias(measure),
         F.count(F.lit(1)).alias("intervals_aggregated"),
         F.max("resolution_minutes").cast("bigint").alias("source_resolution_minutes"),

@@ -54,14 +54,15 @@ def write_bronze(
     """Append validated rows; returns the row count (0 writes nothing).
 
     The count comes from an ``Observation`` on the write itself, so the data
-    is computed once.
+    is computed once. It sits above the range exchange: the sampling job that
+    picks range bounds runs the plan below it and must not be counted.
     """
     rows = to_bronze_rows(df, spec, ingested_at)
-    obs = Observation(f"bronze_{spec.table}")
-    observed = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    layout = observed.repartitionByRange("ts_month", *spec.cluster_by, "ts_utc").sortWithinPartitions(
+    layout = rows.repartitionByRange("ts_month", *spec.cluster_by, "ts_utc").sortWithinPartitions(
         "ts_month", *spec.cluster_by, "ts_utc"
     )
+    obs = Observation(f"bronze_{spec.table}")
+    layout = layout.observe(obs, F.count(F.lit(1)).alias("rows"))
     layout.write.mode("append").partitionBy("ts_month").parquet(table_path(root, spec))
     return int(obs.get.get("rows", 0) or 0)
 

@@ -1,0 +1,50 @@
+from datetime import UTC, datetime
+
+import builders as B
+import pytest
+
+from gridmart import session
+from gridmart.sources import bronze
+from gridmart.specs import SOURCES
+
+LOAD = SOURCES["load"]
+
+
+def _rows(spark):
+    return B.load(spark, [
+        ("DE_LU", "2024-01-31 23:00:00", 60, 1.0, "2024-02-01 00:00:00", "a"),
+        ("DE_LU", "2024-02-01 00:00:00", 60, 2.0, "2024-02-01 00:00:00", "a"),
+        ("AT", "2024-03-05 12:00:00", 60, 3.0, "2024-03-06 00:00:00", "a"),
+    ])
+
+
+def test_unbounded_scan_is_refused(spark):
+    with pytest.raises(bronze.UnboundedScanError):
+        bronze.read_bronze(spark, "/nowhere", LOAD, start=None)
+
+
+def test_append_round_trip_and_month_partitions(spark):
+    root = session.fresh_path(spark, "t-bronze")
+    stamp = datetime(2024, 3, 7, tzinfo=UTC)
+    assert bronze.write_bronze(_rows(spark), root, LOAD, ingested_at=stamp) == 3
+    assert bronze.write_bronze(_rows(spark), root, LOAD, ingested_at=stamp) == 3  # replay appends
+    back = bronze.read_bronze(spark, root, LOAD, start="2020-01-01")
+    assert back.count() == 6
+    months = sorted({str(r["ts_month"]) for r in back.collect()})
+    assert months == ["2024-01-01", "2024-02-01", "2024-03-01"]
+    assert {r["ingested_at"].replace(tzinfo=None) for r in back.collect()} == {datetime(2024, 3, 7)}
+
+
+def test_range_scan_prunes_months(spark):
+    root = session.fresh_path(spark, "t-bronze")
+    bronze.write_bronze(_rows(spark), root, LOAD)
+    df = bronze.read_bronze(spark, root, LOAD, start="2024-02-01 00:00:00", end="2024-03-01 00:00:00")
+    assert [r["load_mw"] for r in df.collect()] == [2.0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ts_month" in plan and "ts_month#" in plan
+    assert "PushedFilters: [IsNotNull(ts_utc), GreaterThanOrEqual(ts_utc" in plan
+
+
+def test_empty_write_adds_nothing(spark):
+    root = session.fresh_path(spark, "t-bronze")
+    assert bronze.write_bronze(_rows(spark).limit(0), root, LOAD) == 0
