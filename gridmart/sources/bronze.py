@@ -1,9 +1,9 @@
 """Bronze layer: append-only, month-partitioned, revision-keeping parquet.
 
-Layout: ``<root>/<table>/ts_month=YYYY-MM-01/part-*.parquet``, rows range-
-partitioned and sorted by (ts_month, cluster columns, ts_utc) so parquet
-row-group statistics skip by zone (and type) inside a month. Appends never
-rewrite: a replay adds a new revision, resolved at read time.
+Layout: ``<root>/<table>/ts_month=YYYY-MM-01/part-*.parquet``; inside each
+file rows are sorted by (cluster columns, ts_utc) so parquet row-group
+statistics skip by zone (and type) inside a month. Appends never rewrite: a
+replay adds a new revision, resolved at read time.
 """
 
 from __future__ import annotations
@@ -54,11 +54,16 @@ def write_bronze(
     """Append validated rows; returns the row count (0 writes nothing).
 
     The count comes from an ``Observation`` on the write itself, so the data
-    is computed once. It sits above the range exchange: the sampling job that
-    picks range bounds runs the plan below it and must not be counted.
+    is computed once.
+
+    Write tasks are hash-partitioned on the accepted rows' unique key
+    (month, zone[, type], ts_utc, run_id): no value of it can be hot (a
+    contract rejects duplicates inside a run, and replays differ in run_id),
+    so a zone or month holding a third of the data still spreads over all
+    tasks. No range-sampling pass re-runs the upstream plan.
     """
     rows = to_bronze_rows(df, spec, ingested_at)
-    layout = rows.repartitionByRange("ts_month", *spec.cluster_by, "ts_utc").sortWithinPartitions(
+    layout = rows.repartition("ts_month", *spec.cluster_by, "ts_utc", "run_id").sortWithinPartitions(
         "ts_month", *spec.cluster_by, "ts_utc"
     )
     obs = Observation(f"bronze_{spec.table}")
