@@ -11,6 +11,13 @@ from gridmart.functions.text import csv_list
 from gridmart.functions.time import market_window_end, market_window_start
 
 
+def run_days(run_date: Column | str, lag_days: int = 1) -> Column:
+    """Market day a scheduled run ingests: yesterday by default (a daily
+    schedule that waits for revisions uses ``lag_days=2``)."""
+    d = F.to_date(F.lit(run_date)) if isinstance(run_date, str) else run_date
+    return F.date_sub(d, lag_days)
+
+
 def backfill_days(bounds: DataFrame, first: str = "first_day", last: str = "last_day") -> DataFrame:
     """One row per market day between the bounds (inclusive)."""
     return bounds.select(

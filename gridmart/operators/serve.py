@@ -99,9 +99,21 @@ def page_frame(fct: DataFrame, req: PageRequest) -> DataFrame:
     )
 
 
+class ResponseContractError(ValueError):
+    """A served row breaks the response contract (share outside [0, 100])."""
+
+
 def hourly_page(fct: DataFrame, req: PageRequest) -> tuple[list, str | None]:
-    """Collect one page (at most 1000 rows) and its next cursor."""
+    """Collect one page (at most 1000 rows) and its next cursor.
+
+    The response contract is checked on the collected rows (bounded by the
+    limit): a renewable share outside [0, 100] is refused, not served.
+    """
     got = page_frame(fct, req).collect()
+    for r in got:
+        pct = r["renewable_pct"]
+        if pct is not None and not 0 <= pct <= 100:
+            raise ResponseContractError(f"renewable_pct {pct} at {r['ts_hour_utc']}")
     nxt = got[0]["next_cursor"] if got else None
     return [r.asDict() for r in got], nxt
 

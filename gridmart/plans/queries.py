@@ -109,7 +109,7 @@ _MARTS: dict[tuple[str, str], str] = {}
 
 def published_fct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written as a month-partitioned mart (once per session and input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session.app_key(spark), sf_dir)
     if key not in _MARTS:
         path = session.fresh_path(spark, "mart-fct_grid_hourly")
         mart.write_fct(_fct(spark, sf_dir, with_month=True), path)
@@ -153,7 +153,7 @@ def q_hourly_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart_path(spark: SparkSession, sf_dir: str) -> str:
     published_fct(spark, sf_dir)
-    return _MARTS[(spark.sparkContext.applicationId, sf_dir)]
+    return _MARTS[(session.app_key(spark), sf_dir)]
 
 
 # -- landing / ingest-side reshaping -------------------------------------------

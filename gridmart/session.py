@@ -56,6 +56,14 @@ def local_session(
     return configure(spark)
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (also under Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, for written tables and checkpoints.
 
@@ -68,10 +76,17 @@ def shared_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+            root = None
     if not root:
+        # Only for local runs with nothing configured (tests): make our own.
         root = tempfile.mkdtemp(prefix="gridmart-")
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+        try:
+            spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set(WAREHOUSE_CONF, root)
     return root
 

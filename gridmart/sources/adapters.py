@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from gridmart import session
 from gridmart.functions.time import market_day
 
 # ---------------------------------------------------------------------------
@@ -76,7 +77,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Read with a declared schema (no footer sampling); the scan definition is
     built once per session and input and shared by the three feeds.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session.app_key(spark), sf_dir)
     if key not in _EVENTS:
         ev = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
         _EVENTS[key] = ev.selectExpr(

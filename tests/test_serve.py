@@ -104,3 +104,10 @@ def test_zone_list_parsing(spark):
     df = spark.createDataFrame([("DE_LU, AT ,NL",), (" , ,",)], "s string")
     got = [r["z"] for r in df.select(csv_list(F.col("s")).alias("z")).collect()]
     assert got == [["DE_LU", "AT", "NL"], []]
+
+
+def test_page_refuses_rows_breaking_the_response_contract(spark):
+    fct = _fct(spark, 3).withColumn("renewable_pct", F.lit(130.0))
+    req = serve.PageRequest.make("DE_LU", T0, T0 + timedelta(days=1), limit=10)
+    with pytest.raises(serve.ResponseContractError):
+        serve.hourly_page(fct, req)
