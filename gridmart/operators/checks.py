@@ -22,18 +22,35 @@ FRESHNESS_LOOKBACK_DAYS = 30
 
 @dataclass(frozen=True)
 class RowCheck:
+    """A check answered by one aggregate over the table (its failure count)."""
+
     name: str
-    offends: Column
+    failures: Column
+
+
+def offending_rows(name: str, predicate: Column) -> RowCheck:
+    """Failures = rows matching ``predicate``."""
+    return RowCheck(name, F.count_if(predicate))
+
+
+def unaccepted_values(name: str, col: str, accepted: list[str]) -> RowCheck:
+    """Failures = distinct non-null values outside ``accepted`` (one per value)."""
+    return RowCheck(name, F.count_distinct(F.when(~F.col(col).isin(*accepted), F.col(col))))
 
 
 def _row_checks(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
-    """Evaluate many row predicates in one pass -> (check_name, failing_rows)."""
-    agg = df.agg(*[F.count_if(c.offends).alias(c.name) for c in checks])
+    """Evaluate many checks in one pass over ``df`` -> (check_name, failing_rows)."""
+    agg = df.agg(*[c.failures.cast("bigint").alias(c.name) for c in checks])
     return agg.unpivot([], [c.name for c in checks], "check_name", "failing_rows")
 
 
 def _unique(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
-    """Rows whose key occurs more than once (dbt counts the duplicated keys)."""
+    """Keys occurring more than once, counted once each.
+
+    A single-column check ignores nulls; a column combination does not.
+    """
+    if len(cols) == 1:
+        df = df.filter(F.col(cols[0]).isNotNull())
     dup = df.groupBy(*cols).count().filter(F.col("count") > 1)
     return dup.agg(F.count(F.lit(1)).alias("failing_rows")).select(
         F.lit(name).alias("check_name"), "failing_rows"
@@ -52,25 +69,25 @@ def data_tests(fct: DataFrame, dim_zone: DataFrame, dim_production_type: DataFra
     """The 14 warehouse tests -> (check_name, failing_rows, passed)."""
     f, z, p = "fct_grid_hourly", "dim_zone", "dim_production_type"
     fct_rows = _row_checks(fct, [
-        RowCheck(f"not_null_{f}_zone_code", F.col("zone_code").isNull()),
-        RowCheck(f"not_null_{f}_ts_hour_utc", F.col("ts_hour_utc").isNull()),
-        RowCheck(f"not_null_{f}_load_mw", F.col("load_mw").isNull()),
-        RowCheck(
+        offending_rows(f"not_null_{f}_zone_code", F.col("zone_code").isNull()),
+        offending_rows(f"not_null_{f}_ts_hour_utc", F.col("ts_hour_utc").isNull()),
+        offending_rows(f"not_null_{f}_load_mw", F.col("load_mw").isNull()),
+        offending_rows(
             "assert_no_impossible_carbon_intensity",
             (F.col("carbon_intensity_g_kwh") < 0) | (F.col("carbon_intensity_g_kwh") > MAX_CARBON_INTENSITY),
         ),
-        RowCheck(
+        offending_rows(
             "assert_renewable_pct_in_range", (F.col("renewable_pct") < 0) | (F.col("renewable_pct") > 100)
         ),
     ])
     zone_rows = _row_checks(dim_zone, [
-        RowCheck(f"not_null_{z}_zone_code", F.col("zone_code").isNull()),
-        RowCheck(f"not_null_{z}_timezone", F.col("timezone").isNull()),
+        offending_rows(f"not_null_{z}_zone_code", F.col("zone_code").isNull()),
+        offending_rows(f"not_null_{z}_timezone", F.col("timezone").isNull()),
     ])
     type_rows = _row_checks(dim_production_type, [
-        RowCheck(f"not_null_{p}_production_type", F.col("production_type").isNull()),
-        RowCheck(f"accepted_values_{p}_category", ~F.col("category").isin(*CATEGORIES)),
-        RowCheck(f"accepted_values_{p}_flow_direction", ~F.col("flow_direction").isin(*FLOW_DIRECTIONS)),
+        offending_rows(f"not_null_{p}_production_type", F.col("production_type").isNull()),
+        unaccepted_values(f"accepted_values_{p}_category", "category", CATEGORIES),
+        unaccepted_values(f"accepted_values_{p}_flow_direction", "flow_direction", FLOW_DIRECTIONS),
     ])
     parts = [
         fct_rows,

@@ -563,20 +563,22 @@ def data_tests_sql() -> str:
         (f"not_null_{p}_production_type",
          "SELECT count(*) FROM dim_production_type WHERE production_type IS NULL"),
         (f"accepted_values_{p}_category",
-         "SELECT count(*) FROM dim_production_type WHERE category NOT IN "
+         "SELECT count(DISTINCT category) FROM dim_production_type WHERE category NOT IN "
          "('renewable', 'fossil', 'nuclear', 'storage', 'other')"),
         (f"accepted_values_{p}_flow_direction",
-         "SELECT count(*) FROM dim_production_type WHERE flow_direction NOT IN ('generation', 'consumption')"),
+         "SELECT count(DISTINCT flow_direction) FROM dim_production_type "
+         "WHERE flow_direction NOT IN ('generation', 'consumption')"),
         (f"relationships_{f}_zone_code__{z}",
          "SELECT count(*) FROM fct c WHERE c.zone_code IS NOT NULL AND c.zone_code NOT IN "
          "(SELECT zone_code FROM dim_zone)"),
         (f"unique_combination_{f}_zone_code__ts_hour_utc",
          "SELECT count(*) FROM (SELECT zone_code, ts_hour_utc FROM fct GROUP BY ALL HAVING count(*) > 1) d"),
         (f"unique_{z}_zone_code",
-         "SELECT count(*) FROM (SELECT zone_code FROM dim_zone GROUP BY ALL HAVING count(*) > 1) d"),
+         "SELECT count(*) FROM (SELECT zone_code FROM dim_zone WHERE zone_code IS NOT NULL "
+         "GROUP BY ALL HAVING count(*) > 1) d"),
         (f"unique_{p}_production_type",
-         "SELECT count(*) FROM (SELECT production_type FROM dim_production_type GROUP BY ALL "
-         "HAVING count(*) > 1) d"),
+         "SELECT count(*) FROM (SELECT production_type FROM dim_production_type "
+         "WHERE production_type IS NOT NULL GROUP BY ALL HAVING count(*) > 1) d"),
     ]
     body = " UNION ALL ".join(
         f"SELECT {_q(n)} AS check_name, CAST(({q}) AS BIGINT) AS failing_rows" for n, q in tests

@@ -53,8 +53,9 @@ def refresh(spark: SparkSession, bronze_root: str, mart_path: str, checkpoint: s
         months = touched_months(batch)
         if not months:
             return
-        session = batch.sparkSession
-        publish_fct(session, rebuild_months(session, bronze_root, months), mart_path)
+        # The rebuild is an ordinary batch job over bronze, so it runs in the
+        # caller's session (micro-batch sessions run with AQE switched off).
+        publish_fct(spark, rebuild_months(spark, bronze_root, months), mart_path)
         rebuilt.extend(months)
 
     query = (

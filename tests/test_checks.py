@@ -62,3 +62,12 @@ def test_freshness_status(spark, now, status):
     feed = B.load(spark, [("DE_LU", "2024-01-10 05:00:00", 60, 1.0, "2024-01-11 00:00:00", "r")])
     [r] = checks.freshness({"load": feed}, [now]).collect()
     assert r["status"] == status
+
+
+def test_accepted_values_count_distinct_bad_values(spark):
+    bad = dims.dim_production_type(spark).withColumn("category", F.lit("fusion")).unionByName(
+        dims.dim_production_type(spark).withColumn("category", F.lit("antimatter"))
+    )
+    res = {r["check_name"]: r for r in checks.data_tests(_fct(spark), dims.dim_zone(spark), bad).collect()}
+    assert res["accepted_values_dim_production_type_category"]["failing_rows"] == 2
+    assert res["unique_dim_production_type_production_type"]["failing_rows"] == 36
