@@ -153,22 +153,17 @@ def contract_feed(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         .filter(F.col("_rank") <= RUN_NO_CAP - 1)
         .select("event_id", "_rank")
     )
-    run_no = F.coalesce(F.col("_rank"), F.lit(RUN_NO_CAP))
-    out = (
-        raw.join(first_two, "event_id", "left")
-        .withColumn(
-            "resolution_minutes",
-            F.when(F.col("event_id") % BAD_RESOLUTION_MOD == 0, F.lit(30).cast("bigint")).otherwise(
-                F.col("resolution_minutes")
-            ),
-        )
-        .withColumn("market_day", market_day("ts_utc"))
-        .withColumn(
-            "run_id",
-            F.concat_ws("|", F.col("zone_code"), F.col("market_day").cast("string"), run_no.cast("string")),
-        )
-        .withColumn("source", F.lit(source))
-        .drop("_rank")
+    joined = raw.join(first_two, "event_id", "left")
+    day = "CAST(from_utc_timestamp(ts_utc, 'Europe/Berlin') AS DATE)"
+    rest = [c for c in joined.columns if c not in ("_rank", "resolution_minutes", "run_id")]
+    out = joined.selectExpr(
+        *rest,
+        f"CASE WHEN event_id % {BAD_RESOLUTION_MOD} = 0 THEN CAST(30 AS BIGINT) "
+        "ELSE resolution_minutes END AS resolution_minutes",
+        f"{day} AS market_day",
+        f"concat_ws('|', zone_code, CAST({day} AS STRING), "
+        f"CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
+        f"'{source}' AS source",
     )
     return out
 
