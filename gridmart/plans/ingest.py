@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.time import market_window_end, parse_instant
@@ -26,8 +26,9 @@ from gridmart.specs import SOURCES, SourceSpec
 BATCH_IN = ("zone_code", "market_day", "run_id")
 
 
-def _utc(ts_col: str = "ts") -> F.Column:
-    return parse_instant(F.col(ts_col).cast("string")) if ts_col else None
+def _utc(ts_col: str = "ts") -> Column:
+    """Landed stamp (ISO text, or a timestamp already) -> UTC instant."""
+    return parse_instant(F.col(ts_col).cast("string"))
 
 
 def normalize_load(landed: DataFrame, value_cols: Sequence[str] | None = None) -> DataFrame:

@@ -36,6 +36,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Target bytes per shuffle partition / scan split on a cluster: large enough
+# to keep task overhead low, small enough that a sort or hash build fits in an
+# executor's execution memory without heavy spilling.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, min_partitions: int = 8) -> int:
+    """Size shuffles and scan splits for an input of ``input_bytes``.
+
+    Sets ``spark.sql.shuffle.partitions`` to about one partition per 256 MB of
+    input (AQE then coalesces small ones and splits skewed ones at runtime)
+    and caps scan splits at the same size. At 100 TB this gives ~400k
+    partitions before coalescing; returns the number chosen.
+    """
+    parts = max(min_partitions, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(TARGET_PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES // 2))
+    return parts
+
+
 def local_session(
     app: str = "gridmart", cores: str = "*", shuffle_partitions: int = 8
 ) -> SparkSession:
