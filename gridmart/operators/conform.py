@@ -28,7 +28,9 @@ def hourly(
     extra = [k for k in keys if k not in ("zone_code", "ts_utc")]
     recent = bronze.filter(F.col("ts_utc") >= F.lit(since).cast("timestamp"))
     latest = latest_revision(recent, keys)
-    valued = latest.filter(F.col(measure).isNotNull())  # after ranking: nulls retract
+    # After ranking: a null (or NaN, which Spark does not treat as null and
+    # which would poison the mean) latest revision retracts the interval.
+    valued = latest.filter(F.col(measure).isNotNull() & ~F.isnan(F.col(measure)))
     # One shuffle on the fact's join keys. After de-duplication a (zone, hour)
     # holds at most a few intervals per type, so this key cannot be hot; the
     # hourly aggregate, the mix aggregate and the fact's left joins all reuse

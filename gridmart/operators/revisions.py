@@ -46,10 +46,10 @@ def retracted_keys(df: DataFrame, keys: Sequence[str], measure: str) -> DataFram
     """
     tiebreak = "event_id" if "event_id" in df.columns else "run_id"
     order = F.struct(F.col("ingested_at"), F.col(tiebreak))
-    valued = F.when(F.col(measure).isNotNull(), order)
+    has_value = F.col(measure).isNotNull() & ~F.isnan(F.col(measure))  # NaN counts as no value
     grouped = df.groupBy(*keys).agg(
-        F.max_by(F.col(measure), order).alias("_latest"),
-        F.max_by(F.col(measure), valued).alias("_resurrected"),
+        F.max_by(F.when(has_value, F.col(measure)), order).alias("_latest"),
+        F.max_by(F.col(measure), F.when(has_value, order)).alias("_resurrected"),
     )
     retracted = F.col("_latest").isNull() & F.col("_resurrected").isNotNull()
     return grouped.filter(retracted).select(*keys, F.col("_resurrected").alias(f"superseded_{measure}"))

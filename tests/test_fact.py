@@ -144,3 +144,14 @@ def test_build_fct_has_the_eighteen_columns(spark):
         dims.dim_production_type(spark),
     )
     assert df.columns == FCT_COLUMNS
+
+
+def test_nan_latest_revision_retracts_like_null(spark):
+    rows = [
+        ("DE_LU", H, 60, 100.0, "2026-08-02 06:00:00", "r1"),
+        ("DE_LU", H, 60, float("nan"), "2026-08-03 06:00:00", "r2"),
+        ("AT", H, 60, float("nan"), "2026-08-02 06:00:00", "r1"),
+        ("AT", H, 60, 5.0, "2026-08-03 06:00:00", "r2"),
+    ]
+    got = {r["zone_code"]: r["load_mw"] for r in conform.stg_load(B.load(spark, rows)).collect()}
+    assert got == {"AT": 5.0}
