@@ -452,11 +452,11 @@ CHECK_NAMES = ["bad_type", "null_required", "bad_zone", "out_of_range", "bad_res
 
 
 def contract_ctes(source: str) -> str:
-    raw, measure, extra, lo, hi = _CONTRACT[source]
+    """The adapter's contract variant of a feed, then its flags and verdicts."""
+    raw, measure, extra, _, _ = _CONTRACT[source]
     key = f"zone_code, ts_utc, {extra}" if extra else "zone_code, ts_utc"
     extra_sel = f"{extra}, " if extra else ""
-    req = ["zone_code", "ts_utc", *([extra] if extra else []), "resolution_minutes", "run_id"]
-    return f"""
+    feed = f"""
 cf_{source} AS (
   SELECT '{source}' AS source, zone_code, market_day, ts_utc, {extra_sel}{measure},
          CASE WHEN event_id % {A.BAD_RESOLUTION_MOD} = 0 THEN CAST(30 AS BIGINT)
@@ -464,40 +464,107 @@ cf_{source} AS (
          zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
          CAST(least(row_number() OVER (PARTITION BY {key} ORDER BY ingested_at, event_id), {A.RUN_NO_CAP})
               AS VARCHAR) AS run_id
-  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM {raw}) r),
-fl_{source} AS (
+  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM {raw}) r)"""
+    return feed + "," + verdict_ctes(source, source, f"cf_{source}")
+
+
+def verdict_ctes(tag: str, source: str, rows: str) -> str:
+    """Row flags ``fl_<tag>`` and batch verdicts ``verdict_<tag>`` over CTE ``rows``."""
+    _, measure, extra, lo, hi = _CONTRACT[source]
+    key = f"zone_code, ts_utc, {extra}" if extra else "zone_code, ts_utc"
+    req = ["zone_code", "ts_utc", *([extra] if extra else []), "resolution_minutes", "run_id"]
+    return f"""
+fl_{tag} AS (
   SELECT *,
     FALSE AS bad_type,
     ({' OR '.join(f'{c} IS NULL' for c in req)}) AS null_required,
     (zone_code IS NOT NULL AND NOT regexp_matches(zone_code, '^[A-Z]{{2}}(_[A-Z0-9]+)?$')) AS bad_zone,
     ({measure} IS NOT NULL AND NOT ({measure} BETWEEN {lo} AND {hi})) AS out_of_range,
     (resolution_minutes IS NOT NULL AND resolution_minutes NOT IN (15, 60)) AS bad_resolution
-  FROM cf_{source}),
-vc_{source} AS (
+  FROM {rows}),
+vc_{tag} AS (
   SELECT {BATCH_COLS}, count(*) AS rows,
          count_if(bad_type) AS bad_type, count_if(null_required) AS null_required,
          count_if(bad_zone) AS bad_zone, count_if(out_of_range) AS out_of_range,
          count_if(bad_resolution) AS bad_resolution
-  FROM fl_{source} GROUP BY {BATCH_COLS}),
-vd_{source} AS (
+  FROM fl_{tag} GROUP BY {BATCH_COLS}),
+vd_{tag} AS (
   SELECT {BATCH_COLS}, count(*) AS duplicate_keys FROM (
-    SELECT {BATCH_COLS}, {key}, count(*) AS c FROM fl_{source}
+    SELECT {BATCH_COLS}, {key}, count(*) AS c FROM fl_{tag}
     GROUP BY {BATCH_COLS}, {key} HAVING count(*) > 1) d
   GROUP BY {BATCH_COLS}),
-v_{source} AS (
+v_{tag} AS (
   SELECT c.source, c.zone_code, c.market_day, c.run_id,
          CAST(c.rows AS BIGINT) AS rows, CAST(c.bad_type AS BIGINT) AS bad_type,
          CAST(c.null_required AS BIGINT) AS null_required, CAST(c.bad_zone AS BIGINT) AS bad_zone,
          CAST(c.out_of_range AS BIGINT) AS out_of_range,
          CAST(c.bad_resolution AS BIGINT) AS bad_resolution,
          CAST(coalesce(d.duplicate_keys, 0) AS BIGINT) AS duplicate_keys
-  FROM vc_{source} c LEFT JOIN vd_{source} d USING (source, zone_code, market_day, run_id)),
-verdict_{source} AS (
+  FROM vc_{tag} c LEFT JOIN vd_{tag} d USING (source, zone_code, market_day, run_id)),
+verdict_{tag} AS (
   SELECT *,
     ({' AND '.join(f'{k} = 0' for k in CHECK_NAMES)}) AS passed,
     NULLIF(concat_ws(',', {', '.join(f"CASE WHEN {k} > 0 THEN '{k}' END" for k in CHECK_NAMES)}), '')
       AS reason
-  FROM v_{source})"""
+  FROM v_{tag})"""
+
+
+def ingest_price_landing_sql() -> str:
+    """Landed price text -> run numbering -> series choice -> end boundary ->
+    resolution per batch -> contract -> accepted rows, summarised as bronze."""
+    steps = f"""
+lp_runs AS (
+  SELECT *, zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
+            CAST(least(row_number() OVER (PARTITION BY zone_code, market_day, ts ORDER BY event_id),
+                       {A.RUN_NO_CAP}) AS VARCHAR) AS run_id
+  FROM landing_price),
+lp_utc AS (
+  SELECT zone_code, market_day, run_id, price_eur_mwh, series_resolution,
+         CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc
+  FROM lp_runs),
+lp_pick AS (
+  SELECT * FROM (
+    SELECT *, min(pref) OVER (PARTITION BY zone_code, market_day, run_id) AS best FROM (
+      SELECT *, CASE series_resolution WHEN '15min' THEN 1 WHEN '60min' THEN 2 ELSE 0 END AS pref
+      FROM lp_utc) r
+    WHERE pref > 0) b
+  WHERE pref = best),
+lp_bounded AS (
+  SELECT zone_code, market_day, run_id, ts_utc, price_eur_mwh FROM lp_pick
+  WHERE ts_utc < {win_end('market_day')}),
+lp_stamps AS (
+  SELECT DISTINCT zone_code, market_day, run_id, ts_utc FROM lp_bounded WHERE ts_utc IS NOT NULL),
+lp_deltas AS (
+  SELECT zone_code, market_day, run_id,
+         epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY zone_code, market_day, run_id
+                                                       ORDER BY ts_utc)) AS delta_us
+  FROM lp_stamps),
+lp_mode AS (
+  SELECT * FROM (
+    SELECT zone_code, market_day, run_id, delta_us,
+           row_number() OVER (PARTITION BY zone_code, market_day, run_id
+                              ORDER BY count(*) DESC, delta_us ASC) AS rk
+    FROM lp_deltas WHERE delta_us IS NOT NULL
+    GROUP BY zone_code, market_day, run_id, delta_us) c
+  WHERE rk = 1),
+lp_res AS (
+  SELECT s.zone_code, s.market_day, s.run_id,
+         CAST(coalesce(floor(m.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
+  FROM (SELECT DISTINCT zone_code, market_day, run_id FROM lp_stamps) s
+  LEFT JOIN lp_mode m USING (zone_code, market_day, run_id)),
+lp_prepared AS (
+  SELECT 'price' AS source, b.zone_code, b.market_day, b.run_id, b.ts_utc, b.price_eur_mwh,
+         r.resolution_minutes
+  FROM lp_bounded b JOIN lp_res r USING (zone_code, market_day, run_id))"""
+    body = """
+SELECT CAST(date_trunc('month', f.ts_utc) AS DATE) AS ts_month, f.zone_code, f.resolution_minutes,
+       count(*) AS rows, count(DISTINCT f.run_id) AS runs,
+       min(f.ts_utc) AS first_ts_utc, max(f.ts_utc) AS last_ts_utc
+FROM fl_lp f
+WHERE NOT EXISTS (SELECT 1 FROM verdict_lp v WHERE NOT v.passed AND v.zone_code = f.zone_code
+                  AND v.market_day = f.market_day AND v.run_id = f.run_id)
+GROUP BY 1, 2, 3"""
+    return with_ctes(ADAPTER, LANDING_PRICE, steps, verdict_ctes("lp", "price", "lp_prepared")) + body
 
 
 def contract_violations_sql(source: str) -> str:
@@ -673,4 +740,5 @@ def oracle_sql() -> dict[str, str]:
         "q_freshness": freshness_sql(),
         "q_bronze_roundtrip": bronze_roundtrip_sql(),
         "q_incremental_mart": fct_sql(),
+        "q_ingest_price_landing": ingest_price_landing_sql(),
     }

@@ -387,6 +387,31 @@ def q_incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle_doubles(fct)
 
 
+def q_ingest_price_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full ingest path on landed price files, summarised from bronze.
+
+    Offset-text stamps -> UTC, preferred series per batch, window-end stamp
+    dropped, resolution detected per batch, contract verdicts, accepted
+    batches appended, bronze read back by month, zone and resolution.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+    from gridmart.sources import bronze
+    from gridmart.specs import MIN_TS
+
+    root = session.fresh_path(spark, "bronze-landing")
+    ledger_path = session.fresh_path(spark, "ledger-landing")
+    prepared = I.prepare(I.normalize_price(A.landing_price_batches(spark, sf_dir)), "price")
+    I.ingest(spark, prepared, "price", root, ledger_path, INGESTED_AT)
+    back = bronze.read_bronze(spark, root, SOURCES["price"], start=MIN_TS)
+    return back.groupBy("ts_month", "zone_code", "resolution_minutes").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("run_id").alias("runs"),
+        F.min("ts_utc").alias("first_ts_utc"),
+        F.max("ts_utc").alias("last_ts_utc"),
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "q_fct_grid_hourly": q_fct_grid_hourly,
@@ -417,4 +442,5 @@ def registry() -> dict[str, Query]:
         "q_freshness": q_freshness,
         "q_bronze_roundtrip": q_bronze_roundtrip,
         "q_incremental_mart": q_incremental_mart,
+        "q_ingest_price_landing": q_ingest_price_landing,
     }

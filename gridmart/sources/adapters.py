@@ -229,6 +229,27 @@ def landing_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_price_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``landing_price`` with a run id: the n-th event of a stamp in a zone-day
+    goes to run n (runs past the third share run 3). Ranks 1-2 come from a
+    partial top-2 joined back on the unique ``event_id``, as in ``contract_feed``."""
+    lp = landing_price(spark, sf_dir)
+    key = ["zone_code", "market_day", "ts"]
+    w = Window.partitionBy(*key).orderBy("event_id")
+    first_two = (
+        lp.select(*key, "event_id")
+        .withColumn("_rank", F.row_number().over(w))
+        .filter(F.col("_rank") <= RUN_NO_CAP - 1)
+        .select(*key, "event_id", "_rank")
+    )
+    joined = lp.join(first_two, [*key, "event_id"], "left")
+    return joined.selectExpr(
+        "zone_code", "market_day",
+        f"concat_ws('|', zone_code, CAST(market_day AS STRING), CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
+        "ts", "price_eur_mwh", "series_resolution",
+    )
+
+
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch attempt per event: how the feed call ended.
 
