@@ -18,6 +18,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart import session
 from gridmart.functions.time import market_window_end, parse_instant
 from gridmart.operators import contracts, reshape, resolution, series
 from gridmart.sources import bronze
@@ -65,9 +66,17 @@ def normalize_price(landed: DataFrame) -> DataFrame:
     return series.drop_end_boundary(bounded, "_end").drop("_end", "series_resolution")
 
 
-def prepare(normalized: DataFrame, source: str) -> DataFrame:
-    """Attach source and per-batch resolution (the most common stamp gap)."""
+def prepare(normalized: DataFrame, source: str, staged: bool = True) -> DataFrame:
+    """Attach source and per-batch resolution (the most common stamp gap).
+
+    The normalised rows are staged first (written once under the shared
+    root): resolution detection joins the rows with a per-batch aggregate
+    of themselves, and without the cut every such self-join would repeat
+    the whole landing plan.
+    """
     with_source = normalized.withColumn("source", F.lit(source))
+    if staged:
+        with_source = session.stage(with_source, f"normalized-{source}")
     return resolution.with_resolution(with_source, list(contracts.BATCH))
 
 
@@ -87,6 +96,9 @@ def ingest(
     """
     spec: SourceSpec = SOURCES[source]
     job_id = uuid.uuid4().hex
+    # Stage the prepared rows: verdicts and the accepted-row write both read
+    # them, and their plan already contains self-joins.
+    prepared = session.stage(prepared, f"prepared-{source}")
     flagged = contracts.flag_rows(prepared, spec.contract)
     verdict = contracts.verdicts(flagged, spec.contract).withColumn("job_id", F.lit(job_id))
     verdict.write.mode("append").partitionBy("source", "job_id").parquet(ledger_path)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in the package assumes. Applied at runtime so that a
 # session owned by someone else (a driver, a notebook) still gets them.
@@ -116,3 +116,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never-used location under the shared root (one per run)."""
     base = shared_root(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared root and read it back.
+
+    Cuts the lineage at a stored table: plans that join rows with their own
+    per-batch aggregates (series choice, resolution, verdicts) otherwise
+    repeat the whole upstream subtree in every branch, and a lost executor
+    would recompute it. Survives executor loss (unlike a local checkpoint).
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, f"stage-{name}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

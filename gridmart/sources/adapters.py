@@ -54,10 +54,10 @@ ZONE_SQL = "CASE user_id % 6 " + " ".join(
 ) + " END"
 TYPE_SQL = "CASE event_type " + " ".join(f"WHEN {_q(e)} THEN {_q(t)}" for e, t in TYPE_BY_EVENT.items()) + " END"
 RESOLUTION_SQL = "CAST(CASE WHEN user_id % 2 = 0 THEN 15 ELSE 60 END AS BIGINT)"
+# Interval start: epoch seconds floored to the resolution (900 s or 3600 s).
 SLOT_SQL = (
-    "CASE WHEN user_id % 2 = 0 THEN date_trunc('minute', ts) - "
-    "make_interval(0, 0, 0, 0, 0, CAST(minute(ts) % 15 AS INT), 0) "
-    "ELSE date_trunc('hour', ts) END"
+    "timestamp_seconds(unix_seconds(ts) div CASE WHEN user_id % 2 = 0 THEN 900 ELSE 3600 END "
+    "* CASE WHEN user_id % 2 = 0 THEN 900 ELSE 3600 END)"
 )
 
 
@@ -194,14 +194,26 @@ def landing_generation_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offset_text(ts_utc: Column, tz: str) -> Column:
-    """ISO-8601 local wall time with its UTC offset, e.g. 2024-01-08T01:00:00+01:00."""
-    local = F.from_utc_timestamp(ts_utc, tz)
-    minutes = ((F.unix_seconds(local) - F.unix_seconds(ts_utc)) / F.lit(60)).cast("int")
-    sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
-    off = F.format_string(
-        "%s%02d:%02d", sign, (F.abs(minutes) / 60).cast("int"), (F.abs(minutes) % 60).cast("int")
-    )
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), off)
+    """ISO-8601 local wall time with its UTC offset, e.g. 2024-01-08T01:00:00+01:00.
+
+    Built with nested ``transform`` over a one-element array so the instant
+    and the offset are each computed once per row (a plain expression tree
+    would repeat them in every branch of the formatting).
+    """
+    def fmt(local: Column) -> Column:
+        off = F.unix_seconds(local) - F.unix_seconds(ts_utc)
+        return F.transform(
+            F.array(off),
+            lambda o: F.concat(
+                F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"),
+                F.when(o < 0, F.lit("-")).otherwise(F.lit("+")),
+                F.lpad((F.abs(o) / 3600).cast("int").cast("string"), 2, "0"),
+                F.lit(":"),
+                F.lpad((F.abs(o) % 3600 / 60).cast("int").cast("string"), 2, "0"),
+            ),
+        )[0]
+
+    return F.transform(F.array(F.from_utc_timestamp(ts_utc, tz)), fmt)[0]
 
 
 def landing_price(spark: SparkSession, sf_dir: str) -> DataFrame:
