@@ -43,7 +43,18 @@ def landing_generation_wide(type_columns: Sequence[str]) -> T.StructType:
 def read_landing(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
-    """Scan landed files of one source with a declared schema."""
+    """Scan landed files of one source with a declared schema.
+
+    Text formats (CSV, JSON) read measures as strings: a permissive reader
+    would turn a malformed number into null, and a null measure passes the
+    contract. Kept as text, the contract's ``try_cast`` reports it as a type
+    violation and rejects the batch.
+    """
+    if fmt in ("csv", "json"):
+        schema = T.StructType([
+            T.StructField(f.name, T.StringType(), f.nullable) if isinstance(f.dataType, T.DoubleType) else f
+            for f in schema.fields
+        ])
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")

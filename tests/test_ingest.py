@@ -70,6 +70,8 @@ def test_generation_two_level_and_wide_forms_agree(spark):
     wide = spark.createDataFrame(wide_rows, text_schema).withColumn("market_day", F.to_date("market_day"))
     longw = I.normalize_generation_wide(wide, cols)
     key = ["ts_utc", "production_type"]
+    # Text formats keep measures as text until the contract coerces them.
+    long2 = long2.withColumn("generation_mw", F.col("generation_mw").cast("double"))
     a = [r.asDict() for r in long2.orderBy(*key).collect()]
     b = [r.asDict() for r in longw.select(*long2.columns).orderBy(*key).collect()]
     assert a == b and len(a) == 12
@@ -98,3 +100,15 @@ def test_seed_csv_round_trip(spark, tmp_path):
     seed = dims.read_production_type_seed(spark, path)
     assert seed.count() == 36
     assert sorted(map(tuple, seed.collect())) == sorted(map(tuple, dims.dim_production_type(spark).collect()))
+
+
+def test_malformed_number_in_a_text_file_rejects_its_batch(spark):
+    base = session.fresh_path(spark, "t-landing")
+    rows = [("NL", "2026-08-01", "ok", f"2026-08-01T{h:02d}:00:00+00:00", "100.5") for h in range(3)]
+    rows += [("NL", "2026-08-01", "bad", f"2026-08-01T{h:02d}:00:00+00:00", v) for h, v in [(0, "7"), (1, "12,5")]]
+    _write_csv(f"{base}/load", ["zone_code", "market_day", "run_id", "ts", "load_mw"], rows)
+    landed = landing.read_landing(spark, f"{base}/load", landing.LANDING_LOAD, fmt="csv")
+    prepared = I.prepare(I.normalize_load(landed), "load")
+    assert I.ingest(spark, prepared, "load", f"{base}/bronze", f"{base}/ledger") == 3
+    ledger = {r["run_id"]: r for r in spark.read.parquet(f"{base}/ledger").collect()}
+    assert ledger["ok"]["passed"] and ledger["bad"]["reason"] == "bad_type"
