@@ -41,3 +41,35 @@ def test_refresh_matches_full_rebuild(spark):
     )
     assert got == B.collect_dicts(full, KEY)
     assert [r["load_mw"] for r in got] == [11.0, 20.0, 30.0]
+
+
+def test_many_micro_batches_and_a_rejected_rebuild(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    root = session.fresh_path(spark, "t-inc-bronze")
+    mart_path = session.fresh_path(spark, "t-inc-mart")
+    ckpt = session.fresh_path(spark, "t-inc-ckpt")
+    for i, month in enumerate(["2024-01", "2024-02", "2024-03"]):
+        bronze.write_bronze(B.load(spark, [_load(f"{month}-05 05:00:00", 10.0 + i, f"{month}-06 00:00:00")]), root, SOURCES["load"])
+    bronze.write_bronze(B.generation(spark, [("DE_LU", "2024-01-05 05:00:00", 60, "Solar", 4.0, "2024-01-06 00:00:00", "g")]), root, SOURCES["generation"])
+    bronze.write_bronze(B.price(spark, [("DE_LU", "2024-01-05 05:00:00", 60, 5.0, "2024-01-06 00:00:00", "p")]), root, SOURCES["price"])
+    rebuilt = refresh(spark, root, mart_path, ckpt, max_files_per_trigger=1)
+    assert [str(m) for m in rebuilt] == ["2024-01-01", "2024-02-01", "2024-03-01"]
+    before = B.collect_dicts(mart.read_fct(spark, mart_path).drop("ts_month"), KEY)
+
+    # Negative generation pushes the renewable share past 100 %: the gate refuses.
+    bad = [("DE_LU", "2024-02-05 05:00:00", 60, "Solar", 100.0, "2024-02-07 00:00:00", "g2"),
+           ("DE_LU", "2024-02-05 05:00:00", 60, "Fossil Gas", -50.0, "2024-02-07 00:00:00", "g2")]
+    bronze.write_bronze(B.generation(spark, bad), root, SOURCES["generation"])
+    with pytest.raises(StreamingQueryException):
+        refresh(spark, root, mart_path, ckpt)
+    assert B.collect_dicts(mart.read_fct(spark, mart_path).drop("ts_month"), KEY) == before
+
+    # A correcting revision arrives; the failed batch's files are read again.
+    fix = [("DE_LU", "2024-02-05 05:00:00", 60, "Fossil Gas", 50.0, "2024-02-08 00:00:00", "g3")]
+    bronze.write_bronze(B.generation(spark, fix), root, SOURCES["generation"])
+    assert [str(m) for m in refresh(spark, root, mart_path, ckpt)] == ["2024-02-01"]
+    feb = [r for r in B.collect_dicts(mart.read_fct(spark, mart_path).drop("ts_month"), KEY)
+           if str(r["ts_hour_utc"]).startswith("2024-02")]
+    assert feb[0]["renewable_pct"] == 66.67 and feb[0]["total_generation_mw"] == 150.0
