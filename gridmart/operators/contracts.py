@@ -82,14 +82,21 @@ def duplicate_keys(flagged: DataFrame, contract: Contract, batch: Sequence[str]
 
 
 def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -> DataFrame:
-    """One row per batch: row count, violation counts, passed, reason."""
-    counts = flagged.groupBy(*batch).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(k)).alias(k) for k in CHECKS if k != "duplicate_keys"],
+    """One row per batch: row count, violation counts, passed, reason.
+
+    Two chained aggregations and no join: first per (batch, key) -- rows and
+    flag counts per key -- then per batch, where a key with more than one row
+    is a duplicate. Both combine map-side, so neither a hot batch nor a key
+    repeated millions of times reaches one task whole.
+    """
+    row_checks = [k for k in CHECKS if k != "duplicate_keys"]
+    per_key = flagged.groupBy(*_uniq([*batch, *contract.key])).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(k)).alias(k) for k in row_checks]
     )
-    dups = duplicate_keys(flagged, contract, batch).select(*batch, "duplicate_keys")
-    v = counts.join(dups, list(batch), "left").withColumn(
-        "duplicate_keys", F.coalesce(F.col("duplicate_keys"), F.lit(0)).cast("bigint")
+    v = per_key.groupBy(*batch).agg(
+        F.sum("_n").alias("rows"),
+        *[F.sum(k).alias(k) for k in row_checks],
+        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
     )
     failing = [F.when(F.col(k) > 0, F.lit(k)) for k in CHECKS]
     passed = F.lit(True)

@@ -53,3 +53,16 @@ def test_hot_batch_is_combined_before_the_shuffle(spark):
     assert row["rows"] == HOT + NORMAL
     [(_, written)] = exchanges(counts)
     assert written <= MAPS  # one partial aggregate per map task
+
+
+def test_verdicts_of_a_hot_batch_with_a_hot_duplicate_key(spark):
+    b = _bronze(spark).select(
+        F.lit("load").alias("source"), "zone_code", F.lit("2026-08-01").cast("date").alias("market_day"),
+        F.when(F.col("run_id") >= "", F.lit("run-1")).alias("run_id"), "ts_utc", "load_mw", "resolution_minutes",
+    )
+    v = contracts.verdicts(contracts.flag_rows(b, LOAD_CONTRACT), LOAD_CONTRACT)
+    [row] = v.collect()
+    assert row["rows"] == HOT + NORMAL and row["duplicate_keys"] == 1 and not row["passed"]
+    per_key, per_batch = exchanges(v)[-1], exchanges(v)[0]
+    assert per_key[1] <= NORMAL + MAPS  # the 200k copies of one key arrive as one row per map task
+    assert per_batch[1] <= MAPS
