@@ -23,12 +23,6 @@ from gridmart.sources import bronze, landing
 from gridmart.specs import MIN_TS, SOURCES
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem check, no data read
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-
-
 def ingest_landing(
     spark: SparkSession,
     landing_root: str,
@@ -48,11 +42,8 @@ def ingest_landing(
     formats = formats or {}
     for source in SOURCES:
         path = os.path.join(landing_root, source)
-        try:
-            if not _exists(spark, path):
-                continue
-        except Exception:  # noqa: BLE001 - no JVM access (Connect): just try the read
-            pass
+        if not bronze.path_exists(spark, path, landing.LANDING_LOAD):
+            continue  # nothing landed for this source
         fmt = formats.get(source, "parquet")
         if source == "load":
             normalized = I.normalize_load(landing.read_landing(spark, path, landing.LANDING_LOAD, fmt))

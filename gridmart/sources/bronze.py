@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +73,32 @@ def write_bronze(
     return int(obs.get.get("rows", 0) or 0)
 
 
+def path_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """Whether a table folder exists (resolving a scan checks it; nothing is read)."""
+    try:
+        spark.read.schema(schema).parquet(path)
+        return True
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return False
+        raise
+
+
+def ensure_table(spark: SparkSession, root: str, spec: SourceSpec) -> None:
+    """Create the table folder (no rows) if it has never been appended to."""
+    path, schema = table_path(root, spec), stored_schema(spec)
+    if not path_exists(spark, path, schema):
+        spark.createDataFrame([], schema).write.mode("append").partitionBy("ts_month").parquet(path)
+
+
+def _scan(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame:
+    """The table, or an empty frame of its schema before its first append."""
+    path, schema = table_path(root, spec), stored_schema(spec)
+    if path_exists(spark, path, schema):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def _ts_text(value: date | datetime | str) -> str:
     if isinstance(value, datetime):
         return value.isoformat() if value.tzinfo else value.isoformat() + "+00:00"
@@ -95,7 +122,7 @@ def read_bronze(
     if start is None:
         raise UnboundedScanError(f"{spec.table}: a start bound is required")
     lo = F.lit(_ts_text(start)).cast("timestamp")
-    df = spark.read.schema(stored_schema(spec)).parquet(table_path(root, spec))
+    df = _scan(spark, root, spec)
     cond = (F.col("ts_month") >= month_key(lo)) & (F.col("ts_utc") >= lo)
     if end is not None:
         hi = F.lit(_ts_text(end)).cast("timestamp")
@@ -107,5 +134,5 @@ def read_bronze_months(
     spark: SparkSession, root: str, spec: SourceSpec, months: list[date]
 ) -> DataFrame:
     """All revisions of the listed months (partition filter only)."""
-    df = spark.read.schema(stored_schema(spec)).parquet(table_path(root, spec))
+    df = _scan(spark, root, spec)
     return df.filter(F.col("ts_month").isin(*[F.lit(m.isoformat()).cast("date") for m in months]))

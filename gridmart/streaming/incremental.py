@@ -51,6 +51,9 @@ def refresh(
     """
     streams = []
     for name, spec in SOURCES.items():
+        # The checkpoint records its sources, so all three must exist from the
+        # first refresh on, even before a feed's first append.
+        bronze.ensure_table(spark, bronze_root, spec)
         reader = spark.readStream.schema(bronze.stored_schema(spec))
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

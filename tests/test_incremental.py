@@ -73,3 +73,19 @@ def test_many_micro_batches_and_a_rejected_rebuild(spark):
     feb = [r for r in B.collect_dicts(mart.read_fct(spark, mart_path).drop("ts_month"), KEY)
            if str(r["ts_hour_utc"]).startswith("2024-02")]
     assert feb[0]["renewable_pct"] == 66.67 and feb[0]["total_generation_mw"] == 150.0
+
+
+def test_refresh_before_every_feed_has_data(spark):
+    root = session.fresh_path(spark, "t-inc-bronze")
+    mart_path = session.fresh_path(spark, "t-inc-mart")
+    ckpt = session.fresh_path(spark, "t-inc-ckpt")
+    assert refresh(spark, root, mart_path, ckpt) == []  # no bronze at all yet
+    bronze.write_bronze(B.load(spark, [_load("2024-01-10 05:00:00", 10.0, "2024-01-11 00:00:00")]), root, SOURCES["load"])
+    assert [str(m) for m in refresh(spark, root, mart_path, ckpt)] == ["2024-01-01"]
+    [row] = mart.read_fct(spark, mart_path).collect()
+    assert row["load_mw"] == 10.0 and row["total_generation_mw"] is None and row["price_eur_mwh"] is None
+    # A feed that starts later is picked up by the same checkpoint.
+    bronze.write_bronze(B.price(spark, [("DE_LU", "2024-01-10 05:00:00", 60, 42.0, "2024-01-12 00:00:00", "p")]), root, SOURCES["price"])
+    assert [str(m) for m in refresh(spark, root, mart_path, ckpt)] == ["2024-01-01"]
+    [row] = mart.read_fct(spark, mart_path).collect()
+    assert row["price_eur_mwh"] == 42.0
