@@ -73,13 +73,17 @@ def write_bronze(
     return int(obs.get.get("rows", 0) or 0)
 
 
+def _missing(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+
+
 def path_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Whether a table folder exists (resolving a scan checks it; nothing is read)."""
     try:
         spark.read.schema(schema).parquet(path)
         return True
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if _missing(exc):
             return False
         raise
 
@@ -93,9 +97,12 @@ def ensure_table(spark: SparkSession, root: str, spec: SourceSpec) -> None:
 
 def _scan(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame:
     """The table, or an empty frame of its schema before its first append."""
-    path, schema = table_path(root, spec), stored_schema(spec)
-    if path_exists(spark, path, schema):
-        return spark.read.schema(schema).parquet(path)
+    schema = stored_schema(spec)
+    try:
+        return spark.read.schema(schema).parquet(table_path(root, spec))
+    except AnalysisException as exc:
+        if not _missing(exc):
+            raise
     return spark.createDataFrame([], schema)
 
 
