@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.operators import contracts
+from gridmart.operators import checks, contracts
 from gridmart.plans import ingest as I
 from gridmart.plans.fact import fct_from_bronze
 from gridmart.plans.publish import publish_fct
@@ -61,8 +61,36 @@ def ingest_landing(
     return contracts.summary(contracts.ledger(verdicts))
 
 
-def build_mart(spark: SparkSession, bronze_root: str, mart_path: str, start: str = MIN_TS) -> DataFrame:
-    """Full rebuild from bronze, published through the 14 checks."""
+class StaleSourceError(RuntimeError):
+    """Source freshness is ``error``: the build does not start."""
+
+
+def check_freshness(spark: SparkSession, bronze_root: str, now: datetime) -> DataFrame:
+    """Freshness of the three bronze feeds at ``now`` (scans only the last 30 days)."""
+    since = now - timedelta(days=checks.FRESHNESS_LOOKBACK_DAYS)
+    feeds = {name: bronze.read_bronze(spark, bronze_root, spec, since) for name, spec in SOURCES.items()}
+    return checks.freshness(feeds, [now])
+
+
+def build_mart(
+    spark: SparkSession,
+    bronze_root: str,
+    mart_path: str,
+    start: str = MIN_TS,
+    freshness_now: datetime | None = None,
+) -> DataFrame:
+    """Full rebuild from bronze, published through the 14 checks.
+
+    With ``freshness_now``, source freshness runs first and a feed in
+    ``error`` stops the build before anything is computed (``warn`` goes on).
+    """
+    if freshness_now is not None:
+        stale = [
+            r["source"]
+            for r in check_freshness(spark, bronze_root, freshness_now).filter("status = 'error'").collect()
+        ]
+        if stale:
+            raise StaleSourceError(f"sources too old to build from: {stale}")
     feeds = {name: bronze.read_bronze(spark, bronze_root, spec, start) for name, spec in SOURCES.items()}
     fct = fct_from_bronze(spark, feeds["load"], feeds["generation"], feeds["price"], with_month=True)
     return publish_fct(spark, fct, mart_path)

@@ -50,3 +50,25 @@ def test_landing_to_served_page(spark):
     assert first["load_mw"] == 7000.0 and first["renewable_pct"] == 75.0 and first["price_eur_mwh"] == 80.0
     assert first["carbon_intensity_g_kwh"] == round((3000 * 48 + 1000 * 490) / 4000, 1)
     assert fct.filter("zone_code = 'FR'").count() == 0
+
+
+def test_stale_sources_stop_the_build(spark):
+    import pytest
+
+    import builders as B
+    from gridmart.sources import bronze
+    from gridmart.specs import SOURCES
+
+    root = session.fresh_path(spark, "t-jobs-bronze")
+    rows = [("AT", "2024-01-10 05:00:00", 60, 1.0, "2024-01-11 00:00:00", "r")]
+    bronze.write_bronze(B.load(spark, rows), root, SOURCES["load"])
+    bronze.write_bronze(B.generation(spark, [("AT", "2024-01-10 05:00:00", 60, "Solar", 1.0, "2024-01-11 00:00:00", "g")]), root, SOURCES["generation"])
+    bronze.write_bronze(B.price(spark, [("AT", "2024-01-10 05:00:00", 60, 1.0, "2024-01-11 00:00:00", "p")]), root, SOURCES["price"])
+    status = {r["source"]: r["status"] for r in jobs.check_freshness(spark, root, datetime(2024, 1, 12, 6, tzinfo=UTC)).collect()}
+    assert status == {"load": "warn", "generation": "warn", "price": "warn"}
+    results = jobs.build_mart(spark, root, session.fresh_path(spark, "t-jobs-mart"),
+                              freshness_now=datetime(2024, 1, 12, 6, tzinfo=UTC))
+    assert all(r["passed"] for r in results.collect())  # warn does not stop the build
+    with pytest.raises(jobs.StaleSourceError):
+        jobs.build_mart(spark, root, session.fresh_path(spark, "t-jobs-mart"),
+                        freshness_now=datetime(2024, 1, 14, tzinfo=UTC))
