@@ -36,7 +36,8 @@ def write_fct(fct_with_month: DataFrame, path: str, mode: str = "overwrite") ->
     out = fct_with_month.repartition("ts_month", "zone_code").sortWithinPartitions(
         "ts_month", "zone_code", "ts_hour_utc"
     )
-    out.write.mode(mode).partitionBy("ts_month").parquet(path)
+    # Per-write option: replace only the months present, whatever the session says.
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ts_month").parquet(path)
 
 
 def read_fct(

@@ -89,3 +89,20 @@ def test_refresh_before_every_feed_has_data(spark):
     assert [str(m) for m in refresh(spark, root, mart_path, ckpt)] == ["2024-01-01"]
     [row] = mart.read_fct(spark, mart_path).collect()
     assert row["price_eur_mwh"] == 42.0
+
+
+def test_publishing_some_months_keeps_the_others_even_in_static_mode(spark):
+    from gridmart.plans.publish import publish_fct
+
+    path = session.fresh_path(spark, "t-mart")
+    jan = fct_from_bronze(spark, B.load(spark, [_load("2024-01-10 05:00:00", 1.0, "2024-01-11 00:00:00")]),
+                          B.empty_generation(spark), B.empty_price(spark), with_month=True)
+    feb = fct_from_bronze(spark, B.load(spark, [_load("2024-02-10 05:00:00", 2.0, "2024-02-11 00:00:00")]),
+                          B.empty_generation(spark), B.empty_price(spark), with_month=True)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        publish_fct(spark, jan, path)
+        publish_fct(spark, feb, path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    assert sorted(r["load_mw"] for r in mart.read_fct(spark, path).collect()) == [1.0, 2.0]
