@@ -10,7 +10,6 @@ from __future__ import annotations
 import csv
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridmart import specs
 
@@ -62,18 +61,22 @@ def production_type_rows() -> list[tuple]:
     return rows
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def dim_zone(spark: SparkSession) -> DataFrame:
-    """Inline relation of the six zones (an array of structs, exploded)."""
-    structs = [
-        F.struct(
-            F.lit(code).alias("zone_code"),
-            F.lit(name).alias("zone_name"),
-            F.lit(country).alias("country"),
-            F.lit(tz).alias("timezone"),
+    """Inline relation of the six zones (an array of structs, exploded).
+
+    Written as one SQL expression: a single call to build, however many zones.
+    """
+    structs = ", ".join(
+        "named_struct('zone_code', {}, 'zone_name', {}, 'country', {}, 'timezone', {})".format(
+            *[_sql_text(v) for v in row]
         )
-        for code, name, country, tz in ZONES
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+        for row in ZONES
+    )
+    return spark.range(1).selectExpr(f"inline(array({structs}))")
 
 
 def dim_production_type(spark: SparkSession) -> DataFrame:
