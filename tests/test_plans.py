@@ -45,3 +45,18 @@ def test_no_python_udfs_anywhere(spark):
         plan = _initial(fn(spark, "/root/testdata/sf0.001"))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_queries_run_over_whole_tables(spark):
+    """No row caps or sampling: only the page queries limit, and that is the page size."""
+    for name, fn in Q.registry().items():
+        if name in ("q_bronze_roundtrip", "q_incremental_mart", "q_ingest_price_landing"):
+            continue  # these write first; their reads are plain scans of what they wrote
+        plan = _initial(fn(spark, "/root/testdata/sf0.001"))
+        assert "Sample" not in plan, name
+        if name.startswith("q_hourly_page"):
+            assert "TakeOrderedAndProject" in plan and "limit=50" in plan, name
+        else:
+            # WindowGroupLimit is the per-key top-1 of revision resolution, not a row cap.
+            caps = re.findall(r"\b(GlobalLimit|LocalLimit|CollectLimit|TakeOrderedAndProject)\b", plan)
+            assert not caps, (name, caps)
