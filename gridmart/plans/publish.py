@@ -25,5 +25,6 @@ def publish_fct(spark: SparkSession, fct_with_month: DataFrame, mart_path: str)
     failed = checks.gate(results)
     if failed:
         raise checks.CheckFailed(f"not published, failing checks: {failed}")
-    mart.write_fct(candidate, mart_path, mode="overwrite")
+    # The candidate's files already have the mart layout: copy them, no shuffle.
+    mart.write_fct(candidate, mart_path, mode="overwrite", layout=False)
     return results

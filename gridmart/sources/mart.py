@@ -23,7 +23,9 @@ FCT_SCHEMA = T.StructType([
 ])
 
 
-def write_fct(fct_with_month: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_fct(
+    fct_with_month: DataFrame, path: str, mode: str = "overwrite", layout: bool = True
+) -> None:
     """Write the fact partitioned by month, sorted by zone then hour.
 
     One write task per (month, zone) group: the fact holds at most 744 rows
@@ -33,9 +35,11 @@ def write_fct(fct_with_month: DataFrame, path: str, mode: str = "overwrite") ->
     ``gridmart.session``) an overwrite replaces only the months present in
     the frame, which is what the incremental refresh relies on.
     """
-    out = fct_with_month.repartition("ts_month", "zone_code").sortWithinPartitions(
-        "ts_month", "zone_code", "ts_hour_utc"
-    )
+    out = fct_with_month
+    if layout:  # skipped when copying files that already have this layout
+        out = out.repartition("ts_month", "zone_code").sortWithinPartitions(
+            "ts_month", "zone_code", "ts_hour_utc"
+        )
     # Per-write option: replace only the months present, whatever the session says.
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ts_month").parquet(path)
 
