@@ -74,7 +74,10 @@ def flag_rows(df: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -
 
 
 def duplicate_keys(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -> DataFrame:
-    """(batch, key) groups with more than one row, counted per batch."""
+    """Duplicate report: per batch with collisions, how many keys and rows collide.
+
+    ``verdicts`` counts duplicated keys on its own; this is the drill-down.
+    """
     per_key = flagged.groupBy(*_uniq([*batch, *contract.key])).count()
     return per_key.filter(F.col("count") > 1).groupBy(*batch).agg(
         F.count(F.lit(1)).alias("duplicate_keys"), F.sum("count").alias("duplicate_rows")

@@ -121,3 +121,11 @@ def test_summary_counts_failures_per_source(spark):
     flagged = contracts.flag_rows(df, LOAD_CONTRACT)
     [s] = contracts.summary(contracts.ledger(contracts.verdicts(flagged, LOAD_CONTRACT))).collect()
     assert (s["zones"], s["batches"], s["failures"], s["rows_loaded"]) == (1, 2, 1, 1)
+
+
+def test_duplicate_report_counts_keys_and_rows(spark):
+    df = _load(spark).unionByName(_load(spark)).unionByName(_load(spark)).unionByName(
+        _load(spark, ts_utc="2026-08-01 11:00:00")
+    )
+    [r] = contracts.duplicate_keys(contracts.flag_rows(df, LOAD_CONTRACT), LOAD_CONTRACT).collect()
+    assert (r["duplicate_keys"], r["duplicate_rows"]) == (1, 3)
