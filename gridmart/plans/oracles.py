@@ -693,6 +693,72 @@ FROM ({' UNION ALL '.join(parts)}) b
 GROUP BY "table", ts_month, zone_code"""
 
 
+def ingest_generation_landing_sql() -> str:
+    """Landed two-level generation -> flatten -> resolution per batch -> contract -> bronze."""
+    steps = f"""
+lg AS (
+  SELECT zone_code, {BERLIN_DAY} AS market_day, ts_utc, production_type, generation_mw, event_id
+  FROM raw_generation),
+lg_runs AS (
+  SELECT *, zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
+            CAST(least(row_number() OVER (PARTITION BY zone_code, market_day, ts_utc, production_type
+                                          ORDER BY event_id), {A.RUN_NO_CAP}) AS VARCHAR) AS run_id
+  FROM lg),
+lg_text AS (
+  SELECT zone_code, market_day, run_id, strftime(ts_utc, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ts,
+         CASE WHEN production_type LIKE '% Consumption'
+              THEN substr(production_type, 1, length(production_type) - 12)
+              ELSE production_type END AS name,
+         CASE WHEN production_type LIKE '% Consumption' THEN 'Actual Consumption'
+              ELSE 'Actual Aggregated' END AS measure,
+         generation_mw AS value
+  FROM lg_runs),
+lg_norm AS (
+  SELECT zone_code, market_day, run_id,
+         CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc,
+         CASE WHEN measure = 'Actual Consumption' THEN name || ' Consumption' ELSE name END
+           AS production_type,
+         value AS generation_mw
+  FROM lg_text),
+lg_stamps AS (
+  SELECT DISTINCT zone_code, market_day, run_id, ts_utc FROM lg_norm WHERE ts_utc IS NOT NULL),
+lg_deltas AS (
+  SELECT zone_code, market_day, run_id,
+         epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY zone_code, market_day, run_id
+                                                       ORDER BY ts_utc)) AS delta_us
+  FROM lg_stamps),
+lg_mode AS (
+  SELECT * FROM (
+    SELECT zone_code, market_day, run_id, delta_us,
+           row_number() OVER (PARTITION BY zone_code, market_day, run_id
+                              ORDER BY count(*) DESC, delta_us ASC) AS rk
+    FROM lg_deltas WHERE delta_us IS NOT NULL
+    GROUP BY zone_code, market_day, run_id, delta_us) c
+  WHERE rk = 1),
+lg_res AS (
+  SELECT s.zone_code, s.market_day, s.run_id,
+         CAST(coalesce(floor(m.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
+  FROM (SELECT DISTINCT zone_code, market_day, run_id FROM lg_stamps) s
+  LEFT JOIN lg_mode m USING (zone_code, market_day, run_id)),
+lg_prepared AS (
+  SELECT 'generation' AS source, n.zone_code, n.market_day, n.run_id, n.ts_utc, n.production_type,
+         n.generation_mw, r.resolution_minutes
+  FROM lg_norm n JOIN lg_res r USING (zone_code, market_day, run_id))"""
+    body = """
+SELECT CAST(date_trunc('month', f.ts_utc) AS DATE) AS ts_month, f.zone_code, f.production_type,
+       f.resolution_minutes, count(*) AS rows, count(DISTINCT f.run_id) AS runs,
+       min(f.ts_utc) AS first_ts_utc, max(f.ts_utc) AS last_ts_utc,
+       sum(f.generation_mw) AS generation_mwh_sum
+FROM fl_lg f
+WHERE NOT EXISTS (SELECT 1 FROM verdict_lg v WHERE NOT v.passed AND v.zone_code = f.zone_code
+                  AND v.market_day = f.market_day AND v.run_id = f.run_id)
+GROUP BY 1, 2, 3, 4"""
+    cols = ["ts_month", "zone_code", "production_type", "resolution_minutes", "rows", "runs",
+            "first_ts_utc", "last_ts_utc", "generation_mwh_sum"]
+    return with_ctes(ADAPTER, steps, verdict_ctes("lg", "generation", "lg_prepared")) + "\n" + settle(
+        body, cols, ["generation_mwh_sum"])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_fct_grid_hourly": fct_sql(),
@@ -741,4 +807,5 @@ def oracle_sql() -> dict[str, str]:
         "q_bronze_roundtrip": bronze_roundtrip_sql(),
         "q_incremental_mart": fct_sql(),
         "q_ingest_price_landing": ingest_price_landing_sql(),
+        "q_ingest_generation_landing": ingest_generation_landing_sql(),
     }

@@ -412,6 +412,36 @@ def q_ingest_price_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_generation_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full ingest path on landed two-level generation files, summarised from bronze.
+
+    Header flattened to type names, resolution detected per batch over the
+    distinct stamps (each repeated per type), contract with the type in the
+    key, accepted batches appended, bronze read back by month, zone, type
+    and resolution.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+    from gridmart.sources import bronze
+    from gridmart.specs import MIN_TS
+
+    root = session.fresh_path(spark, "bronze-landing-gen")
+    ledger_path = session.fresh_path(spark, "ledger-landing-gen")
+    landed = A.landing_generation_batches(spark, sf_dir)
+    prepared = I.prepare(I.normalize_generation_two_level(landed), "generation")
+    I.ingest(spark, prepared, "generation", root, ledger_path, INGESTED_AT)
+    back = bronze.read_bronze(spark, root, SOURCES["generation"], start=MIN_TS)
+    return settle_doubles(
+        back.groupBy("ts_month", "zone_code", "production_type", "resolution_minutes").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.countDistinct("run_id").alias("runs"),
+            F.min("ts_utc").alias("first_ts_utc"),
+            F.max("ts_utc").alias("last_ts_utc"),
+            F.sum("generation_mw").alias("generation_mwh_sum"),
+        )
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "q_fct_grid_hourly": q_fct_grid_hourly,
@@ -443,4 +473,5 @@ def registry() -> dict[str, Query]:
         "q_bronze_roundtrip": q_bronze_roundtrip,
         "q_incremental_mart": q_incremental_mart,
         "q_ingest_price_landing": q_ingest_price_landing,
+        "q_ingest_generation_landing": q_ingest_generation_landing,
     }

@@ -262,6 +262,34 @@ def landing_price_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_generation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generation as landed two-level files: (batch, ts text, name, measure, value).
+
+    The n-th event of an interval and type in a zone-day goes to run n (runs
+    past the third share run 3); ranks 1-2 come from a partial top-2 joined
+    back on the unique ``event_id``. Stamps are UTC ISO text.
+    """
+    g = raw_generation(spark, sf_dir).withColumn("market_day", market_day("ts_utc"))
+    key = ["zone_code", "market_day", "ts_utc", "production_type"]
+    w = Window.partitionBy(*key).orderBy("event_id")
+    first_two = (
+        g.select(*key, "event_id")
+        .withColumn("_rank", F.row_number().over(w))
+        .filter(F.col("_rank") <= RUN_NO_CAP - 1)
+        .select("event_id", "_rank")
+    )
+    cons = "production_type LIKE '% Consumption'"
+    return g.join(first_two, "event_id", "left").selectExpr(
+        "zone_code", "market_day",
+        f"concat_ws('|', zone_code, CAST(market_day AS STRING), CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
+        "concat(date_format(ts_utc, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00') AS ts",
+        f"CASE WHEN {cons} THEN substring(production_type, 1, length(production_type) - 12) "
+        "ELSE production_type END AS name",
+        f"CASE WHEN {cons} THEN '{CONSUMPTION_MEASURE}' ELSE '{AGGREGATED_MEASURE}' END AS measure",
+        "generation_mw AS value",
+    )
+
+
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch attempt per event: how the feed call ended.
 
