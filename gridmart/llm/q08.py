@@ -53,7 +53,7 @@ w AS (
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)
 ), verdict AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+         10 * n_symbols > n_words OR 10 * n_dup_lines > 6 * n_lines
          OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR n_upper > n_lower AS method_failed
   FROM counts
 )

@@ -119,7 +119,7 @@ RULES: tuple[Rule, ...] = (
     Rule("few_words", lambda c: c.n_words < 50),
     Rule("repeated_windows", lambda c: 100 * c.n_repeat_words > 50 * c.n_words),
     Rule("symbols", lambda c: 10 * c.n_symbols > c.n_words),
-    Rule("duplicate_lines", lambda c: 10 * c.n_dup_lines > 3 * c.n_lines),
+    Rule("duplicate_lines", lambda c: 10 * c.n_dup_lines > 6 * c.n_lines),
     Rule("word_length", lambda c: (c.word_chars < 2 * c.n_words) | (c.word_chars > 15 * c.n_words)),
     Rule("shouting", lambda c: c.n_upper > c.n_lower),
 )
