@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gridmart.llm import q04, q06, q08
+from gridmart.llm import q04, q06, q07, q08
 
-_MODULES = (q04, q06, q08)
+_MODULES = (q04, q06, q07, q08)
 
 
 def registry() -> dict:
