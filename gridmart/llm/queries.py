@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gridmart.llm import q04, q06, q07, q08, q09
+from gridmart.llm import q03, q04, q06, q07, q08, q09
 
-_MODULES = (q04, q06, q07, q08, q09)
+_MODULES = (q03, q04, q06, q07, q08, q09)
 
 
 def registry() -> dict:
