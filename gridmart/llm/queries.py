@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gridmart.llm import q02, q03, q04, q06, q07, q08, q09, q10
+from gridmart.llm import q01, q02, q03, q04, q05, q06, q07, q08, q09, q10
 
-_MODULES = (q02, q03, q04, q06, q07, q08, q09, q10)
+_MODULES = (q01, q02, q03, q04, q05, q06, q07, q08, q09, q10)
 
 
 def registry() -> dict:
