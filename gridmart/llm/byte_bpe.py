@@ -139,9 +139,9 @@ def hot_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit
     return hot.select("word", let(vocabulary.rank_map(), lambda ranks: fold(F.col("word"), ranks)).alias("ids"))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text",
+def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
            hot_limit: int = HOT_WORDS) -> DataFrame:
-    """``doc_id, ids array<int>`` of every row."""
+    """The ``keep`` columns and ``ids array<int>`` of every row."""
     spark = docs.sparkSession
     # Bounded by HOT_WORDS words of HOT_BYTES bytes, whatever the corpus.
     hot = hot_words(docs, vocabulary, text, hot_limit).toArrow()
@@ -149,13 +149,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
     # As a one-row subquery the dictionary is a literal at run time but not part of the plan's text.
     table = spark.createDataFrame([(ready,)], "j string").select(
         F.from_json("j", "array<map<string,array<int>>>").alias("d")).scalar()
-    words = pre_tokens(F.col("text"), vocabulary.pattern)
-    ids = let(vocabulary.rank_map(), lambda ranks: let(F.col("known"), lambda known: F.flatten(F.transform(
+    words = pre_tokens(F.col("__llm_text"), vocabulary.pattern)
+    ids = let(vocabulary.rank_map(), lambda ranks: let(F.col("__llm_known"), lambda known: F.flatten(F.transform(
         words, lambda w: F.coalesce(_lookup(known, w, HOT_BUCKETS), fold(w, ranks))))))
     # The analyser admits no subquery inside a higher-order function; the optimiser
     # moves the column, used once, to where it is named.
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), table.alias("known"))
-    return rows.select("doc_id", ids.alias("ids"))
+    rows = docs.select(*keep, F.col(text).alias("__llm_text"), table.alias("__llm_known"))
+    return rows.select(*keep, ids.alias("ids"))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:

@@ -30,13 +30,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which all executors share.
 
-    The copy is shared by all executors, so losing one costs only its running
-    tasks. A folder of our own is made only for a local master with none set.
+    It is read from the session (``spark.checkpoint.dir``); one of our own is
+    made only for a local master with none set, as in tests.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,8 +44,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="llm-checkpoint-")
         sc.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir().rstrip("/")
 
 
-def long_id(df: DataFrame, name: str) -> Column:
-    return df[name].cast(T.LongType())
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder: losing an executor costs only its running tasks."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -30,8 +30,9 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridmart.llm.common import checkpointed
 from gridmart.llm.components import connected_components
@@ -223,7 +224,8 @@ def near_links(points: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_RO
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
                     key: str = "doc_id", text: str = "text", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest doc_id reachable, for every row."""
+    """``doc_id, fp, component, component_id`` of every row: a fingerprint that names
+    the component, and the smallest doc_id reachable."""
     rows = checkpointed(fingerprints(docs, shingle_words, key, text))
     points = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     parts = connected_components(near_links(points.select("fp"), radius, cell_rows))
@@ -231,5 +233,30 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     labelled = points.join(parts, points["fp"] == parts["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_fp = labelled.join(lows, "component").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = labelled.join(lows, "component").select("fp", "component", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
+             key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every component, that of its smallest doc_id; columns unchanged.
+
+    Of rows that share that doc_id the one with the smallest fingerprint stays,
+    and of repeated rows one.
+    """
+    found = near_duplicates(docs, shingle_words, radius, key, text)
+    chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component")
+              .agg(F.min("component_id").alias("__llm_id"), F.min("fp").alias("__llm_fp")))
+    at = docs.columns.index(text)
+    schema = T.StructType(docs.schema.fields + [T.StructField("__llm_row_fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = [fingerprint(t.as_py(), shingle_words) for t in b.column(at)]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.array(fps, np.uint64).view(np.int64))], names=schema.names)
+
+    marked = docs.mapInArrow(run, schema)
+    same = (marked["__llm_row_fp"] == chosen["__llm_fp"]) & marked[key].eqNullSafe(chosen["__llm_id"])
+    return (marked.join(chosen, same, "left_semi").dropDuplicates([key, "__llm_row_fp"])
+            .drop("__llm_row_fp"))
