@@ -152,7 +152,10 @@ _TOKEN_OF: dict[str, list[int]] = {}
 for _i, (_, _names) in enumerate(TOKENS):
     for _t in _names:
         _TOKEN_OF.setdefault(_t, []).append(_i)
-N_FEATURES = len(TAG_CLASSES) * 2 + len(TOKENS) * 2 + 14
+N_FEATURES = len(TAG_CLASSES) * 2 + len(TOKENS) * 2 + 15
+#: Columns that name boilerplate: all token classes but the first, and four tag classes.
+_FLAGS = [i for i, (name, _) in enumerate(TAG_CLASSES) if name in ("nav", "edge", "aside", "form")] + list(
+    range(len(TAG_CLASSES) + 1, len(TAG_CLASSES) + len(TOKENS)))
 
 
 def features(nodes: list[Node]) -> np.ndarray:
@@ -207,6 +210,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         np.log1p(text), np.log1p(own), links / np.maximum(text, 1), text / (tags + 1), np.log1p(tags),
         text / total, depth, place, siblings, (place + 1) / siblings, commas / np.maximum(text, 1) * 100,
         text / np.maximum(text[par], 1), links[par] / np.maximum(text[par], 1), (text == 0).astype(float),
+        x[:, _FLAGS + [up + i for i in _FLAGS]].any(axis=1),  # named as boilerplate, itself or above
     ], axis=1)
     return x
 
@@ -329,6 +333,8 @@ def text_of(nodes: list[Node], kept: np.ndarray) -> str:
 # --- training -------------------------------------------------------------
 
 _WORDS = re.compile(r"\w{3,}")
+#: Attribute that names a box in the truth and is taken out of what the model sees.
+_UNNAMED = ' class="menu unnamed"'
 
 
 def article_mask(nodes: list[Node]) -> np.ndarray | None:
@@ -382,6 +388,7 @@ def variants(page: str, other: str, seed: int) -> list[tuple[str, str]]:
             f"<header><h2>{some(1, 4)}</h2>{paragraphs(3, 12)}</header>",
             f'<div class="{pick("footer", "site-footer", "copyright")}">{paragraphs(5, 25)}{links(3)}</div>',
             f'<div role="{pick("complementary", "navigation", "contentinfo")}">{paragraphs(5, 30)}</div>',
+            f"<div{_UNNAMED}>{links(6)}</div>",  # told by its links alone
         ]
 
     out = [(page, page)]
@@ -397,14 +404,15 @@ def variants(page: str, other: str, seed: int) -> list[tuple[str, str]]:
         if at:  # boilerplate inside the article
             cut = at[int(r.integers(0, len(at)))]
             inner = inner[:cut] + extra[0] + inner[cut:]
-        b, a = "".join(extra[1:4]), "".join(extra[4:7])
+        b, a = "".join(extra[1:4]), "".join(extra[4:8])
         truth = f"{before}{b}<article>{inner}</article>{a}{after}"
         opening, closing = [
             ("<article>", "</article>"),
             (f'<div class="{pick("post", "entry-content", "article-body", "content", "story text")}">', "</div>"),
             ("<main>", "</main>") if k else ("<div>", "</div>"),
         ][k]
-        out.append((f"{before}{b}{opening}{inner}{closing}{a}{after}", truth))
+        seen = f"{before}{b}{opening}{inner}{closing}{a}{after}"
+        out.append((seen.replace(_UNNAMED, ""), truth))
     return out
 
 
