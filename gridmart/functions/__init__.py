@@ -12,13 +12,12 @@ from gridmart.functions.time import (
     market_window_start,
     month_key,
     parse_instant,
-    quarter_floor,
     whole_minutes,
 )
 
 __all__ = [
     "BERLIN", "csv_list", "cursor_expr", "decode_cursor", "encode_cursor", "hour_floor",
     "local_date", "local_day_of_week", "market_day", "market_window_end", "market_window_start",
-    "month_key", "parse_instant", "quarter_floor", "round_half_away", "settle_doubles",
+    "month_key", "parse_instant", "round_half_away", "settle_doubles",
     "whole_minutes",
 ]

@@ -18,14 +18,6 @@ def hour_floor(ts: Column | str) -> Column:
     return F.date_trunc("hour", _c(ts))
 
 
-def quarter_floor(ts: Column | str) -> Column:
-    """Floor to the quarter hour."""
-    t = _c(ts)
-    return F.date_trunc("minute", t) - F.make_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), (F.minute(t) % 15).cast("int"), F.lit(0)
-    )
-
-
 def month_key(ts: Column | str) -> Column:
     """Month partition key as a DATE (first day of the UTC month)."""
     return F.to_date(F.date_trunc("month", _c(ts)))

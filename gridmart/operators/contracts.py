@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.operators.keys import null_safe_join
 from gridmart.specs import Contract
 
 BATCH = ("source", "zone_code", "market_day", "run_id")
@@ -56,7 +57,7 @@ def flag_rows(df: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -
             bad_type = bad_type | (raw.isNotNull() & value.isNull())
         coerced[name] = value
     null_required = F.lit(False)
-    for name in contract.required:
+    for name in _uniq([*contract.required, *batch]):  # a broken line also loses its batch key
         null_required = null_required | F.col(name).isNull()
     lo, hi = contract.measure_range
     m = coerced[contract.measure]
@@ -124,14 +125,14 @@ def valid_rows(
     """Rows that may be written to bronze.
 
     ``mode="batch"`` (default): drop every row of a rejected batch (anti join
-    on the batch key; the verdict side has one row per batch, so AQE can
+    on the batch key, null parts included; the verdict side has one row per batch, so AQE can
     broadcast it once measured small, or split a hot batch otherwise).
     ``mode="row"``: quarantine only offending rows and colliding keys.
     """
     cols = _uniq([*batch, *contract.columns])
     if mode == "batch":
         bad = verdict.filter(~F.col("passed")).select(*batch)
-        return flagged.join(bad, list(batch), "left_anti").select(*cols)
+        return null_safe_join(flagged, bad, batch, "left_anti").select(*cols)
     if mode == "row":
         clean = flagged
         for k in CHECKS:
@@ -139,12 +140,20 @@ def valid_rows(
                 clean = clean.filter(~F.col(k))
         keys = _uniq([*batch, *contract.key])
         dup = flagged.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
-        return clean.join(dup, keys, "left_anti").select(*cols)
+        return null_safe_join(clean, dup, keys, "left_anti").select(*cols)
     raise ValueError(f"unknown mode {mode!r}")
 
 
+LEDGER_COLUMNS = (*BATCH, "rows", "rows_loaded", "status", "reason")
+MISSING_REASON = "no data for the requested window"
+
+
 def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence[str] = BATCH) -> DataFrame:
-    """Per-batch outcome: loaded or rejected with reason; missing batches too."""
+    """Per-batch outcome: loaded or rejected with reason; missing batches too.
+
+    ``missing`` has (some of) the batch columns, and may bring the ``rows`` that
+    were landed and a ``reason`` of its own.
+    """
     out = verdict.select(
         *batch,
         F.col("rows"),
@@ -153,13 +162,14 @@ def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence
         F.col("reason"),
     )
     if missing is not None:
+        have = missing.columns
         out = out.unionByName(
             missing.select(
-                *[F.col(c) if c in missing.columns else F.lit(None).cast("string").alias(c) for c in batch],
-                F.lit(0).cast("bigint").alias("rows"),
+                *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in batch],
+                (F.col("rows") if "rows" in have else F.lit(0)).cast("bigint").alias("rows"),
                 F.lit(0).cast("bigint").alias("rows_loaded"),
                 F.lit("missing").alias("status"),
-                F.lit("no data for the requested window").alias("reason"),
+                (F.col("reason") if "reason" in have else F.lit(MISSING_REASON)).alias("reason"),
             )
         )
     return out

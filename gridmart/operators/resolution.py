@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridmart.functions.time import whole_minutes
+from gridmart.operators.keys import null_safe_join
 
 DEFAULT_MINUTES = 60
 
@@ -20,9 +21,10 @@ def detect_resolution(df: DataFrame, batch: Sequence[str], ts: str = "ts_utc") -
     type), so the window below sees at most one row per distinct stamp of a
     batch: a market day holds at most 100 quarter-hours whatever the raw
     volume. The mode of the deltas breaks ties toward the smaller gap; a batch
-    with a single stamp falls back to 60 minutes.
+    with a single stamp, or with none that could be parsed, falls back to 60
+    minutes. A null stamp sorts first and has no gap to the next one.
     """
-    stamps = df.filter(F.col(ts).isNotNull()).select(*batch, ts).distinct()
+    stamps = df.select(*batch, ts).distinct()
     w = Window.partitionBy(*batch).orderBy(ts)
     deltas = stamps.select(
         *batch, (F.unix_micros(F.col(ts)) - F.unix_micros(F.lag(ts).over(w))).alias("_delta_us")
@@ -40,4 +42,4 @@ def with_resolution(df: DataFrame, batch: Sequence[str], ts: str = "ts_utc") ->
     The per-batch table has one row per batch; the join lets AQE broadcast it
     when it is measured small and split a hot batch otherwise.
     """
-    return df.join(detect_resolution(df, batch, ts), list(batch), "inner")
+    return null_safe_join(df, detect_resolution(df, batch, ts), batch)

@@ -11,10 +11,9 @@ from pyspark.sql.window import Window
 REVISION_RANK = "revision_rank"
 
 
-def revision_order(df: DataFrame) -> list[Column]:
-    """Newest first; ties broken by a numeric ``event_id`` when present, else run_id."""
-    tiebreak = "event_id" if "event_id" in df.columns else "run_id"
-    return [F.col("ingested_at").desc(), F.col(tiebreak).desc()]
+def revision_order() -> list[Column]:
+    """Newest first; equal instants by run id (text, descending)."""
+    return [F.col("ingested_at").desc(), F.col("run_id").desc()]
 
 
 def latest_revision(
@@ -31,7 +30,7 @@ def latest_revision(
     A later null revision survives here and retracts the value downstream
     (callers drop null measures *after* this step).
     """
-    order = list(order) if order is not None else revision_order(df)
+    order = list(order) if order is not None else revision_order()
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn(REVISION_RANK, F.row_number().over(w)).filter(F.col(REVISION_RANK) == 1)
     return ranked if keep_rank else ranked.drop(REVISION_RANK)
@@ -42,14 +41,12 @@ def retracted_keys(df: DataFrame, keys: Sequence[str], measure: str) -> DataFram
 
     These are the intervals a filter-before-rank would wrongly bring back; the
     column ``superseded_<measure>`` holds the value that would have come back.
-    Built from two grouped maxima (map-side combined), no per-key buffering.
+    Both sides are map-side top-1 per key on the same partitioning, so the join
+    adds no shuffle and no per-key buffering.
     """
-    tiebreak = "event_id" if "event_id" in df.columns else "run_id"
-    order = F.struct(F.col("ingested_at"), F.col(tiebreak))
     has_value = F.col(measure).isNotNull() & ~F.isnan(F.col(measure))  # NaN counts as no value
-    grouped = df.groupBy(*keys).agg(
-        F.max_by(F.when(has_value, F.col(measure)), order).alias("_latest"),
-        F.max_by(F.col(measure), F.when(has_value, order)).alias("_resurrected"),
+    newest = latest_revision(df, keys).filter(~has_value).select(*keys)
+    valued = latest_revision(df.filter(has_value), keys).select(
+        *keys, F.col(measure).alias(f"superseded_{measure}")
     )
-    retracted = F.col("_latest").isNull() & F.col("_resurrected").isNotNull()
-    return grouped.filter(retracted).select(*keys, F.col("_resurrected").alias(f"superseded_{measure}"))
+    return newest.join(valued, list(keys))

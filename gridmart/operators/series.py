@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.operators.keys import null_safe_join
+
 # Preference order of the published day-ahead series.
 SERIES_PREFERENCE = ("15min", "60min")
 
@@ -20,27 +22,34 @@ def first_available_series(
     """Keep, per batch, only the rows of the most preferred series present.
 
     Series are never mixed inside a batch. Batches with no preferred series
-    at all are absent from the result (the ledger reports them).
+    at all are absent from the result; ``batches_without_series`` names them
+    for the ledger. Null parts of a batch key are values like any other.
     """
     pref = F.array_position(F.array(*[F.lit(p) for p in preference]), F.col(series_col))
     ranked = df.withColumn("_pref", pref).filter(F.col("_pref") > 0)
     best = ranked.groupBy(*batch).agg(F.min("_pref").alias("_best"))
     return (
-        ranked.join(best, list(batch), "inner")
+        null_safe_join(ranked, best, batch)
         .filter(F.col("_pref") == F.col("_best"))
         .drop("_pref", "_best")
     )
 
 
 def batches_without_series(
-    df: DataFrame, expected: DataFrame, batch: Sequence[str],
+    df: DataFrame, batch: Sequence[str],
     series_col: str = "series_resolution", preference: Sequence[str] = SERIES_PREFERENCE,
 ) -> DataFrame:
-    """Expected batches that have no row of any preferred series."""
-    present = df.filter(F.col(series_col).isin(*preference)).select(*batch)
-    return expected.join(present, list(batch), "left_anti")
+    """Batches of ``df`` with their row count that have no row of any preferred series."""
+    preferred = F.coalesce(F.col(series_col).isin(*preference), F.lit(False))
+    return df.groupBy(*batch).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(preferred).alias("_preferred")
+    ).filter(F.col("_preferred") == 0).drop("_preferred")
 
 
 def drop_end_boundary(df: DataFrame, end_col: str, ts: str = "ts_utc") -> DataFrame:
-    """Keep ``ts < end``: a feed that includes its end stamp would overlap days."""
-    return df.filter(F.col(ts) < F.col(end_col))
+    """Keep ``ts < end``: a feed that includes its end stamp would overlap days.
+
+    A null stamp (or a null end) stays, so that the contract can reject it.
+    """
+    before = F.col(ts) < F.col(end_col)
+    return df.filter(F.coalesce(before, F.lit(True)))

@@ -116,8 +116,3 @@ def hourly_page(fct: DataFrame, req: PageRequest) -> tuple[list, str | None]:
             raise ResponseContractError(f"renewable_pct {pct} at {r['ts_hour_utc']}")
     nxt = got[0]["next_cursor"] if got else None
     return [r.asDict() for r in got], nxt
-
-
-def check_page(page: DataFrame) -> DataFrame:
-    """Response contract: rows whose renewable share leaves [0, 100]."""
-    return page.filter((F.col("renewable_pct") < 0) | (F.col("renewable_pct") > 100))

@@ -2,11 +2,12 @@
 
 landed rows -> normalise (UTC, header flatten, melt, first series, end
 boundary) -> resolution per batch -> contract flags -> per-batch verdicts ->
-append accepted batches to bronze + record every batch in the ledger.
+append accepted batches to bronze -> record every batch in the ledger.
 
-The verdicts are written first (one row per batch) and the bronze write
-reads them back, so the landing scan is not cached and the lineage of the
-write is cut at a stored table.
+Two tables are staged and deleted at the end: the normalised rows (once) and
+one row per batch (its resolution, its verdict), which Spark broadcasts when it
+measures them small. The ledger is written after the append, so "loaded" is
+never recorded for rows that are not there.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart import session
 from gridmart.functions.time import market_window_end, parse_instant
 from gridmart.operators import contracts, reshape, resolution, series
+from gridmart.operators.keys import null_safe_join
 from gridmart.sources import bronze
 from gridmart.specs import SOURCES, SourceSpec
 
@@ -66,18 +69,51 @@ def normalize_price(landed: DataFrame) -> DataFrame:
     return series.drop_end_boundary(bounded, "_end").drop("_end", "series_resolution")
 
 
-def prepare(normalized: DataFrame, source: str, staged: bool = True) -> DataFrame:
+def price_batches_lost(landed: DataFrame) -> DataFrame:
+    """Landed price batches without any known series, as ``missing`` ledger rows."""
+    lost = series.batches_without_series(landed, list(BATCH_IN))
+    return lost.withColumn("source", F.lit("price")).withColumn("reason", F.lit("no price series"))
+
+
+def prepare(normalized: DataFrame, source: str, scratch: session.Scratch | None = None) -> DataFrame:
     """Attach source and per-batch resolution (the most common stamp gap).
 
-    The normalised rows are staged first (written once under the shared
-    root): resolution detection joins the rows with a per-batch aggregate
-    of themselves, and without the cut every such self-join would repeat
-    the whole landing plan.
+    With ``scratch`` the normalised rows and the per-batch table are staged:
+    resolution detection joins the rows with an aggregate of themselves, and
+    without the cut every such join would repeat the whole landing plan.
     """
-    with_source = normalized.withColumn("source", F.lit(source))
-    if staged:
-        with_source = session.stage(with_source, f"normalized-{source}")
-    return resolution.with_resolution(with_source, list(contracts.BATCH))
+    rows = normalized.withColumn("source", F.lit(source))
+    if scratch is None:
+        return resolution.with_resolution(rows, list(contracts.BATCH))
+    rows = scratch.stage(rows, f"normalized-{source}")
+    found = scratch.stage(resolution.detect_resolution(rows, list(contracts.BATCH)), f"resolution-{source}")
+    return null_safe_join(rows, found, contracts.BATCH)
+
+
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("zone_code", T.StringType()),
+    T.StructField("market_day", T.DateType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("rows_loaded", T.LongType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
+
+def write_ledger(ledger: DataFrame, ledger_path: str, job_id: str) -> None:
+    """Append a job's rows; ``job_id=...`` folders keep the jobs apart."""
+    (ledger.select(*LEDGER_SCHEMA.fieldNames()).withColumn("job_id", F.lit(job_id))
+     .write.mode("append").partitionBy("job_id").parquet(ledger_path))
+
+
+def read_ledger(spark: SparkSession, ledger_path: str, job_id: str) -> DataFrame:
+    """The rows of one job: only its folder is listed, and nothing is inferred."""
+    path = f"{ledger_path}/job_id={job_id}"
+    if not bronze.path_exists(spark, path, LEDGER_SCHEMA):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def ingest(
@@ -88,25 +124,20 @@ def ingest(
     ledger_path: str,
     ingested_at: datetime | None = None,
     mode: str = "batch",
+    missing: DataFrame | None = None,
+    job_id: str | None = None,
 ) -> int:
     """Validate all batches, append the accepted ones, record the ledger.
 
     Returns the number of bronze rows written. ``ingested_at`` is one
-    driver-side instant for the whole write (default: now, UTC).
+    driver-side instant for the whole write (default: now, UTC). ``missing``
+    are batches that left no rows; they are ledgered as failures.
     """
     spec: SourceSpec = SOURCES[source]
-    job_id = uuid.uuid4().hex
-    # Stage the prepared rows: verdicts and the accepted-row write both read
-    # them, and their plan already contains self-joins.
-    prepared = session.stage(prepared, f"prepared-{source}")
     flagged = contracts.flag_rows(prepared, spec.contract)
-    verdict = contracts.verdicts(flagged, spec.contract).withColumn("job_id", F.lit(job_id))
-    verdict.write.mode("append").partitionBy("source", "job_id").parquet(ledger_path)
-    stored = (
-        spark.read.parquet(ledger_path)
-        .filter((F.col("source") == source) & (F.col("job_id") == job_id))
-        .drop("job_id")
-    )
-    accepted = contracts.valid_rows(flagged, stored, spec.contract, mode=mode)
-    stamp = ingested_at or datetime.now(UTC)
-    return bronze.write_bronze(accepted, bronze_root, spec, ingested_at=stamp)
+    with session.Scratch(spark) as scratch:
+        verdict = scratch.stage(contracts.verdicts(flagged, spec.contract), f"verdict-{source}")
+        accepted = contracts.valid_rows(flagged, verdict, spec.contract, mode=mode)
+        written = bronze.write_bronze(accepted, bronze_root, spec, ingested_at=ingested_at or datetime.now(UTC))
+        write_ledger(contracts.ledger(verdict, missing), ledger_path, job_id or uuid.uuid4().hex)
+    return written

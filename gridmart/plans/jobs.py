@@ -1,21 +1,26 @@
 """The two jobs a deployment runs: ingest landed files, build the mart.
 
-``ingest_landing`` covers every source found under one landing root in one
-call (all zones, days and runs at once) and returns the run summary; a
-non-zero ``failures`` is the job's failure signal. ``build_mart`` rebuilds
-the fact from bronze and publishes it through the gate (the incremental
-alternative is ``gridmart.streaming.incremental.refresh``).
+``ingest_landing`` covers the sources found under one landing root in one call,
+for one scheduled market day or for everything that is landed, and returns the
+summary of this call; a non-zero ``failures`` is the job's failure signal.
+``build_mart`` rebuilds the fact from bronze and publishes it through the gate
+(the incremental alternative is ``gridmart.streaming.incremental.refresh``).
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridmart.operators import checks, contracts
+from gridmart import session
+from gridmart.functions.text import csv_list
+from gridmart.operators import checks, contracts, grid
+from gridmart.operators.keys import null_safe_join
 from gridmart.plans import ingest as I
 from gridmart.plans.fact import fct_from_bronze
 from gridmart.plans.publish import publish_fct
@@ -23,6 +28,34 @@ from gridmart.sources import bronze, landing
 from gridmart.specs import MIN_TS, SOURCES
 
 
+def _read(spark: SparkSession, path: str, source: str, fmt: str, types: Sequence[str] | None) -> DataFrame:
+    if source == "load":
+        schema = landing.LANDING_LOAD
+    elif source == "price":
+        schema = landing.LANDING_PRICE
+    else:
+        schema = landing.landing_generation_wide(types) if types else landing.LANDING_GENERATION_TWO_LEVEL
+    return landing.read_landing(spark, path, schema, fmt)
+
+
+def _normalize(landed: DataFrame, source: str, types: Sequence[str] | None) -> DataFrame:
+    if source == "load":
+        return I.normalize_load(landed)
+    if source == "price":
+        return I.normalize_price(landed)
+    return I.normalize_generation_wide(landed, types) if types else I.normalize_generation_two_level(landed)
+
+
+def _absent(spark: SparkSession, landed: DataFrame | None, source: str, run_date: str, lag_days: int,
+            zones: str) -> DataFrame:
+    """The zones of the run's market day that landed nothing."""
+    day = spark.range(1).select(grid.run_days(run_date, lag_days).alias("market_day"))
+    expected = grid.job_grid(day, [source], zones)
+    if landed is None:
+        return expected
+    return null_safe_join(expected, landed.select("zone_code", "market_day"), ["zone_code", "market_day"], "left_anti")
+
+
 def ingest_landing(
     spark: SparkSession,
     landing_root: str,
@@ -32,33 +65,56 @@ def ingest_landing(
     generation_types: Sequence[str] | None = None,
     ingested_at: datetime | None = None,
     mode: str = "batch",
+    run_date: str | None = None,
+    lag_days: int = 1,
+    zones: str | None = None,
+    sources: Sequence[str] = tuple(SOURCES),
+    job_id: str | None = None,
 ) -> DataFrame:
     """Ingest ``<landing_root>/{load,generation,price}`` -> bronze + ledger.
 
     ``formats`` maps source -> parquet / json / csv (default parquet).
     Generation is read in the two-level form (name, measure, value) unless
     ``generation_types`` lists the columns of a wide file.
+
+    With ``run_date`` only the market day that this run is due for
+    (``lag_days`` before) is read; the predicate prunes a landing root that is
+    partitioned by ``market_day``. Lines whose day cannot be read are kept, and
+    rejected. ``zones`` (comma text) restricts the run and, with ``run_date``,
+    makes every zone without landed rows a failure. Only this call's batches
+    are summarised; ``job_id`` names its folder in the ledger.
     """
     formats = formats or {}
-    for source in SOURCES:
+    job_id = job_id or uuid.uuid4().hex
+    for source in sources:
         path = os.path.join(landing_root, source)
-        if not bronze.path_exists(spark, path, landing.LANDING_LOAD):
-            continue  # nothing landed for this source
-        fmt = formats.get(source, "parquet")
-        if source == "load":
-            normalized = I.normalize_load(landing.read_landing(spark, path, landing.LANDING_LOAD, fmt))
-        elif source == "price":
-            normalized = I.normalize_price(landing.read_landing(spark, path, landing.LANDING_PRICE, fmt))
-        elif generation_types:
-            wide = landing.read_landing(spark, path, landing.landing_generation_wide(generation_types), fmt)
-            normalized = I.normalize_generation_wide(wide, generation_types)
-        else:
-            two = landing.read_landing(spark, path, landing.LANDING_GENERATION_TWO_LEVEL, fmt)
-            normalized = I.normalize_generation_two_level(two)
-        I.ingest(spark, I.prepare(normalized, source), source, bronze_root, ledger_path, ingested_at, mode)
-    verdicts = spark.read.parquet(ledger_path).drop("job_id")
-    verdicts = verdicts.select(*contracts.BATCH, *[c for c in verdicts.columns if c not in contracts.BATCH])
-    return contracts.summary(contracts.ledger(verdicts))
+        landed = None
+        if bronze.path_exists(spark, path, landing.LANDING_LOAD):
+            landed = _read(spark, path, source, formats.get(source, "parquet"), generation_types)
+            if run_date is not None:
+                due = F.col("market_day") == grid.run_days(run_date, lag_days)
+                landed = landed.filter(F.col("market_day").isNull() | due)
+            if zones is not None:
+                landed = landed.filter(F.col("zone_code").isNull()
+                                       | F.array_contains(csv_list(F.lit(zones)), F.col("zone_code")))
+        missing = None
+        if run_date is not None and zones is not None:
+            missing = _absent(spark, landed, source, run_date, lag_days, zones)
+        if landed is None:
+            if missing is not None:
+                empty = spark.createDataFrame([], I.LEDGER_SCHEMA)
+                gone = contracts.ledger(empty.withColumn("passed", F.lit(True)), missing)
+                I.write_ledger(gone, ledger_path, job_id)
+            continue
+        if source == "price":
+            lost = I.price_batches_lost(landed)
+            missing = lost if missing is None else missing.unionByName(lost, allowMissingColumns=True)
+            missing = missing.withColumn("rows", F.coalesce("rows", F.lit(0))).withColumn(
+                "reason", F.coalesce("reason", F.lit(contracts.MISSING_REASON)))
+        with session.Scratch(spark) as scratch:
+            prepared = I.prepare(_normalize(landed, source, generation_types), source, scratch)
+            I.ingest(spark, prepared, source, bronze_root, ledger_path, ingested_at, mode, missing, job_id)
+    return contracts.summary(I.read_ledger(spark, ledger_path, job_id))
 
 
 class StaleSourceError(RuntimeError):
@@ -81,6 +137,9 @@ def build_mart(
 ) -> DataFrame:
     """Full rebuild from bronze, published through the 14 checks.
 
+    The whole mart is replaced, so a month without rows left is gone; a rebuild
+    without any row is refused.
+
     With ``freshness_now``, source freshness runs first and a feed in
     ``error`` stops the build before anything is computed (``warn`` goes on).
     """

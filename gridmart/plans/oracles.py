@@ -12,16 +12,13 @@ IEEE floor form on both sides, and doubles are settled to 6 places.
 from __future__ import annotations
 
 from gridmart import dims
-from gridmart.sources import adapters as A
 
 
 def rha(x: str, digits: int) -> str:
-    """SQL twin of ``functions.numeric.round_half_away``."""
+    """Halves away from zero by IEEE arithmetic; values without a fraction (and NaN) stay as they are."""
     s = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
-    return (
-        f"(CASE WHEN ({x}) < 0 THEN -(CAST(floor(abs({x}) * {s} + 0.5) AS DOUBLE) / {s}) "
-        f"ELSE CAST(floor(abs({x}) * {s} + 0.5) AS DOUBLE) / {s} END)"
-    )
+    up = f"floor(abs({x}) * {s} + 0.5) / {s}"
+    return f"(CASE WHEN abs({x}) * {s} >= 9007199254740992.0 THEN {x} WHEN ({x}) < 0 THEN -({up}) ELSE {up} END)"
 
 
 def settle(body: str, columns: list[str], doubles: list[str]) -> str:
@@ -34,13 +31,21 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# Fixed values, stated anew here so that a wrong one in the adapter cannot pass on both sides.
+ZONES_BY_USER = ["DE_LU", "AT", "NL", "FR", "DK_1", "DK_2"]
+TYPES_BY_EVENT = [
+    ("error", "Fossil Gas"), ("click", "Solar"), ("view", "Nuclear"),
+    ("signup", "Hydro Pumped Storage"), ("purchase", "Hydro Pumped Storage Consumption"),
+]
+
+
 def zone_case(col: str) -> str:
-    whens = " ".join(f"WHEN {i} THEN {_q(z)}" for i, z in enumerate(A.ZONE_BY_USER_MOD6))
+    whens = " ".join(f"WHEN {i} THEN {_q(z)}" for i, z in enumerate(ZONES_BY_USER))
     return f"CASE {col} % 6 {whens} END"
 
 
 def type_case(col: str) -> str:
-    whens = " ".join(f"WHEN {_q(e)} THEN {_q(t)}" for e, t in A.TYPE_BY_EVENT.items())
+    whens = " ".join(f"WHEN {_q(e)} THEN {_q(t)}" for e, t in TYPES_BY_EVENT)
     return f"CASE {col} {whens} END"
 
 
@@ -66,35 +71,43 @@ def dim_type_values() -> str:
 
 QUARTER = "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 15 AS BIGINT))"
 
-ADAPTER = f"""
+def adapter(months: int = 1) -> str:
+    """The bronze-shaped feeds; ``months`` > 1 deals the events over that many months."""
+    events = "events" if months == 1 else (
+        f"(SELECT * REPLACE (ts + to_months(CAST(event_id % {months} AS INTEGER)) AS ts) FROM events) e")
+    return _ADAPTER.replace("{events}", events)
+
+
+_ADAPTER = f"""
 base AS (
-  SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, value, event_type,
+  SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, value, event_type,
          {zone_case('user_id')} AS zone_code,
          CAST(CASE WHEN user_id % 2 = 0 THEN 15 ELSE 60 END AS BIGINT) AS resolution_minutes,
          CASE WHEN user_id % 2 = 0 THEN {QUARTER} ELSE date_trunc('hour', ts) END AS ts_utc,
          CAST(ts AS TIMESTAMP) AS ingested_at,
          CAST(event_id AS VARCHAR) AS run_id
-  FROM events
+  FROM {{events}}
 ),
 raw_load AS (
   SELECT zone_code, ts_utc, resolution_minutes,
-         CASE WHEN event_id % {A.LOAD_NULL_MOD} = 0 THEN CAST(NULL AS DOUBLE)
-              ELSE value * {A.MW_PER_VALUE} END AS load_mw,
-         ingested_at, run_id, event_id
-  FROM base WHERE event_id % {A.LOAD_SKIP_MOD} <> 0
+         CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS DOUBLE)
+              ELSE value * 600.0 END AS load_mw,
+         ingested_at, run_id, event_id, user_id
+  FROM base
 ),
 raw_generation AS (
   SELECT zone_code, ts_utc, resolution_minutes, {type_case('event_type')} AS production_type,
-         value * {A.MW_PER_VALUE} AS generation_mw, ingested_at, run_id, event_id
-  FROM base WHERE event_id % {A.GENERATION_SKIP_MOD} <> 0
+         value * 600.0 AS generation_mw, ingested_at, run_id, event_id, user_id
+  FROM base
 ),
 raw_price AS (
   SELECT zone_code, ts_utc, resolution_minutes,
-         value * {A.PRICE_SCALE} - {A.PRICE_SHIFT} AS price_eur_mwh, ingested_at, run_id, event_id
-  FROM base WHERE event_id % {A.PRICE_SKIP_MOD} <> 0
+         value * 10.0 - 100.0 AS price_eur_mwh, ingested_at, run_id, event_id, user_id
+  FROM base
 ),
 dim_zone AS ({dim_zone_values()}),
 dim_production_type AS ({dim_type_values()})"""
+ADAPTER = adapter()
 
 
 def _stg(name: str, raw: str, measure: str, extra_key: str = "") -> str:
@@ -108,7 +121,7 @@ def _stg(name: str, raw: str, measure: str, extra_key: str = "") -> str:
          max(ingested_at) AS ingested_at
   FROM (
     SELECT *, row_number() OVER (
-        PARTITION BY zone_code, ts_utc{ek} ORDER BY ingested_at DESC, event_id DESC
+        PARTITION BY zone_code, ts_utc{ek} ORDER BY ingested_at DESC, run_id DESC
       ) AS revision_rank
     FROM {raw}
     WHERE ts_utc >= TIMESTAMP '2020-01-01'
@@ -211,7 +224,7 @@ def _stg_sql(view: str, measure: str, extra: list[str]) -> str:
 LATEST_LOAD = """
 SELECT zone_code, ts_utc, resolution_minutes, load_mw, ingested_at, run_id
 FROM (SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
-                                   ORDER BY ingested_at DESC, event_id DESC) AS rn
+                                   ORDER BY ingested_at DESC, run_id DESC) AS rn
       FROM raw_load) r
 WHERE rn = 1"""
 
@@ -219,12 +232,12 @@ NULL_RETRACTION = """
 latest AS (
   SELECT zone_code, ts_utc, load_mw FROM (
     SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
-                                 ORDER BY ingested_at DESC, event_id DESC) AS rn
+                                 ORDER BY ingested_at DESC, run_id DESC) AS rn
     FROM raw_load) r WHERE rn = 1),
 valued AS (
   SELECT zone_code, ts_utc, load_mw FROM (
     SELECT *, row_number() OVER (PARTITION BY zone_code, ts_utc
-                                 ORDER BY ingested_at DESC, event_id DESC) AS rn
+                                 ORDER BY ingested_at DESC, run_id DESC) AS rn
     FROM raw_load WHERE load_mw IS NOT NULL) r WHERE rn = 1)"""
 
 SERVED = ["zone_code", "ts_hour_utc", "date_local", "load_mw", "renewable_mw", "fossil_mw",
@@ -273,7 +286,7 @@ ORDER BY z.zone_code"""
 
 
 def unpivot_sql() -> str:
-    names = A.GENERATION_TYPES_LANDED
+    names = [t for _, t in TYPES_BY_EVENT]
     wide_cols = ", ".join(
         f"max(CASE WHEN production_type = {_q(n)} THEN value END) AS c{i}" for i, n in enumerate(names)
     )
@@ -324,23 +337,21 @@ FROM batches b LEFT JOIN ranked r
 
 
 LANDING_PRICE = f"""
-lp0 AS (
-  SELECT zone_code, ts_utc, price_eur_mwh, event_id, {BERLIN_DAY} AS market_day,
-         CASE WHEN event_id % {A.SERIES_15_MOD} = 0 THEN '15min' ELSE '60min' END AS series_resolution
-  FROM raw_price),
 lp1 AS (
-  SELECT * FROM lp0 WHERE NOT (series_resolution = '15min' AND dayofmonth(market_day) % 2 = 0)),
+  SELECT *, CASE WHEN event_id % 3 = 0 AND dayofmonth(market_day) % 2 = 1 THEN '15min' ELSE '60min' END
+           AS series_resolution
+  FROM (SELECT zone_code, ts_utc, price_eur_mwh, event_id, user_id, {BERLIN_DAY} AS market_day FROM raw_price) r),
 lp2 AS (
-  SELECT zone_code, ts_utc, price_eur_mwh, event_id, market_day, series_resolution FROM lp1
+  SELECT zone_code, ts_utc, price_eur_mwh, user_id, market_day, series_resolution FROM lp1
   UNION ALL
-  SELECT zone_code, ts_utc, price_eur_mwh, event_id, CAST(market_day - INTERVAL 1 DAY AS DATE),
+  SELECT zone_code, ts_utc, price_eur_mwh, user_id, CAST(market_day - INTERVAL 1 DAY AS DATE),
          series_resolution
   FROM lp1 WHERE ts_utc = {win_start('market_day')}),
 lp3 AS (
   SELECT *, CAST((ts_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS TIMESTAMP) AS local_ts
   FROM lp2),
 landing_price AS (
-  SELECT zone_code, market_day, price_eur_mwh, series_resolution, event_id,
+  SELECT zone_code, market_day, price_eur_mwh, series_resolution, user_id,
          strftime(local_ts, '%Y-%m-%dT%H:%M:%S') ||
          printf('%s%02d:%02d',
                 CASE WHEN epoch(local_ts) - epoch(ts_utc) < 0 THEN '-' ELSE '+' END,
@@ -348,7 +359,7 @@ landing_price AS (
                 CAST(trunc(abs(epoch(local_ts) - epoch(ts_utc)) / 60) AS INTEGER) % 60) AS ts
   FROM lp3),
 landing_price_utc AS (
-  SELECT zone_code, market_day, price_eur_mwh, series_resolution, event_id,
+  SELECT zone_code, market_day, price_eur_mwh, series_resolution, user_id,
          CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc
   FROM landing_price)"""
 
@@ -419,28 +430,6 @@ SELECT e.source, e.zone_code, e.market_day, e.window_start_utc, e.window_end_utc
 FROM expected e LEFT JOIN landed l USING (source, zone_code, market_day)"""
 
 
-def fetch_outcomes_sql() -> str:
-    return with_ctes(ADAPTER) + f"""
-, manifest AS (
-  SELECT zone_code, {BERLIN_DAY} AS market_day,
-         CASE event_type WHEN 'error' THEN 'http' WHEN 'view' THEN 'no_data'
-                         WHEN 'signup' THEN 'timeout' WHEN 'purchase' THEN 'connection' END AS error_kind,
-         CASE WHEN event_type = 'error' THEN CAST(400 + event_id % 200 AS INTEGER) END AS http_status
-  FROM base),
-classified AS (
-  SELECT *, CASE
-      WHEN error_kind IS NULL THEN 'ok'
-      WHEN error_kind = 'no_data' THEN 'permanent'
-      WHEN error_kind = 'http' AND (http_status = 429 OR http_status >= 500) THEN 'transient'
-      WHEN error_kind = 'http' THEN 'permanent'
-      WHEN error_kind IN ('connection', 'timeout') THEN 'transient'
-      ELSE 'unclassified' END AS outcome
-  FROM manifest)
-SELECT zone_code, market_day, outcome, count(*) AS attempts,
-       CAST(count_if(outcome = 'transient') AS BIGINT) AS retryable
-FROM classified GROUP BY zone_code, market_day, outcome"""
-
-
 _CONTRACT = {
     # source: (raw view, measure, extra key column, low, high)
     "load": ("raw_load", "load_mw", None, 0, 150000),
@@ -451,32 +440,53 @@ BATCH_COLS = "source, zone_code, market_day, run_id"
 CHECK_NAMES = ["bad_type", "null_required", "bad_zone", "out_of_range", "bad_resolution", "duplicate_keys"]
 
 
+RUN = "zone_code || '|' || CAST(market_day AS VARCHAR) || '|' || CAST(user_id AS VARCHAR)"
+BATCH_EQ = " AND ".join(f"{{a}}.{c} IS NOT DISTINCT FROM {{b}}.{c}" for c in BATCH_COLS.split(", "))
+
+
 def contract_ctes(source: str) -> str:
     """The adapter's contract variant of a feed, then its flags and verdicts."""
     raw, measure, extra, _, _ = _CONTRACT[source]
-    key = f"zone_code, ts_utc, {extra}" if extra else "zone_code, ts_utc"
     extra_sel = f"{extra}, " if extra else ""
     feed = f"""
 cf_{source} AS (
-  SELECT '{source}' AS source, zone_code, market_day, ts_utc, {extra_sel}{measure},
-         CASE WHEN event_id % {A.BAD_RESOLUTION_MOD} = 0 THEN CAST(30 AS BIGINT)
-              ELSE resolution_minutes END AS resolution_minutes,
-         zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
-         CAST(least(row_number() OVER (PARTITION BY {key} ORDER BY ingested_at, event_id), {A.RUN_NO_CAP})
-              AS VARCHAR) AS run_id
+  SELECT '{source}' AS source, zone_code, market_day, ts_utc, {extra_sel}
+         CASE WHEN event_id % 499 <> 0 THEN {measure} END AS {measure}, event_id % 499 = 0 AS no_number,
+         CASE WHEN event_id % 997 = 0 THEN CAST(30 AS BIGINT) ELSE resolution_minutes END AS resolution_minutes,
+         {RUN} AS run_id
   FROM (SELECT *, {BERLIN_DAY} AS market_day FROM {raw}) r)"""
     return feed + "," + verdict_ctes(source, source, f"cf_{source}")
 
 
+def landed_ctes(tag: str, source: str, rows: str) -> str:
+    """Resolution per batch over normalised landed rows, then flags and verdicts (null keys are keys)."""
+    keys = "zone_code, market_day, run_id"
+    same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM m.{c}" for c in keys.split(", "))
+    return f"""
+{tag}_deltas AS (
+  SELECT {keys}, epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY {keys} ORDER BY ts_utc)) AS delta_us
+  FROM (SELECT DISTINCT {keys}, ts_utc FROM {rows} WHERE ts_utc IS NOT NULL) d),
+{tag}_mode AS (
+  SELECT * FROM (
+    SELECT {keys}, delta_us, row_number() OVER (PARTITION BY {keys} ORDER BY count(*) DESC, delta_us ASC) AS rk
+    FROM {tag}_deltas WHERE delta_us IS NOT NULL GROUP BY {keys}, delta_us) c
+  WHERE rk = 1),
+{tag}_prepared AS (
+  SELECT '{source}' AS source, n.*, FALSE AS no_number,
+         CAST(coalesce(floor(m.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
+  FROM {rows} n LEFT JOIN {tag}_mode m ON {same}),
+""" + verdict_ctes(tag, source, f"{tag}_prepared")
+
+
 def verdict_ctes(tag: str, source: str, rows: str) -> str:
     """Row flags ``fl_<tag>`` and batch verdicts ``verdict_<tag>`` over CTE ``rows``."""
     _, measure, extra, lo, hi = _CONTRACT[source]
     key = f"zone_code, ts_utc, {extra}" if extra else "zone_code, ts_utc"
-    req = ["zone_code", "ts_utc", *([extra] if extra else []), "resolution_minutes", "run_id"]
+    req = ["zone_code", "ts_utc", *([extra] if extra else []), "resolution_minutes", "run_id", "market_day"]
     return f"""
 fl_{tag} AS (
   SELECT *,
-    FALSE AS bad_type,
+    no_number AS bad_type,
     ({' OR '.join(f'{c} IS NULL' for c in req)}) AS null_required,
     (zone_code IS NOT NULL AND NOT regexp_matches(zone_code, '^[A-Z]{{2}}(_[A-Z0-9]+)?$')) AS bad_zone,
     ({measure} IS NOT NULL AND NOT ({measure} BETWEEN {lo} AND {hi})) AS out_of_range,
@@ -500,7 +510,7 @@ v_{tag} AS (
          CAST(c.out_of_range AS BIGINT) AS out_of_range,
          CAST(c.bad_resolution AS BIGINT) AS bad_resolution,
          CAST(coalesce(d.duplicate_keys, 0) AS BIGINT) AS duplicate_keys
-  FROM vc_{tag} c LEFT JOIN vd_{tag} d USING (source, zone_code, market_day, run_id)),
+  FROM vc_{tag} c LEFT JOIN vd_{tag} d ON {BATCH_EQ.format(a='c', b='d')}),
 verdict_{tag} AS (
   SELECT *,
     ({' AND '.join(f'{k} = 0' for k in CHECK_NAMES)}) AS passed,
@@ -509,19 +519,11 @@ verdict_{tag} AS (
   FROM v_{tag})"""
 
 
-def ingest_price_landing_sql() -> str:
-    """Landed price text -> run numbering -> series choice -> end boundary ->
-    resolution per batch -> contract -> accepted rows, summarised as bronze."""
-    steps = f"""
-lp_runs AS (
-  SELECT *, zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
-            CAST(least(row_number() OVER (PARTITION BY zone_code, market_day, ts ORDER BY event_id),
-                       {A.RUN_NO_CAP}) AS VARCHAR) AS run_id
-  FROM landing_price),
+PRICE_NORMAL = f"""
 lp_utc AS (
-  SELECT zone_code, market_day, run_id, price_eur_mwh, series_resolution,
+  SELECT zone_code, market_day, {RUN} AS run_id, price_eur_mwh, {{series}} AS series_resolution,
          CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc
-  FROM lp_runs),
+  FROM landing_price),
 lp_pick AS (
   SELECT * FROM (
     SELECT *, min(pref) OVER (PARTITION BY zone_code, market_day, run_id) AS best FROM (
@@ -532,39 +534,21 @@ lp_pick AS (
 lp_bounded AS (
   SELECT zone_code, market_day, run_id, ts_utc, price_eur_mwh FROM lp_pick
   WHERE ts_utc < {win_end('market_day')}),
-lp_stamps AS (
-  SELECT DISTINCT zone_code, market_day, run_id, ts_utc FROM lp_bounded WHERE ts_utc IS NOT NULL),
-lp_deltas AS (
-  SELECT zone_code, market_day, run_id,
-         epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY zone_code, market_day, run_id
-                                                       ORDER BY ts_utc)) AS delta_us
-  FROM lp_stamps),
-lp_mode AS (
-  SELECT * FROM (
-    SELECT zone_code, market_day, run_id, delta_us,
-           row_number() OVER (PARTITION BY zone_code, market_day, run_id
-                              ORDER BY count(*) DESC, delta_us ASC) AS rk
-    FROM lp_deltas WHERE delta_us IS NOT NULL
-    GROUP BY zone_code, market_day, run_id, delta_us) c
-  WHERE rk = 1),
-lp_res AS (
-  SELECT s.zone_code, s.market_day, s.run_id,
-         CAST(coalesce(floor(m.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
-  FROM (SELECT DISTINCT zone_code, market_day, run_id FROM lp_stamps) s
-  LEFT JOIN lp_mode m USING (zone_code, market_day, run_id)),
-lp_prepared AS (
-  SELECT 'price' AS source, b.zone_code, b.market_day, b.run_id, b.ts_utc, b.price_eur_mwh,
-         r.resolution_minutes
-  FROM lp_bounded b JOIN lp_res r USING (zone_code, market_day, run_id))"""
-    body = """
+"""
+
+
+def ingest_price_landing_sql() -> str:
+    """Landed price text -> series choice -> end boundary -> resolution per batch ->
+    contract -> accepted rows, summarised as bronze."""
+    steps = PRICE_NORMAL.format(series="series_resolution") + landed_ctes("lp", "price", "lp_bounded")
+    body = f"""
 SELECT CAST(date_trunc('month', f.ts_utc) AS DATE) AS ts_month, f.zone_code, f.resolution_minutes,
        count(*) AS rows, count(DISTINCT f.run_id) AS runs,
        min(f.ts_utc) AS first_ts_utc, max(f.ts_utc) AS last_ts_utc
 FROM fl_lp f
-WHERE NOT EXISTS (SELECT 1 FROM verdict_lp v WHERE NOT v.passed AND v.zone_code = f.zone_code
-                  AND v.market_day = f.market_day AND v.run_id = f.run_id)
+WHERE NOT EXISTS (SELECT 1 FROM verdict_lp v WHERE NOT v.passed AND {BATCH_EQ.format(a='v', b='f')})
 GROUP BY 1, 2, 3"""
-    return with_ctes(ADAPTER, LANDING_PRICE, steps, verdict_ctes("lp", "price", "lp_prepared")) + body
+    return with_ctes(ADAPTER, LANDING_PRICE, steps) + body
 
 
 def contract_violations_sql(source: str) -> str:
@@ -693,26 +677,16 @@ FROM ({' UNION ALL '.join(parts)}) b
 GROUP BY "table", ts_month, zone_code"""
 
 
-def ingest_generation_landing_sql() -> str:
-    """Landed two-level generation -> flatten -> resolution per batch -> contract -> bronze."""
-    steps = f"""
-lg AS (
-  SELECT zone_code, {BERLIN_DAY} AS market_day, ts_utc, production_type, generation_mw, event_id
-  FROM raw_generation),
-lg_runs AS (
-  SELECT *, zone_code || '|' || CAST(market_day AS VARCHAR) || '|' ||
-            CAST(least(row_number() OVER (PARTITION BY zone_code, market_day, ts_utc, production_type
-                                          ORDER BY event_id), {A.RUN_NO_CAP}) AS VARCHAR) AS run_id
-  FROM lg),
+GENERATION_NORMAL = f"""
 lg_text AS (
-  SELECT zone_code, market_day, run_id, strftime(ts_utc, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ts,
+  SELECT zone_code, market_day, {RUN} AS run_id, strftime(ts_utc, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ts,
          CASE WHEN production_type LIKE '% Consumption'
               THEN substr(production_type, 1, length(production_type) - 12)
               ELSE production_type END AS name,
          CASE WHEN production_type LIKE '% Consumption' THEN 'Actual Consumption'
               ELSE 'Actual Aggregated' END AS measure,
          generation_mw AS value
-  FROM lg_runs),
+  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM raw_generation) g),
 lg_norm AS (
   SELECT zone_code, market_day, run_id,
          CAST(CAST(ts AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts_utc,
@@ -720,30 +694,12 @@ lg_norm AS (
            AS production_type,
          value AS generation_mw
   FROM lg_text),
-lg_stamps AS (
-  SELECT DISTINCT zone_code, market_day, run_id, ts_utc FROM lg_norm WHERE ts_utc IS NOT NULL),
-lg_deltas AS (
-  SELECT zone_code, market_day, run_id,
-         epoch_us(ts_utc) - epoch_us(lag(ts_utc) OVER (PARTITION BY zone_code, market_day, run_id
-                                                       ORDER BY ts_utc)) AS delta_us
-  FROM lg_stamps),
-lg_mode AS (
-  SELECT * FROM (
-    SELECT zone_code, market_day, run_id, delta_us,
-           row_number() OVER (PARTITION BY zone_code, market_day, run_id
-                              ORDER BY count(*) DESC, delta_us ASC) AS rk
-    FROM lg_deltas WHERE delta_us IS NOT NULL
-    GROUP BY zone_code, market_day, run_id, delta_us) c
-  WHERE rk = 1),
-lg_res AS (
-  SELECT s.zone_code, s.market_day, s.run_id,
-         CAST(coalesce(floor(m.delta_us / 60000000), 60) AS BIGINT) AS resolution_minutes
-  FROM (SELECT DISTINCT zone_code, market_day, run_id FROM lg_stamps) s
-  LEFT JOIN lg_mode m USING (zone_code, market_day, run_id)),
-lg_prepared AS (
-  SELECT 'generation' AS source, n.zone_code, n.market_day, n.run_id, n.ts_utc, n.production_type,
-         n.generation_mw, r.resolution_minutes
-  FROM lg_norm n JOIN lg_res r USING (zone_code, market_day, run_id))"""
+"""
+
+
+def ingest_generation_landing_sql() -> str:
+    """Landed two-level generation -> flatten -> resolution per batch -> contract -> bronze."""
+    steps = GENERATION_NORMAL + landed_ctes("lg", "generation", "lg_norm")
     body = """
 SELECT CAST(date_trunc('month', f.ts_utc) AS DATE) AS ts_month, f.zone_code, f.production_type,
        f.resolution_minutes, count(*) AS rows, count(DISTINCT f.run_id) AS runs,
@@ -755,10 +711,41 @@ WHERE NOT EXISTS (SELECT 1 FROM verdict_lg v WHERE NOT v.passed AND v.zone_code
 GROUP BY 1, 2, 3, 4"""
     cols = ["ts_month", "zone_code", "production_type", "resolution_minutes", "rows", "runs",
             "first_ts_utc", "last_ts_utc", "generation_mwh_sum"]
-    return with_ctes(ADAPTER, steps, verdict_ctes("lg", "generation", "lg_prepared")) + "\n" + settle(
+    return with_ctes(ADAPTER, steps) + "\n" + settle(
         body, cols, ["generation_mwh_sum"])
 
 
+def landing_ledger_sql() -> str:
+    """Every batch of the landed files with its outcome, the broken ones included."""
+    load = f"""
+ll_norm AS (
+  SELECT CASE WHEN user_id % 10 <> 7 THEN zone_code END AS zone_code, market_day,
+         CASE WHEN user_id % 25 <> 11 THEN {RUN} END AS run_id,
+         CASE WHEN user_id % 10 <> 3 THEN ts_utc END AS ts_utc, load_mw
+  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM raw_load) r),
+""" + landed_ctes("ll", "load", "ll_norm")
+    price = PRICE_NORMAL.format(
+        series="CASE WHEN user_id % 10 = 4 THEN '30min' ELSE series_resolution END"
+    ) + landed_ctes("lp", "price", "lp_bounded")
+    generation = GENERATION_NORMAL + landed_ctes("lg", "generation", "lg_norm")
+    verdicts = " UNION ALL ".join(f"SELECT * FROM verdict_{t}" for t in ("ll", "lp", "lg"))
+    return with_ctes(ADAPTER, LANDING_PRICE, load, price, generation) + f"""
+SELECT source, zone_code, market_day, run_id, rows,
+       CAST(CASE WHEN passed THEN rows ELSE 0 END AS BIGINT) AS rows_loaded,
+       CASE WHEN passed THEN 'loaded' ELSE 'rejected' END AS status, reason
+FROM ({verdicts}) v
+UNION ALL
+SELECT 'price', zone_code, market_day, run_id, count(*), CAST(0 AS BIGINT), 'missing', 'no price series'
+FROM lp_utc GROUP BY zone_code, market_day, run_id
+HAVING count_if(series_resolution IN ('15min', '60min')) = 0"""
+
+
+def mart_retraction_sql() -> str:
+    """The fact of all months but the one whose load was retracted."""
+    body = FCT_BODY + "\nWHERE date_trunc('month', l.ts_hour_utc) <> TIMESTAMP '2024-02-01'"
+    return with_ctes(adapter(4), STAGING, MIX) + "\n" + settle(body, FCT_COLUMNS, FCT_DOUBLES)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_fct_grid_hourly": fct_sql(),
@@ -795,7 +782,6 @@ def oracle_sql() -> dict[str, str]:
         "q_market_day_windows": windows_sql(),
         "q_end_boundary": end_boundary_sql(),
         "q_job_grid": job_grid_sql(),
-        "q_fetch_outcomes": fetch_outcomes_sql(),
         "q_contract_violations_load": contract_violations_sql("load"),
         "q_contract_violations_generation": contract_violations_sql("generation"),
         "q_contract_violations_price": contract_violations_sql("price"),
@@ -808,4 +794,6 @@ def oracle_sql() -> dict[str, str]:
         "q_incremental_mart": fct_sql(),
         "q_ingest_price_landing": ingest_price_landing_sql(),
         "q_ingest_generation_landing": ingest_generation_landing_sql(),
+        "q_ingest_landing_ledger": landing_ledger_sql(),
+        "q_mart_retraction": mart_retraction_sql(),
     }

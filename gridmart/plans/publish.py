@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart import dims, session
@@ -9,22 +12,36 @@ from gridmart.operators import checks
 from gridmart.sources import mart
 
 
-def publish_fct(spark: SparkSession, fct_with_month: DataFrame, mart_path: str) -> DataFrame:
-    """Publish the fact months present in ``fct_with_month``.
+def publish_fct(
+    spark: SparkSession, fct_with_month: DataFrame, mart_path: str, months: Sequence[date] | None = None
+) -> DataFrame:
+    """Publish the whole fact, or the fact of the given ``months``.
+
+    The candidate is written to a scratch folder (which also cuts its lineage),
+    the 14 data tests run against that stored copy, and only if all pass is the
+    mart changed. A failing check raises and leaves the mart as it was.
 
-    The candidate is written to a fresh folder under the shared root (which
-    also cuts its lineage), the 14 data tests run against that stored copy,
-    and only if all pass are its months overwritten in the mart (dynamic
-    partition overwrite). A failing check raises and leaves the mart as it
-    was. Returns the check results.
+    Without ``months`` the candidate replaces the mart; an empty one is refused,
+    as it passes every check. With ``months`` those months alone are replaced,
+    and a month that has no rows left is removed. Returns the check results.
     """
-    candidate_path = session.fresh_path(spark, "candidate-fct_grid_hourly")
-    mart.write_fct(fct_with_month, candidate_path)
-    candidate = spark.read.schema(mart.FCT_SCHEMA).parquet(candidate_path)
-    results = checks.data_tests(candidate, dims.dim_zone(spark), dims.dim_production_type(spark))
-    failed = checks.gate(results)
-    if failed:
-        raise checks.CheckFailed(f"not published, failing checks: {failed}")
-    # The candidate's files already have the mart layout: copy them, no shuffle.
-    mart.write_fct(candidate, mart_path, mode="overwrite", layout=False)
-    return results
+    with session.Scratch(spark) as scratch:
+        path = session.fresh_path(spark, "candidate-fct_grid_hourly")
+        scratch.paths.append(path)
+        mart.write_fct(fct_with_month, path, replace_all=True)
+        candidate = spark.read.schema(mart.FCT_SCHEMA).parquet(path)
+        results = checks.data_tests(candidate, dims.dim_zone(spark), dims.dim_production_type(spark))
+        rows = results.collect()  # one row per check
+        failed = checks.gate(results)
+        if failed:
+            raise checks.CheckFailed(f"not published, failing checks: {failed}")
+        # Distinct months: bounded by the calendar.
+        present = {r["ts_month"] for r in candidate.select("ts_month").distinct().collect()}
+        if months is None and not present:
+            raise checks.CheckFailed("not published: a full rebuild without any row")
+        # The candidate's files already have the mart layout: copy them, no shuffle.
+        if present:
+            mart.write_fct(candidate, mart_path, layout=False, replace_all=months is None)
+        for month in sorted(set(months or ()) - present):
+            mart.drop_month(spark, mart_path, month)
+        return spark.createDataFrame(rows, results.schema)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gridmart import dims, session
 from gridmart.functions.numeric import settle_doubles
 from gridmart.functions.time import market_day, market_window_end
-from gridmart.operators import checks, contracts, conform, grid, mix, outcomes, reshape, resolution
+from gridmart.operators import checks, contracts, conform, grid, mix, reshape, resolution
 from gridmart.operators import serve, series
 from gridmart.operators.revisions import latest_revision, retracted_keys
 from gridmart.plans.fact import fct_from_bronze
@@ -81,7 +81,7 @@ def q_latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest load revision per interval, null measures included."""
     _prep(spark)
     latest = latest_revision(A.raw_load(spark, sf_dir), SOURCES["load"].key)
-    return settle_doubles(latest.drop("event_id"))
+    return settle_doubles(latest.drop("event_id", "user_id"))
 
 
 def q_null_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +193,7 @@ def q_first_available_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
     lp = _landing_price_utc(spark, sf_dir)
     picked = series.first_available_series(lp, ["zone_code", "market_day"])
-    return settle_doubles(picked.drop("event_id"))
+    return settle_doubles(picked.drop("event_id", "user_id"))
 
 
 def q_market_day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,15 +243,6 @@ def q_job_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch attempts classified transient / permanent / ok, per zone-day."""
-    _prep(spark)
-    m = outcomes.classify(A.landing_manifest(spark, sf_dir))
-    return m.groupBy("zone_code", "market_day", "outcome").agg(
-        F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("retryable")).alias("retryable")
-    )
-
-
 # -- contracts and ledger -------------------------------------------------------
 
 
@@ -303,9 +294,9 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     for source in SOURCES:
         v = _verdicts(spark, sf_dir, source)
         verdict = v if verdict is None else verdict.unionByName(v)
-    landed = _landed_batches(spark, sf_dir).select("source", "zone_code", "market_day")
+    # Every landed batch has a verdict, so what has none landed nothing.
     missing = _expected_batches(spark, sf_dir).join(
-        landed, ["source", "zone_code", "market_day"], "left_anti"
+        verdict.select("source", "zone_code", "market_day"), ["source", "zone_code", "market_day"], "left_anti"
     ).select("source", "zone_code", "market_day")
     return contracts.ledger(verdict, missing)
 
@@ -401,8 +392,9 @@ def q_ingest_price_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = session.fresh_path(spark, "bronze-landing")
     ledger_path = session.fresh_path(spark, "ledger-landing")
-    prepared = I.prepare(I.normalize_price(A.landing_price_batches(spark, sf_dir)), "price")
-    I.ingest(spark, prepared, "price", root, ledger_path, INGESTED_AT)
+    with session.Scratch(spark) as scratch:
+        prepared = I.prepare(I.normalize_price(A.landing_price_batches(spark, sf_dir)), "price", scratch)
+        I.ingest(spark, prepared, "price", root, ledger_path, INGESTED_AT)
     back = bronze.read_bronze(spark, root, SOURCES["price"], start=MIN_TS)
     return back.groupBy("ts_month", "zone_code", "resolution_minutes").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -428,8 +420,9 @@ def q_ingest_generation_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = session.fresh_path(spark, "bronze-landing-gen")
     ledger_path = session.fresh_path(spark, "ledger-landing-gen")
     landed = A.landing_generation_batches(spark, sf_dir)
-    prepared = I.prepare(I.normalize_generation_two_level(landed), "generation")
-    I.ingest(spark, prepared, "generation", root, ledger_path, INGESTED_AT)
+    with session.Scratch(spark) as scratch:
+        prepared = I.prepare(I.normalize_generation_two_level(landed), "generation", scratch)
+        I.ingest(spark, prepared, "generation", root, ledger_path, INGESTED_AT)
     back = bronze.read_bronze(spark, root, SOURCES["generation"], start=MIN_TS)
     return settle_doubles(
         back.groupBy("ts_month", "zone_code", "production_type", "resolution_minutes").agg(
@@ -442,6 +435,69 @@ def q_ingest_generation_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job over landed files in three formats: every batch's outcome.
+
+    Load lands as CSV, generation as JSON, price as Parquet. Some load files
+    carry stamps that are no time, no zone or no run, and some price batches
+    publish no known series: each must appear in the ledger, none may load.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+    from gridmart.plans import jobs
+
+    base = session.fresh_path(spark, "landed")
+    load = A.landing_load_batches(spark, sf_dir)
+    # The zone and the run are broken after the run id is made of them.
+    load.selectExpr(
+        "CASE WHEN user_id % 10 <> 7 THEN zone_code END AS zone_code", "market_day",
+        "CASE WHEN user_id % 25 <> 11 THEN run_id END AS run_id",
+        "CASE WHEN user_id % 10 <> 3 THEN ts ELSE 'no time' END AS ts", "load_mw",
+    ).write.option("header", True).csv(f"{base}/files/load")
+    A.landing_generation_batches(spark, sf_dir).write.json(f"{base}/files/generation")
+    A.landing_price_batches(spark, sf_dir).withColumn(
+        "series_resolution",
+        F.when(F.split_part("run_id", F.lit("|"), F.lit(-1)).cast("long") % 10 == 4, "30min")
+        .otherwise(F.col("series_resolution")),
+    ).write.parquet(f"{base}/files/price")
+    jobs.ingest_landing(
+        spark, f"{base}/files", f"{base}/bronze", f"{base}/ledger",
+        formats={"load": "csv", "generation": "json"}, ingested_at=INGESTED_AT, job_id="query",
+    )
+    session.delete_path(spark, f"{base}/files")
+    return I.read_ledger(spark, f"{base}/ledger", "query")
+
+
+RETRACTED_MONTH = "2024-02-01"
+
+
+def q_mart_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four months of bronze; then every load value of one is withdrawn, and the month must go.
+
+    The mart is built, the retracting revisions are appended, and the touched
+    month is refreshed.
+    """
+    _prep(spark)
+    from gridmart.plans import jobs
+    from gridmart.sources import bronze
+    from gridmart.streaming.incremental import refresh
+
+    base = session.fresh_path(spark, "retraction")
+    root, mart_path = f"{base}/bronze", f"{base}/mart"
+    feeds = {name: fn(spark, sf_dir, months=4) for name, fn in A.RAW_FEEDS.items()}
+    for name, rows in feeds.items():
+        bronze.write_bronze(rows, root, SOURCES[name])
+    jobs.build_mart(spark, root, mart_path)
+    month = F.date_trunc("month", "ts_utc") == F.lit(RETRACTED_MONTH).cast("timestamp")
+    withdrawn = feeds["load"].filter(month).select("zone_code", "ts_utc", "resolution_minutes").distinct()
+    bronze.write_bronze(
+        withdrawn.withColumn("load_mw", F.lit(None).cast("double")).withColumn("run_id", F.lit("withdrawn")),
+        root, SOURCES["load"], ingested_at=datetime(2025, 1, 1, tzinfo=UTC),
+    )
+    refresh(spark, root, mart_path, f"{base}/stream")
+    return settle_doubles(mart.read_fct(spark, mart_path).drop("ts_month"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "q_fct_grid_hourly": q_fct_grid_hourly,
@@ -461,7 +517,6 @@ def registry() -> dict[str, Query]:
         "q_market_day_windows": q_market_day_windows,
         "q_end_boundary": q_end_boundary,
         "q_job_grid": q_job_grid,
-        "q_fetch_outcomes": q_fetch_outcomes,
         "q_contract_violations_load": q_contract_violations_load,
         "q_contract_violations_generation": q_contract_violations_generation,
         "q_contract_violations_price": q_contract_violations_price,
@@ -474,4 +529,6 @@ def registry() -> dict[str, Query]:
         "q_incremental_mart": q_incremental_mart,
         "q_ingest_price_landing": q_ingest_price_landing,
         "q_ingest_generation_landing": q_ingest_generation_landing,
+        "q_ingest_landing_ledger": q_ingest_landing_ledger,
+        "q_mart_retraction": q_mart_retraction,
     }

@@ -36,27 +36,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Target bytes per shuffle partition / scan split on a cluster: large enough
-# to keep task overhead low, small enough that a sort or hash build fits in an
-# executor's execution memory without heavy spilling.
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def size_for_input(spark: SparkSession, input_bytes: int, min_partitions: int = 8) -> int:
-    """Size shuffles and scan splits for an input of ``input_bytes``.
-
-    Sets ``spark.sql.shuffle.partitions`` to about one partition per 256 MB of
-    input (AQE then coalesces small ones and splits skewed ones at runtime)
-    and caps scan splits at the same size. At 100 TB this gives ~400k
-    partitions before coalescing; returns the number chosen.
-    """
-    parts = max(min_partitions, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(TARGET_PARTITION_BYTES))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES // 2))
-    return parts
-
-
 def local_session(
     app: str = "gridmart", cores: str = "*", shuffle_partitions: int = 8
 ) -> SparkSession:
@@ -102,7 +81,10 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
             root = None
     if not root:
-        # Only for local runs with nothing configured (tests): make our own.
+        # Only for local runs with nothing configured (tests): make our own. On a
+        # cluster a machine-local folder would be invisible to other executors.
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gridmart-")
         try:
             spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
@@ -112,21 +94,47 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never-used location under the shared root (one per run)."""
     base = shared_root(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared root and read it back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder we wrote, in whatever store it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
 
-    Cuts the lineage at a stored table: plans that join rows with their own
-    per-batch aggregates (series choice, resolution, verdicts) otherwise
-    repeat the whole upstream subtree in every branch, and a lost executor
-    would recompute it. Survives executor loss (unlike a local checkpoint).
+class Scratch:
+    """Intermediate tables of one job, deleted when the job ends.
+
+    A staged table cuts the lineage at stored files: plans that join rows with
+    their own per-batch aggregates otherwise repeat the whole upstream subtree
+    in every branch, and a lost executor would recompute it. It survives
+    executor loss (unlike a local checkpoint).
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, f"stage-{name}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as parquet under the shared root and read it back."""
+        path = fresh_path(self.spark, f"stage-{name}")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

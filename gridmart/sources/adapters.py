@@ -3,8 +3,9 @@
 The test data has no electricity feeds, so load, generation and price are
 derived from ``events`` by fixed rules (same definition in the DuckDB oracles):
 the user picks the zone and the resolution, the event time the interval, the
-value the measure. Each rule assigns events to feeds; every event feeds at
-least one of them, and all work grows with the table.
+value the measure. Every event is a row of all three feeds, so all work grows
+with the table. An ingest run is one user's rows of one zone and market day:
+users grow with the table, and so do the runs.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from gridmart import session
 from gridmart.functions.time import market_day
@@ -29,22 +29,16 @@ TYPE_BY_EVENT = {
     "signup": "Hydro Pumped Storage",
     "purchase": "Hydro Pumped Storage Consumption",
 }
-# Feed membership and measure rules, keyed on event_id.
-LOAD_SKIP_MOD = 5        # event_id % 5 = 0 is not a load row
+# Measure rules, keyed on event_id.
 LOAD_NULL_MOD = 11       # event_id % 11 = 0 carries a null load (a retraction)
-GENERATION_SKIP_MOD = 3  # event_id % 3 = 0 is not a generation row
-PRICE_SKIP_MOD = 7       # event_id % 7 = 0 is not a price row
 MW_PER_VALUE = 600.0
 PRICE_SCALE, PRICE_SHIFT = 10.0, 100.0
 BAD_RESOLUTION_MOD = 997  # contract variant: event_id % 997 = 0 reports 30 minutes
-RUN_NO_CAP = 3
+BAD_NUMBER_MOD = 499      # contract variant: event_id % 499 = 0 reports BAD_NUMBER as its measure
+BAD_NUMBER = "n/e"
 # ---------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -71,11 +65,12 @@ EVENTS_SCHEMA = T.StructType([
 _EVENTS: dict[tuple[str, str], DataFrame] = {}
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
     """``events`` with ``ts`` as a UTC instant (parquet stores it zone-less).
 
     Read with a declared schema (no footer sampling); the scan definition is
-    built once per session and input and shared by the three feeds.
+    built once per session and input and shared by the three feeds. The table
+    spans one month; ``months`` > 1 deals the events over that many months.
     """
     key = (session.app_key(spark), sf_dir)
     if key not in _EVENTS:
@@ -83,12 +78,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _EVENTS[key] = ev.selectExpr(
             "event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value"
         )
+    if months > 1:
+        later = f"ts + make_ym_interval(0, CAST(event_id % {months} AS INT)) AS ts"
+        return _EVENTS[key].selectExpr("event_id", later, "user_id", "event_type", "value")
     return _EVENTS[key]
 
 
 def _base(ev: DataFrame) -> DataFrame:
     return ev.selectExpr(
         "event_id",
+        "user_id",
         "ts",
         "value",
         "event_type",
@@ -100,30 +99,30 @@ def _base(ev: DataFrame) -> DataFrame:
     )
 
 
-def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped load rows (all revisions). Carries ``event_id`` as tie-break."""
-    b = _base(events(spark, sf_dir)).filter(f"event_id % {LOAD_SKIP_MOD} <> 0")
+def raw_load(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
+    """Bronze-shaped load rows (all revisions), with the event's ids."""
+    b = _base(events(spark, sf_dir, months))
     return b.selectExpr(
         "zone_code", "ts_utc", "resolution_minutes",
         f"CASE WHEN event_id % {LOAD_NULL_MOD} = 0 THEN CAST(NULL AS DOUBLE) "
         f"ELSE value * {MW_PER_VALUE} END AS load_mw",
-        "ingested_at", "run_id", "event_id",
+        "ingested_at", "run_id", "event_id", "user_id",
     )
 
 
-def raw_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(events(spark, sf_dir)).filter(f"event_id % {GENERATION_SKIP_MOD} <> 0")
+def raw_generation(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
+    b = _base(events(spark, sf_dir, months))
     return b.selectExpr(
         "zone_code", "ts_utc", "resolution_minutes", f"{TYPE_SQL} AS production_type",
-        f"value * {MW_PER_VALUE} AS generation_mw", "ingested_at", "run_id", "event_id",
+        f"value * {MW_PER_VALUE} AS generation_mw", "ingested_at", "run_id", "event_id", "user_id",
     )
 
 
-def raw_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(events(spark, sf_dir)).filter(f"event_id % {PRICE_SKIP_MOD} <> 0")
+def raw_price(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
+    b = _base(events(spark, sf_dir, months))
     return b.selectExpr(
         "zone_code", "ts_utc", "resolution_minutes",
-        f"value * {PRICE_SCALE} - {PRICE_SHIFT} AS price_eur_mwh", "ingested_at", "run_id", "event_id",
+        f"value * {PRICE_SCALE} - {PRICE_SHIFT} AS price_eur_mwh", "ingested_at", "run_id", "event_id", "user_id",
     )
 
 
@@ -133,39 +132,27 @@ RAW_FEEDS = {"load": raw_load, "generation": raw_generation, "price": raw_price}
 def contract_feed(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Contract variant of a feed: rows grouped into ingest batches.
 
-    Several events share one interval, so they are spread over runs: the n-th
-    event of a contract key goes to run n (runs past the third share run 3 and
-    therefore collide). A batch is (source, zone_code, market_day, run_id).
-    Rare events report a 30-minute resolution, which the contract rejects.
-
-    Only ranks 1 and 2 matter, so they are found with ``row_number() <= 2``
-    (a map-side partial top-2 before the shuffle, whatever the key's size)
-    and joined back on the unique ``event_id``; every other row is run 3.
+    A batch is (source, zone_code, market_day, run_id) and a run one user's rows
+    of the day. Two events of a user in one interval collide, so some batches
+    fail on duplicates; rare events report a 30-minute resolution or a measure
+    that is no number. Measures are text, as a feed file delivers them.
     """
     from gridmart.specs import SOURCES
 
     spec = SOURCES[source]
     raw = RAW_FEEDS[source](spark, sf_dir)
-    w = Window.partitionBy(*spec.key).orderBy("ingested_at", "event_id")
-    first_two = (
-        raw.select(*spec.key, "ingested_at", "event_id")
-        .withColumn("_rank", F.row_number().over(w))
-        .filter(F.col("_rank") <= RUN_NO_CAP - 1)
-        .select("event_id", "_rank")
-    )
-    joined = raw.join(first_two, "event_id", "left")
     day = "CAST(from_utc_timestamp(ts_utc, 'Europe/Berlin') AS DATE)"
-    rest = [c for c in joined.columns if c not in ("_rank", "resolution_minutes", "run_id")]
-    out = joined.selectExpr(
+    rest = [c for c in raw.columns if c not in ("resolution_minutes", "run_id", spec.measure)]
+    return raw.selectExpr(
         *rest,
+        f"CASE WHEN event_id % {BAD_NUMBER_MOD} = 0 THEN '{BAD_NUMBER}' "
+        f"ELSE CAST({spec.measure} AS STRING) END AS {spec.measure}",
         f"CASE WHEN event_id % {BAD_RESOLUTION_MOD} = 0 THEN CAST(30 AS BIGINT) "
         "ELSE resolution_minutes END AS resolution_minutes",
         f"{day} AS market_day",
-        f"concat_ws('|', zone_code, CAST({day} AS STRING), "
-        f"CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
+        f"concat_ws('|', zone_code, CAST({day} AS STRING), CAST(user_id AS STRING)) AS run_id",
         f"'{source}' AS source",
     )
-    return out
 
 
 # ---------------------------------------------------------------------------
@@ -174,8 +161,8 @@ def contract_feed(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 # The two measures of a two-level generation header.
 AGGREGATED_MEASURE = "Actual Aggregated"
 CONSUMPTION_MEASURE = "Actual Consumption"
-# Price series: event_id % 3 = 0 is quarter-hourly, else hourly; quarter-hour
-# rows are withheld on even days of the month, so those zone-days fall back.
+# Price series: event_id % 3 = 0 is quarter-hourly on odd days of the month, all
+# else hourly, so the zone-days of even days fall back to the hourly series.
 SERIES_15_MOD = 3
 GENERATION_TYPES_LANDED = list(dict.fromkeys(TYPE_BY_EVENT.values()))
 
@@ -223,66 +210,47 @@ def landing_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     also repeats the first stamp of the next day, because the upstream client
     includes the window end. ``series_resolution`` names the published series.
     """
-    from gridmart.functions.time import BERLIN
+    from gridmart.functions.time import BERLIN, market_window_start
 
     p = raw_price(spark, sf_dir).withColumn("market_day", market_day("ts_utc"))
-    series = F.when(F.col("event_id") % SERIES_15_MOD == 0, F.lit("15min")).otherwise(F.lit("60min"))
-    p = p.withColumn("series_resolution", series).filter(
-        ~((F.col("series_resolution") == "15min") & (F.dayofmonth("market_day") % 2 == 0))
-    )
-    from gridmart.functions.time import market_window_start
-
+    quarter = (F.col("event_id") % SERIES_15_MOD == 0) & (F.dayofmonth("market_day") % 2 == 1)
     at_start = F.col("ts_utc") == market_window_start("market_day")
-    spill = p.filter(at_start).withColumn("market_day", F.date_sub("market_day", 1))
-    both = p.unionByName(spill)
+    # One row per landed file: a day's first stamp also closes the day before.
+    days = F.when(at_start, F.array("market_day", F.date_sub("market_day", 1))).otherwise(F.array("market_day"))
+    both = p.withColumn("series_resolution", F.when(quarter, "15min").otherwise("60min")).withColumn(
+        "market_day", F.explode(days)
+    )
     return both.select(
         "zone_code", "market_day", offset_text(F.col("ts_utc"), BERLIN).alias("ts"),
-        "price_eur_mwh", "series_resolution", "event_id",
+        "price_eur_mwh", "series_resolution", "event_id", "user_id",
     )
 
 
+RUN_SQL = "concat_ws('|', zone_code, CAST(market_day AS STRING), CAST(user_id AS STRING)) AS run_id"
+
+
 def landing_price_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``landing_price`` with a run id: the n-th event of a stamp in a zone-day
-    goes to run n (runs past the third share run 3). Ranks 1-2 come from a
-    partial top-2 joined back on the unique ``event_id``, as in ``contract_feed``."""
-    lp = landing_price(spark, sf_dir)
-    key = ["zone_code", "market_day", "ts"]
-    w = Window.partitionBy(*key).orderBy("event_id")
-    first_two = (
-        lp.select(*key, "event_id")
-        .withColumn("_rank", F.row_number().over(w))
-        .filter(F.col("_rank") <= RUN_NO_CAP - 1)
-        .select(*key, "event_id", "_rank")
+    """``landing_price`` with a run id: one user's rows of a zone-day are a run."""
+    return landing_price(spark, sf_dir).selectExpr(
+        "zone_code", "market_day", RUN_SQL, "ts", "price_eur_mwh", "series_resolution"
     )
-    joined = lp.join(first_two, [*key, "event_id"], "left")
-    return joined.selectExpr(
-        "zone_code", "market_day",
-        f"concat_ws('|', zone_code, CAST(market_day AS STRING), CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
-        "ts", "price_eur_mwh", "series_resolution",
+
+
+def landing_load_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load as landed files: (batch, ts text, load_mw), one user's rows of a zone-day a run."""
+    return raw_load(spark, sf_dir).withColumn("market_day", market_day("ts_utc")).selectExpr(
+        "zone_code", "market_day", RUN_SQL, UTC_TEXT_SQL, "load_mw", "event_id", "user_id"
     )
 
 
 def landing_generation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generation as landed two-level files: (batch, ts text, name, measure, value).
-
-    The n-th event of an interval and type in a zone-day goes to run n (runs
-    past the third share run 3); ranks 1-2 come from a partial top-2 joined
-    back on the unique ``event_id``. Stamps are UTC ISO text.
+    """Generation as landed two-level files: (batch, ts text, name, measure, value),
+    one user's rows of a zone-day a run. Stamps are UTC ISO text.
     """
     g = raw_generation(spark, sf_dir).withColumn("market_day", market_day("ts_utc"))
-    key = ["zone_code", "market_day", "ts_utc", "production_type"]
-    w = Window.partitionBy(*key).orderBy("event_id")
-    first_two = (
-        g.select(*key, "event_id")
-        .withColumn("_rank", F.row_number().over(w))
-        .filter(F.col("_rank") <= RUN_NO_CAP - 1)
-        .select("event_id", "_rank")
-    )
     cons = "production_type LIKE '% Consumption'"
-    return g.join(first_two, "event_id", "left").selectExpr(
-        "zone_code", "market_day",
-        f"concat_ws('|', zone_code, CAST(market_day AS STRING), CAST(coalesce(_rank, {RUN_NO_CAP}) AS STRING)) AS run_id",
-        "concat(date_format(ts_utc, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00') AS ts",
+    return g.selectExpr(
+        "zone_code", "market_day", RUN_SQL, UTC_TEXT_SQL,
         f"CASE WHEN {cons} THEN substring(production_type, 1, length(production_type) - 12) "
         "ELSE production_type END AS name",
         f"CASE WHEN {cons} THEN '{CONSUMPTION_MEASURE}' ELSE '{AGGREGATED_MEASURE}' END AS measure",
@@ -290,21 +258,4 @@ def landing_generation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One fetch attempt per event: how the feed call ended.
-
-    error -> HTTP status 400 + event_id % 200 (covers 429 and 5xx); view ->
-    no data; signup -> timeout; purchase -> connection error; click -> ok.
-    """
-    b = _base(events(spark, sf_dir))
-    kind = (
-        F.when(F.col("event_type") == "error", F.lit("http"))
-        .when(F.col("event_type") == "view", F.lit("no_data"))
-        .when(F.col("event_type") == "signup", F.lit("timeout"))
-        .when(F.col("event_type") == "purchase", F.lit("connection"))
-    )
-    status = F.when(F.col("event_type") == "error", (F.lit(400) + F.col("event_id") % 200).cast("int"))
-    return b.select(
-        "zone_code", market_day("ts_utc").alias("market_day"), "event_id",
-        kind.alias("error_kind"), status.alias("http_status"),
-    )
+UTC_TEXT_SQL = "concat(date_format(ts_utc, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00') AS ts"

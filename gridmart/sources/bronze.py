@@ -57,14 +57,13 @@ def write_bronze(
     The count comes from an ``Observation`` on the write itself, so the data
     is computed once.
 
-    Write tasks are hash-partitioned on the accepted rows' unique key
-    (month, zone[, type], ts_utc, run_id): no value of it can be hot (a
-    contract rejects duplicates inside a run, and replays differ in run_id),
-    so a zone or month holding a third of the data still spreads over all
-    tasks. No range-sampling pass re-runs the upstream plan.
+    Rows are rebalanced by (month, zone): a group goes to one task, adaptive
+    execution splits the tasks that are too large (a hot zone-month) and merges
+    small ones. So the number of files follows the size of the data, not
+    tasks x months, and a file spans few zones.
     """
     rows = to_bronze_rows(df, spec, ingested_at)
-    layout = rows.repartition("ts_month", *spec.cluster_by, "ts_utc", "run_id").sortWithinPartitions(
+    layout = rows.hint("rebalance", "ts_month", "zone_code").sortWithinPartitions(
         "ts_month", *spec.cluster_by, "ts_utc"
     )
     obs = Observation(f"bronze_{spec.table}")

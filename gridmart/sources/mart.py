@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmart import session
 from gridmart.functions.time import month_key
 from gridmart.specs import FCT_COLUMNS
 
@@ -23,25 +24,28 @@ FCT_SCHEMA = T.StructType([
 ])
 
 
-def write_fct(
-    fct_with_month: DataFrame, path: str, mode: str = "overwrite", layout: bool = True
-) -> None:
+def write_fct(fct_with_month: DataFrame, path: str, layout: bool = True, replace_all: bool = False) -> None:
     """Write the fact partitioned by month, sorted by zone then hour.
 
     One write task per (month, zone) group: the fact holds at most 744 rows
     for a zone-month, so the key is bounded and needs no range sampling.
 
-    With ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by
-    ``gridmart.session``) an overwrite replaces only the months present in
-    the frame, which is what the incremental refresh relies on.
+    An overwrite replaces only the months present in the frame (what the
+    incremental refresh relies on), or with ``replace_all`` the whole table.
     """
     out = fct_with_month
     if layout:  # skipped when copying files that already have this layout
         out = out.repartition("ts_month", "zone_code").sortWithinPartitions(
             "ts_month", "zone_code", "ts_hour_utc"
         )
-    # Per-write option: replace only the months present, whatever the session says.
-    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ts_month").parquet(path)
+    # Per-write option, whatever the session says.
+    kind = "static" if replace_all else "dynamic"
+    out.write.mode("overwrite").option("partitionOverwriteMode", kind).partitionBy("ts_month").parquet(path)
+
+
+def drop_month(spark: SparkSession, path: str, month: date) -> None:
+    """Remove one month of the mart (nothing to do if it has none)."""
+    session.delete_path(spark, f"{path}/ts_month={month.isoformat()}")
 
 
 def read_fct(

@@ -4,8 +4,8 @@ A Structured Streaming query over the three bronze tables (file source,
 ``trigger(availableNow=True)``) sees each newly appended file once. Per
 micro-batch, ``foreachBatch`` takes the distinct ``ts_month`` values touched
 (a handful of dates), re-reads *all* revisions of those months from all three
-feeds, rebuilds their fact rows and publishes them through the gate with a
-dynamic partition overwrite. A UTC hour never straddles a UTC month, so
+feeds, rebuilds their fact rows and publishes them through the gate: every
+touched month is replaced, one with no rows left is removed. A UTC hour never straddles a UTC month, so
 months are independent and the result equals a full rebuild.
 
 No watermark: late revisions of any age must still be applied, and no state
@@ -70,7 +70,7 @@ def refresh(
             return
         # The rebuild is an ordinary batch job over bronze, so it runs in the
         # caller's session (micro-batch sessions run with AQE switched off).
-        publish_fct(spark, rebuild_months(spark, bronze_root, months), mart_path)
+        publish_fct(spark, rebuild_months(spark, bronze_root, months), mart_path, months)
         rebuilt.extend(months)
 
     query = (
