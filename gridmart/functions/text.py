@@ -22,15 +22,20 @@ def encode_cursor(ts: datetime) -> str:
     return base64.urlsafe_b64encode(ts.astimezone(UTC).isoformat().encode()).decode()
 
 
+class CursorError(ValueError):
+    """A page token that no page of ours gave out."""
+
+
 def decode_cursor(cursor: str | None) -> datetime | None:
-    """Inverse of ``encode_cursor``. Empty -> None; malformed -> ValueError."""
-    if not cursor:
+    """The instant in a page token; no token (or an empty one) means the first page."""
+    if cursor is None or cursor == "":
         return None
     try:
-        value = datetime.fromisoformat(base64.urlsafe_b64decode(cursor.encode()).decode())
-    except Exception as exc:  # noqa: BLE001 - any decoding problem is one error
-        raise ValueError("malformed cursor") from exc
-    return value if value.tzinfo else value.replace(tzinfo=UTC)
+        text = base64.b64decode(cursor, altchars=b"-_", validate=True).decode("ascii")
+        instant = datetime.fromisoformat(text)
+    except (ValueError, UnicodeError) as exc:
+        raise CursorError(f"not a page token: {cursor!r}") from exc
+    return instant.replace(tzinfo=instant.tzinfo or UTC)
 
 
 def cursor_expr(ts: Column) -> Column:

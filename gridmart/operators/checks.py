@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridmart.dims import CATEGORIES, FLOW_DIRECTIONS
 
-MAX_CARBON_INTENSITY = 1100.0  # g/kWh; lignite is about 1050
+MAX_CARBON_INTENSITY = 1100.0  # g/kWh, above any emission factor of the type dimension
 WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 26, 48
 FRESHNESS_LOOKBACK_DAYS = 30
 

@@ -57,7 +57,6 @@ def build_fct(
             "CASE WHEN total_generation_mw > 0 THEN "
             f"{round_half_away_sql('renewable_mw / total_generation_mw * 100.0', 2)} END"
         ),
-        # What dispatchable plant and imports must cover once renewables are in.
         "residual_load_mw": F.col("load_mw") - F.coalesce(F.col("renewable_mw"), F.lit(0.0)),
         "carbon_intensity_g_kwh": F.expr(
             "CASE WHEN total_generation_mw > 0 THEN "

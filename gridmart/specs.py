@@ -91,6 +91,7 @@ class Contract:
     zone_pattern: str = ZONE_PATTERN
 
 
+# Columns, required fields, ranges and resolutions of the three feeds.
 _COMMON = {
     "zone_code": T.StringType(),
     "ts_utc": T.TimestampType(),

@@ -48,3 +48,44 @@ def test_range_scan_prunes_months(spark):
 def test_empty_write_adds_nothing(spark):
     root = session.fresh_path(spark, "t-bronze")
     assert bronze.write_bronze(_rows(spark).limit(0), root, LOAD) == 0
+
+
+def test_files_follow_the_data_not_tasks_times_months(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    root = session.fresh_path(spark, "t-layout")
+    zones = F.element_at(F.array(*[F.lit(z) for z in ("DE_LU", "AT", "NL", "FR", "DK_1", "DK_2")]),
+                         (F.col("id") % 6 + 1).cast("int"))
+    rows = spark.range(0, 60_000, numPartitions=16).select(
+        zones.alias("zone_code"), (F.lit("2023-01-01").cast("timestamp")
+                                   + F.make_dt_interval(hours=(F.col("id") / 6).cast("int"))).alias("ts_utc"),
+        F.lit(60).cast("long").alias("resolution_minutes"), F.lit(1.0).alias("load_mw"),
+        F.lit("2024-06-01").cast("timestamp").alias("ingested_at"), F.lit("r").alias("run_id"))
+    assert bronze.write_bronze(rows, root, LOAD) == 60_000
+    files = glob.glob(f"{root}/raw_load/ts_month=*/part-*")
+    months = {f.split("ts_month=")[1][:10] for f in files}
+    assert len(months) >= 13 and len(files) <= len(months) * 6
+
+
+def test_a_large_group_is_split_and_small_ones_are_merged(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        root = session.fresh_path(spark, "t-hot")
+        n = 200_000
+        rows = spark.range(0, n, numPartitions=8).select(
+            F.when(F.col("id") < n - 1000, "DE_LU").otherwise("AT").alias("zone_code"),
+            (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=(F.col("id") % 40000).cast("int"))).alias("ts_utc"),
+            F.lit(15).cast("long").alias("resolution_minutes"), F.rand(1).alias("load_mw"),
+            F.lit("2024-06-01").cast("timestamp").alias("ingested_at"), F.col("id").cast("string").alias("run_id"))
+        assert bronze.write_bronze(rows, root, LOAD) == n
+        files = glob.glob(f"{root}/raw_load/ts_month=2024-01-01/part-*")
+        assert 4 <= len(files) <= 100  # the hot zone-month went to several tasks
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

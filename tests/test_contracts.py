@@ -1,131 +1,107 @@
+"""Batch contracts: one table of row faults, then what a verdict does to its batch."""
+
 import pytest
 from pyspark.sql import functions as F
 
-from gridmart.operators import contracts
-from gridmart.specs import GENERATION_CONTRACT, LOAD_CONTRACT, PRICE_CONTRACT
-
-LOAD_COLS = "source string, zone_code string, market_day string, ts_utc string, load_mw double, resolution_minutes long, run_id string"
-
-
-def _load(spark, **overrides):
-    row = {
-        "source": "load",
-        "zone_code": "DE_LU",
-        "market_day": "2026-08-01",
-        "ts_utc": "2026-08-01 10:00:00",
-        "load_mw": 55_000.0,
-        "resolution_minutes": 15,
-        "run_id": "11111111-1111-1111-1111-111111111111",
-    }
-    row.update(overrides)
-    names = [c.split()[0] for c in LOAD_COLS.split(", ")]
-    df = spark.createDataFrame([tuple(row[n] for n in names)], LOAD_COLS)
-    return df.withColumn("market_day", F.to_date("market_day")).withColumn("ts_utc", F.col("ts_utc").cast("timestamp"))
-
-
-def _verdict(df, contract=LOAD_CONTRACT):
-    flagged = contracts.flag_rows(df, contract)
-    return contracts.verdicts(flagged, contract).collect()
-
-
-def test_valid_row_passes(spark):
-    [v] = _verdict(_load(spark))
-    assert v["passed"] and v["rows"] == 1 and v["reason"] is None
-
-
-def test_implausible_load_is_rejected(spark):
-    [v] = _verdict(_load(spark, load_mw=900_000.0))
-    assert not v["passed"] and v["reason"] == "out_of_range"
-
-
-def test_null_measure_allowed_but_null_timestamp_is_not(spark):
-    [v] = _verdict(_load(spark, load_mw=None))
-    assert v["passed"]
-    [v] = _verdict(_load(spark, ts_utc=None))
-    assert not v["passed"] and "null_required" in v["reason"]
-
-
-def test_nan_measure_is_treated_as_null(spark):
-    [v] = _verdict(_load(spark, load_mw=float("nan")))
-    assert v["passed"]
-
-
-def test_unexpected_resolution_is_rejected(spark):
-    [v] = _verdict(_load(spark, resolution_minutes=30))
-    assert not v["passed"] and v["reason"] == "bad_resolution"
-
-
-def test_bad_zone_is_rejected(spark):
-    [v] = _verdict(_load(spark, zone_code="not-a-zone"))
-    assert not v["passed"] and v["reason"] == "bad_zone"
-
-
-def test_negative_prices_are_valid(spark):
-    df = _load(spark, ts_utc="2026-05-01 13:00:00", resolution_minutes=60).withColumnRenamed(
-        "load_mw", "price_eur_mwh"
-    ).withColumn("price_eur_mwh", F.lit(-42.5)).withColumn("source", F.lit("price"))
-    [v] = _verdict(df, PRICE_CONTRACT)
-    assert v["passed"]
-
-
-def test_undeclared_columns_are_filtered_out(spark):
-    df = _load(spark).withColumn("unexpected", F.lit("surprise"))
-    assert "unexpected" not in contracts.flag_rows(df, LOAD_CONTRACT).columns
-
-
-def test_uncastable_value_is_a_type_violation(spark):
-    df = _load(spark).withColumn("load_mw", F.lit("lots"))
-    [v] = _verdict(df)
-    assert not v["passed"] and v["reason"] == "bad_type"
-
-
-def test_missing_declared_column_fails_before_planning(spark):
-    with pytest.raises(contracts.ContractError):
-        contracts.flag_rows(_load(spark).drop("resolution_minutes"), LOAD_CONTRACT)
-
-
-def test_duplicate_production_type_is_rejected(spark):
-    """Guards the pumped-storage collapse: two rows for one type and stamp."""
-    rows = [
-        ("generation", "DE_LU", "2026-08-01", "2026-08-01 10:00:00", "Hydro Pumped Storage", 100.0, 15, "1"),
-        ("generation", "DE_LU", "2026-08-01", "2026-08-01 10:00:00", "Hydro Pumped Storage", 200.0, 15, "1"),
-    ]
-    df = spark.createDataFrame(
-        rows,
-        "source string, zone_code string, market_day string, ts_utc string, production_type string, "
-        "generation_mw double, resolution_minutes long, run_id string",
-    ).withColumn("market_day", F.to_date("market_day")).withColumn("ts_utc", F.col("ts_utc").cast("timestamp"))
-    [v] = _verdict(df, GENERATION_CONTRACT)
-    assert not v["passed"] and v["duplicate_keys"] == 1 and v["reason"] == "duplicate_keys"
-
-
-def test_one_bad_row_rejects_only_its_batch(spark):
-    good = _load(spark, run_id="good")
-    bad = _load(spark, run_id="bad").unionByName(_load(spark, run_id="bad", ts_utc="2026-08-01 10:15:00", load_mw=-5.0))
-    df = good.unionByName(bad)
-    flagged = contracts.flag_rows(df, LOAD_CONTRACT)
-    verdict = contracts.verdicts(flagged, LOAD_CONTRACT)
-    kept = contracts.valid_rows(flagged, verdict, LOAD_CONTRACT)
-    assert [r["run_id"] for r in kept.collect()] == ["good"]
-    ledger = {r["run_id"]: r for r in contracts.ledger(verdict).collect()}
-    assert ledger["good"]["status"] == "loaded" and ledger["good"]["rows_loaded"] == 1
-    assert ledger["bad"]["status"] == "rejected" and ledger["bad"]["rows_loaded"] == 0
-    assert ledger["bad"]["reason"] == "out_of_range"
-    # Row mode quarantines only the offending row.
-    kept_rows = contracts.valid_rows(flagged, verdict, LOAD_CONTRACT, mode="row")
-    assert sorted(r["run_id"] for r in kept_rows.collect()) == ["bad", "good"]
-
-
-def test_summary_counts_failures_per_source(spark):
-    df = _load(spark, run_id="a").unionByName(_load(spark, run_id="b", load_mw=-1.0))
-    flagged = contracts.flag_rows(df, LOAD_CONTRACT)
-    [s] = contracts.summary(contracts.ledger(contracts.verdicts(flagged, LOAD_CONTRACT))).collect()
-    assert (s["zones"], s["batches"], s["failures"], s["rows_loaded"]) == (1, 2, 1, 1)
-
-
-def test_duplicate_report_counts_keys_and_rows(spark):
-    df = _load(spark).unionByName(_load(spark)).unionByName(_load(spark)).unionByName(
-        _load(spark, ts_utc="2026-08-01 11:00:00")
-    )
-    [r] = contracts.duplicate_keys(contracts.flag_rows(df, LOAD_CONTRACT), LOAD_CONTRACT).collect()
-    assert (r["duplicate_keys"], r["duplicate_rows"]) == (1, 3)
+from gridmart.operators import contracts as C
+from gridmart.specs import SOURCES
+
+BATCH = "source, zone_code, market_day, run_id"
+
+
+def feed(spark, source, rows):
+    """rows: (run, dict of overrides); measures are text, as files deliver them."""
+    spec = SOURCES[source]
+    base = {"source": source, "zone_code": "NL", "market_day": "2023-05-04", "ts_utc": "2023-05-04 06:00:00",
+            "resolution_minutes": "60", "production_type": "Solar", "measure": "12.5", "undeclared": "x"}
+    made = [{**base, "run_id": run, **over} for run, over in rows]
+    names = [*base, "run_id"]
+    df = spark.createDataFrame([tuple(m[n] for n in names) for m in made], ", ".join(f"{n} string" for n in names))
+    df = df.withColumn("market_day", F.to_date("market_day")).withColumnRenamed("measure", spec.measure)
+    return df if "production_type" in spec.contract.columns else df.drop("production_type")
+
+
+def outcome(spark, source, rows):
+    flagged = C.flag_rows(feed(spark, source, rows), SOURCES[source].contract)
+    return {r["run_id"]: r for r in C.verdicts(flagged, SOURCES[source].contract).collect()}
+
+
+# run -> (overrides of its only row, reason or None)
+FAULTS = {
+    "load": {
+        "plain": ({}, None), "zero": ({"measure": "0"}, None), "top": ({"measure": "150000"}, None),
+        "above": ({"measure": "150000.5"}, "out_of_range"), "below": ({"measure": "-0.1"}, "out_of_range"),
+        "empty": ({"measure": None}, None), "nan": ({"measure": "NaN"}, None),
+        "word": ({"measure": "much"}, "bad_type"), "quarter": ({"resolution_minutes": "15"}, None),
+        "half": ({"resolution_minutes": "30"}, "bad_resolution"), "no time": ({"ts_utc": None}, "null_required"),
+        "no clock": ({"ts_utc": "soon"}, "bad_type,null_required"), "lower": ({"zone_code": "nl"}, "bad_zone"),
+        "no zone": ({"zone_code": None}, "null_required"), "no day": ({"market_day": None}, "null_required"),
+        "two": ({"zone_code": "??", "measure": "1e9"}, "bad_zone,out_of_range"),
+    },
+    "price": {
+        "negative": ({"measure": "-499.9"}, None), "floor": ({"measure": "-500"}, None),
+        "under": ({"measure": "-501"}, "out_of_range"), "over": ({"measure": "4000.01"}, "out_of_range"),
+    },
+    "generation": {"no type": ({"production_type": None}, "null_required"), "any type": ({"production_type": "Tidal"}, None)},
+}
+
+
+@pytest.mark.parametrize("source", sorted(FAULTS))
+def test_each_fault_rejects_its_own_batch_alone(spark, source):
+    got = outcome(spark, source, [(run, over) for run, (over, _) in FAULTS[source].items()])
+    reasons = {run: got[run]["reason"] for run in FAULTS[source]}
+    # A stamp that cannot be read is both no timestamp and, once cast, missing.
+    want = {run: reason for run, (_, reason) in FAULTS[source].items()}
+    want = {k: ("bad_type" if v == "bad_type,null_required" else v) for k, v in want.items()}
+    assert reasons == want and all(got[r]["passed"] == (want[r] is None) for r in want)
+
+
+def test_one_type_twice_in_an_interval_collides_and_two_types_do_not(spark):
+    got = outcome(spark, "generation", [
+        ("twice", {}), ("twice", {"measure": "1"}), ("twice", {"ts_utc": "2023-05-04 07:00:00"}),
+        ("both", {}), ("both", {"production_type": "Nuclear"})])
+    assert (got["twice"]["duplicate_keys"], got["twice"]["reason"], got["twice"]["rows"]) == (1, "duplicate_keys", 3)
+    assert got["both"]["passed"]
+
+
+def test_only_declared_columns_remain_and_a_lacking_one_is_refused(spark):
+    df = feed(spark, "load", [("r", {})])
+    assert "undeclared" not in C.flag_rows(df, SOURCES["load"].contract).columns
+    with pytest.raises(C.ContractError, match="resolution_minutes"):
+        C.flag_rows(df.drop("resolution_minutes"), SOURCES["load"].contract)
+
+
+ROWS = [("good", {}), ("bad", {}), ("bad", {"ts_utc": "2023-05-04 07:00:00", "measure": "-1"}),
+        (None, {}), ("zoneless", {"zone_code": None})]
+
+
+def test_rows_of_rejected_batches_are_held_back_null_keys_included(spark):
+    contract = SOURCES["load"].contract
+    flagged = C.flag_rows(feed(spark, "load", ROWS), contract)
+    verdict = C.verdicts(flagged, contract)
+    assert [r["run_id"] for r in C.valid_rows(flagged, verdict, contract).collect()] == ["good"]
+    # Row mode keeps the sound row of the bad batch; a row without a key is never sound.
+    by_row = C.valid_rows(flagged, verdict, contract, mode="row").collect()
+    assert sorted(r["run_id"] for r in by_row) == ["bad", "good"]
+    with pytest.raises(ValueError):
+        C.valid_rows(flagged, verdict, contract, mode="other")
+
+
+def test_ledger_and_summary_account_for_every_row(spark):
+    contract = SOURCES["load"].contract
+    verdict = C.verdicts(C.flag_rows(feed(spark, "load", ROWS), contract), contract)
+    lost = spark.createDataFrame([("load", "AT", 3, "gone")], "source string, zone_code string, rows long, reason string")
+    ledger = C.ledger(verdict, lost)
+    assert ledger.agg(F.sum("rows"), F.sum("rows_loaded")).first() == (len(ROWS) + 3, 1)
+    rows = {(r["run_id"], r["status"]): r["reason"] for r in ledger.collect()}
+    assert rows[("good", "loaded")] is None and rows[("bad", "rejected")] == "out_of_range"
+    assert rows[(None, "missing")] == "gone" and rows[("zoneless", "rejected")] == "null_required"
+    s = C.summary(ledger).first()
+    assert (s["zones"], s["batches"], s["failures"], s["rows_loaded"]) == (2, 5, 4, 1)
+
+
+def test_duplicate_report_names_keys_and_rows(spark):
+    contract = SOURCES["load"].contract
+    flagged = C.flag_rows(feed(spark, "load", [("r", {})] * 4 + [("r", {"ts_utc": "2023-05-04 07:00:00"})]), contract)
+    r = C.duplicate_keys(flagged, contract).first()
+    assert (r["duplicate_keys"], r["duplicate_rows"]) == (1, 4)

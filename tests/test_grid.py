@@ -24,14 +24,3 @@ def test_run_days_default_to_yesterday_or_two_back(spark):
         grid.run_days("2026-08-15").alias("cli"), grid.run_days("2026-08-15", 2).alias("dag")
     ).first()
     assert row["cli"] == date(2026, 8, 14) and row["dag"] == date(2026, 8, 13)
-
-
-def test_partition_sizing_scales_with_input(spark):
-    from gridmart.session import size_for_input
-
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_for_input(spark, 10 * 1024**2) == 8
-        assert size_for_input(spark, 100 * 1024**4) == 409600
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)

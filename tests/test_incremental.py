@@ -1,5 +1,7 @@
 """Incremental refresh equals a full rebuild and only rebuilds touched months."""
 
+from datetime import date
+
 import builders as B
 
 from gridmart import session
@@ -101,8 +103,18 @@ def test_publishing_some_months_keeps_the_others_even_in_static_mode(spark):
                           B.empty_generation(spark), B.empty_price(spark), with_month=True)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     try:
-        publish_fct(spark, jan, path)
-        publish_fct(spark, feb, path)
+        publish_fct(spark, jan, path, [date(2024, 1, 1)])
+        publish_fct(spark, feb, path, [date(2024, 2, 1)])
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     assert sorted(r["load_mw"] for r in mart.read_fct(spark, path).collect()) == [1.0, 2.0]
+
+
+def test_refresh_removes_a_month_that_lost_its_last_row(spark):
+    root, mart_path, ckpt = (session.fresh_path(spark, f"t-gone-{x}") for x in ("bronze", "mart", "ckpt"))
+    bronze.write_bronze(B.load(spark, [_load("2024-01-10 05:00:00", 1.0, "2024-01-11 00:00:00"),
+                                       _load("2024-02-10 05:00:00", 2.0, "2024-02-11 00:00:00")]), root, SOURCES["load"])
+    refresh(spark, root, mart_path, ckpt)
+    bronze.write_bronze(B.load(spark, [_load("2024-01-10 05:00:00", None, "2024-03-01 00:00:00", "w")]), root, SOURCES["load"])
+    assert [str(m) for m in refresh(spark, root, mart_path, ckpt)] == ["2024-01-01"]
+    assert [r["load_mw"] for r in mart.read_fct(spark, mart_path).collect()] == [2.0]

@@ -37,7 +37,7 @@ def test_load_files_to_bronze_with_batch_verdicts(spark):
     # 02:00 local (+02:00) is 00:00 UTC.
     assert str(back.agg(F.min("ts_utc")).first()[0]) == "2026-07-31 22:00:00"
     rows = {r["run_id"]: r for r in spark.read.parquet(ledger).collect()}
-    assert rows["run-a"]["passed"] and not rows["run-b"]["passed"]
+    assert rows["run-a"]["status"] == "loaded" and rows["run-b"]["status"] == "rejected"
     assert rows["run-b"]["reason"] == "out_of_range"
 
 
@@ -111,4 +111,61 @@ def test_malformed_number_in_a_text_file_rejects_its_batch(spark):
     prepared = I.prepare(I.normalize_load(landed), "load")
     assert I.ingest(spark, prepared, "load", f"{base}/bronze", f"{base}/ledger") == 3
     ledger = {r["run_id"]: r for r in spark.read.parquet(f"{base}/ledger").collect()}
-    assert ledger["ok"]["passed"] and ledger["bad"]["reason"] == "bad_type"
+    assert ledger["ok"]["status"] == "loaded" and ledger["bad"]["reason"] == "bad_type"
+
+
+LOAD_HEADER = ["zone_code", "market_day", "run_id", "ts", "load_mw"]
+
+
+def test_no_batch_vanishes_and_no_rejected_row_is_written(spark):
+    base = session.fresh_path(spark, "t-landing")
+    day = "2026-08-01"
+    stamps = [f"{day}T{h:02d}:00:00+00:00" for h in range(4)]
+    rows = [("NL", day, "fine", t, "5.0") for t in stamps]
+    rows += [("NL", day, "no-time", "soon", "5.0") for _ in stamps]
+    rows += [("", day, "no-zone", t, "5.0") for t in stamps]
+    rows += [("NL", day, "", t, "5.0") for t in stamps]
+    rows += [("NL", "someday", "no-day", t, "5.0") for t in stamps]
+    _write_csv(f"{base}/load", LOAD_HEADER, rows)
+    with open(f"{base}/load/part-1.csv", "w") as fh:
+        fh.write(",".join(LOAD_HEADER) + "\nbroken line\n")
+    landed = landing.read_landing(spark, f"{base}/load", landing.LANDING_LOAD, fmt="csv")
+    with session.Scratch(spark) as scratch:
+        prepared = I.prepare(I.normalize_load(landed), "load", scratch)
+        assert I.ingest(spark, prepared, "load", f"{base}/bronze", f"{base}/ledger", job_id="j") == 4
+    ledger = I.read_ledger(spark, f"{base}/ledger", "j").collect()
+    assert sum(r["rows"] for r in ledger) == len(rows) + 1 and len(ledger) == 6
+    assert [r["run_id"] for r in ledger if r["status"] == "loaded"] == ["fine"]
+    assert all("null_required" in r["reason"] for r in ledger if r["status"] == "rejected")
+    back = bronze.read_bronze(spark, f"{base}/bronze", SOURCES["load"], start="2026-07-01")
+    assert {r["run_id"] for r in back.collect()} == {"fine"}
+
+
+def test_price_rows_with_junk_stamps_or_no_series_fail_their_batch(spark):
+    day = "2026-08-01"
+    rows = [("NL", day, "junk", f"{day}T{h:02d}:00:00+00:00", 1.0, "60min") for h in range(3)]
+    rows += [("NL", day, "junk", "half past", 1.0, "60min"), ("AT", day, "odd", f"{day}T01:00:00+00:00", 1.0, "30min")]
+    df = spark.createDataFrame(
+        rows, "zone_code string, market_day string, run_id string, ts string, price_eur_mwh double, "
+        "series_resolution string").withColumn("market_day", F.to_date("market_day"))
+    base = session.fresh_path(spark, "t-price")
+    prepared = I.prepare(I.normalize_price(df), "price")
+    n = I.ingest(spark, prepared, "price", f"{base}/b", f"{base}/l", missing=I.price_batches_lost(df), job_id="j")
+    got = {r["run_id"]: (r["status"], r["rows"], r["reason"]) for r in I.read_ledger(spark, f"{base}/l", "j").collect()}
+    assert n == 0
+    assert got == {"junk": ("rejected", 4, "null_required"), "odd": ("missing", 1, "no price series")}
+
+
+def test_intermediate_tables_are_deleted(spark):
+    import glob
+
+    root = session.shared_root(spark)
+    before = set(glob.glob(f"{root}/stage-*"))
+    base = session.fresh_path(spark, "t-scratch")
+    rows = [("NL", "2026-08-01", "r", f"2026-08-01T{h:02d}:00:00+00:00", "5.0") for h in range(3)]
+    _write_csv(f"{base}/load", LOAD_HEADER, rows)
+    landed = landing.read_landing(spark, f"{base}/load", landing.LANDING_LOAD, fmt="csv")
+    with session.Scratch(spark) as scratch:
+        prepared = I.prepare(I.normalize_load(landed), "load", scratch)
+        I.ingest(spark, prepared, "load", f"{base}/bronze", f"{base}/ledger")
+    assert set(glob.glob(f"{root}/stage-*")) == before

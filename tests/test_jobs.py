@@ -72,3 +72,60 @@ def test_stale_sources_stop_the_build(spark):
     with pytest.raises(jobs.StaleSourceError):
         jobs.build_mart(spark, root, session.fresh_path(spark, "t-jobs-mart"),
                         freshness_now=datetime(2024, 1, 14, tzinfo=UTC))
+
+
+def _load_files(base, days):
+    rows = [("AT", d, f"run-{d}", f"{d}T{h:02d}:00:00+00:00", 10.0) for d in days for h in range(5)]
+    _write_csv(f"{base}/landing/load", ["zone_code", "market_day", "run_id", "ts", "load_mw"], rows)
+
+
+def test_a_run_reads_its_own_day_and_reports_its_own_batches(spark):
+    from gridmart.plans import ingest as I
+    from gridmart.sources import bronze
+    from gridmart.specs import SOURCES
+
+    base = session.fresh_path(spark, "t-daily")
+    _load_files(base, ["2026-08-01", "2026-08-02", "2026-08-03"])
+
+    def run(date, job):
+        return {r["source"]: r for r in jobs.ingest_landing(
+            spark, f"{base}/landing", f"{base}/bronze", f"{base}/ledger", formats={"load": "csv"},
+            run_date=date, zones="AT, NL", sources=["load", "price"], job_id=job).collect()}
+
+    first = run("2026-08-02", "a")  # yesterday: 1 August
+    assert (first["load"]["batches"], first["load"]["failures"], first["load"]["rows_loaded"]) == (2, 1, 5)
+    assert (first["price"]["batches"], first["price"]["failures"]) == (2, 2)  # nothing landed at all
+    second = run("2026-08-03", "b")
+    assert (second["load"]["batches"], second["load"]["rows_loaded"]) == (2, 5)
+    back = bronze.read_bronze(spark, f"{base}/bronze", SOURCES["load"], start="2026-07-01")
+    assert sorted(r["run_id"] for r in back.select("run_id").distinct().collect()) == ["run-2026-08-01", "run-2026-08-02"]
+    ledger = I.read_ledger(spark, f"{base}/ledger", "b").collect()
+    assert {(r["zone_code"], r["status"]) for r in ledger if r["source"] == "load"} == {("AT", "loaded"), ("NL", "missing")}
+    # A later clean run is not failed by an earlier one.
+    clean = {r["source"]: r for r in jobs.ingest_landing(
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/ledger", formats={"load": "csv"},
+        run_date="2026-08-04", zones="AT", sources=["load"]).collect()}
+    assert clean["load"]["failures"] == 0
+
+
+def test_full_rebuild_drops_a_withdrawn_month_and_refuses_to_empty_the_mart(spark):
+    import pytest
+
+    import builders as B
+    from gridmart.operators import checks
+    from gridmart.sources import bronze
+    from gridmart.specs import SOURCES
+
+    root, path = session.fresh_path(spark, "t-full"), session.fresh_path(spark, "t-full-mart")
+    rows = [("AT", "2024-01-10 05:00:00", 60, 1.0, "2024-01-11 00:00:00", "r"),
+            ("AT", "2024-02-10 05:00:00", 60, 2.0, "2024-02-11 00:00:00", "r")]
+    bronze.write_bronze(B.load(spark, rows), root, SOURCES["load"])
+    jobs.build_mart(spark, root, path)
+    assert mart.read_fct(spark, path).count() == 2
+    gone = [("AT", "2024-01-10 05:00:00", 60, None, "2024-03-01 00:00:00", "w")]
+    bronze.write_bronze(B.load(spark, gone), root, SOURCES["load"])
+    jobs.build_mart(spark, root, path)
+    assert [r["load_mw"] for r in mart.read_fct(spark, path).collect()] == [2.0]
+    with pytest.raises(checks.CheckFailed):
+        jobs.build_mart(spark, session.fresh_path(spark, "t-nothing"), path)
+    assert mart.read_fct(spark, path).count() == 1

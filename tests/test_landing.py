@@ -28,9 +28,8 @@ def test_first_available_series_never_mixes(spark):
     )
     got = sorted((r["batch"], r["price"]) for r in series.first_available_series(df, ["batch"]).collect())
     assert got == [("a", 1.0), ("b", 3.0)]
-    expected = spark.createDataFrame([("a",), ("b",), ("c",)], "batch string")
-    missing = series.batches_without_series(df, expected, ["batch"]).collect()
-    assert [r["batch"] for r in missing] == ["c"]
+    missing = series.batches_without_series(df, ["batch"]).collect()
+    assert [(r["batch"], r["rows"]) for r in missing] == [("c", 1)]
 
 
 def test_end_boundary_and_offset_parsing(spark):
@@ -39,6 +38,8 @@ def test_end_boundary_and_offset_parsing(spark):
         "ts string",
     ).select(parse_instant("ts").alias("ts_utc"), F.lit("2024-01-08 00:00:00").cast("timestamp").alias("end"))
     assert series.drop_end_boundary(df, "end").count() == 2
+    junk = df.withColumn("ts_utc", F.lit(None).cast("timestamp"))
+    assert series.drop_end_boundary(junk, "end").count() == 3  # left for the contract to reject
 
 
 def test_unparseable_stamp_is_null(spark):

@@ -89,3 +89,15 @@ def test_replaying_the_latest_revisions_changes_nothing(spark, revs):
         for z, ts, res, mw, ing, run in latest.itertuples(index=False, name=None)
     ]
     assert spark_result(spark, rows + replay) == spark_result(spark, rows)
+
+
+def test_settling_keeps_large_values_and_nan(spark):
+    import math
+
+    from gridmart.functions.numeric import settle_doubles
+
+    values = [1e15, -2.5e14, 1.5e13, 9.1e300, -0.0000005, 0.285, -1.2345675, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r["x"] for r in settle_doubles(df).collect()]
+    assert got[:4] == values[:4] and got[4] == -0.000001 and got[5] == 0.285 and got[6] == -1.234568
+    assert math.isnan(got[7]) and got[8] == float("inf") and got[9] is None

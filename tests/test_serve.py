@@ -95,11 +95,6 @@ def test_page_plans_as_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_response_contract_flags_out_of_range_share(spark):
-    df = spark.createDataFrame([(50.0,), (101.0,), (None,)], "renewable_pct double")
-    assert serve.check_page(df).count() == 1
-
-
 def test_zone_list_parsing(spark):
     df = spark.createDataFrame([("DE_LU, AT ,NL",), (" , ,",)], "s string")
     got = [r["z"] for r in df.select(csv_list(F.col("s")).alias("z")).collect()]

@@ -28,3 +28,19 @@ def test_configure_sets_utc_and_dynamic_overwrite(spark):
     session.configure(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    import pytest
+
+    before = spark.conf.get(session.WAREHOUSE_CONF, None)
+    spark.conf.unset(session.WAREHOUSE_CONF)
+    monkeypatch.setattr(session, "is_local", lambda _: False)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    try:
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            with pytest.raises(RuntimeError):
+                session.shared_root(spark)
+    finally:
+        if before is not None:
+            spark.conf.set(session.WAREHOUSE_CONF, before)
