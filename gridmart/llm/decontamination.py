@@ -19,9 +19,9 @@ The documents are read once and never shuffled. Items go to the tasks in passes
 of at most ``PASS_BYTES`` of item text; a larger benchmark takes more passes.
 
 Edge cases: a null or blank text or item matches nothing; a document shorter
-than an item is one window; repeated documents and items each report their own
-pairs, equal (doc, item) pairs within a row once; extra columns are ignored; an
-empty table on either side gives no match.
+than an item is one window; each row of a repeated document reports its pairs, a
+repeated item counts once; extra columns are ignored; an empty table on either
+side gives no match.
 """
 
 from __future__ import annotations
@@ -224,7 +224,7 @@ class ItemIndex:
 
 def _passes(benchmark: DataFrame, radius: int, similarity: float, pass_bytes: int) -> Iterator[ItemIndex]:
     """The items in passes of bounded text; each is sent to the tasks with the function."""
-    items = benchmark.select(F.col("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.col("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     count = max(1, -(-2 * total // pass_bytes)) if total > pass_bytes else 1
     for p in range(count):

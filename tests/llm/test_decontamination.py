@@ -84,6 +84,12 @@ def test_more_passes_give_the_same(spark):
     assert run(spark, CASES, ITEMS, pass_bytes=64) == run(spark, CASES, ITEMS)
 
 
+def test_a_repeated_item_counts_once(spark):
+    d = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, ITEM)] * 3, "item_id long, text string")
+    assert D.find_matches(d, b).count() == 1
+
+
 def test_empty_tables(spark):
     assert run(spark, [], ITEMS) == {} and run(spark, CASES[:2], []) == {}
 

@@ -107,3 +107,22 @@ def test_empty_documents(spark):
         assert docs.collect() == []
     assert C.tokenize(spark, docs, SF).collect() == []
     assert Q.fit(docs, spark.read.parquet(f"{SF}/labels.parquet")).text is None
+
+
+def test_stages_take_nulls_repeats_long_texts_and_clashing_columns(spark, tmp_path):
+    long = " ".join(f"Word{i} of a long sentence that" for i in range(30000))
+    good = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 800").limit(6).collect()]
+    rows = [(1, good[0], "en", "a"), (1, good[0], "en", "a"), (2, good[0] + " tail", None, None), (3, None, "en", "a"),
+            (4, "", None, "a"), (None, good[1], "en", None), (5, good[2], "en", "a"), (6, long, "de", "b"), (7, good[3], "en", "a")]
+    extra = "component string, fp int, ids string, y int, shard int, n_words string, score double"
+    df = spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), "c", 1, "i", 2, 3, "w", 0.5) for r in rows],
+                               f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    docs = df
+    for k, (_, f) in enumerate(C.STAGES[:4]):
+        f(spark, docs, SF).write.parquet(str(tmp_path / f"{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"{k}"))
+        assert docs.columns == df.columns
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert left.count((1, good[0])) <= 1 and (3, None) not in left and (6, long) in left
+    out = {r.doc_id: r for r in C.tokenize(spark, docs, SF).collect()}
+    assert out[6].decoded_sha256 == hashlib.sha256(long.encode()).hexdigest()
