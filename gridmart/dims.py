@@ -7,7 +7,6 @@ construction, not by the data.
 
 from __future__ import annotations
 
-import csv
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,13 +82,9 @@ def dim_production_type(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(production_type_rows(), specs.DIM_PRODUCTION_TYPE)
 
 
-def write_production_type_seed(path: str) -> None:
-    """Write the seed as a headed CSV (what a warehouse seed file looks like)."""
-    with open(path, "w", newline="") as fh:
-        out = csv.writer(fh)
-        out.writerow(specs.DIM_PRODUCTION_TYPE.fieldNames())
-        for row in production_type_rows():
-            out.writerow(["true" if v is True else "false" if v is False else v for v in row])
+def write_production_type_seed(spark: SparkSession, path: str) -> None:
+    """Write the 36 rows as a headed CSV, in whatever store ``path`` lies."""
+    dim_production_type(spark).coalesce(1).write.option("header", True).mode("overwrite").csv(path)
 
 
 def read_production_type_seed(spark: SparkSession, path: str) -> DataFrame:

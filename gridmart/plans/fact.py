@@ -79,13 +79,18 @@ def fct_from_bronze(
     raw_generation: DataFrame,
     raw_price: DataFrame,
     with_month: bool = False,
+    production_types: DataFrame | None = None,
 ) -> DataFrame:
-    """Bronze (all revisions) -> staging -> fact, as one logical plan."""
+    """Bronze (all revisions) -> staging -> fact, as one logical plan.
+
+    ``production_types`` is the type dimension (default: the inline rows; a
+    deployment with its own seed passes ``dims.read_production_type_seed``).
+    """
     return build_fct(
         conform.stg_load(raw_load),
         conform.stg_generation(raw_generation),
         conform.stg_price(raw_price),
         dims.dim_zone(spark),
-        dims.dim_production_type(spark),
+        production_types if production_types is not None else dims.dim_production_type(spark),
         with_month=with_month,
     )

@@ -17,7 +17,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart import session
+from gridmart import dims, session
 from gridmart.functions.text import csv_list
 from gridmart.operators import checks, contracts, grid
 from gridmart.operators.keys import null_safe_join
@@ -134,11 +134,13 @@ def build_mart(
     mart_path: str,
     start: str = MIN_TS,
     freshness_now: datetime | None = None,
+    seed_path: str | None = None,
 ) -> DataFrame:
     """Full rebuild from bronze, published through the 14 checks.
 
     The whole mart is replaced, so a month without rows left is gone; a rebuild
-    without any row is refused.
+    without any row is refused. ``seed_path`` names a CSV seed of the
+    production-type dimension to use in place of the inline rows.
 
     With ``freshness_now``, source freshness runs first and a feed in
     ``error`` stops the build before anything is computed (``warn`` goes on).
@@ -151,5 +153,7 @@ def build_mart(
         if stale:
             raise StaleSourceError(f"sources too old to build from: {stale}")
     feeds = {name: bronze.read_bronze(spark, bronze_root, spec, start) for name, spec in SOURCES.items()}
-    fct = fct_from_bronze(spark, feeds["load"], feeds["generation"], feeds["price"], with_month=True)
+    types = dims.read_production_type_seed(spark, seed_path) if seed_path else None
+    fct = fct_from_bronze(spark, feeds["load"], feeds["generation"], feeds["price"], with_month=True,
+                          production_types=types)
     return publish_fct(spark, fct, mart_path)

@@ -773,6 +773,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM storage_draw",
             ["zone_code", "ts_hour_utc", "storage_consumption_mw"], ["storage_consumption_mw"],
         ),
+        "q_fct_from_seed": fct_sql(),
         "q_zones": zones_sql(),
         "q_hourly_page": page_sql(),
         "q_hourly_page_after": page_after_sql(),

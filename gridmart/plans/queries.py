@@ -102,6 +102,17 @@ def q_storage_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle_doubles(mix.storage_draw(stg, dims.dim_production_type(spark)))
 
 
+def q_fct_from_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the production-type dimension read from a CSV seed file."""
+    _prep(spark)
+    path = session.fresh_path(spark, "seed-production-type")
+    dims.write_production_type_seed(spark, path)
+    return settle_doubles(fct_from_bronze(
+        spark, A.raw_load(spark, sf_dir), A.raw_generation(spark, sf_dir), A.raw_price(spark, sf_dir),
+        production_types=dims.read_production_type_seed(spark, path),
+    ))
+
+
 # -- serving ------------------------------------------------------------------
 
 _MARTS: dict[tuple[str, str], str] = {}
@@ -508,6 +519,7 @@ def registry() -> dict[str, Query]:
         "q_null_retraction": q_null_retraction,
         "q_generation_mix": q_generation_mix,
         "q_storage_draw": q_storage_draw,
+        "q_fct_from_seed": q_fct_from_seed,
         "q_zones": q_zones,
         "q_hourly_page": q_hourly_page,
         "q_hourly_page_after": q_hourly_page_after,

@@ -96,7 +96,7 @@ def test_price_prefers_quarter_hours_and_drops_window_end(spark):
 
 def test_seed_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "dim_production_type.csv")
-    dims.write_production_type_seed(path)
+    dims.write_production_type_seed(spark, path)
     seed = dims.read_production_type_seed(spark, path)
     assert seed.count() == 36
     assert sorted(map(tuple, seed.collect())) == sorted(map(tuple, dims.dim_production_type(spark).collect()))

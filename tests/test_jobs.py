@@ -6,7 +6,7 @@ from datetime import UTC, datetime
 
 from test_ingest import _write_csv
 
-from gridmart import session
+from gridmart import dims, session
 from gridmart.operators import serve
 from gridmart.plans import jobs
 from gridmart.sources import mart
@@ -120,7 +120,9 @@ def test_full_rebuild_drops_a_withdrawn_month_and_refuses_to_empty_the_mart(spar
     rows = [("AT", "2024-01-10 05:00:00", 60, 1.0, "2024-01-11 00:00:00", "r"),
             ("AT", "2024-02-10 05:00:00", 60, 2.0, "2024-02-11 00:00:00", "r")]
     bronze.write_bronze(B.load(spark, rows), root, SOURCES["load"])
-    jobs.build_mart(spark, root, path)
+    seed = session.fresh_path(spark, "t-seed")
+    dims.write_production_type_seed(spark, seed)
+    jobs.build_mart(spark, root, path, seed_path=seed)
     assert mart.read_fct(spark, path).count() == 2
     gone = [("AT", "2024-01-10 05:00:00", 60, None, "2024-03-01 00:00:00", "w")]
     bronze.write_bronze(B.load(spark, gone), root, SOURCES["load"])
