@@ -672,7 +672,8 @@ def bronze_roundtrip_sql() -> str:
     ctes = [contract_ctes(s) for s in _CONTRACT]
     return with_ctes(ADAPTER, *ctes) + f"""
 SELECT "table", ts_month, zone_code, count(*) AS rows, min(ts_utc) AS first_ts_utc,
-       max(ts_utc) AS last_ts_utc, count(DISTINCT run_id) AS runs
+       max(ts_utc) AS last_ts_utc, count(DISTINCT run_id) AS runs,
+       TIMESTAMP '2024-02-01 06:00:00' AS first_ingested_at, TIMESTAMP '2024-02-01 06:00:00' AS last_ingested_at
 FROM ({' UNION ALL '.join(parts)}) b
 GROUP BY "table", ts_month, zone_code"""
 

@@ -364,6 +364,8 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min("ts_utc").alias("first_ts_utc"),
             F.max("ts_utc").alias("last_ts_utc"),
             F.countDistinct("run_id").alias("runs"),
+            F.min("ingested_at").alias("first_ingested_at"),
+            F.max("ingested_at").alias("last_ingested_at"),
         ).select(F.lit(spec.table).alias("table"), "*")
         out = part if out is None else out.unionByName(part)
     return out
