@@ -12,9 +12,9 @@ at most ``HOT_BYTES`` long, so the table has a fixed bound) are folded as a
 distributed table and given to the encoder as a literal dictionary of the same
 shape. The rest are folded where they stand. No text and no token is shuffled.
 
-Bytes are held as characters of ISO-8859-1, one per byte, as Spark's maps and
-joins of arrays work on strings; decoding joins the pieces of the ids and turns
-them back into binary.
+While folding, bytes are held as characters of ISO-8859-1, one per byte, as
+Spark cuts strings by characters. Decoding joins the binary pieces of the ids,
+in Arrow batches.
 
 Edge cases: a null text is the empty text (no ids, empty binary); repeated rows
 encode alike; extra columns are ignored; an empty table gives no rows; a
@@ -26,17 +26,19 @@ from __future__ import annotations
 
 import base64
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridmart.llm.common import checkpointed, let
 
 RANK_BUCKETS = 1 << 14
-HOT_WORDS = 1 << 18
+HOT_WORDS = 1 << 19
 HOT_BYTES = 48
-HOT_BUCKETS = 1 << 17
+HOT_BUCKETS = 1 << 18
 _NONE = 2**31 - 1
 _LATIN = "ISO-8859-1"
 
@@ -58,25 +60,17 @@ class Vocabulary:
         return F.from_json(F.lit(_buckets({t.decode("latin-1"): r for t, r in self.ranks.items()}, RANK_BUCKETS)),
                            "array<map<string,int>>")
 
-    def pieces(self, shown) -> Column:
-        """array<string>: what ``shown`` makes of each id's bytes; ids without a token are null."""
-        by_id: list[str | None] = [None] * (max(self.ranks.values(), default=-1) + 1)
-        for token, rank in self.ranks.items():
-            by_id[rank] = shown(token, rank)
-        return F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-
 
 def _buckets(table: dict, count: int) -> str:
-    """JSON of an array of maps; a key stands in the map of its XXH64, as Spark computes it."""
+    """JSON of an array of maps; a key stands in the map of its XXH64's low bits, as Spark computes it."""
     out: list[dict] = [{} for _ in range(count)]
     for key, value in table.items():
-        h = xxhash.xxh64_intdigest(key.encode("utf-8"), 42)
-        out[(h - (1 << 64) if h >> 63 else h) % count][key] = value
+        out[xxhash.xxh64_intdigest(key.encode("utf-8"), 42) & (count - 1)][key] = value
     return json.dumps(out)
 
 
 def _lookup(table: Column, key: Column, count: int) -> Column:
-    return F.element_at(F.get(table, F.pmod(F.xxhash64(key), F.lit(count).cast("long")).cast("int")), key)
+    return F.element_at(F.get(table, F.xxhash64(key).bitwiseAND(F.lit(count - 1).cast("long")).cast("int")), key)
 
 
 def pre_tokens(text: Column, pattern: str) -> Column:
@@ -85,39 +79,45 @@ def pre_tokens(text: Column, pattern: str) -> Column:
 
 
 def fold(word: Column, ranks: Column) -> Column:
-    """Ids of one pre-token (array<int>) by ranked merges; ``ranks`` is a rank map."""
-    rank = lambda piece: F.coalesce(_lookup(ranks, piece, RANK_BUCKETS), F.lit(_NONE))
-    chars = F.split(F.decode(F.encode(word, "UTF-8"), _LATIN), "")
-
-    def merge(s: Column, _: Column) -> Column:
-        low = F.array_min(s["r"])
-
-        def at(i: Column) -> Column:
-            """Pieces i and i + 1 (from 1) become one; only its two pairs get new ranks."""
-            joined = F.concat(F.get(s["p"], i - 1), F.get(s["p"], i))
-            before, after = F.get(s["p"], i - 2), F.get(s["p"], i + 1)
-            return F.struct(
-                F.concat(F.slice(s["p"], F.lit(1), i - 1), F.array(joined),
-                         F.slice(s["p"], i + 2, F.size(s["p"]))).alias("p"),
-                F.concat(
-                    F.slice(s["r"], F.lit(1), F.greatest(i - 2, F.lit(0))),
-                    F.when(i > 1, F.array(rank(F.concat(before, joined)))).otherwise(F.array().cast("array<int>")),
-                    F.when(after.isNotNull(), F.array(rank(F.concat(joined, after)))).otherwise(F.array().cast("array<int>")),
-                    F.slice(s["r"], i + 2, F.size(s["p"])),
-                ).alias("r"),
-            )
-
-        return F.when(F.coalesce(low, F.lit(_NONE)) == _NONE, s).otherwise(
-            let(F.array_position(s["r"], low).cast("int"), at))
-
-    def run(p: Column) -> Column:
-        pairs = F.transform(F.slice(p, F.lit(1), F.size(p) - 1),
-                            lambda x, i: rank(F.concat(x, F.get(p, i + 1))))
-        return F.aggregate(F.slice(p, F.lit(1), F.size(p) - 1), F.struct(p.alias("p"), pairs.alias("r")), merge,
-                           lambda s: F.transform(s["p"], lambda x: _lookup(ranks, x, RANK_BUCKETS)))
-
-    whole = let(F.decode(F.encode(word, "UTF-8"), _LATIN), lambda w: _lookup(ranks, w, RANK_BUCKETS))
-    return let(whole, lambda id_: F.when(id_.isNotNull(), F.array(id_)).otherwise(let(chars, run)))
+    """Ids of one pre-token (array<int>) by ranked merges; ``ranks`` is a rank map.
+
+    The state is one array of longs, an element per piece: the rank of the piece
+    with its right neighbour in the upper half, the piece's first byte in the
+    lower. The smallest element is thus the leftmost pair of the lowest rank.
+    Merging it drops the right piece's element and renews two ranks.
+    """
+    long = lambda x: F.lit(x).cast("long")
+    start = lambda x: x.bitwiseAND(long(0xFFFFFFFF))
+
+    def run(c: Column) -> Column:
+        n = F.char_length(c).cast("long")
+        cut = lambda a, z: F.substr(c, a + 1, z - a)  # noqa: E731  bytes a to z (from 0)
+        pair = lambda rank, a: F.shiftleft(F.coalesce(rank.cast("long"), long(_NONE)), 32).bitwiseOR(a)
+        rank = lambda a, z: _lookup(ranks, cut(a, z), RANK_BUCKETS)
+        none = F.lit(None).cast("int")
+        first = F.transform(F.sequence(long(0), n - 1), lambda i: pair(
+            F.when(i + 1 < n, rank(i, i + 2)).otherwise(none), i))
+
+        def merge(s: Column, _: Column) -> Column:
+            def at(i: Column) -> Column:
+                """Piece i takes in piece i + 1."""
+                after = F.get(s, i + 2)
+                own = pair(F.when(after.isNull(), none).otherwise(
+                    rank(start(F.get(s, i)), F.coalesce(start(F.get(s, i + 3)), n))), start(F.get(s, i)))
+                left = start(F.get(s, i - 1))
+                before = pair(rank(left, F.coalesce(start(after), n)), left)
+                return F.transform(
+                    F.filter(s, lambda x, k: k != i + 1),
+                    lambda x, k: F.when(k == i, own).when(k == i - 1, before).otherwise(x))
+
+            return let(F.array_min(s), lambda low: F.when(low >= long(_NONE << 32), s).otherwise(
+                let((F.array_position(s, low) - 1).cast("int"), at)))
+
+        return F.aggregate(F.sequence(long(2), n), first, merge, lambda s: F.transform(
+            s, lambda x, i: rank(start(x), F.coalesce(start(F.get(s, i + 1)), n))))
+
+    return let(F.decode(F.encode(word, "UTF-8"), _LATIN), lambda c: let(
+        _lookup(ranks, c, RANK_BUCKETS), lambda id_: F.when(id_.isNotNull(), F.array(id_)).otherwise(run(c))))
 
 
 def hot_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = HOT_WORDS) -> DataFrame:
@@ -158,13 +158,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
     return rows.select(*keep, ids.alias("ids"))
 
 
+def _per_row(ids: Column, made, vocabulary: Vocabulary) -> Column:
+    """A binary per row, from the row's ids as a numpy array; nulls stay null."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        make = made(vocabulary)
+        for batch in batches:
+            yield pd.Series([None if x is None else make(x) for x in batch], dtype=object)
+
+    return F.pandas_udf(run, T.BinaryType())(ids)
+
+
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """The binary that the ids stand for: their pieces, joined."""
-    pieces = vocabulary.pieces(lambda token, _: token.decode("latin-1"))
-    return F.encode(let(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")), _LATIN)
+
+    def made(v: Vocabulary):
+        pieces = {rank: token for token, rank in v.ranks.items()}
+        return lambda x: b"".join(map(pieces.__getitem__, x.tolist()))
+
+    return _per_row(ids, made, vocabulary)
 
 
 def little_endian(ids: Column, vocabulary: Vocabulary) -> Column:
     """The ids as little-endian unsigned 32-bit integers (binary)."""
-    words = vocabulary.pieces(lambda _, rank: rank.to_bytes(4, "little").hex())
-    return F.unhex(let(words, lambda h: F.array_join(F.transform(ids, lambda i: F.get(h, i)), "")))
+    return _per_row(ids, lambda _: lambda x: x.astype("<u4").tobytes(), vocabulary)
