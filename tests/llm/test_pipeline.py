@@ -109,9 +109,10 @@ def test_empty_documents(spark):
     assert Q.fit(docs, spark.read.parquet(f"{SF}/labels.parquet")).text is None
 
 
-def test_stages_take_nulls_repeats_long_texts_and_clashing_columns(spark, tmp_path):
-    long = " ".join(f"Word{i} of a long sentence that" for i in range(30000))
-    good = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 800").limit(6).collect()]
+def test_stages_take_nulls_repeats_long_texts_and_clashing_columns(spark, stages, tmp_path):
+    kept = [r["text"] for r in sorted(stages[4], key=lambda r: r["doc_id"]) if r["n_chars"] > 800]
+    good, long = kept[:6], "\n".join(kept)
+    assert len(long) > 100_000
     rows = [(1, good[0], "en", "a"), (1, good[0], "en", "a"), (2, good[0] + " tail", None, None), (3, None, "en", "a"),
             (4, "", None, "a"), (None, good[1], "en", None), (5, good[2], "en", "a"), (6, long, "de", "b"), (7, good[3], "en", "a")]
     extra = "component string, fp int, ids string, y int, shard int, n_words string, score double"
