@@ -229,11 +229,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     rows = checkpointed(fingerprints(docs, shingle_words, key, text))
     points = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     parts = connected_components(near_links(points.select("fp"), radius, cell_rows))
+    joined = points.join(parts, points["fp"] == parts["node"], "left").select("fp", "low", "component")
     # Few fingerprints have a neighbour; the rest are components of their own.
-    labelled = points.join(parts, points["fp"] == parts["node"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component"))
-    lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_fp = labelled.join(lows, "component").select("fp", "component", "component_id")
+    alone = joined.where("component IS NULL").select(
+        "fp", F.col("fp").alias("component"), F.col("low").alias("component_id"))
+    linked = checkpointed(joined.where("component IS NOT NULL"))
+    # The minima are combined before their shuffle and stored, so that the join deals out
+    # both sides anew and adaptive execution can split a component of very many points.
+    lows = checkpointed(linked.groupBy("component").agg(F.min("low").alias("component_id")))
+    by_fp = alone.unionByName(linked.join(lows, "component").select("fp", "component", "component_id"))
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component", "component_id")
 
 
