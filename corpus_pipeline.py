@@ -14,7 +14,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmart.llm.byte_bpe import Vocabulary, decode, encode
+from gridmart.llm.byte_bpe import Vocabulary, digests, encode
 from gridmart.llm.common import shared_folder, table
 from gridmart.llm.decontamination import drop_contaminated
 from gridmart.llm.quality_cotraining import fit, keep_good
@@ -47,7 +47,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     v = Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return encode(docs, v, keep=("doc_id", "lang", "source")).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2(decode(F.col("ids"), v), 256).alias("decoded_sha256"),
+        digests(F.col("ids"), v)["decoded_sha256"].alias("decoded_sha256"),
     )
 
 

@@ -26,9 +26,11 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from gridmart.llm.common import checkpointed, let
 
 RANK_BUCKETS = 1 << 14
-HOT_WORDS = 1 << 19
+HOT_WORDS = 3 << 18
 HOT_BYTES = 48
 HOT_BUCKETS = 1 << 18
 _NONE = 2**31 - 1
@@ -69,8 +71,12 @@ def _buckets(table: dict, count: int) -> str:
     return json.dumps(out)
 
 
+def _bucket(key: Column, count: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(count - 1).cast("long"))
+
+
 def _lookup(table: Column, key: Column, count: int) -> Column:
-    return F.element_at(F.get(table, F.xxhash64(key).bitwiseAND(F.lit(count - 1).cast("long")).cast("int")), key)
+    return F.element_at(F.get(table, _bucket(key, count).cast("int")), key)
 
 
 def pre_tokens(text: Column, pattern: str) -> Column:
@@ -139,46 +145,63 @@ def hot_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit
     return hot.select("word", let(vocabulary.rank_map(), lambda ranks: fold(F.col("word"), ranks)).alias("ids"))
 
 
+def _hot_table(hot: DataFrame) -> Column:
+    """The folded words as array<map<word, ids>>, an element per bucket, as a one-row subquery.
+
+    Bounded by HOT_WORDS words of HOT_BYTES bytes, whatever the corpus. At run
+    time it is a literal, but no part of the plan's text.
+    """
+    entry = F.struct("word", "ids")
+    filled = hot.groupBy(_bucket(F.col("word"), HOT_BUCKETS).alias("id")).agg(F.collect_list(entry).alias("entries"))
+    rows = hot.sparkSession.range(HOT_BUCKETS).join(filled, "id", "left").select(F.struct(
+        "id", F.coalesce("entries", F.array().cast(filled.schema["entries"].dataType)).alias("entries")).alias("b"))
+    return rows.agg(F.sort_array(F.collect_list("b")).alias("bs")).select(
+        F.transform("bs", lambda b: F.map_from_entries(b["entries"]))).scalar()
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
            hot_limit: int = HOT_WORDS) -> DataFrame:
     """The ``keep`` columns and ``ids array<int>`` of every row."""
-    spark = docs.sparkSession
-    # Bounded by HOT_WORDS words of HOT_BYTES bytes, whatever the corpus.
-    hot = hot_words(docs, vocabulary, text, hot_limit).toArrow()
-    ready = _buckets(dict(zip(hot["word"].to_pylist(), hot["ids"].to_pylist())), HOT_BUCKETS)
-    # As a one-row subquery the dictionary is a literal at run time but not part of the plan's text.
-    table = spark.createDataFrame([(ready,)], "j string").select(
-        F.from_json("j", "array<map<string,array<int>>>").alias("d")).scalar()
+    hot = checkpointed(hot_words(docs, vocabulary, text, hot_limit))
     words = pre_tokens(F.col("__llm_text"), vocabulary.pattern)
     ids = let(vocabulary.rank_map(), lambda ranks: let(F.col("__llm_known"), lambda known: F.flatten(F.transform(
         words, lambda w: F.coalesce(_lookup(known, w, HOT_BUCKETS), fold(w, ranks))))))
     # The analyser admits no subquery inside a higher-order function; the optimiser
     # moves the column, used once, to where it is named.
-    rows = docs.select(*keep, F.col(text).alias("__llm_text"), table.alias("__llm_known"))
+    rows = docs.select(*keep, F.col(text).alias("__llm_text"), _hot_table(hot).alias("__llm_known"))
     return rows.select(*keep, ids.alias("ids"))
 
 
-def _per_row(ids: Column, made, vocabulary: Vocabulary) -> Column:
-    """A binary per row, from the row's ids as a numpy array; nulls stay null."""
+def decoder(vocabulary: Vocabulary) -> Callable[[np.ndarray], bytes]:
+    """The function that joins the pieces of a row's ids."""
+    pieces = {rank: token for token, rank in vocabulary.ranks.items()}
+    return lambda ids: b"".join(map(pieces.__getitem__, ids.tolist()))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        make = made(vocabulary)
-        for batch in batches:
-            yield pd.Series([None if x is None else make(x) for x in batch], dtype=object)
 
-    return F.pandas_udf(run, T.BinaryType())(ids)
+def packed(ids: np.ndarray) -> bytes:
+    """The ids as little-endian unsigned 32-bit integers."""
+    return ids.astype("<u4").tobytes()
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The binary that the ids stand for: their pieces, joined."""
+    """The binary that the ids stand for; null stays null."""
 
-    def made(v: Vocabulary):
-        pieces = {rank: token for token, rank in v.ranks.items()}
-        return lambda x: b"".join(map(pieces.__getitem__, x.tolist()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        join = decoder(vocabulary)
+        for batch in batches:
+            yield pd.Series([None if x is None else join(x) for x in batch], dtype=object)
 
-    return _per_row(ids, made, vocabulary)
+    return F.pandas_udf(run, T.BinaryType())(ids)
 
 
-def little_endian(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The ids as little-endian unsigned 32-bit integers (binary)."""
-    return _per_row(ids, lambda _: lambda x: x.astype("<u4").tobytes(), vocabulary)
+def digests(ids: Column, vocabulary: Vocabulary) -> Column:
+    """struct<ids_sha256, decoded_sha256>: hex digests of the packed ids and of their decoded bytes."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        join = decoder(vocabulary)
+        for batch in batches:
+            yield pd.DataFrame({
+                "ids_sha256": [sha256(packed(x)).hexdigest() for x in batch],
+                "decoded_sha256": [sha256(join(x)).hexdigest() for x in batch]})
+
+    return F.pandas_udf(run, "ids_sha256 string, decoded_sha256 string")(ids)

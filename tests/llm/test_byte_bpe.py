@@ -1,5 +1,6 @@
 """Byte-level BPE against the library and by round trip."""
 
+import hashlib
 import struct
 
 import public_tokenizers as P
@@ -29,13 +30,14 @@ def test_texts_match_the_library_and_round_trip(spark, vocabulary, library, hot)
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
     out = B.encode(df, vocabulary, hot_limit=hot).select(
         "doc_id", "ids", B.decode(F.col("ids"), vocabulary).alias("back"),
-        B.little_endian(F.col("ids"), vocabulary).alias("le")).collect()
+        B.digests(F.col("ids"), vocabulary).alias("d")).collect()
     want = {i: t or "" for i, t, _ in rows}
     assert len(out) == len(rows)
     for r in out:
         assert list(r.ids) == library.encode_ordinary(want[r.doc_id])
         assert bytes(r.back).decode() == want[r.doc_id]
-        assert bytes(r.le) == struct.pack(f"<{len(r.ids)}I", *r.ids)
+        assert r.d.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(r.ids)}I", *r.ids)).hexdigest()
+        assert r.d.decoded_sha256 == hashlib.sha256(want[r.doc_id].encode()).hexdigest()
 
 
 def test_hot_words_stay_below_the_bound(spark, vocabulary):
