@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.operators.keys import null_safe_join
@@ -46,10 +46,34 @@ def batches_without_series(
     ).filter(F.col("_preferred") == 0).drop("_preferred")
 
 
+def batches_emptied(
+    df: DataFrame, batch: Sequence[str], end_col: str, ts: str = "ts_utc",
+    series_col: str = "series_resolution", preference: Sequence[str] = SERIES_PREFERENCE,
+) -> DataFrame:
+    """Batches of ``df`` that the series choice and the boundary leave without rows.
+
+    With the landed row count and ``has_series``: false where no row is of a preferred
+    series, true where all rows of the chosen one lie at or after the end. One
+    aggregate: rows are left if and only if the best series before the end is the best of all.
+    """
+    pref = F.array_position(F.array(*[F.lit(p) for p in preference]), F.col(series_col))
+    known = F.when(pref > 0, pref)
+    return df.groupBy(*batch).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(known).alias("_best"),
+        F.min(F.when(before_end(end_col, ts), known)).alias("_left"),
+    ).filter(
+        F.col("_left").isNull() | (F.col("_left") > F.col("_best"))
+    ).withColumn("has_series", F.col("_best").isNotNull()).drop("_best", "_left")
+
+
+def before_end(end_col: str, ts: str = "ts_utc") -> Column:
+    """``ts < end``; true for a null stamp or a null end."""
+    return F.coalesce(F.col(ts) < F.col(end_col), F.lit(True))
+
+
 def drop_end_boundary(df: DataFrame, end_col: str, ts: str = "ts_utc") -> DataFrame:
     """Keep ``ts < end``: a feed that includes its end stamp would overlap days.
 
     A null stamp (or a null end) stays, so that the contract can reject it.
     """
-    before = F.col(ts) < F.col(end_col)
-    return df.filter(F.coalesce(before, F.lit(True)))
+    return df.filter(before_end(end_col, ts))

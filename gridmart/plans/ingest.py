@@ -70,9 +70,13 @@ def normalize_price(landed: DataFrame) -> DataFrame:
 
 
 def price_batches_lost(landed: DataFrame) -> DataFrame:
-    """Landed price batches without any known series, as ``missing`` ledger rows."""
-    lost = series.batches_without_series(landed, list(BATCH_IN))
-    return lost.withColumn("source", F.lit("price")).withColumn("reason", F.lit("no price series"))
+    """Landed price batches that ``normalize_price`` leaves without rows, as ``missing``
+    ledger rows: no known series, or nothing before the window end in the picked one."""
+    rows = landed.select(*BATCH_IN, _utc().alias("ts_utc"), "series_resolution")
+    rows = rows.withColumn("_end", market_window_end("market_day"))
+    lost = series.batches_emptied(rows, list(BATCH_IN), "_end")
+    reason = F.when(F.col("has_series"), F.lit("no price before the window end")).otherwise(F.lit("no price series"))
+    return lost.withColumn("source", F.lit("price")).withColumn("reason", reason).drop("has_series")
 
 
 def prepare(normalized: DataFrame, source: str, scratch: session.Scratch | None = None) -> DataFrame:

@@ -406,8 +406,9 @@ def q_ingest_price_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = session.fresh_path(spark, "bronze-landing")
     ledger_path = session.fresh_path(spark, "ledger-landing")
     with session.Scratch(spark) as scratch:
-        prepared = I.prepare(I.normalize_price(A.landing_price_batches(spark, sf_dir)), "price", scratch)
-        I.ingest(spark, prepared, "price", root, ledger_path, INGESTED_AT)
+        landed = A.landing_price_batches(spark, sf_dir)
+        prepared = I.prepare(I.normalize_price(landed), "price", scratch)
+        I.ingest(spark, prepared, "price", root, ledger_path, INGESTED_AT, missing=I.price_batches_lost(landed))
     back = bronze.read_bronze(spark, root, SOURCES["price"], start=MIN_TS)
     return back.groupBy("ts_month", "zone_code", "resolution_minutes").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -453,7 +454,8 @@ def q_ingest_landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Load lands as CSV, generation as JSON, price as Parquet. Some load files
     carry stamps that are no time, no zone or no run, and some price batches
-    publish no known series: each must appear in the ledger, none may load.
+    publish no known series or hold only the window-end stamp in the picked one:
+    each must appear in the ledger, none may load.
     """
     _prep(spark)
     from gridmart.plans import ingest as I

@@ -156,6 +156,30 @@ def test_price_rows_with_junk_stamps_or_no_series_fail_their_batch(spark):
     assert got == {"junk": ("rejected", 4, "null_required"), "odd": ("missing", 1, "no price series")}
 
 
+def test_price_batch_of_the_window_end_alone_is_ledgered(spark):
+    day, end = "2026-08-01", "2026-08-01T22:00:00+00:00"  # the Berlin day ends at 22:00 UTC
+    rows = [("NL", day, "end", end, 1.0, "60min"), ("NL", day, "end", end, 2.0, "60min"),
+            # The quarter-hourly end stamp wins the choice over the hourly rows of the day.
+            ("NL", day, "mixed", end, 1.0, "15min"), ("NL", day, "mixed", f"{day}T01:00:00+00:00", 1.0, "60min"),
+            ("NL", day, "mixed", f"{day}T02:00:00+00:00", 1.0, "60min"), (None, day, None, end, 1.0, "15min"),
+            ("NL", day, "both", end, 1.0, "60min"), ("NL", day, "both", f"{day}T01:00:00+00:00", 1.0, "15min"),
+            ("NL", day, "both", f"{day}T01:15:00+00:00", 1.0, "15min"),
+            ("NL", None, "no-day", end, 1.0, "60min"), ("AT", day, "odd", end, 1.0, "30min")]
+    df = spark.createDataFrame(
+        rows, "zone_code string, market_day string, run_id string, ts string, price_eur_mwh double, "
+        "series_resolution string").withColumn("market_day", F.to_date("market_day"))
+    base = session.fresh_path(spark, "t-price")
+    prepared = I.prepare(I.normalize_price(df), "price")
+    n = I.ingest(spark, prepared, "price", f"{base}/b", f"{base}/l", missing=I.price_batches_lost(df), job_id="j")
+    ledger = I.read_ledger(spark, f"{base}/l", "j").collect()
+    got = {r["run_id"]: (r["status"], r["rows"], r["reason"]) for r in ledger}
+    gone = "no price before the window end"
+    assert n == 2 and len(ledger) == len(got)
+    assert got.pop("no-day")[:2] == ("rejected", 1)
+    assert got == {"end": ("missing", 2, gone), "mixed": ("missing", 3, gone), None: ("missing", 1, gone),
+                   "both": ("loaded", 2, None), "odd": ("missing", 1, "no price series")}
+
+
 def test_intermediate_tables_are_deleted(spark):
     import glob
 
