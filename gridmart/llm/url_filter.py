@@ -1,7 +1,8 @@
 """URL filters over redirect equivalence.
 
 A rule list judges a URL by host and path. Pages joined by a redirect
-(``<meta http-equiv=refresh>``) or a canonical link are aliases: the classes
+(``<meta http-equiv=refresh>``) or a canonical link, absolute or relative to the
+page or its ``<base href>``, are aliases: the classes
 are the connected components of those edges, found by distributed contraction.
 A page under no rule of its own takes its class's decision: allow if any
 member is explicitly allowed, else block if any member is blocked, else allow.
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridmart.llm.common import checkpointed
+from gridmart.llm.common import WS_CHARS, checkpointed, let
 from gridmart.llm.components import connected_components
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -69,40 +70,94 @@ def rule_of(host: Column, path: Column, rules: list[UrlRule]) -> Column:
     return out
 
 
-def link_targets(html: Column) -> Column:
-    """Raw targets of canonical links and meta refreshes outside comments."""
-    tags = F.regexp_extract_all(
+def link_tags(html: Column) -> Column:
+    """The ``link``, ``meta`` and ``base`` tags outside comments."""
+    return F.regexp_extract_all(
         F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", ""),
-        F.lit(r"(?is)<(?:link|meta)\s[^>]*>"), F.lit(0))
-    attr = r"""(?is)\s{}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+        F.lit(r"(?is)<(?:link|meta|base)\s[^>]*>"), F.lit(0))
 
-    def value(tag: Column, name: str) -> Column:
-        return F.concat(*[F.regexp_extract(tag, attr.format(name), i) for i in (1, 2, 3)])
+
+def _value(tag: Column, name: str) -> Column:
+    attr = r"""(?is)\s{}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""".format(name)
+    return F.concat(*[F.regexp_extract(tag, attr, i) for i in (1, 2, 3)])
+
+
+def _address(raw: Column) -> Column:
+    return F.replace(F.trim(raw, F.lit(WS_CHARS)), F.lit("&amp;"), F.lit("&"))
+
+
+def link_targets(tags: Column) -> Column:
+    """Raw targets of the canonical links and meta refreshes among ``link_tags``."""
 
     def target(tag: Column) -> Column:
-        canonical = F.lower(F.trim(value(tag, "rel"))) == "canonical"
-        refresh = F.lower(F.trim(value(tag, "http-equiv"))) == "refresh"
-        url = F.regexp_extract(value(tag, "content"), r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
-        raw = F.when(canonical, value(tag, "href")).when(refresh, url).otherwise("")
-        return F.replace(F.trim(raw), F.lit("&amp;"), F.lit("&"))
+        rels = F.split(F.lower(_value(tag, "rel")), r"[ \t\n\f\r]+")
+        canonical = tag.rlike(r"(?i)^<link\s") & F.array_contains(rels, "canonical")
+        refresh = tag.rlike(r"(?i)^<meta\s") & (F.lower(F.trim(_value(tag, "http-equiv"))) == "refresh")
+        url = F.regexp_extract(_value(tag, "content"), r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
+        return _address(F.when(canonical, _value(tag, "href")).when(refresh, url).otherwise(""))
 
     return F.filter(F.transform(tags, target), lambda x: x != "")
 
 
-def absolute(target: Column, url: Column) -> Column:
-    """A target resolved against the page's URL (absolute, ``//host`` or ``/path``; else null)."""
-    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
-    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-            .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), target)))
+def base_of(tags: Column, url: Column) -> Column:
+    """What a page's targets are relative to: its first ``<base href>``, else its URL."""
+    hrefs = F.transform(F.filter(tags, lambda x: x.rlike(r"(?i)^<base\s")), lambda x: _address(_value(x, "href")))
+    href = F.get(F.filter(hrefs, lambda x: x != ""), F.lit(0))
+    return F.coalesce(absolute(href, url), url)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+
+    def joined(segments: Column) -> Column:  # the first stands before the leading slash
+        kept = F.aggregate(
+            F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"),
+            lambda a, x: F.when(x == ".", a).when(x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))))
+            .otherwise(F.concat(a, F.array(x))))
+        closed = F.element_at(segments, -1).isin(".", "..")
+        return let(kept, lambda k: F.concat(
+            F.lit("/"), F.array_join(k, "/"), F.when(closed & (F.size(k) > 0), F.lit("/")).otherwise("")))
+
+    return F.when(path.contains("/."), let(F.split(path, "/"), joined)).otherwise(path)
+
+
+def absolute(target: Column, base: Column) -> Column:
+    """A target resolved against a base URL (RFC 3986, 5.2); null for ``mailto:x`` and the like.
+
+    A target with a scheme and ``//`` stays as it is. All parts are bound once, as
+    each stands in several places.
+    """
+
+    def resolved(x: Column) -> Column:
+        scheme = F.regexp_extract(x["base"], r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
+        start = F.concat(scheme, F.lit(":"), F.when(x["net"] != "", x["net"]).otherwise(
+            F.concat(F.lit("//"), host_of(x["base"]))))
+        own = F.when(path_of(x["base"]) == "", F.lit("/")).otherwise(path_of(x["base"]))
+        folder = lambda o: F.substr(
+            o, F.lit(1), F.char_length(o) - F.char_length(F.substring_index(o, "/", -1)))
+        path = F.when((x["net"] != "") | x["path"].startswith("/"), x["path"]).otherwise(
+            F.concat(let(own, folder), x["path"]))
+        full = F.when((x["net"] == "") & (x["path"] == ""), own).otherwise(let(path, without_dots))
+        return F.concat(start, full, x["rest"])
+
+    parts = lambda t, b: F.struct(
+        b.alias("base"), F.regexp_extract(t, r"^//[^/?#]*", 0).alias("net"),
+        F.regexp_extract(t, r"^(?://[^/?#]*)?([^?#]*)", 1).alias("path"),
+        F.regexp_extract(t, r"(?s)^[^?#]*(.*)", 1).alias("rest"))
+    return let(F.struct(target.alias("t"), base.alias("b")), lambda x: (
+        F.when(x["t"].rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), x["t"])
+        .when(x["t"].rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(x["t"].startswith("#"), x["b"])
+        .otherwise(let(parts(x["t"], x["b"]), resolved))))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """``a, b``: the page's address and that of a redirect or canonical target."""
-    links = pages.select("url", F.explode(link_targets(F.col("html"))).alias("target"))
-    return links.select(
-        node_of(F.col("url")).alias("a"), node_of(absolute(F.col("target"), F.col("url"))).alias("b")
-    ).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    # One expression: a filter on a column of tags would find them a second time.
+    targets = let(link_tags(F.col("html")), lambda tags: let(base_of(tags, F.col("url")), lambda base: F.transform(
+        link_targets(tags), lambda t: let(absolute(t, base), node_of))))
+    return pages.select("url", F.explode(targets).alias("b")).select(node_of(F.col("url")).alias("a"), "b").where(
+        "a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
 def judge_urls(pages: DataFrame, rules: list[UrlRule], more_edges: DataFrame | None = None) -> DataFrame:

@@ -192,6 +192,58 @@ def test_blocks_reach_aliases_and_allows_win(spark):
     assert verdicts(spark, []) == {}
 
 
+BASES = ["http://a.org", "http://a.org/", "https://A.org/x/y", "http://a.org/x/y/?q=1/2#f", "http://a.org/x//z.html?n"]
+TARGETS = ["new.html", "../x", "../../../x", "./", ".", "..", "../", "?page=2", "#top", "a/./b/../c", "/p/../q/.", "//c.net/e/../f",
+           "//c.net", "x?y=../z", "http://d.net/r", "HTTPS://D.net", "sub/", "a:b", "mailto:me", ".hid/..x/...", "é b?c#d"]
+
+
+def plain_resolved(base, target):
+    """RFC 3986, 5.2.2 and its 5.2.4 by the letter; a target with a scheme and // stays."""
+    if re.match("[A-Za-z][A-Za-z0-9+.-]*:", target):
+        return target if "://" in target else None
+    part = re.compile("(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)([?][^#]*)?")
+    scheme, host, path, query = part.match(base).groups()
+    _, net, rel, ask = part.match(target).groups()
+    if net is None and not rel:
+        return f"{scheme}://{host}{path or '/'}{ask or query or ''}"
+    left = rel if net is not None or rel[:1] == "/" else (path[:path.rfind("/") + 1] or "/") + rel
+    out = ""
+    while left:
+        if left.startswith("/./") or left == "/.":
+            left = "/" + left[3:]
+        elif left.startswith("/../") or left == "/..":
+            left, out = "/" + left[4:], out[:max(out.rfind("/"), 0)]
+        else:
+            n = left.find("/", 1) % (len(left) + 1)
+            out, left = out + left[:n], left[n:]
+    return f"{scheme}://{host if net is None else net}{out or '/'}{ask or ''}"
+
+
+def test_relative_targets_match_brute_force(spark):
+    want = {(b, t): plain_resolved(b, t) for b in BASES for t in TARGETS}
+    df = spark.createDataFrame([(*k, v) for k, v in want.items()], "b string, t string, want string")
+    rows = df.select("b", "t", U.node_of(U.absolute(F.col("t"), F.col("b"))).alias("got"),
+                     U.node_of(F.col("want")).alias("want")).collect()
+    assert [r for r in rows if r.got != r.want] == [] and sum(r.want is not None for r in rows) == 19 * len(BASES)
+    assert want[BASES[3], "../x"] == "http://a.org/x/x" and want[BASES[2], "../../../x"] == "https://A.org/x"
+
+
+def test_relative_links_and_rel_tokens_pass_blocks_on(spark):
+    blocked = canonical("http://b.net/es/1")
+    rel = '<link rel="{}" href="{}">'.format
+    got = verdicts(spark, [
+        ("http://a.org/d/new.html", blocked), ("http://a.org/d/old.html", canonical("new.html")),
+        ("http://a.org/d/e/f", canonical("../new.html")), ("http://a.org/d/e?page=1", canonical("?page=2")),
+        ("http://a.org/d/e?page=2", canonical("./new.html")),
+        ("http://a.org/r", '<meta http-equiv=refresh content="0; url=d/new.html">'),
+        ("http://c.org/1", rel("alternate\n Canonical", "http://b.net/es/1")),
+        ("http://c.org/2", rel("canonicals alternate", "http://b.net/es/1")),
+        ("http://c.org/3", "<!--<base href=/no/>--><base target=x><BASE href='//a.org/d/'><base href=/no/>" + canonical("new.html")),
+        ("http://a.org/x/y", "<base href=../d/>" + canonical("new.html")), ("http://c.org/4", canonical("mailto:b.net/es/1")),
+        ("http://c.org/5", '<base rel=canonical href="http://b.net/es/1">')])
+    assert {k for k, x in got.items() if x[3] == "block"} == {0, 1, 2, 3, 4, 5, 6, 8, 9}
+
+
 def test_components_on_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(900, 960)] + [(5, 5), (2000, 2000), (None, 3)]
     df = spark.createDataFrame(edges, "a long, b long")
