@@ -17,9 +17,11 @@ markup and never text.
 
 Edge cases: a null, empty or text-free html gives the empty text; unclosed,
 misnested and cut-off tags are repaired as far as browsers do for paragraphs and
-lists; text outside any element counts as a child of the root; repeated rows
-give equal texts; extra columns are ignored; an empty table gives no rows. A
-table without any sampled article is judged by the built-in node classes alone.
+lists; a quote opens an attribute's value only right after its ``=``; a drawing
+closed in its own tag ends there, one left open at the next HTML tag; text outside
+any element counts as a child of the root; repeated rows give equal texts; extra
+columns are ignored; an empty table gives no rows. A table without any sampled
+article is judged by the built-in node classes alone.
 """
 
 from __future__ import annotations
@@ -39,25 +41,26 @@ MAX_PAGE_CHARS = 20_000
 
 #: Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp".split())
+RAW = frozenset("script style textarea title noscript iframe template svg xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
+    "strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mstyle msub msup msubsup mover munder munderover semantics annotation".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
+    "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul xmp".split())
 #: Elements whose end is implied by a sibling: tag -> tags that end it.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
            "th": {"td", "th", "tr"}, "option": {"option"}}
 #: What never holds text of the page, whatever the model says.
-NEVER = frozenset("head script style template noscript iframe svg math textarea select button object canvas".split())
+NEVER = frozenset("head script style template noscript iframe svg textarea select button object canvas".split())
 
 TAG_CLASSES = (
     ("root", {"#root", "html", "body"}), ("article", {"article", "main"}), ("p", {"p"}),
     ("heading", {"h1", "h2", "h3", "h4", "h5", "h6"}), ("list", {"ul", "ol", "dl", "menu"}),
     ("item", {"li", "dt", "dd"}), ("nav", {"nav"}), ("edge", {"header", "footer"}), ("aside", {"aside"}),
     ("form", {"form", "input", "fieldset", "label", "dialog"}), ("box", {"div", "section"}), ("inline", set(INLINE) - {"a"}),
-    ("link", {"a"}), ("quote", {"blockquote", "pre", "figure", "figcaption"}),
+    ("link", {"a"}), ("quote", {"blockquote", "pre", "xmp", "figure", "figcaption"}),
     ("table", {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}),
 )
 #: Attribute tokens by meaning; a node has the feature if its class, id, role or label names one.
@@ -74,7 +77,11 @@ TOKENS = (
 )
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<decl>[!?])[^>]*(?:>|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)"
-                  r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z))", re.S)
+                  r"(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]++)?+)?+)*+)(?:>|\Z))", re.S)
+#: Tags that end a drawing left open, as in browsers, and those of a drawing that may hold them.
+_BREAKOUT = re.compile(r"<(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|"
+                       r"meta|nobr|ol|p|pre|ruby|s|small|span|strong|strike|sub|sup|table|tt|u|ul|var)[\s/>]", re.I)
+_HOLDS_HTML = re.compile(r"<(?:foreignObject|desc|title)[\s/>]", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -123,13 +130,19 @@ def parse(page: str | None) -> Node:
                 here = up = up.parent
         node = Node(name, m["attrs"] or "", here)
         here.children.append(node)
-        if name in RAW:
+        closed = (m["attrs"] or "").endswith("/")
+        if name in RAW and not (closed and name == "svg"):
             end = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
             stop, after = (end.start(), end.end()) if end else (len(page), len(page))
+            if name == "svg" and (out := _BREAKOUT.search(page, pos, stop)) and not (
+                    end and _HOLDS_HTML.search(page, pos, out.start())):
+                after = out.start()
             if name == "textarea":
                 node.children.append(page[pos:stop])
+            if name == "xmp":  # shown as it stands, so its references stay
+                node.children.append(html_lib.escape(page[pos:stop], quote=False))
             pos = after
-        elif name not in VOID and not (m["attrs"] or "").endswith("/"):
+        elif name not in VOID and not closed:
             here = node
     if pos < len(page):
         here.children.append(page[pos:])

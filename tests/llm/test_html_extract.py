@@ -58,6 +58,24 @@ def test_hand_made_pages(model, page):
     assert H.extract_pages([page], model) == [WANT]
 
 
+AFTER = f"<p>{PARA}</p>"
+
+
+@pytest.mark.parametrize("inside, text", [
+    ('<svg width="9" height="9"/>', ""), ("<p><svg/></p>", ""), ("<math/>", ""),
+    ("<svg><title>no</title><path d='M0'/></svg>", ""), ('<svg><path d="M0">', ""),
+    (f"<svg><path><p>{PARA}</p><svg><foreignObject><p>no</p></foreignObject></svg>", PARA),
+    ("<p data-x=it's>" + PARA + "it's</p>", PARA + "it's "), (f'<p title="a>b" ">{PARA}</p>', PARA),
+    (f"<p it's class = 'x>y' a=b\"c>{PARA}</p>", PARA), (f'<p a=b="c>{PARA}</p>', PARA), ("<br/\"><hr '>", ""),
+    (f"<p>{PARA} if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then {PARA}</p>", f"{PARA} if x=2 then {PARA}"),
+    (f"<p>{PARA} if <math><mi>x</mi> then {PARA}</p>", f"{PARA} if x then {PARA}"),
+    (f"<xmp>{PARA} <b>5 &amp; 6</b></xmp>", f"{PARA} <b>5 &amp; 6</b> "),
+])
+def test_text_around_drawings_formulas_and_stray_quotes(model, inside, text):
+    page = f"<html><body><nav><a href=/>x</a></nav><article>{BODY}{inside}{AFTER}</article><footer>f</footer>"
+    assert H.extract_pages([page], model) == [" ".join(f"{WANT} {text} {PARA}".split())]
+
+
 def test_dropping_an_ancestor_drops_its_descendants():
     r = np.random.default_rng(4)
     page = "<div>a<div>b<p>c<b>d</b></p></div><ul><li>e<li>f</ul></div>" * 20
