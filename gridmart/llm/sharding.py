@@ -7,7 +7,8 @@ Appending a shard moves about 1/(n+1) of the keys, and only into the new one.
 Slots number the rows of a shard from 0 without gaps. They come from counts
 per (shard, bucket) and a running sum inside each bucket, so no task sees a
 whole shard. Identical rows are counted before the shuffle, so a hot key or a
-hot copy costs one row per map task.
+hot copy costs one row per map task. They are written out in pieces of bounded
+length that are dealt over all tasks.
 
 Edge cases: a null key is key 0; a null text counts as no bytes; repeated rows
 get one slot each; extra columns are ignored; an empty table gives no rows.
@@ -28,6 +29,8 @@ _A0, _A1, _A2 = (MULTIPLIER & _MASK, (MULTIPLIER >> _LIMB) & _MASK, MULTIPLIER >
 
 #: Rows that one slot-numbering bucket holds on average.
 ROWS_PER_BUCKET = 100_000
+#: Copies of one row that are written out from one array.
+COPIES = 1 << 16
 
 
 def _long(value: int) -> Column:
@@ -90,10 +93,16 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     # One row per (shard, bucket): the table is rows / rows_per_bucket long.
     offsets = (placed.groupBy("shard", "bucket").agg(F.sum("n").alias("m"))
                .withColumn("start", F.coalesce(F.sum("m").over(before), _long(0))).drop("m"))
-    end = F.col("start") + F.col("upto")
-    return numbered.join(offsets, ["shard", "bucket"]).select(
+    first = F.col("start") + F.col("upto") - F.col("n")
+    pieces = numbered.join(offsets, ["shard", "bucket"]).select(
+        "key", "size", "text_crc32", "shard", "grown_shard", (first + F.col("n")).alias("end"),
+        F.explode(F.sequence(first, first + F.col("n") - 1, _long(COPIES))).alias("first"),
+    )
+    # The number is given, as adaptive execution would merge the few pieces of a hot copy.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.repartition(tasks, "shard", "first").select(
         F.col("key").alias(key), "size", "text_crc32", "shard",
-        F.explode(F.sequence(end - F.col("n"), end - 1)).alias("slot"),
+        F.explode(F.sequence(F.col("first"), F.least(F.col("first") + COPIES, F.col("end")) - 1)).alias("slot"),
         "grown_shard",
     )
 

@@ -48,6 +48,15 @@ def test_slots_are_gapless_and_growth_moves_rows_only_into_the_new_shard(spark,
     assert sharding.assign_shards(df.limit(0), 4).collect() == []
 
 
+def test_copies_of_one_row_are_dealt_over_tasks_in_bounded_arrays(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 10, raising=False)
+    df = spark.createDataFrame([(7, "copy")] * 995 + [(8, "b")] * 10 + [(9, "c")], "doc_id long, text string")
+    got = sharding.assign_shards(df, 1).select("*", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.slot for r in got) == list(range(1006))
+    tasks = Counter(r.task for r in got if r.doc_id == 7)
+    assert len(tasks) > 3 and max(tasks.values()) < 500
+
+
 def test_shards_are_written_once_each(spark, tmp_path):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     sharding.write_shards(df, str(tmp_path / "out"), 4, files_per_shard=2)
