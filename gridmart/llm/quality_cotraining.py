@@ -141,6 +141,10 @@ class CoTrained:
         t, m = self.text.logit(xt), self.meta.logit(xm)
         return tuple(1 / (1 + np.exp(-z)) for z in (t, m, t + m - self.prior))
 
+    def keeps(self, both: np.ndarray) -> np.ndarray:
+        """Where the score of both views keeps a document; everywhere without a fit."""
+        return (both >= REJECT_BELOW) | (self.text is None)
+
 
 def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS,
              confident: float = CONFIDENT) -> CoTrained:
@@ -238,7 +242,7 @@ def score(docs: DataFrame, model: CoTrained, key: str = "doc_id", text: str = "t
                 *_matrices(*[b.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars")]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array(x.astype(np.float64)) for x in (t, m, both)],
-                 pa.array(both >= REJECT_BELOW)], names=schema.names)
+                 pa.array(sent.value.keeps(both))], names=schema.names)
 
     return docs.select(F.col(key).alias("doc_id"), *_feature_columns(docs, text, lang, source, length)
                        ).mapInArrow(run, schema)
@@ -253,6 +257,6 @@ def keep_good(docs: DataFrame, model: CoTrained, text: str = "text", lang: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             _, _, both = sent.value.scores(*_matrices(*[b.column(i).to_pylist() for i in at]))
-            yield b.filter(pa.array(both >= REJECT_BELOW))
+            yield b.filter(pa.array(sent.value.keeps(both)))
 
     return docs.mapInArrow(run, docs.schema)

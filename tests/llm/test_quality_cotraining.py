@@ -58,6 +58,13 @@ def test_conflicting_labels_count_as_bad_and_empty_tables_work(spark):
     assert Q.score(empty, Q.fit(empty, labels)).collect() == []
 
 
+def test_labels_of_bad_documents_alone_reject_nothing(spark):
+    docs = rows(spark)
+    model = Q.fit(docs, spark.createDataFrame([(1, 0, 0), (3, 0, 0), (5, 0, 0)], "doc_id long, quality int, toxic int"))
+    assert model.text is None and model.prior < 0
+    assert Q.keep_good(docs, model).count() == 6 and Q.score(docs, model).where("kept AND score < 0.5").count() == 6
+
+
 def test_trained_model_scores_edge_rows(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = Q.fit(docs, labels)
