@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: ASCII white space and its complement, as used by every word contract here.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -30,6 +33,36 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def one_per_key(rows: DataFrame, make: Callable[[pa.RecordBatch], list[tuple]], key: str, schema: T.StructType) -> DataFrame:
+    """One row of each key: ``make`` gives the rows of ``schema`` for a batch's rows.
+
+    The row with the least ``__mark`` (a long of ``rows``) stands for its key, in each
+    task first, so that a key with a third of all rows costs one row per task.
+    ``rows`` are those of a bounded number of keys.
+    """
+    out = T.StructType([T.StructField("__key", rows.schema[key].dataType), T.StructField("__mark", T.LongType()), *schema])
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict = {}
+        for b in batches:
+            at: dict = {}
+            for i, (k, mark) in enumerate(zip(b.column(key).to_pylist(), b.column("__mark").to_pylist())):
+                known = best.get(k)
+                if known is None or mark < known[0]:
+                    best[k] = (mark, None)
+                    at[k] = i
+            if at:
+                for k, row in zip(at, make(b.take(list(at.values())))):
+                    best[k] = (best[k][0], row)
+        if best:
+            columns = [list(best), [v[0] for v in best.values()], *zip(*[v[1] for v in best.values()])]
+            kinds = to_arrow_schema(out)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], names=out.names)
+
+    first = F.min_by(F.struct(*schema.names), F.col("__mark")).alias("row")
+    return rows.mapInArrow(least, out).groupBy("__key").agg(first).select("row.*")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder, which all executors share.
 

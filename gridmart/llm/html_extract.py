@@ -35,6 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from gridmart.llm.common import one_per_key
+
 #: Documented bounds of the training sample: pages, and characters of one page.
 MAX_PAGES = 150
 MAX_PAGE_CHARS = 20_000
@@ -472,12 +474,15 @@ def extract_pages(pages: list[str | None], model: Boosted | None) -> list[str]:
 
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", max_pages: int = MAX_PAGES) -> Boosted | None:
-    """Train on about ``max_pages`` pages with an article tag, chosen by a hash of their key."""
+    """Train on about ``max_pages`` pages with an article tag, chosen by a hash of their key; one row of each key."""
     told = pages.where(F.col(html).rlike("(?i)<(article|main)[ >]") & (F.char_length(html) <= MAX_PAGE_CHARS))
     n = told.count()
     order = F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1 << 20))
     share = (1 << 20) if n <= max_pages else int((1 << 20) * 0.95 * max_pages / n)
-    rows = told.where(order < share).select(F.col(html).alias("html")).collect()
+    chosen = told.where(order < share).select(
+        F.col(key).alias("key"), F.col(html).alias("html"), F.xxhash64(html).alias("__mark"))
+    schema = T.StructType([T.StructField("html", T.StringType())])
+    rows = one_per_key(chosen, lambda b: [(x,) for x in b.column("html").to_pylist()], "key", schema).collect()
     return train(sorted(r.html for r in rows))
 
 

@@ -9,8 +9,8 @@ labels, and the two log-odds are added (their common prior counted once) to
 score all documents.
 
 Fitting is on bounded samples, chosen by a hash of the key: ``max_labelled``
-labelled and ``max_pool`` unlabelled documents, whose features (not texts) reach
-the driver. Scoring covers every document, whole texts, in one pass without a
+labelled and ``max_pool`` unlabelled documents, one row of each key, whose features
+(not texts) reach the driver. Scoring covers every document, whole texts, in one pass without a
 shuffle.
 
 Edge cases: null or empty text has only zero features, null metadata its own
@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from gridmart.llm.common import one_per_key
+
 #: Documented bounds of the fitting samples (rows).
 MAX_LABELLED = 3000
 MAX_POOL = 3000
@@ -208,17 +210,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(13)), F.lit(4)) == 0
     chosen = marked.where(F.col("quality").isNotNull() | (order < share(max_pool, n_docs)))
     chosen = chosen.select(
-        F.coalesce("quality", F.lit(-1)).alias("y"), fold.alias("held"), "text", "lang", "source", "n_chars")
+        "doc_id", F.coalesce("quality", F.lit(-1)).alias("y"), fold.alias("held"), "text", "lang", "source", "n_chars",
+        F.xxhash64("text", "lang", "source", "n_chars").alias("__mark"))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            xt, xm = _matrices(*[b.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars")])
-            yield pa.RecordBatch.from_arrays([
-                b.column("y"), b.column("held"),
-                pa.array([x.tobytes() for x in xt], pa.binary()), pa.array([x.tobytes() for x in xm], pa.binary()),
-            ], names=["y", "held", "xt", "xm"])
+    def features(b: pa.RecordBatch) -> list[tuple]:
+        xt, xm = _matrices(*[b.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars")])
+        return list(zip(b.column("y").to_pylist(), b.column("held").to_pylist(),
+                        [x.tobytes() for x in xt], [x.tobytes() for x in xm]))
 
-    got = chosen.mapInArrow(features, "y int, held boolean, xt binary, xm binary").toArrow()
+    schema = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("held", T.BooleanType()),
+                           T.StructField("xt", T.BinaryType()), T.StructField("xm", T.BinaryType())])
+    got = one_per_key(chosen, features, "doc_id", schema).toArrow()
     # A fixed row order makes the fit the same on every run.
     rows_ = sorted(zip(got["y"].to_pylist(), got["held"].to_pylist(), got["xt"].to_pylist(), got["xm"].to_pylist()),
                    key=lambda r: (r[2], r[3], r[0], bool(r[1])))

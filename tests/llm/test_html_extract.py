@@ -111,6 +111,14 @@ def test_edge_rows_through_spark(spark, model):
     assert H.extract(df.limit(0), H.fit(df.limit(0))).collect() == []
 
 
+def test_a_repeated_key_gives_the_fit_one_page(spark, monkeypatch):
+    rows = [(1, f"<article>{i}</article>") for i in range(300)] + [(2, "<main>same</main>")] * 300 + [(3, "<main>x</main>")]
+    seen = []
+    monkeypatch.setattr(H, "train", seen.append)
+    H.fit(spark.createDataFrame(rows, "page_id long, html string").repartition(5), max_pages=1000)
+    assert len(seen[0]) == 3 and seen[0][1:] == ["<main>same</main>", "<main>x</main>"]
+
+
 def test_no_article_to_learn_from_falls_back_to_node_classes(spark):
     df = spark.createDataFrame([(1, "u", "<div class=menu>x</div><div><p>kept words</p></div><footer>f</footer>")],
                                "page_id long, url string, html string")

@@ -65,6 +65,19 @@ def test_labels_of_bad_documents_alone_reject_nothing(spark):
     assert Q.keep_good(docs, model).count() == 6 and Q.score(docs, model).where("kept AND score < 0.5").count() == 6
 
 
+def test_a_repeated_key_gives_the_fit_one_row(spark, monkeypatch):
+    hot = [(1, f"text {i}", "en", "a", i) for i in range(300)] + [(2, "same", "en", "a", 4)] * 300
+    rest = [(k, f"doc {k}", "de", "b", k) for k in range(3, 23)] + [(None, "n", None, None, None)] * 5
+    docs = spark.createDataFrame([(*r, "clash") for r in hot + rest], SCHEMA).repartition(7)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    plain = Q.co_train
+    monkeypatch.setattr(Q, "co_train", lambda xt, xm, y, *a: seen.append((xt.tobytes(), sorted(y))) or plain(xt, xm, y, *a))
+    for d in (docs, docs.repartition(3)):
+        Q.fit(d, labels)
+    assert seen[0] == seen[1] and seen[0][1] == [-1] * 21 + [0, 1]
+
+
 def test_trained_model_scores_edge_rows(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = Q.fit(docs, labels)
