@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -84,3 +87,39 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder: losing an executor costs only its running tasks."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Folders of written tables that are still there: path -> what deletes it.
+_WRITTEN: dict[str, Callable[[], object]] = {}
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df``, written in the shared folder and read back: the cut of a plan.
+
+    The table lives until ``release`` or, as a lazy result may still read it,
+    until the driver's process ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex[:12]}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    _WRITTEN[path] = lambda: files.delete(target, True)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``staged`` wrote, after their last read."""
+    for t in tables:
+        delete = _WRITTEN.pop(getattr(t, "_staged", ""), None)
+        if delete is not None:
+            delete()
+
+
+@atexit.register
+def _release_rest() -> None:
+    for path in list(_WRITTEN):
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            _WRITTEN.pop(path)()

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from gridmart.llm import q01, q02, q03, q04, q05, q06, q07, q08, q09, q10
+from gridmart.llm import q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13
 
-_MODULES = (q01, q02, q03, q04, q05, q06, q07, q08, q09, q10)
+_MODULES = (q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13)
 
 
 def registry() -> dict:
