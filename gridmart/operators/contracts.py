@@ -74,34 +74,40 @@ def flag_rows(df: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -
     return df.select(*out, *[v.alias(k) for k, v in flags.items()])
 
 
-def duplicate_keys(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -> DataFrame:
-    """Duplicate report: per batch with collisions, how many keys and rows collide.
-
-    ``verdicts`` counts duplicated keys on its own; this is the drill-down.
-    """
-    per_key = flagged.groupBy(*_uniq([*batch, *contract.key])).count()
-    return per_key.filter(F.col("count") > 1).groupBy(*batch).agg(
-        F.count(F.lit(1)).alias("duplicate_keys"), F.sum("count").alias("duplicate_rows")
-    )
+def _row_hash(contract: Contract, batch: Sequence[str]) -> Column:
+    """Hash of a row's declared content, its batch key left out; a null is a value like any other."""
+    content = [c for c in contract.columns if c not in batch or c == "zone_code"]
+    return F.xxhash64(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in content])
 
 
-def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -> DataFrame:
+def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATCH, digest: bool = False) -> DataFrame:
     """One row per batch: row count, violation counts, passed, reason.
 
+    With ``digest`` also a text that names the batch's rows whatever their order:
+    their number, and the exclusive or and the sum of their hashes (copies cancel in
+    the one and count in the other).
+
     Two chained aggregations and no join: first per (batch, key) -- rows and
     flag counts per key -- then per batch, where a key with more than one row
     is a duplicate. Both combine map-side, so neither a hot batch nor a key
     repeated millions of times reaches one task whole.
     """
     row_checks = [k for k in CHECKS if k != "duplicate_keys"]
+    per_row, per_batch = [], []
+    if digest:
+        flagged = flagged.withColumn("_hash", _row_hash(contract, batch))
+        per_row = [F.bit_xor("_hash").alias("_xor"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("_sum")]
+        per_batch = [F.bit_xor("_xor").alias("_xor"), F.sum("_sum").alias("_sum")]
     per_key = flagged.groupBy(*_uniq([*batch, *contract.key])).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(k)).alias(k) for k in row_checks]
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(k)).alias(k) for k in row_checks], *per_row
     )
     v = per_key.groupBy(*batch).agg(
         F.sum("_n").alias("rows"),
         *[F.sum(k).alias(k) for k in row_checks],
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+        *per_batch,
     )
+    made = [F.concat_ws(":", "rows", F.hex("_xor"), F.col("_sum").cast("string")).alias("digest")] if digest else []
     failing = [F.when(F.col(k) > 0, F.lit(k)) for k in CHECKS]
     passed = F.lit(True)
     for k in CHECKS:
@@ -112,9 +118,23 @@ def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATC
         *[F.col(k).cast("bigint").alias(k) for k in CHECKS],
         passed.alias("passed"),
         F.nullif(F.concat_ws(",", *failing), F.lit("")).alias("reason"),
+        *made,
     )
 
 
+def mark_replays(verdict: DataFrame, loaded: DataFrame, batch: Sequence[str] = BATCH) -> DataFrame:
+    """``verdict`` (with ``digest``) and ``replayed``: the batch passes, and what it last loaded has this digest.
+
+    ``loaded`` are ledger rows of loaded batches with their ``digest`` and
+    ``ingested_at``. The last load of a batch decides, so a content that was
+    replaced in between loads again.
+    """
+    last = loaded.groupBy(*batch).agg(F.max_by("digest", F.struct("ingested_at", "digest")).alias("_last"))
+    marked = null_safe_join(verdict, last, batch, "left")
+    same = F.col("passed") & F.coalesce(F.col("digest") == F.col("_last"), F.lit(False))
+    return marked.withColumn("replayed", same).drop("_last")
+
+
 def valid_rows(
     flagged: DataFrame,
     verdict: DataFrame,
@@ -146,20 +166,24 @@ def valid_rows(
 
 LEDGER_COLUMNS = (*BATCH, "rows", "rows_loaded", "status", "reason")
 MISSING_REASON = "no data for the requested window"
+FAILURES = ("rejected", "missing")
 
 
 def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence[str] = BATCH) -> DataFrame:
-    """Per-batch outcome: loaded or rejected with reason; missing batches too.
+    """Per-batch outcome: loaded, rejected with reason, or replayed; missing batches too.
 
     ``missing`` has (some of) the batch columns, and may bring the ``rows`` that
-    were landed and a ``reason`` of its own.
+    were landed, a ``status`` (default: missing) and a ``reason`` of its own.
     """
+    replayed = F.col("replayed") if "replayed" in verdict.columns else F.lit(False)
+    loads = F.col("passed") & ~replayed
     out = verdict.select(
         *batch,
         F.col("rows"),
-        F.when(F.col("passed"), F.col("rows")).otherwise(F.lit(0)).cast("bigint").alias("rows_loaded"),
-        F.when(F.col("passed"), F.lit("loaded")).otherwise(F.lit("rejected")).alias("status"),
+        F.when(loads, F.col("rows")).otherwise(F.lit(0)).cast("bigint").alias("rows_loaded"),
+        F.when(replayed, F.lit("replayed")).when(loads, F.lit("loaded")).otherwise(F.lit("rejected")).alias("status"),
         F.col("reason"),
+        *([F.col("digest")] if "digest" in verdict.columns else []),
     )
     if missing is not None:
         have = missing.columns
@@ -168,18 +192,23 @@ def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence
                 *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in batch],
                 (F.col("rows") if "rows" in have else F.lit(0)).cast("bigint").alias("rows"),
                 F.lit(0).cast("bigint").alias("rows_loaded"),
-                F.lit("missing").alias("status"),
+                (F.col("status") if "status" in have else F.lit("missing")).alias("status"),
                 (F.col("reason") if "reason" in have else F.lit(MISSING_REASON)).alias("reason"),
-            )
+            ),
+            allowMissingColumns=True,
         )
     return out
 
 
 def summary(ledger_df: DataFrame) -> DataFrame:
-    """Per source: zones, batches, failures, rows loaded (the run summary)."""
+    """Per source: zones, batches, failures, rows loaded (the run summary).
+
+    Rejected and missing batches are failures. A batch that was landed in order but
+    has nothing inside its window (``empty``) or was loaded before (``replayed``) is none.
+    """
     return ledger_df.groupBy("source").agg(
         F.countDistinct("zone_code").alias("zones"),
         F.count(F.lit(1)).alias("batches"),
-        F.count_if(F.col("status") != "loaded").alias("failures"),
+        F.count_if(F.col("status").isin(*FAILURES)).alias("failures"),
         F.sum("rows_loaded").cast("bigint").alias("rows_loaded"),
     )

@@ -22,8 +22,8 @@ def first_available_series(
     """Keep, per batch, only the rows of the most preferred series present.
 
     Series are never mixed inside a batch. Batches with no preferred series
-    at all are absent from the result; ``batches_without_series`` names them
-    for the ledger. Null parts of a batch key are values like any other.
+    at all are absent from the result; ``batches_emptied`` names them for the
+    ledger. Null parts of a batch key are values like any other.
     """
     pref = F.array_position(F.array(*[F.lit(p) for p in preference]), F.col(series_col))
     ranked = df.withColumn("_pref", pref).filter(F.col("_pref") > 0)
@@ -35,17 +35,6 @@ def first_available_series(
     )
 
 
-def batches_without_series(
-    df: DataFrame, batch: Sequence[str],
-    series_col: str = "series_resolution", preference: Sequence[str] = SERIES_PREFERENCE,
-) -> DataFrame:
-    """Batches of ``df`` with their row count that have no row of any preferred series."""
-    preferred = F.coalesce(F.col(series_col).isin(*preference), F.lit(False))
-    return df.groupBy(*batch).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(preferred).alias("_preferred")
-    ).filter(F.col("_preferred") == 0).drop("_preferred")
-
-
 def batches_emptied(
     df: DataFrame, batch: Sequence[str], end_col: str, ts: str = "ts_utc",
     series_col: str = "series_resolution", preference: Sequence[str] = SERIES_PREFERENCE,

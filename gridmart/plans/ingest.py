@@ -70,13 +70,17 @@ def normalize_price(landed: DataFrame) -> DataFrame:
 
 
 def price_batches_lost(landed: DataFrame) -> DataFrame:
-    """Landed price batches that ``normalize_price`` leaves without rows, as ``missing``
-    ledger rows: no known series, or nothing before the window end in the picked one."""
+    """Landed price batches that ``normalize_price`` leaves without rows, for the ledger.
+
+    Without a known series a batch is ``missing``; with nothing before the window
+    end in the picked series it is ``empty``, which is no failure.
+    """
     rows = landed.select(*BATCH_IN, _utc().alias("ts_utc"), "series_resolution")
     rows = rows.withColumn("_end", market_window_end("market_day"))
     lost = series.batches_emptied(rows, list(BATCH_IN), "_end")
     reason = F.when(F.col("has_series"), F.lit("no price before the window end")).otherwise(F.lit("no price series"))
-    return lost.withColumn("source", F.lit("price")).withColumn("reason", reason).drop("has_series")
+    status = F.when(F.col("has_series"), F.lit("empty")).otherwise(F.lit("missing"))
+    return lost.withColumns({"source": F.lit("price"), "reason": reason, "status": status}).drop("has_series")
 
 
 def prepare(normalized: DataFrame, source: str, scratch: session.Scratch | None = None) -> DataFrame:
@@ -103,18 +107,23 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("reason", T.StringType()),
+    T.StructField("digest", T.StringType()),
+    T.StructField("ingested_at", T.TimestampType()),
 ])
 
 
-def write_ledger(ledger: DataFrame, ledger_path: str, job_id: str) -> None:
+def write_ledger(ledger: DataFrame, ledger_path: str, job_id: str, ingested_at: datetime | None = None) -> None:
     """Append a job's rows; ``job_id=...`` folders keep the jobs apart."""
-    (ledger.select(*LEDGER_SCHEMA.fieldNames()).withColumn("job_id", F.lit(job_id))
+    at = F.lit(None if ingested_at is None else bronze.instant_text(ingested_at)).cast("timestamp")
+    if "digest" not in ledger.columns:
+        ledger = ledger.withColumn("digest", F.lit(None).cast("string"))
+    (ledger.withColumn("ingested_at", at).select(*LEDGER_SCHEMA.fieldNames()).withColumn("job_id", F.lit(job_id))
      .write.mode("append").partitionBy("job_id").parquet(ledger_path))
 
 
-def read_ledger(spark: SparkSession, ledger_path: str, job_id: str) -> DataFrame:
-    """The rows of one job: only its folder is listed, and nothing is inferred."""
-    path = f"{ledger_path}/job_id={job_id}"
+def read_ledger(spark: SparkSession, ledger_path: str, job_id: str | None = None) -> DataFrame:
+    """The rows of one job (only its folder is listed) or of all; nothing is inferred."""
+    path = ledger_path if job_id is None else f"{ledger_path}/job_id={job_id}"
     if not bronze.path_exists(spark, path, LEDGER_SCHEMA):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
@@ -135,13 +144,23 @@ def ingest(
 
     Returns the number of bronze rows written. ``ingested_at`` is one
     driver-side instant for the whole write (default: now, UTC). ``missing``
-    are batches that left no rows; they are ledgered as failures.
+    are batches that left no rows (see ``contracts.ledger``).
+
+    A batch whose rows are those that it loaded last (by the digest in the ledger) is
+    not appended again and is ledgered as replayed. The ledger is written after the
+    append: a run that dies in between appends again when it is repeated, as one more
+    revision of the same values, which the resolution of revisions absorbs.
     """
     spec: SourceSpec = SOURCES[source]
+    at = ingested_at or datetime.now(UTC)
     flagged = contracts.flag_rows(prepared, spec.contract)
     with session.Scratch(spark) as scratch:
-        verdict = scratch.stage(contracts.verdicts(flagged, spec.contract), f"verdict-{source}")
-        accepted = contracts.valid_rows(flagged, verdict, spec.contract, mode=mode)
-        written = bronze.write_bronze(accepted, bronze_root, spec, ingested_at=ingested_at or datetime.now(UTC))
-        write_ledger(contracts.ledger(verdict, missing), ledger_path, job_id or uuid.uuid4().hex)
+        found = contracts.verdicts(flagged, spec.contract, digest=True)
+        loaded = read_ledger(spark, ledger_path).where((F.col("source") == source) & (F.col("status") == "loaded"))
+        verdict = scratch.stage(contracts.mark_replays(found, loaded), f"verdict-{source}")
+        again = verdict.where("replayed").select(*contracts.BATCH)
+        fresh = flagged if again.isEmpty() else null_safe_join(flagged, again, contracts.BATCH, "left_anti")
+        accepted = contracts.valid_rows(fresh, verdict, spec.contract, mode=mode)
+        written = bronze.write_bronze(accepted, bronze_root, spec, ingested_at=at)
+        write_ledger(contracts.ledger(verdict, missing), ledger_path, job_id or uuid.uuid4().hex, at)
     return written

@@ -109,8 +109,9 @@ def ingest_landing(
         if source == "price":
             lost = I.price_batches_lost(landed)
             missing = lost if missing is None else missing.unionByName(lost, allowMissingColumns=True)
-            missing = missing.withColumn("rows", F.coalesce("rows", F.lit(0))).withColumn(
-                "reason", F.coalesce("reason", F.lit(contracts.MISSING_REASON)))
+            missing = missing.withColumns({
+                "rows": F.coalesce("rows", F.lit(0)), "status": F.coalesce("status", F.lit("missing")),
+                "reason": F.coalesce("reason", F.lit(contracts.MISSING_REASON))})
         with session.Scratch(spark) as scratch:
             prepared = I.prepare(_normalize(landed, source, generation_types), source, scratch)
             I.ingest(spark, prepared, source, bronze_root, ledger_path, ingested_at, mode, missing, job_id)

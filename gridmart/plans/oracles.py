@@ -71,10 +71,10 @@ def dim_type_values() -> str:
 
 QUARTER = "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 15 AS BIGINT))"
 
-def adapter(months: int = 1) -> str:
+def adapter(months: int = 1, where: str = "true") -> str:
     """The bronze-shaped feeds; ``months`` > 1 deals the events over that many months."""
     events = "events" if months == 1 else (
-        f"(SELECT * REPLACE (ts + to_months(CAST(event_id % {months} AS INTEGER)) AS ts) FROM events) e")
+        f"(SELECT * REPLACE (ts + to_months(CAST(event_id % {months} AS INTEGER)) AS ts) FROM events WHERE {where}) e")
     return _ADAPTER.replace("{events}", events)
 
 
@@ -738,7 +738,14 @@ FROM ({verdicts}) v
 UNION ALL
 SELECT 'price', zone_code, market_day, run_id, count(*), CAST(0 AS BIGINT), 'missing', 'no price series'
 FROM lp_utc GROUP BY zone_code, market_day, run_id
-HAVING count_if(series_resolution IN ('15min', '60min')) = 0"""
+HAVING count_if(series_resolution IN ('15min', '60min')) = 0
+UNION ALL
+SELECT 'price', zone_code, market_day, run_id, count(*), CAST(0 AS BIGINT), 'empty', 'no price before the window end'
+FROM lp_utc u
+WHERE NOT EXISTS (SELECT 1 FROM lp_bounded b WHERE b.zone_code IS NOT DISTINCT FROM u.zone_code
+                  AND b.market_day IS NOT DISTINCT FROM u.market_day AND b.run_id IS NOT DISTINCT FROM u.run_id)
+GROUP BY zone_code, market_day, run_id
+HAVING count_if(series_resolution IN ('15min', '60min')) > 0"""
 
 
 def mart_retraction_sql() -> str:
@@ -747,8 +754,75 @@ def mart_retraction_sql() -> str:
     return with_ctes(adapter(4), STAGING, MIX) + "\n" + settle(body, FCT_COLUMNS, FCT_DOUBLES)
 
 
+def refresh_by_key_sql() -> str:
+    return with_ctes(adapter(4), STAGING, MIX) + "\n" + settle(FCT_BODY, FCT_COLUMNS, FCT_DOUBLES)
+
+
+def publish_versions_sql() -> str:
+    """What a reader planned before the second publish sees, and one planned after it."""
+    cols = ["seen", "ts_month", "zone_code", "hours", "load_mw_sum", "price_hours"]
+
+    def seen(name: str, where: str) -> str:
+        return (f"SELECT '{name}' AS seen, CAST(date_trunc('month', ts_hour_utc) AS DATE) AS ts_month, zone_code, "
+                "count(*) AS hours, sum(load_mw) AS load_mw_sum, count(price_eur_mwh) AS price_hours "
+                f"FROM ({with_ctes(adapter(4, where), STAGING, MIX)} {FCT_BODY}) f GROUP BY ALL")
+
+    return settle(f"{seen('before', 'event_id % 97 <> 0')} UNION ALL {seen('after', 'true')}", cols, ["load_mw_sum"])
+
+
+def replay_sql() -> str:
+    """The verdicts twice; a batch with a measure that was revised loads again, the others are replayed."""
+    first = " UNION ALL ".join(f"SELECT * FROM verdict_{t}" for t in _CONTRACT)
+    revised = " UNION ALL ".join(
+        f"SELECT {BATCH_COLS}, bool_or(CAST(split_part(run_id, '|', 3) AS BIGINT) % 7 = 0 AND {m} > 1) AS revised "
+        f"FROM cf_{t} GROUP BY {BATCH_COLS}" for t, (_, m, _, _, _) in _CONTRACT.items())
+    return with_ctes(ADAPTER, *[contract_ctes(s) for s in _CONTRACT]) + f"""
+SELECT 'first' AS job, {BATCH_COLS}, rows, CAST(CASE WHEN passed THEN rows ELSE 0 END AS BIGINT) AS rows_loaded,
+       CASE WHEN passed THEN 'loaded' ELSE 'rejected' END AS status, reason
+FROM ({first}) v
+UNION ALL
+SELECT 'second', {BATCH_COLS}, rows,
+       CAST(CASE WHEN passed AND coalesce(revised, FALSE) THEN rows ELSE 0 END AS BIGINT),
+       CASE WHEN NOT passed THEN 'rejected' WHEN coalesce(revised, FALSE) THEN 'loaded' ELSE 'replayed' END, reason
+FROM ({first}) v JOIN ({revised}) r USING ({BATCH_COLS})"""
+
+
+def scheduled_day_sql() -> str:
+    """The ledger of one market day and the zones of the run; generation landed no file at all."""
+    due = "market_day = DATE '2024-01-12' - 2 AND zone_code IN ('DE_LU', 'AT', 'NL', 'BE')"
+    load = f"""
+ll_norm AS (
+  SELECT zone_code, market_day, {RUN} AS run_id, ts_utc, load_mw
+  FROM (SELECT *, {BERLIN_DAY} AS market_day FROM raw_load) r WHERE {due}),
+""" + landed_ctes("ll", "load", "ll_norm")
+    price = PRICE_NORMAL.format(series="series_resolution").replace(
+        "FROM landing_price)", f"FROM landing_price WHERE {due})") + landed_ctes("lp", "price", "lp_bounded")
+    keys = "zone_code, market_day, run_id"
+    return with_ctes(ADAPTER, LANDING_PRICE, load, price) + f"""
+, wanted AS (
+  SELECT source, zone_code, DATE '2024-01-12' - 2 AS market_day
+  FROM (SELECT unnest(['load', 'generation', 'price']) AS source), (SELECT unnest(['DE_LU', 'AT', 'NL', 'BE']) AS zone_code)
+), landed AS (
+  SELECT DISTINCT 'load' AS source, zone_code FROM ll_norm UNION SELECT DISTINCT 'price', zone_code FROM lp_utc
+)
+SELECT {BATCH_COLS}, rows, CAST(CASE WHEN passed THEN rows ELSE 0 END AS BIGINT) AS rows_loaded,
+       CASE WHEN passed THEN 'loaded' ELSE 'rejected' END AS status, reason
+FROM (SELECT * FROM verdict_ll UNION ALL SELECT * FROM verdict_lp) v
+UNION ALL
+SELECT 'price', {keys}, count(*), CAST(0 AS BIGINT), 'empty', 'no price before the window end'
+FROM lp_utc u WHERE NOT EXISTS (SELECT 1 FROM lp_bounded b WHERE b.zone_code = u.zone_code AND b.run_id = u.run_id)
+GROUP BY {keys}
+UNION ALL
+SELECT source, zone_code, market_day, NULL, CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'missing', 'no data for the requested window'
+FROM wanted WHERE (source, zone_code) NOT IN (SELECT (source, zone_code) FROM landed)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "q_replay_safe_append": replay_sql(),
+        "q_ingest_scheduled_day": scheduled_day_sql(),
+        "q_refresh_by_key": refresh_by_key_sql(),
+        "q_publish_versions": publish_versions_sql(),
         "q_fct_grid_hourly": fct_sql(),
         "q_stg_load_hourly": _stg_sql("stg_load", "load_mw", []),
         "q_stg_generation_hourly": _stg_sql("stg_generation", "generation_mw", ["production_type"]),

@@ -1,4 +1,4 @@
-"""Gated publish: write a candidate, run the checks on it, only then replace."""
+"""Gated publish: write a new version, run the checks on it, only then point to it."""
 
 from __future__ import annotations
 
@@ -17,31 +17,33 @@ def publish_fct(
 ) -> DataFrame:
     """Publish the whole fact, or the fact of the given ``months``.
 
-    The candidate is written to a scratch folder (which also cuts its lineage),
-    the 14 data tests run against that stored copy, and only if all pass is the
-    mart changed. A failing check raises and leaves the mart as it was.
+    The fact is written once, as month folders that no reader knows yet (which also
+    cuts its lineage). The 14 data tests run against these files. If all pass,
+    one pointer file makes them the mart; a failing check deletes them and raises,
+    and the mart stays as it was. Readers see the mart before or after, at any moment.
 
-    Without ``months`` the candidate replaces the mart; an empty one is refused,
+    Without ``months`` the version stands for the whole mart; an empty one is refused,
     as it passes every check. With ``months`` those months alone are replaced,
-    and a month that has no rows left is removed. Returns the check results.
+    and a month that has no rows left is gone. Returns the check results.
     """
-    with session.Scratch(spark) as scratch:
-        path = session.fresh_path(spark, "candidate-fct_grid_hourly")
-        scratch.paths.append(path)
-        mart.write_fct(fct_with_month, path, replace_all=True)
+    version = mart.new_version(spark, mart_path)
+    path = mart.version_path(mart_path, version)
+    try:
+        mart.write_fct(fct_with_month, path)
         candidate = spark.read.schema(mart.FCT_SCHEMA).parquet(path)
         results = checks.data_tests(candidate, dims.dim_zone(spark), dims.dim_production_type(spark))
         rows = results.collect()  # one row per check
-        failed = checks.gate(results)
+        failed = [r["check_name"] for r in rows if not r["passed"]]
         if failed:
             raise checks.CheckFailed(f"not published, failing checks: {failed}")
-        # Distinct months: bounded by the calendar.
-        present = {r["ts_month"] for r in candidate.select("ts_month").distinct().collect()}
+        # Month folders that were written: bounded by the calendar.
+        present = {date.fromisoformat(n.removeprefix("ts_month="))
+                   for n in session.list_names(spark, path) if n.startswith("ts_month=")}
         if months is None and not present:
             raise checks.CheckFailed("not published: a full rebuild without any row")
-        # The candidate's files already have the mart layout: copy them, no shuffle.
-        if present:
-            mart.write_fct(candidate, mart_path, layout=False, replace_all=months is None)
-        for month in sorted(set(months or ()) - present):
-            mart.drop_month(spark, mart_path, month)
-        return spark.createDataFrame(rows, results.schema)
+        mart.commit(spark, mart_path, version, present, months)
+    except BaseException:
+        session.delete_path(spark, path)
+        raise
+    mart.vacuum(spark, mart_path)
+    return spark.createDataFrame(rows, results.schema)

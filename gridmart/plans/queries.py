@@ -9,7 +9,7 @@ oracle in ``gridmart.plans.oracles``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from gridmart.operators import checks, contracts, conform, grid, mix, reshape, r
 from gridmart.operators import serve, series
 from gridmart.operators.revisions import latest_revision, retracted_keys
 from gridmart.plans.fact import fct_from_bronze
+from gridmart.plans.publish import publish_fct
 from gridmart.sources import adapters as A
 from gridmart.sources import mart
 from gridmart.specs import SOURCES
@@ -119,13 +120,8 @@ _MARTS: dict[tuple[str, str], str] = {}
 
 
 def published_fct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact written as a month-partitioned mart (once per session and input)."""
-    key = (session.app_key(spark), sf_dir)
-    if key not in _MARTS:
-        path = session.fresh_path(spark, "mart-fct_grid_hourly")
-        mart.write_fct(_fct(spark, sf_dir, with_month=True), path)
-        _MARTS[key] = path
-    return spark.read.schema(mart.FCT_SCHEMA).parquet(_MARTS[key])
+    """The fact published as a mart (once per session and input)."""
+    return mart.read_fct(spark, _mart_path(spark, sf_dir))
 
 
 def q_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,8 +159,12 @@ def q_hourly_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_path(spark: SparkSession, sf_dir: str) -> str:
-    published_fct(spark, sf_dir)
-    return _MARTS[(session.app_key(spark), sf_dir)]
+    key = (session.app_key(spark), sf_dir)
+    if key not in _MARTS:
+        path = session.fresh_path(spark, "mart-fct_grid_hourly")
+        publish_fct(spark, _fct(spark, sf_dir, with_month=True), path)
+        _MARTS[key] = path
+    return _MARTS[key]
 
 
 # -- landing / ingest-side reshaping -------------------------------------------
@@ -480,7 +480,7 @@ def q_ingest_landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         formats={"load": "csv", "generation": "json"}, ingested_at=INGESTED_AT, job_id="query",
     )
     session.delete_path(spark, f"{base}/files")
-    return I.read_ledger(spark, f"{base}/ledger", "query")
+    return I.read_ledger(spark, f"{base}/ledger", "query").select(*contracts.LEDGER_COLUMNS)
 
 
 RETRACTED_MONTH = "2024-02-01"
@@ -513,8 +513,129 @@ def q_mart_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle_doubles(mart.read_fct(spark, mart_path).drop("ts_month"))
 
 
+# Fixed parameter of the queries with late data: these events arrive after a first build.
+LATE_MOD = 97
+
+
+def refresh_late_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    """Four months built from the rows on time, then refreshed with the late ones: the mart and both reports."""
+    from gridmart.sources import bronze
+    from gridmart.streaming.incremental import refresh_reports
+
+    base = session.fresh_path(spark, "by-key")
+    root, mart_path = f"{base}/bronze", f"{base}/mart"
+    reports = []
+    for late in (False, True):
+        for name, fn in A.RAW_FEEDS.items():
+            rows = fn(spark, sf_dir, months=4).filter((F.col("event_id") % LATE_MOD == 0) == F.lit(late))
+            bronze.write_bronze(rows, root, SOURCES[name])
+        reports.append(refresh_reports(spark, root, mart_path, f"{base}/stream"))
+    return mart.read_fct(spark, mart_path).drop("ts_month"), reports
+
+
+def q_refresh_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of four months, refreshed after late rows: only their zone-hours are computed anew."""
+    _prep(spark)
+    return settle_doubles(refresh_late_rows(spark, sf_dir)[0])
+
+
+def q_publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publishes; the first version as read by a plan made before the second, and the second."""
+    _prep(spark)
+    path = session.fresh_path(spark, "mart-versions")
+
+    def fact(on_time_only: bool) -> DataFrame:
+        feeds = [fn(spark, sf_dir, months=4) for fn in A.RAW_FEEDS.values()]
+        if on_time_only:
+            feeds = [f.filter(F.col("event_id") % LATE_MOD != 0) for f in feeds]
+        return fct_from_bronze(spark, *feeds, with_month=True)
+
+    def seen(name: str) -> DataFrame:
+        return mart.read_fct(spark, path).groupBy("ts_month", "zone_code").agg(
+            F.count(F.lit(1)).alias("hours"), F.sum("load_mw").alias("load_mw_sum"),
+            F.count("price_eur_mwh").alias("price_hours"),
+        ).select(F.lit(name).alias("seen"), "*")
+
+    publish_fct(spark, fact(True), path)
+    before = seen("before")  # resolved now, run after the second publish
+    publish_fct(spark, fact(False), path)
+    return settle_doubles(before.unionByName(seen("after")))
+
+
+# Fixed parameter: the users whose measures differ when the feeds are landed again.
+REVISED_USER_MOD = 7
+
+
+def ingest_twice(spark: SparkSession, sf_dir: str, revise: bool) -> tuple[str, str, list[int]]:
+    """All feeds ingested, then landed and ingested again, ``revise``: with some users' measures changed.
+
+    Returns the bronze root, the ledger and the rows appended by each run.
+    """
+    from gridmart.plans.ingest import ingest
+
+    base = session.fresh_path(spark, "replay")
+    written = []
+    for job, at in (("first", INGESTED_AT), ("second", INGESTED_AT + timedelta(days=1))):
+        rows = 0
+        for source, spec in SOURCES.items():
+            feed = A.contract_feed(spark, sf_dir, source)
+            if revise and job == "second":
+                number = F.col(spec.measure).try_cast("double")
+                feed = feed.withColumn(spec.measure, F.when(
+                    (F.col("user_id") % REVISED_USER_MOD == 0) & number.isNotNull() & (number > 1),
+                    (number - 0.5).cast("string")).otherwise(F.col(spec.measure)))
+            rows += ingest(spark, feed, source, f"{base}/bronze", f"{base}/ledger", at, job_id=job)
+        written.append(rows)
+    return f"{base}/bronze", f"{base}/ledger", written
+
+
+def q_replay_safe_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same feeds, some measures revised in between: both runs' ledger.
+
+    Unchanged batches are replayed (no rows), revised ones load again.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+
+    _, ledger, _ = ingest_twice(spark, sf_dir, revise=True)
+    out = None
+    for job in ("first", "second"):
+        part = I.read_ledger(spark, ledger, job).select(F.lit(job).alias("job"), *contracts.LEDGER_COLUMNS)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+RUN_DATE, RUN_LAG_DAYS, RUN_ZONES = "2024-01-12", 2, "DE_LU, AT, NL, BE"
+
+
+def q_ingest_scheduled_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scheduled run over the whole landing root: the market day it is due for, its zones, its ledger.
+
+    The landing root is partitioned by market day, so the other days' files are not
+    read; a zone of the run that landed nothing is missing.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+    from gridmart.plans import jobs
+
+    base = session.fresh_path(spark, "scheduled")
+    for source, make in (("load", A.landing_load_batches), ("price", A.landing_price_batches)):
+        rows = make(spark, sf_dir).drop("event_id", "user_id")
+        rows.repartition("market_day").write.partitionBy("market_day").parquet(f"{base}/files/{source}")
+    jobs.ingest_landing(
+        spark, f"{base}/files", f"{base}/bronze", f"{base}/ledger", ingested_at=INGESTED_AT, job_id="query",
+        run_date=RUN_DATE, lag_days=RUN_LAG_DAYS, zones=RUN_ZONES, sources=("load", "generation", "price"),
+    )
+    session.delete_path(spark, f"{base}/files")
+    return I.read_ledger(spark, f"{base}/ledger", "query").select(*contracts.LEDGER_COLUMNS)
+
+
 def registry() -> dict[str, Query]:
     return {
+        "q_replay_safe_append": q_replay_safe_append,
+        "q_ingest_scheduled_day": q_ingest_scheduled_day,
+        "q_refresh_by_key": q_refresh_by_key,
+        "q_publish_versions": q_publish_versions,
         "q_fct_grid_hourly": q_fct_grid_hourly,
         "q_stg_load_hourly": q_stg_load_hourly,
         "q_stg_generation_hourly": q_stg_generation_hourly,

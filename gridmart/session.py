@@ -106,10 +106,45 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder we wrote, in whatever store it lies."""
+def _file(spark: SparkSession, path: str):
+    """Hadoop file system and path of a location, in whatever store it lies."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file we wrote."""
+    files, target = _file(spark, path)
+    files.delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, target = _file(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file whole."""
+    files, target = _file(spark, path)
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole or not at all; one that is there already stays."""
+    folder, name = path.rsplit("/", 1)
+    files, target = _file(spark, path)
+    _, half = _file(spark, f"{folder}/.{name}.{uuid.uuid4().hex[:8]}")
+    stream = files.create(half, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if files.exists(target) or not files.rename(half, target):
+        files.delete(half, False)
+        raise FileExistsError(path)
 
 
 class Scratch:
@@ -132,9 +167,13 @@ class Scratch:
         for path in self.paths:
             delete_path(self.spark, path)
 
+    def path(self, name: str) -> str:
+        """A new location that goes when the job ends."""
+        self.paths.append(fresh_path(self.spark, f"stage-{name}"))
+        return self.paths[-1]
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as parquet under the shared root and read it back."""
-        path = fresh_path(self.spark, f"stage-{name}")
-        self.paths.append(path)
+        path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -31,6 +31,11 @@ def stored_schema(spec: SourceSpec) -> T.StructType:
     return T.StructType(list(spec.schema.fields) + [T.StructField("ts_month", T.DateType(), True)])
 
 
+def instant_text(at: datetime) -> str:
+    """ISO text with an offset; an instant without one is UTC."""
+    return at.isoformat() if at.tzinfo else at.isoformat() + "+00:00"
+
+
 def to_bronze_rows(df: DataFrame, spec: SourceSpec, ingested_at: datetime | None = None) -> DataFrame:
     """Project the table's columns with their declared types (never inferred).
 
@@ -41,8 +46,7 @@ def to_bronze_rows(df: DataFrame, spec: SourceSpec, ingested_at: datetime | None
     cols = []
     for f in spec.schema.fields:
         if f.name == "ingested_at" and ingested_at is not None:
-            text = ingested_at.isoformat() if ingested_at.tzinfo else ingested_at.isoformat() + "+00:00"
-            cols.append(F.lit(text).cast("timestamp").alias("ingested_at"))
+            cols.append(F.lit(instant_text(ingested_at)).cast("timestamp").alias("ingested_at"))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
     rows = df.select(*cols)
@@ -107,7 +111,7 @@ def _scan(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame:
 
 def _ts_text(value: date | datetime | str) -> str:
     if isinstance(value, datetime):
-        return value.isoformat() if value.tzinfo else value.isoformat() + "+00:00"
+        return instant_text(value)
     return str(value)
 
 

@@ -98,10 +98,3 @@ def test_ledger_and_summary_account_for_every_row(spark):
     assert rows[(None, "missing")] == "gone" and rows[("zoneless", "rejected")] == "null_required"
     s = C.summary(ledger).first()
     assert (s["zones"], s["batches"], s["failures"], s["rows_loaded"]) == (2, 5, 4, 1)
-
-
-def test_duplicate_report_names_keys_and_rows(spark):
-    contract = SOURCES["load"].contract
-    flagged = C.flag_rows(feed(spark, "load", [("r", {})] * 4 + [("r", {"ts_utc": "2023-05-04 07:00:00"})]), contract)
-    r = C.duplicate_keys(flagged, contract).first()
-    assert (r["duplicate_keys"], r["duplicate_rows"]) == (1, 4)

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from gridmart import dims, session
+from gridmart.operators import contracts
 from gridmart.plans import ingest as I
 from gridmart.sources import bronze, landing
 from gridmart.specs import SOURCES
@@ -176,8 +177,10 @@ def test_price_batch_of_the_window_end_alone_is_ledgered(spark):
     gone = "no price before the window end"
     assert n == 2 and len(ledger) == len(got)
     assert got.pop("no-day")[:2] == ("rejected", 1)
-    assert got == {"end": ("missing", 2, gone), "mixed": ("missing", 3, gone), None: ("missing", 1, gone),
+    assert got == {"end": ("empty", 2, gone), "mixed": ("empty", 3, gone), None: ("empty", 1, gone),
                    "both": ("loaded", 2, None), "odd": ("missing", 1, "no price series")}
+    total = contracts.summary(I.read_ledger(spark, f"{base}/l", "j")).first()
+    assert (total["batches"], total["failures"]) == (6, 2)  # no day, no series; empty batches are no failures
 
 
 def test_intermediate_tables_are_deleted(spark):

@@ -28,8 +28,9 @@ def test_first_available_series_never_mixes(spark):
     )
     got = sorted((r["batch"], r["price"]) for r in series.first_available_series(df, ["batch"]).collect())
     assert got == [("a", 1.0), ("b", 3.0)]
-    missing = series.batches_without_series(df, ["batch"]).collect()
-    assert [(r["batch"], r["rows"]) for r in missing] == [("c", 1)]
+    timed = df.withColumns({"ts_utc": F.lit("2024-01-08").cast("timestamp"), "end": F.lit("2024-01-09").cast("timestamp")})
+    missing = series.batches_emptied(timed, ["batch"], "end").collect()
+    assert [(r["batch"], r["rows"], r["has_series"]) for r in missing] == [("c", 1, False)]
 
 
 def test_end_boundary_and_offset_parsing(spark):
