@@ -173,7 +173,7 @@ def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence
     """Per-batch outcome: loaded, rejected with reason, or replayed; missing batches too.
 
     ``missing`` has (some of) the batch columns, and may bring the ``rows`` that
-    were landed, a ``status`` (default: missing) and a ``reason`` of its own.
+    were landed, a ``status`` (default: missing), a ``reason`` and a ``file`` of its own.
     """
     replayed = F.col("replayed") if "replayed" in verdict.columns else F.lit(False)
     loads = F.col("passed") & ~replayed
@@ -187,16 +187,14 @@ def ledger(verdict: DataFrame, missing: DataFrame | None = None, batch: Sequence
     )
     if missing is not None:
         have = missing.columns
-        out = out.unionByName(
-            missing.select(
-                *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in batch],
-                (F.col("rows") if "rows" in have else F.lit(0)).cast("bigint").alias("rows"),
-                F.lit(0).cast("bigint").alias("rows_loaded"),
-                (F.col("status") if "status" in have else F.lit("missing")).alias("status"),
-                (F.col("reason") if "reason" in have else F.lit(MISSING_REASON)).alias("reason"),
-            ),
-            allowMissingColumns=True,
-        )
+        key = [F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in batch]
+        rows = F.coalesce("rows", F.lit(0)) if "rows" in have else F.lit(0)
+        status = F.coalesce("status", F.lit("missing")) if "status" in have else F.lit("missing")
+        reason = F.coalesce("reason", F.lit(MISSING_REASON)) if "reason" in have else F.lit(MISSING_REASON)
+        out = out.unionByName(missing.select(
+            *key, rows.cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("rows_loaded"),
+            status.alias("status"), reason.alias("reason"), *([F.col("file")] if "file" in have else []),
+        ), allowMissingColumns=True)
     return out
 
 

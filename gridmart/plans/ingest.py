@@ -109,14 +109,16 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("digest", T.StringType()),
     T.StructField("ingested_at", T.TimestampType()),
+    T.StructField("file", T.StringType()),
 ])
 
 
 def write_ledger(ledger: DataFrame, ledger_path: str, job_id: str, ingested_at: datetime | None = None) -> None:
     """Append a job's rows; ``job_id=...`` folders keep the jobs apart."""
     at = F.lit(None if ingested_at is None else bronze.instant_text(ingested_at)).cast("timestamp")
-    if "digest" not in ledger.columns:
-        ledger = ledger.withColumn("digest", F.lit(None).cast("string"))
+    for name in ("digest", "file"):
+        if name not in ledger.columns:
+            ledger = ledger.withColumn(name, F.lit(None).cast("string"))
     (ledger.withColumn("ingested_at", at).select(*LEDGER_SCHEMA.fieldNames()).withColumn("job_id", F.lit(job_id))
      .write.mode("append").partitionBy("job_id").parquet(ledger_path))
 

@@ -13,9 +13,11 @@ import os
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart import dims, session
 from gridmart.functions.text import csv_list
@@ -24,18 +26,33 @@ from gridmart.operators.keys import null_safe_join
 from gridmart.plans import ingest as I
 from gridmart.plans.fact import fct_from_bronze
 from gridmart.plans.publish import publish_fct
-from gridmart.sources import bronze, landing
+from gridmart.sources import bronze, drift, landing
 from gridmart.specs import MIN_TS, SOURCES
 
 
-def _read(spark: SparkSession, path: str, source: str, fmt: str, types: Sequence[str] | None) -> DataFrame:
+def _schema(source: str, types: Sequence[str] | None) -> T.StructType:
     if source == "load":
-        schema = landing.LANDING_LOAD
-    elif source == "price":
-        schema = landing.LANDING_PRICE
-    else:
-        schema = landing.landing_generation_wide(types) if types else landing.LANDING_GENERATION_TWO_LEVEL
-    return landing.read_landing(spark, path, schema, fmt)
+        return landing.LANDING_LOAD
+    if source == "price":
+        return landing.LANDING_PRICE
+    return landing.landing_generation_wide(types) if types else landing.LANDING_GENERATION_TWO_LEVEL
+
+
+def _read_sound(spark: SparkSession, path: str, source: str, fmt: str, types: Sequence[str] | None,
+                scratch: session.Scratch) -> tuple[DataFrame | None, DataFrame | None]:
+    """The landed rows of the files that fit their schema, and the verdicts of the others.
+
+    Paths of files reach the driver only if some file is unfit; there are no more than
+    the scan itself lists there.
+    """
+    schema = _schema(source, types)
+    verdicts = scratch.stage(drift.file_verdicts(spark, path, schema, fmt), f"files-{source}")
+    unfit = verdicts.where("reason IS NOT NULL")
+    if unfit.isEmpty():
+        return landing.read_landing(spark, path, schema, fmt), None
+    fit = [r["file"] for r in verdicts.where("reason IS NULL").select("file").collect()]
+    rows = landing.read_landing(spark, fit, schema, fmt, base_path=path) if fit else None
+    return rows, unfit.select(F.lit(source).alias("source"), "file", "rows", "reason", F.lit("rejected").alias("status"))
 
 
 def _normalize(landed: DataFrame, source: str, types: Sequence[str] | None) -> DataFrame:
@@ -83,38 +100,38 @@ def ingest_landing(
     rejected. ``zones`` (comma text) restricts the run and, with ``run_date``,
     makes every zone without landed rows a failure. Only this call's batches
     are summarised; ``job_id`` names its folder in the ledger.
+
+    Every landed file is compared with the declared schema first. One that lacks a
+    column, has a column of another type or holds a torn line is left out whole
+    and ledgered under its own name, whatever days it holds.
     """
     formats = formats or {}
     job_id = job_id or uuid.uuid4().hex
     for source in sources:
         path = os.path.join(landing_root, source)
-        landed = None
-        if bronze.path_exists(spark, path, landing.LANDING_LOAD):
-            landed = _read(spark, path, source, formats.get(source, "parquet"), generation_types)
-            if run_date is not None:
+        with session.Scratch(spark) as scratch:
+            landed, outcomes = None, []
+            if bronze.path_exists(spark, path, landing.LANDING_LOAD):
+                landed, unfit = _read_sound(spark, path, source, formats.get(source, "parquet"), generation_types, scratch)
+                if unfit is not None:
+                    outcomes.append(unfit)
+            if landed is not None and run_date is not None:
                 due = F.col("market_day") == grid.run_days(run_date, lag_days)
                 landed = landed.filter(F.col("market_day").isNull() | due)
-            if zones is not None:
+            if landed is not None and zones is not None:
                 landed = landed.filter(F.col("zone_code").isNull()
                                        | F.array_contains(csv_list(F.lit(zones)), F.col("zone_code")))
-        missing = None
-        if run_date is not None and zones is not None:
-            missing = _absent(spark, landed, source, run_date, lag_days, zones)
-        if landed is None:
-            if missing is not None:
-                empty = spark.createDataFrame([], I.LEDGER_SCHEMA)
-                gone = contracts.ledger(empty.withColumn("passed", F.lit(True)), missing)
-                I.write_ledger(gone, ledger_path, job_id)
-            continue
-        if source == "price":
-            lost = I.price_batches_lost(landed)
-            missing = lost if missing is None else missing.unionByName(lost, allowMissingColumns=True)
-            missing = missing.withColumns({
-                "rows": F.coalesce("rows", F.lit(0)), "status": F.coalesce("status", F.lit("missing")),
-                "reason": F.coalesce("reason", F.lit(contracts.MISSING_REASON))})
-        with session.Scratch(spark) as scratch:
-            prepared = I.prepare(_normalize(landed, source, generation_types), source, scratch)
-            I.ingest(spark, prepared, source, bronze_root, ledger_path, ingested_at, mode, missing, job_id)
+            if run_date is not None and zones is not None:
+                outcomes.append(_absent(spark, landed, source, run_date, lag_days, zones))
+            if landed is not None and source == "price":
+                outcomes.append(I.price_batches_lost(landed))
+            missing = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outcomes) if outcomes else None
+            if landed is not None:
+                prepared = I.prepare(_normalize(landed, source, generation_types), source, scratch)
+                I.ingest(spark, prepared, source, bronze_root, ledger_path, ingested_at, mode, missing, job_id)
+            elif missing is not None:
+                nothing = spark.createDataFrame([], I.LEDGER_SCHEMA).withColumn("passed", F.lit(True))
+                I.write_ledger(contracts.ledger(nothing, missing), ledger_path, job_id)
     return contracts.summary(I.read_ledger(spark, ledger_path, job_id))
 
 

@@ -817,8 +817,43 @@ SELECT source, zone_code, market_day, NULL, CAST(0 AS BIGINT), CAST(0 AS BIGINT)
 FROM wanted WHERE (source, zone_code) NOT IN (SELECT (source, zone_code) FROM landed)"""
 
 
+def landed_file_drift_sql() -> str:
+    """Files told by their day; the batches of the sound files as in the ledger of landed files."""
+    turn = "day(market_day) % 7"
+    load = f"""
+days_ll AS (SELECT *, {BERLIN_DAY} AS market_day FROM raw_load),
+torn_ll AS (SELECT market_day, count(*) AS rows, count_if({turn} = 2 AND event_id % 13 = 0) AS torn FROM days_ll GROUP BY market_day),
+ll_norm AS (
+  SELECT zone_code, market_day, {RUN} AS run_id, ts_utc, load_mw FROM days_ll
+  WHERE market_day IN (SELECT market_day FROM torn_ll WHERE torn = 0)),
+""" + landed_ctes("ll", "load", "ll_norm")
+    price = PRICE_NORMAL.format(series="series_resolution").replace(
+        "FROM landing_price)", f"FROM landing_price WHERE {turn} > 1)") + landed_ctes("lp", "price", "lp_bounded")
+    generation = GENERATION_NORMAL.replace("FROM lg_text)", f"FROM lg_text WHERE {turn} > 1)") + landed_ctes("lg", "generation", "lg_norm")
+    verdicts = " UNION ALL ".join(f"SELECT * FROM verdict_{t}" for t in ("ll", "lp", "lg"))
+    gone = "NULL AS zone_code, market_day, NULL AS run_id, rows, CAST(0 AS BIGINT), 'rejected'"
+    return with_ctes(ADAPTER, LANDING_PRICE, load, price, generation) + f"""
+SELECT {BATCH_COLS}, rows, CAST(CASE WHEN passed THEN rows ELSE 0 END AS BIGINT) AS rows_loaded,
+       CASE WHEN passed THEN 'loaded' ELSE 'rejected' END AS status, reason, FALSE AS of_file
+FROM ({verdicts}) v
+UNION ALL
+SELECT 'price', zone_code, market_day, run_id, count(*), CAST(0 AS BIGINT), 'empty', 'no price before the window end', FALSE
+FROM lp_utc u WHERE NOT EXISTS (SELECT 1 FROM lp_bounded b WHERE b.zone_code = u.zone_code
+                                AND b.market_day = u.market_day AND b.run_id = u.run_id)
+GROUP BY zone_code, market_day, run_id
+UNION ALL
+SELECT 'load', {gone}, 'torn lines: ' || torn, TRUE FROM torn_ll WHERE torn > 0
+UNION ALL
+SELECT 'price', {gone}, CASE WHEN {turn} = 0 THEN 'missing column: price_eur_mwh' ELSE 'wrong type: price_eur_mwh is string' END, TRUE
+FROM (SELECT market_day, count(*) AS rows FROM landing_price WHERE {turn} < 2 GROUP BY market_day) p
+UNION ALL
+SELECT 'generation', {gone}, CASE WHEN {turn} = 0 THEN 'missing column: measure' ELSE 'columns in another order' END, TRUE
+FROM (SELECT market_day, count(*) AS rows FROM lg_text WHERE {turn} < 2 GROUP BY market_day) g"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "q_landed_file_drift": landed_file_drift_sql(),
         "q_replay_safe_append": replay_sql(),
         "q_ingest_scheduled_day": scheduled_day_sql(),
         "q_refresh_by_key": refresh_by_key_sql(),

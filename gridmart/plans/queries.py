@@ -630,8 +630,49 @@ def q_ingest_scheduled_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.read_ledger(spark, f"{base}/ledger", "query").select(*contracts.LEDGER_COLUMNS)
 
 
+def q_landed_file_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job over files of which some do not fit: each is ledgered with its reason, the others load.
+
+    One file a market day. By the day of the month, price files (Parquet) lack the price
+    or hold it as text, load files (JSON) have torn lines, generation files (CSV)
+    have no ``measure`` or swap two columns. File rows show the day in the file's path.
+    """
+    _prep(spark)
+    from gridmart.plans import ingest as I
+    from gridmart.plans import jobs
+
+    base = session.fresh_path(spark, "drift")
+    turn = F.dayofmonth("market_day") % 7
+
+    def land(source: str, fmt: str, rows: DataFrame, **options: str) -> None:
+        (rows.repartition("market_day").write.mode("append").partitionBy("market_day").options(**options)
+         .format(fmt).save(f"{base}/files/{source}"))
+
+    price = A.landing_price_batches(spark, sf_dir)
+    land("price", "parquet", price.where(turn > 1))
+    land("price", "parquet", price.where(turn == 0).drop("price_eur_mwh"))
+    land("price", "parquet", price.where(turn == 1).withColumn("price_eur_mwh", F.col("price_eur_mwh").cast("string")))
+    load = A.landing_load_batches(spark, sf_dir)
+    line = F.to_json(F.struct("zone_code", "run_id", "ts", "load_mw"))
+    torn = (turn == 2) & (F.col("event_id") % 13 == 0)
+    land("load", "text", load.select("market_day", F.when(torn, F.substring(line, 1, 20)).otherwise(line).alias("value")))
+    generation = A.landing_generation_batches(spark, sf_dir)
+    land("generation", "csv", generation.where(turn > 1), header="true")
+    land("generation", "csv", generation.where(turn == 0).drop("measure"), header="true")
+    land("generation", "csv", generation.where(turn == 1).select(
+        "market_day", "zone_code", "run_id", "ts", "measure", "name", "value"), header="true")
+    jobs.ingest_landing(spark, f"{base}/files", f"{base}/bronze", f"{base}/ledger", ingested_at=INGESTED_AT,
+                        job_id="query", formats={"load": "json", "generation": "csv"})
+    session.delete_path(spark, f"{base}/files")
+    ledger = I.read_ledger(spark, f"{base}/ledger", "query")
+    day = F.to_date(F.regexp_extract("file", "market_day=([0-9-]+)", 1))
+    return ledger.select("source", "zone_code", F.when(F.col("file").isNotNull(), day).otherwise(F.col("market_day")).alias("market_day"),
+                         "run_id", "rows", "rows_loaded", "status", "reason", F.col("file").isNotNull().alias("of_file"))
+
+
 def registry() -> dict[str, Query]:
     return {
+        "q_landed_file_drift": q_landed_file_drift,
         "q_replay_safe_append": q_replay_safe_append,
         "q_ingest_scheduled_day": q_ingest_scheduled_day,
         "q_refresh_by_key": q_refresh_by_key,

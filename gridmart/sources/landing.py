@@ -41,10 +41,12 @@ def landing_generation_wide(type_columns: Sequence[str]) -> T.StructType:
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str = "parquet", base_path: str | None = None
 ) -> DataFrame:
     """Scan landed files of one source with a declared schema.
 
+    ``path`` is a folder, or a list of files under ``base_path``.
+
     Text formats (CSV, JSON) read measures as strings: a permissive reader
     would turn a malformed number into null, and a null measure passes the
     contract. Kept as text, the contract's ``try_cast`` reports it as a type
@@ -56,6 +58,8 @@ def read_landing(
             for f in schema.fields
         ])
     reader = spark.read.schema(schema)
+    if base_path is not None:
+        reader = reader.option("basePath", base_path)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
     elif fmt == "json":
