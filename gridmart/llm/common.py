@@ -66,6 +66,14 @@ def one_per_key(rows: DataFrame, make: Callable[[pa.RecordBatch], list[tuple]],
     return rows.mapInArrow(least, out).groupBy("__key").agg(first).select("row.*")
 
 
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Bound the bytes of an Arrow batch for the session, so that a worker's memory follows bytes, not rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower()
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= size:
+        spark.conf.set(name, str(size))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder, which all executors share.
 
@@ -83,16 +91,28 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder: losing an executor costs only its running tasks."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 #: Folders of written tables that are still there: path -> what deletes it.
 _WRITTEN: dict[str, Callable[[], object]] = {}
 
 
+def _to_delete(spark: SparkSession, path: str) -> str:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    _WRITTEN[path] = lambda: files.delete(target, True)
+    return path
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder, partition by partition: losing an executor costs
+    only its running tasks. The files live as long as those of ``staged``."""
+    shared_folder(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    files = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if files.isDefined():
+        out._staged = _to_delete(df.sparkSession, files.get())
+    return out
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df``, written in the shared folder and read back: the cut of a plan.
 
@@ -101,9 +121,7 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex[:12]}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    _WRITTEN[path] = lambda: files.delete(target, True)
+    _to_delete(spark, path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
@@ -111,7 +129,7 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Delete tables that ``staged`` wrote, after their last read."""
+    """Delete tables that ``staged`` or ``checkpointed`` wrote, after their last read."""
     for t in tables:
         delete = _WRITTEN.pop(getattr(t, "_staged", ""), None)
         if delete is not None:

@@ -86,8 +86,20 @@ TEXTS = [None, "", " \t\n", "one", "a b", "a b c", "a b c a b c", "x x x x x x",
 def test_counts_match_brute_force(spark):
     df = spark.createDataFrame([(i, t, 3) for i, t in enumerate(TEXTS)], "doc_id long, text string, n_words int")
     rows = Q.judge(df, Q.RULES).collect()
-    got = {r.doc_id: tuple(r[c] for c in Q.COUNT_NAMES) for r in rows}
-    assert got == {i: plain_counts(t) for i, t in enumerate(TEXTS)}
+    got = {r.doc_id: tuple(r[c] for c in Q.REPORTED) for r in rows}
+    assert got == {i: plain_counts(t)[:6] for i, t in enumerate(TEXTS)}
+    made = Q.text_counts(F.coalesce("text", F.lit("")), F.array(), F.array())
+    got = {r.doc_id: (r.u, r.l) for r in df.select("doc_id", made.n_upper.alias("u"), made.n_lower.alias("l")).collect()}
+    assert got == {i: plain_counts(t)[6:] for i, t in enumerate(TEXTS)}
+
+
+def test_a_rule_is_evaluated_only_for_rows_that_earlier_rules_leave(spark):
+    """A rule that fails on any text it sees, behind one that rejects every text."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    trap = Q.Rule("trap", lambda c: F.raise_error(F.lit("evaluated")).cast("boolean"))
+    all_go = Q.Rule("all", lambda c: c.n_words >= 0)
+    assert Q.apply_rules(df, [all_go, trap]).collect() == []
+    assert {r.rejected_by for r in Q.judge(df, [all_go, trap]).collect()} == {"all"}
 
 
 def test_order_changes_work_not_the_verdict(spark):
