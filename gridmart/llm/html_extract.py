@@ -3,16 +3,19 @@
 A page is parsed into a tree of elements. A gradient-boosted tree ensemble gives
 each element the probability of belonging to the article, from its tag class,
 attribute tokens, depth, sibling statistics and the density of text, links and
-tags in its subtree. Decoding is hierarchical: a dropped element drops its whole
+tags in its subtree. Blocks are judged; an inline element (a link, a span with a
+class, emphasis) inside a block of text has no vote and goes where its block goes.
+Decoding is hierarchical: a dropped element drops its whole
 subtree and a kept one may drop children, so an ancestor and a descendant never
 contradict each other; the best consistent choice is found in one pass from the
 leaves to the root.
 
 Training uses a bounded, documented sample of pages whose own markup tells the
 article (``<article>`` or ``<main>``). Each sampled page is also used in variants
-in which those tags become plain containers with class names and in which
-sidebars, notices, forms, menus and reader comments are inserted, so the trees
-do not lean on one page layout. Scripts, styles, comments and the head are
+in which those tags become plain containers with class names, in which the article
+gets links, named spans and paragraphs, captioned figures and a header around its
+title, and in which sidebars, notices, forms, menus and reader comments are inserted,
+so the trees do not lean on one page layout. Scripts, styles, comments and the head are
 markup and never text.
 
 Edge cases: a null, empty or text-free html gives the empty text; unclosed,
@@ -162,12 +165,35 @@ def elements(root: Node) -> list[Node]:
     return out
 
 
+_ROOTS = frozenset(("#root", "html", "body"))
+
+
+def followers(nodes: list[Node]) -> np.ndarray:
+    """Which elements are inline parts of a text block and go where it goes.
+
+    A text block has text of its own or no blocks inside; the page's root is none.
+    An inline element that stands among the blocks of a container is judged itself.
+    """
+    blocks, text = np.zeros(len(nodes), bool), np.zeros(len(nodes), bool)
+    for i in range(len(nodes) - 1, -1, -1):
+        v = nodes[i]
+        text[i] = any(isinstance(c, str) and not c.isspace() for c in v.children)
+        if i:
+            blocks[v.parent.at] |= v.tag not in INLINE and v.tag not in VOID or blocks[i] and v.tag in INLINE
+    out = np.zeros(len(nodes), bool)
+    for i, v in enumerate(nodes):
+        if v.tag in INLINE:
+            up = v.parent
+            out[i] = out[up.at] or up.tag not in INLINE and up.tag not in _ROOTS and (text[up.at] or not blocks[up.at])
+    return out
+
+
 _TAG_OF = {t: i for i, (_, tags) in enumerate(TAG_CLASSES) for t in tags}
 _TOKEN_OF: dict[str, list[int]] = {}
 for _i, (_, _names) in enumerate(TOKENS):
     for _t in _names:
         _TOKEN_OF.setdefault(_t, []).append(_i)
-N_FEATURES = len(TAG_CLASSES) * 2 + len(TOKENS) * 2 + 15
+N_FEATURES = len(TAG_CLASSES) * 2 + len(TOKENS) * 2 + 16
 #: Columns that name boilerplate: all token classes but the first, and four tag classes.
 _FLAGS = [i for i, (name, _) in enumerate(TAG_CLASSES) if name in ("nav", "edge", "aside", "form")] + list(
     range(len(TAG_CLASSES) + 1, len(TAG_CLASSES) + len(TOKENS)))
@@ -205,9 +231,11 @@ def features(nodes: list[Node]) -> np.ndarray:
                     for token in _SPLIT.split(a[2] or a[3] or a[4] or ""):
                         for k in _TOKEN_OF.get(token.lower(), ()):
                             x[i, first_token + k] = 1
-    own = text.copy()
+    own, title, joined = text.copy(), np.array([v.tag == "h1" for v in nodes], float), followers(nodes)
     for i in range(n - 1, 0, -1):
         p = parent[i]
+        own[p] += own[i] if joined[i] else 0
+        title[p] += title[i]
         links[i] += text[i] if nodes[i].tag == "a" else 0
         links[i] = min(links[i], text[i])
         text[p] += text[i]
@@ -226,6 +254,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         text / total, depth, place, siblings, (place + 1) / siblings, commas / np.maximum(text, 1) * 100,
         text / np.maximum(text[par], 1), links[par] / np.maximum(text[par], 1), (text == 0).astype(float),
         x[:, _FLAGS + [up + i for i in _FLAGS]].any(axis=1),  # named as boilerplate, itself or above
+        title > 0,
     ], axis=1)
     return x
 
@@ -269,6 +298,7 @@ class Boosted:
                     gl = np.cumsum(np.bincount(b[rows, j], g[rows], len(e) + 1))[:-1]
                     hl = np.cumsum(np.bincount(b[rows, j], h[rows], len(e) + 1))[:-1]
                     gain = gl**2 / (hl + l2) + (gs - gl) ** 2 / (hs - hl + l2) - gs**2 / (hs + l2)
+                    gain = np.round(gain, 6)  # equal splits stay equal on any machine: the first one counts
                     k = int(np.argmax(gain))
                     if gain[k] > best:
                         best, at = gain[k], (j, k)
@@ -306,22 +336,26 @@ def decode(nodes: list[Node], logit: np.ndarray) -> np.ndarray:
     """Kept elements of the most probable choice in which dropping drops the subtree.
 
     keep(v) = gain of v + the sum over children of max(keep, drop);
-    drop(v) = 0, as gains are log-odds against dropping. The root is kept.
+    drop(v) = 0, as gains are log-odds against dropping. The root is kept, and an
+    inline part of a text block is kept with it.
     """
     n = len(nodes)
-    gain = np.clip(logit, -8, 8)
+    gain, joined = np.clip(logit, -8, 8), followers(nodes)
     own = np.array([any(isinstance(c, str) and not c.isspace() for c in v.children) for v in nodes])
+    for i in range(n - 1, 0, -1):
+        if joined[i]:
+            own[nodes[i].parent.at] |= own[i]
     # An element without text of its own is a container: its own vote counts little.
     gain = np.where(own, gain, 0.25 * gain)
-    gain = np.where([v.tag in NEVER for v in nodes], -1e6, gain)
+    gain = np.where(joined, 0.0, np.where([v.tag in NEVER for v in nodes], -1e6, gain))
     worth = gain.copy()
     for i in range(n - 1, 0, -1):
-        if worth[i] > 0:
+        if worth[i] > 0 or joined[i]:
             worth[nodes[i].parent.at] += worth[i]
     kept = np.zeros(n, bool)
     kept[0] = True
     for i in range(1, n):
-        kept[i] = kept[nodes[i].parent.at] and worth[i] > 0
+        kept[i] = kept[nodes[i].parent.at] and (worth[i] > 0 or joined[i])
     return kept
 
 
@@ -406,6 +440,33 @@ def variants(page: str, other: str, seed: int) -> list[tuple[str, str]]:
             f"<div{_UNNAMED}>{links(6)}</div>",  # told by its links alone
         ]
 
+    def enriched(inner: str) -> tuple[str, str]:
+        """The article with parts of it wrapped and named: as the truth tells it and as the model sees it."""
+        blocks = re.split(r"(<p>.*?</p>|<h1>.*?</h1>)", inner, flags=re.S | re.I)
+        told, seen = [], []
+        for i, block in enumerate(blocks):
+            how = r.random() if i % 2 else 1.0
+            t = s = block
+            if block[:2].lower() == "<p":
+                text = block[3:-4]
+                if how < 0.15 and (words_in := _WORDS.findall(re.sub(r"<[^>]*>|&[^;]*;", " ", text))):
+                    word = words_in[int(r.integers(0, len(words_in)))]
+                    wrap = pick('<a href="/w">', '<span class="more">', '<a class="related" href="#">')
+                    tag = wrap[1:].split()[0]
+                    place = re.compile(rf"(?<![\w<&/]){word}(?!\w)")
+                    t, s = (f"<p>{place.sub(f'{w}{word}</{tag}>', text, count=3)}</p>" for w in (f"<{tag}>", wrap))
+                elif how < 0.25:
+                    t = s = f'<p><a href="/w">{text}</a></p>'
+                elif how < 0.4:
+                    s = f'<p class="{pick("message-body", "text more", "lead notice", "body side")}">{text}</p>'
+                elif how < 0.5:
+                    t = s = f'<figure><img src="/i.png"><figcaption>{some(4, 14)}</figcaption></figure>{block}'
+            elif block[:3].lower() == "<h1" and how < 0.5:
+                t, s = f"<div>{block}</div>", f"<header>{block}</header>"
+            told.append(t)
+            seen.append(s)
+        return "".join(told), "".join(seen)
+
     out = [(page, page)]
     parts = re.split(r"(<article[^>]*>.*?</article>)", page, maxsplit=1, flags=re.S | re.I)
     if len(parts) != 3:
@@ -415,12 +476,15 @@ def variants(page: str, other: str, seed: int) -> list[tuple[str, str]]:
         extra = boxes()
         r.shuffle(extra)
         inner = re.sub(r"^<article[^>]*>|</article>$", "", article, flags=re.I)
-        at = [m.end() for m in re.finditer(r"</h1>|</p>", inner)]
-        if at:  # boilerplate inside the article
-            cut = at[int(r.integers(0, len(at)))]
-            inner = inner[:cut] + extra[0] + inner[cut:]
+        plain, inner = enriched(inner)
+        at = [[m.end() for m in re.finditer(r"</h1>|</p>", t)] for t in (plain, inner)]
+        if at[0]:  # boilerplate inside the article
+            cut = int(r.integers(0, len(at[0])))
+            plain, inner = (t[:a[cut]] + extra[0] + t[a[cut]:] for t, a in zip((plain, inner), at))
         b, a = "".join(extra[1:4]), "".join(extra[4:8])
-        truth = f"{before}{b}<article>{inner}</article>{a}{after}"
+        if r.random() < 0.5:  # a site's own title
+            b = f'<header><h1><a href="/">{some(1, 3)}</a></h1>{pick(links(4), "")}</header>{b}'
+        truth = f"{before}{b}<article>{plain}</article>{a}{after}"
         opening, closing = [
             ("<article>", "</article>"),
             (f'<div class="{pick("post", "entry-content", "article-body", "content", "story text")}">', "</div>"),
@@ -453,8 +517,10 @@ def train(pages: list[str]) -> Boosted | None:
             nodes = elements(parse(seen))
             if y is None or len(y) != len(nodes):
                 continue
-            xs.append(features(nodes)[1:])
-            ys.append(y[1:])
+            votes = ~followers(nodes)
+            votes[0] = False  # the root is always kept
+            xs.append(features(nodes)[votes])
+            ys.append(y[votes])
     if not xs or len(set(np.concatenate(ys))) < 2:
         return None
     return Boosted.fit(np.concatenate(xs), np.concatenate(ys).astype(float))

@@ -76,6 +76,39 @@ def test_text_around_drawings_formulas_and_stray_quotes(model, inside, text):
     assert H.extract_pages([page], model) == [" ".join(f"{WANT} {text} {PARA}".split())]
 
 
+WRAPS = [('<a href="/x">', "</a>"), ('<span class="more">', "</span>"), ("<em>", "</em>"), ("<strong>", "</strong>"), ("<code>", "</code>")]
+
+
+@pytest.mark.parametrize("opening, closing", WRAPS)
+def test_inline_elements_follow_their_block(model, pages, opening, closing):
+    """Three words of a paragraph wrapped: the text of held-out pages stays as it was."""
+    lost = total = 0
+    for page in pages[120:]:
+        found = re.search(r"<article>.*?<p>[^<]*? ([^<> &]+ [^<> &]+ [^<> &]+) [^<]*", page, re.S)
+        if found:
+            a, b = found.span(1)
+            total += 1
+            lost += H.extract_pages([page[:a] + opening + page[a:b] + closing + page[b:]], model) != [told(page)]
+    assert total > 20 and lost == 0
+
+
+@pytest.mark.parametrize("inside, text", [
+    (f'<p><a href="/x">{PARA}</a></p>', PARA), (f'<p class="message-body">{PARA}</p>', PARA),
+    (f"<figure><img src=x><figcaption>A caption of the figure</figcaption></figure><p>{PARA}</p>", f"A caption of the figure {PARA}"),
+    (f'<p>{PARA} <span class="ad"><a href="/x">word</a></span> {PARA}</p>', f"{PARA} word {PARA}"),
+    (f'<p>see <a href="/1">one</a>, <a href="/2">two</a> and <a href="/3">three</a>. {PARA}</p>', f"see one, two and three. {PARA}"),
+])
+def test_links_names_and_captions_inside_the_article(model, inside, text):
+    page = f"<html><body><nav><a href=/>x</a></nav><article>{BODY}{inside}{AFTER}</article><footer>f</footer>"
+    assert H.extract_pages([page], model) == [" ".join(f"{WANT} {text} {PARA}".split())]
+
+
+def test_the_title_in_a_header_of_the_article(model):
+    page = (f'<body><header><h1><a href="/">Site</a></h1><ul><li><a href="/a">a</a></li></ul></header>'
+            f"<article><header><h1>Head line</h1></header><p>{PARA}</p><p>{PARA}</p></article><footer>f</footer>")
+    assert H.extract_pages([page], model) == [" ".join(f"Head line {PARA} {PARA}".split())]
+
+
 def test_dropping_an_ancestor_drops_its_descendants():
     r = np.random.default_rng(4)
     page = "<div>a<div>b<p>c<b>d</b></p></div><ul><li>e<li>f</ul></div>" * 20
