@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import json
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -36,6 +38,20 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def bucketed(table: dict[str, object], count: int) -> str:
+    """JSON of an array of ``count`` (a power of two) maps; a key stands in the map of its XXH64's
+    low bits, as Spark computes it. As a literal it is a table that is looked up by a few entries."""
+    out: list[dict] = [{} for _ in range(count)]
+    for key, value in table.items():
+        out[xxhash.xxh64_intdigest(key.encode("utf-8"), 42) & (count - 1)][key] = value
+    return json.dumps(out)
+
+
+def bucket_lookup(table: Column, key: Column, count: int) -> Column:
+    at = F.xxhash64(key).bitwiseAND(F.lit(count - 1).cast("long"))
+    return F.element_at(F.get(table, at.cast("int")), key)
+
+
 def one_per_key(rows: DataFrame, make: Callable[[pa.RecordBatch], list[tuple]], key: str, schema: T.StructType) -> DataFrame:
     """One row of each key: ``make`` gives the rows of ``schema`` for a batch's rows.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmart.llm.byte_bpe import Vocabulary, digests, encode
+from gridmart.llm.byte_bpe import Vocabulary, encode
 from gridmart.llm.common import table
 
 NAME = "op1_byte_bpe"
@@ -18,6 +18,5 @@ def vocabulary() -> Vocabulary:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document's ids and of what they decode to."""
-    v = vocabulary()
-    rows = encode(table(spark, sf_dir, "documents"), v).select("doc_id", "ids", digests(F.col("ids"), v).alias("d"))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "d.ids_sha256", "d.decoded_sha256")
+    rows = encode(table(spark, sf_dir, "documents"), vocabulary(), with_digests=True)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")

@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridmart.llm.common import WS_CHARS, checkpointed, let
+from gridmart.llm.common import WS_CHARS, bucket_lookup, bucketed, checkpointed, let
 from gridmart.llm.components import connected_components
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A rule list is part of the plan; a longer one should be split by host and joined.
-MAX_RULES = 10_000
+#: A longer rule list is looked up by host instead of tried rule by rule; both give the same.
+TRIED_RULES = 64
 
 
 @dataclass(frozen=True)
@@ -55,21 +55,44 @@ def node_of(url: Column) -> Column:
     return F.when(host != "", F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), query))
 
 
-def rule_of(host: Column, path: Column, rules: list[UrlRule]) -> Column:
-    """The longest fitting rule as struct<rule, action>, else null."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the bound is {MAX_RULES}")
+def rule_of(host: Column, path: Column, rules: list[UrlRule], tried: int = TRIED_RULES) -> Column:
+    """The longest fitting rule as struct<rule, action>, else null.
+
+    Rules of the same text count once, allow before block. A list of any length is part of the plan.
+    """
     for r in rules:
         if r.action not in ("allow", "block"):
             raise ValueError(f"unknown action {r.action!r}")
+    ordered = sorted(rules, key=lambda r: (-len(r.text), r.text, r.action))
+    if len(rules) > tried:
+        return _looked_up(host, path, ordered)
     out = None
-    for r in sorted(rules, key=lambda r: (-len(r.text), r.text)):
+    for r in ordered:
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
         out = (F if out is None else out).when(
             fits, F.struct(F.lit(r.text).alias("rule"), F.lit(r.action).alias("action")))
     return out
 
 
+def _looked_up(host: Column, path: Column, ordered: list[UrlRule]) -> Column:
+    """Every suffix of the host that starts at a label is looked up; of the fitting rules the first one counts."""
+    by_host: dict[str, list[dict]] = {}
+    for i, r in enumerate(ordered):
+        by_host.setdefault(r.host, []).append({"place": i, "path": r.path, "rule": r.text, "action": r.action})
+    buckets = 1 << len(by_host).bit_length()
+    table = F.from_json(F.lit(bucketed(by_host, buckets)),
+                        "array<map<string,array<struct<place:int,path:string,rule:string,action:string>>>>")
+
+    def best(known: Column) -> Column:
+        found = F.flatten(F.transform(let(F.split(host, r"\.", -1), lambda ls: F.transform(
+            ls, lambda _, i: F.array_join(F.slice(ls, i + 1, F.size(ls)), "."))),
+            lambda h: F.coalesce(bucket_lookup(known, h, buckets), F.array())))
+        return let(F.array_min(F.filter(found, lambda r: path.startswith(r["path"]))), lambda r: F.when(
+            r.isNotNull(), F.struct(r["rule"].alias("rule"), r["action"].alias("action"))))
+
+    return let(table, best)
+
+
 def link_tags(html: Column) -> Column:
     """The ``link``, ``meta`` and ``base`` tags outside comments."""
     return F.regexp_extract_all(

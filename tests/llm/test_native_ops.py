@@ -193,6 +193,26 @@ def test_rules_and_parts(spark):
         7: ("notcom", "/x", None, "allow"), 8: ("example.com", "/e", "com/", "allow")}
 
 
+def test_long_rule_lists_are_looked_up_with_the_same_result(spark):
+    rnd = __import__("random").Random(9)
+    labels = ["a", "b", "com", "net", "www", "x-y"]
+    name = lambda: ".".join(rnd.choice(labels) for _ in range(rnd.randrange(1, 4)))
+    place = lambda: "/" + "/".join(rnd.choice(["en", "es", "e", ""]) for _ in range(rnd.randrange(3)))
+    rules = [U.UrlRule(rnd.choice(["allow", "block"]), name(), place()) for _ in range(300)]
+    rules += [U.UrlRule("block", "", "/en"), rules[0], U.UrlRule("allow", "nowhere.org", "/")]
+    urls = [f"http://{name()}{place()}" for _ in range(400)] + ["http:///en", "http://a..com/en", "http://com.", "x", None]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i long, url string")
+    host, path = U.host_of(F.col("url")), U.path_of(F.col("url"))
+    for r in df.select(host.alias("h"), path.alias("p"), U.rule_of(host, path, rules, tried=10_000).alias("one"),
+                       U.rule_of(host, path, rules, tried=0).alias("two")).collect():
+        fits = [(-len(x.text), x.text, x.action) for x in rules
+                if (r.h == x.host or r.h.endswith("." + x.host)) and r.p.startswith(x.path)]
+        want = min(fits)[1:] if fits else None
+        assert (r.one and tuple(r.one)) == want == (r.two and tuple(r.two))
+    with pytest.raises(ValueError):
+        U.rule_of(host, path, [U.UrlRule("maybe", "a", "/")])
+
+
 def test_blocks_reach_aliases_and_allows_win(spark):
     refresh = '<meta content="0; url=https://c.org/z" http-equiv="Refresh">'
     got = verdicts(spark, [
