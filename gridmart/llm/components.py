@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridmart.llm.common import checkpointed
+from gridmart.llm.common import checkpointed, release
 
 
 def _clean(edges: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = checkpointed(_clean(edges.select("a", "b").dropna()))
     before = _signature(e)
     while before[0]:
+        first = e
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("u"), F.least("a", "m").alias("m"))
@@ -40,10 +41,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e = _clean(larger.join(low, larger["a"] == low["u"]).select(larger["b"].alias("a"), F.col("m").alias("b")))
         # Every edge now points from a larger to a smaller node.
         low = e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
-        e = checkpointed(_clean(
+        last, e = first, checkpointed(_clean(
             e.join(low, e["a"] == low["u"]).select(e["b"].alias("a"), F.col("m").alias("b"))
             .union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
         ))
+        release(last)  # this round's table holds all that is left
         after = _signature(e)
         if after == before:
             break

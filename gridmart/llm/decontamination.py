@@ -15,12 +15,13 @@ words (a shorter item is one shingle of its own length).
    all items of that length within the radius.
 4. Exact check: weighted Jaccard similarity of the two shingle multisets.
 
-The documents are read once and never shuffled. Items go to the tasks in passes
-of at most ``PASS_BYTES`` of item text; a larger benchmark takes more passes.
+The documents are never shuffled, and read once for each pass: items go to the tasks in
+passes of at most ``PASS_BYTES`` of item text. A larger benchmark takes more passes, each
+written before the next one starts, so no task or driver holds two indexes.
 
 Edge cases: a null or blank text or item matches nothing; a document shorter
 than an item is one window; each row of a repeated document reports its pairs, a
-repeated item counts once; extra columns are ignored; an empty table on either
+repeated item counts once; a null item_id is an id like any other; extra columns are ignored; an empty table on either
 side gives no match.
 """
 
@@ -32,6 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from gridmart.llm.common import release, staged
+
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 19
@@ -222,15 +225,19 @@ class ItemIndex:
             group, first, size = [], i + 1, 0
 
 
-def _passes(benchmark: DataFrame, radius: int, similarity: float, pass_bytes: int) -> Iterator[ItemIndex]:
-    """The items in passes of bounded text; each is sent to the tasks with the function."""
+def _passes(benchmark: DataFrame, radius: int, similarity: float, pass_bytes: int) -> Iterator[tuple[ItemIndex, bool]]:
+    """The items in passes of bounded text, and whether there are several.
+
+    Of several passes each is written before the next begins, so that the driver and
+    a task hold one index at a time.
+    """
     items = benchmark.select(F.col("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     count = max(1, -(-2 * total // pass_bytes)) if total > pass_bytes else 1
     for p in range(count):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == p).collect()
         if rows:
-            yield ItemIndex([r.item_id for r in rows], [r.text for r in rows], radius, similarity)
+            yield ItemIndex([r.item_id for r in rows], [r.text for r in rows], radius, similarity), count > 1
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
@@ -246,7 +253,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, si
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sc = docs.sparkSession.sparkContext
     out = None
-    for index in _passes(benchmark, radius, similarity, pass_bytes):
+    for index, several in _passes(benchmark, radius, similarity, pass_bytes):
         sent = sc.broadcast(index)  # at most PASS_BYTES of item text
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -258,12 +265,15 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, si
                         items.append(sent.value.ids[item])
                         found.append(m)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(at, pa.int64())), pa.array(items),
+                    batch.column(0).take(pa.array(at, pa.int64())), pa.array(items, _arrow(schema).field("item_id").type),
                     pa.array([m[1] for m in found], pa.int64()), pa.array([m[2] for m in found], pa.int64()),
                     pa.array([m[0] for m in found], pa.float64()), pa.array([m[3] for m in found], pa.int64()),
                 ], names=schema.names) if at else pa.RecordBatch.from_pylist([], schema=_arrow(schema))
 
         part = rows.mapInArrow(run, schema)
+        if several:
+            part = staged(part)
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
@@ -279,7 +289,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIU
     """The rows of ``docs`` that hold no benchmark item, columns unchanged, without a shuffle."""
     out = docs
     at = docs.columns.index(text)
-    for index in _passes(benchmark, radius, similarity, pass_bytes):
+    for index, several in _passes(benchmark, radius, similarity, pass_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -289,5 +299,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIU
                     keep[i] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        before, out = out, out.mapInArrow(run, docs.schema)
+        if several:
+            out = staged(out)
+            sent.destroy()
+            release(before)
     return out

@@ -84,6 +84,20 @@ def test_more_passes_give_the_same(spark):
     assert run(spark, CASES, ITEMS, pass_bytes=64) == run(spark, CASES, ITEMS)
 
 
+def test_passes_are_written_one_by_one(spark):
+    d = spark.createDataFrame(CASES, "doc_id long, text string")
+    b = spark.createDataFrame(ITEMS, "item_id long, text string")
+    kept = D.drop_contaminated(d, b, pass_bytes=64)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in D.drop_contaminated(d, b).collect())
+
+
+def test_an_item_without_an_id(spark):
+    d = spark.createDataFrame([(1, ITEM), (None, ITEM)], "doc_id long, text string")
+    b = spark.createDataFrame([(None, ITEM)], "item_id long, text string")
+    assert sorted([(r.doc_id, r.item_id) for r in D.find_matches(d, b).collect()], key=str) == [(1, None), (None, None)]
+
+
 def test_a_repeated_item_counts_once(spark):
     d = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     b = spark.createDataFrame([(1, ITEM)] * 3, "item_id long, text string")
