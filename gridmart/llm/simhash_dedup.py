@@ -69,16 +69,22 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every row as a signed long."""
+    """``doc_id, copy, fp``: a digest of every row's text and its fingerprint as a signed long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t, shingle_words) for t in b.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))], names=["doc_id", "copy", "fp"])
+
+    rows = docs.select(F.col(key).alias("doc_id"), _copy(F.col(text)).alias("copy"), F.col(text).alias("text"))
+    kind = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("copy", T.BinaryType()),
+                         T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(run, kind)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle_words) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
-    rows = docs.select(F.col(key).cast("string").alias("doc_id"), F.col(text).alias("text"))
-    out = rows.mapInPandas(run, "doc_id string, fp long")
-    return out.select(F.col("doc_id").cast(docs.schema[key].dataType).alias("doc_id"), "fp")
+def _copy(text: Column) -> Column:
+    """Equal for equal texts (null: the empty text)."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def blocks(radius: int) -> list[list[int]]:
@@ -222,11 +228,8 @@ def near_links(points: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_RO
             .mapInPandas(run, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
-                    key: str = "doc_id", text: str = "text", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``doc_id, fp, component, component_id`` of every row: a fingerprint that names
-    the component, and the smallest doc_id reachable."""
-    rows = checkpointed(fingerprints(docs, shingle_words, key, text))
+def _components(rows: DataFrame, radius: int, cell_rows: int) -> DataFrame:
+    """Stored ``fingerprints`` with ``component``, a fingerprint that names it, and ``component_id``."""
     points = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     parts = connected_components(near_links(points.select("fp"), radius, cell_rows))
     joined = points.join(parts, points["fp"] == parts["node"], "left").select("fp", "low", "component")
@@ -238,29 +241,30 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     # both sides anew and adaptive execution can split a component of very many points.
     lows = checkpointed(linked.groupBy("component").agg(F.min("low").alias("component_id")))
     by_fp = alone.unionByName(linked.join(lows, "component").select("fp", "component", "component_id"))
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "copy", "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
+                    key: str = "doc_id", text: str = "text", cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``doc_id, fp, component, component_id`` of every row: a fingerprint that names
+    the component, and the smallest doc_id reachable."""
+    rows = checkpointed(fingerprints(docs, shingle_words, key, text))
+    return _components(rows, radius, cell_rows).select("doc_id", "fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
              key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every component, that of its smallest doc_id; columns unchanged.
 
-    Of rows that share that doc_id the one with the smallest fingerprint stays,
-    and of repeated rows one.
+    Of rows that share that doc_id the one with the smallest fingerprint stays (of
+    equal ones that with the smallest text digest), and of repeated rows one.
+    Fingerprints are made once; the rows are found again by id and text digest.
     """
-    found = near_duplicates(docs, shingle_words, radius, key, text)
-    chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component")
-              .agg(F.min("component_id").alias("__llm_id"), F.min("fp").alias("__llm_fp")))
-    at = docs.columns.index(text)
-    schema = T.StructType(docs.schema.fields + [T.StructField("__llm_row_fp", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = [fingerprint(t.as_py(), shingle_words) for t in b.column(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.array(fps, np.uint64).view(np.int64))], names=schema.names)
-
-    marked = docs.mapInArrow(run, schema)
-    same = (marked["__llm_row_fp"] == chosen["__llm_fp"]) & marked[key].eqNullSafe(chosen["__llm_id"])
-    return (marked.join(chosen, same, "left_semi").dropDuplicates([key, "__llm_row_fp"])
-            .drop("__llm_row_fp"))
+    found = _components(checkpointed(fingerprints(docs, shingle_words, key, text)), radius, CELL_ROWS)
+    first = F.min(F.struct("doc_id", "fp", "copy")).alias("first")
+    chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(first)
+              .select(F.col("first.doc_id").alias("__llm_id"), F.col("first.copy").alias("__llm_copy")))
+    marked = docs.withColumn("__llm_row_copy", _copy(F.col(text)))
+    same = (marked["__llm_row_copy"] == chosen["__llm_copy"]) & marked[key].eqNullSafe(chosen["__llm_id"])
+    return (marked.join(chosen, same, "left_semi").dropDuplicates([key, "__llm_row_copy"])
+            .drop("__llm_row_copy"))
