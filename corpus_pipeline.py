@@ -14,7 +14,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridmart.llm.byte_bpe import Vocabulary, digests, encode
+from gridmart.llm.byte_bpe import Vocabulary, encode
 from gridmart.llm.common import shared_folder, table
 from gridmart.llm.decontamination import drop_contaminated
 from gridmart.llm.quality_cotraining import fit, keep_good
@@ -45,10 +45,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
     v = Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return encode(docs, v, keep=("doc_id", "lang", "source")).select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        digests(F.col("ids"), v)["decoded_sha256"].alias("decoded_sha256"),
-    )
+    return encode(docs, v, keep=("doc_id", "lang", "source"), with_digests=True).select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
