@@ -41,12 +41,14 @@ def retracted_keys(df: DataFrame, keys: Sequence[str], measure: str) -> DataFram
 
     These are the intervals a filter-before-rank would wrongly bring back; the
     column ``superseded_<measure>`` holds the value that would have come back.
-    Both sides are map-side top-1 per key on the same partitioning, so the join
-    adds no shuffle and no per-key buffering.
+    One aggregate per key, in the order of ``revision_order``: the newest revision and
+    the newest one with a value. Both combine on the map side; there is no join.
     """
     has_value = F.col(measure).isNotNull() & ~F.isnan(F.col(measure))  # NaN counts as no value
-    newest = latest_revision(df, keys).filter(~has_value).select(*keys)
-    valued = latest_revision(df.filter(has_value), keys).select(
-        *keys, F.col(measure).alias(f"superseded_{measure}")
+    at = [F.col("ingested_at"), F.col("run_id")]
+    found = df.groupBy(*keys).agg(
+        F.max(F.struct(*at, F.coalesce(has_value, F.lit(False)).alias("has"))).alias("newest"),
+        F.max(F.when(has_value, F.struct(*at, F.col(measure).alias("value")))).alias("valued"),
     )
-    return newest.join(valued, list(keys))
+    return found.filter(~F.col("newest.has") & F.col("valued").isNotNull()).select(
+        *keys, F.col("valued.value").alias(f"superseded_{measure}"))

@@ -20,6 +20,7 @@ def _f(name: str, dtype: T.DataType, nullable: bool = True) -> T.StructField:
     return T.StructField(name, dtype, nullable)
 
 
+# Columns and types of the raw tables, the type dimension and the fact.
 RAW_LOAD = T.StructType([
     _f("zone_code", T.StringType(), False),
     _f("ts_utc", T.TimestampType(), False),
