@@ -46,9 +46,9 @@ RANK_BUCKETS = 1 << 14
 SAMPLE_BYTES = 1 << 27
 CACHE_WORDS = 1 << 19
 CACHE_BYTES = 48
-TASK_WORDS = 1 << 20
+TASK_WORDS = 1 << 19
 #: Pre-tokens numbered, and looked up, at a time (a document is never cut).
-_NUMBERED, _LOOKED_UP = 1 << 21, 1 << 19
+_NUMBERED, _LOOKED_UP = 1 << 20, 1 << 16
 _NONE = 2**31 - 1
 _LATIN = "ISO-8859-1"
 
@@ -188,10 +188,9 @@ def _numbered(batches: Iterator[pa.RecordBatch], cached: pa.Array) -> Iterator[p
 class _Ids:
     """Number of a word -> its ids, all in one array."""
 
-    def __init__(self, cached: pa.ChunkedArray) -> None:
+    def __init__(self, cached: pa.ListArray) -> None:
         self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
-        for chunk in cached.chunks:
-            self.extend(chunk)
+        self.extend(cached)
 
     def extend(self, ids: pa.ListArray) -> None:
         sizes = pc.list_value_length(ids).to_numpy()
@@ -211,7 +210,7 @@ class _Ids:
         return self.flat[at], ends
 
 
-def _looked_up(batches: Iterator[pa.RecordBatch], cached: pa.ChunkedArray) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+def _looked_up(batches: Iterator[pa.RecordBatch], cached: pa.ListArray) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
     """The kept columns and the ids of runs of rows. The last three columns of a batch are
     numbers, base and the new words' ids."""
     table = _Ids(cached)
@@ -236,9 +235,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
            cache_limit: int = CACHE_WORDS, with_digests: bool = False) -> DataFrame:
     """The ``keep`` columns and ``ids array<int>`` of every row; ``with_digests`` also ``ids_sha256``
     and ``decoded_sha256`` (see ``digests``), made where the ids are made."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4 << 20)
     cache = frequent_words(docs, vocabulary, text, cache_limit)
-    sent = docs.sparkSession.sparkContext.broadcast(cache.combine_chunks())
+    sc = docs.sparkSession.sparkContext
+    words, ids = (pa.concat_arrays(cache[c].chunks) if cache.num_rows else pa.array([], cache[c].type) for c in ("word", "ids"))
+    words, ids = sc.broadcast(words), sc.broadcast(ids)
     kept = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     rows = docs.select(*[F.col(c).alias(f.name) for c, f in zip(keep, kept)],
                        pre_tokens(F.col(text), vocabulary.pattern).alias("pre_tokens"))
@@ -249,14 +250,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
     end = T.StructType([*kept, *[T.StructField(n, k) for n, k in zip(made, kinds)]])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _numbered(batches, pa.concat_arrays(sent.value["word"].chunks or [pa.array([], pa.string())]))
+        pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back
+        yield from _numbered(batches, words.value)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         join = decoder(vocabulary) if with_digests else None
-        for rest, ids in _looked_up(batches, sent.value["ids"]):
-            columns = [*rest.columns, ids]
+        for rest, row_ids in _looked_up(batches, ids.value):
+            columns = [*rest.columns, row_ids]
             if join:
-                flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+                flat, ends = row_ids.values.to_numpy(), row_ids.offsets.to_numpy().tolist()
                 found = [_digest(flat[i:j], join) for i, j in zip(ends, ends[1:])]
                 columns += [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=end.names)

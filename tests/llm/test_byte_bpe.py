@@ -25,7 +25,7 @@ def library(vocabulary):
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={})
 
 
-@pytest.mark.parametrize("cached", [0, 3, 1 << 18])
+@pytest.mark.parametrize("cached", [0, 3, 1 << 17])
 def test_texts_match_the_library_and_round_trip(spark, vocabulary, library, cached):
     rows = [(i, t, 1, "x", "y") for i, t in enumerate(TEXTS * 2)] + [(None, "null id", 1, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int, words string, __llm_text string")
@@ -74,7 +74,7 @@ def test_numbers_come_back_as_ids_however_often_a_task_starts_anew(monkeypatch,
         return pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column("base"), ids], names=["k0", "numbers", "base", "ids"])
 
     mid = pa.Table.from_batches(map(folded, B._numbered(iter(batches), pa.array(cached)))).combine_chunks()
-    ids = pa.chunked_array([pa.array([library.encode_ordinary(w) for w in cached], pa.list_(pa.int32()))])
+    ids = pa.array([library.encode_ordinary(w) for w in cached], pa.list_(pa.int32()))
     for size in (4, 1000):  # Spark may cut the rows into other batches in between
         out = list(B._looked_up(iter(mid.to_batches(size)), ids))
         assert [k for part, _ in out for k in part["k0"].to_pylist()] == [k for k, _ in rows]
