@@ -6,9 +6,9 @@ that with fewer tokens. The best score and token count of a prefix depend on the
 distinct pre-tokens are inserted into a trie and each node computes its forward
 score once, from its ancestors' scores. A pre-token's end node keeps the count.
 
-Each task grows its own trie over the documents it reads; when it reaches
-``max_nodes`` nodes it starts anew, so memory is bounded whatever the task
-reads, and no dictionary is shuffled or shared.
+Each task grows its own trie over the documents it reads; when it has
+``max_nodes`` nodes it starts anew before the next new word, so its size is bounded by that and
+the bytes of the longest pre-token, and no dictionary is shuffled or shared.
 
 The vocabulary file holds ranks, no probabilities: a token's probability is
 taken as proportional to 1 / (rank + 2) (Zipf's law over the ranks).
