@@ -291,3 +291,26 @@ def test_components_on_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in components.connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 900 for i in range(900, 960)}, 1000: 900}
     assert components.connected_components(df.limit(0)).collect() == []
+
+
+def test_component_rounds_follow_the_edges_not_the_session_partitions(spark):
+    """One more set of shuffle partitions costs the first clean-up its tasks, not every shuffle of every round."""
+    edges = [(i, i + 1) for i in range(60)]
+    tasks = []
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    sc = spark.sparkContext
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for count in (4, 44):
+            spark.conf.set("spark.sql.shuffle.partitions", str(count))
+            sc.setJobGroup(f"components-{count}", "")
+            got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+            assert got == dict.fromkeys(range(61), 0)
+            status = sc.statusTracker()
+            stages = {s for j in status.getJobIdsForGroup(f"components-{count}") for s in status.getJobInfo(j).stageIds}
+            tasks.append(sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s))))
+    finally:
+        sc._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks[1] - tasks[0] <= 2 * 40, tasks
