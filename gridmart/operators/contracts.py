@@ -45,16 +45,17 @@ def flag_rows(df: DataFrame, contract: Contract, batch: Sequence[str] = BATCH) -
     """
     check_columns(df, contract)
     keep = _uniq([*batch, *contract.columns])
+    # Every text is parsed once, in a projection of its own that the flags refer to.
+    kinds = {n: t for n, t in contract.columns.items() if df.schema[n].dataType != t}
+    df = df.select("*", *[F.col(n).try_cast(t).alias(f"_cast_{n}") for n, t in kinds.items()])
     coerced: dict[str, Column] = {}
     bad_type = F.lit(False)
     for name, dtype in contract.columns.items():
-        raw = F.col(name)
-        value = raw.try_cast(dtype)
+        value = F.col(f"_cast_{name}" if name in kinds else name)
+        if name in kinds:
+            bad_type = bad_type | (F.col(name).isNotNull() & value.isNull())
         if name == contract.measure:
-            value = F.when(F.isnan(value), F.lit(None).cast(dtype)).otherwise(value)
-            bad_type = bad_type | (raw.isNotNull() & value.isNull() & ~F.isnan(raw.try_cast("double")))
-        else:
-            bad_type = bad_type | (raw.isNotNull() & value.isNull())
+            value = F.when(~F.isnan(value), value)
         coerced[name] = value
     null_required = F.lit(False)
     for name in _uniq([*contract.required, *batch]):  # a broken line also loses its batch key
@@ -96,8 +97,10 @@ def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATC
     per_row, per_batch = [], []
     if digest:
         flagged = flagged.withColumn("_hash", _row_hash(contract, batch))
-        per_row = [F.bit_xor("_hash").alias("_xor"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("_sum")]
-        per_batch = [F.bit_xor("_xor").alias("_xor"), F.sum("_sum").alias("_sum")]
+        # The sum in two halves: sums of longs, whose overflow is two thousand million rows away.
+        low, high = F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("_hash", 32)
+        per_row = [F.bit_xor("_hash").alias("_xor"), F.sum(low).alias("_low"), F.sum(high).alias("_high")]
+        per_batch = [F.bit_xor("_xor").alias("_xor"), F.sum("_low").alias("_low"), F.sum("_high").alias("_high")]
     per_key = flagged.groupBy(*_uniq([*batch, *contract.key])).agg(
         F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(k)).alias(k) for k in row_checks], *per_row
     )
@@ -107,7 +110,8 @@ def verdicts(flagged: DataFrame, contract: Contract, batch: Sequence[str] = BATC
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
         *per_batch,
     )
-    made = [F.concat_ws(":", "rows", F.hex("_xor"), F.col("_sum").cast("string")).alias("digest")] if digest else []
+    total = F.col("_high").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_low").cast("decimal(20,0)")
+    made = [F.concat_ws(":", "rows", F.hex("_xor"), total.cast("string")).alias("digest")] if digest else []
     failing = [F.when(F.col(k) > 0, F.lit(k)) for k in CHECKS]
     passed = F.lit(True)
     for k in CHECKS:
@@ -129,7 +133,9 @@ def mark_replays(verdict: DataFrame, loaded: DataFrame, batch: Sequence[str] = B
     ``ingested_at``. The last load of a batch decides, so a content that was
     replaced in between loads again.
     """
-    last = loaded.groupBy(*batch).agg(F.max_by("digest", F.struct("ingested_at", "digest")).alias("_last"))
+    # Texts are aggregated by sorting; a hash as the first key keeps that to comparing numbers.
+    last = (loaded.groupBy(F.xxhash64(*batch).alias("_hash"), *batch)
+            .agg(F.max_by("digest", F.struct("ingested_at", "digest")).alias("_last")).drop("_hash"))
     marked = null_safe_join(verdict, last, batch, "left")
     same = F.col("passed") & F.coalesce(F.col("digest") == F.col("_last"), F.lit(False))
     return marked.withColumn("replayed", same).drop("_last")

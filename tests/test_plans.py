@@ -60,3 +60,25 @@ def test_queries_run_over_whole_tables(spark):
             # WindowGroupLimit is the per-key top-1 of revision resolution, not a row cap.
             caps = re.findall(r"\b(GlobalLimit|LocalLimit|CollectLimit|TakeOrderedAndProject)\b", plan)
             assert not caps, (name, caps)
+
+
+def test_digests_and_null_safe_joins_handle_numbers_per_row(spark):
+    """A digest is summed in longs, and a join on texts that may be null starts from their hash."""
+    from gridmart.operators import contracts
+    from gridmart.operators.keys import null_safe_join
+    from gridmart.specs import LOAD_CONTRACT
+
+    rows = spark.range(4).selectExpr(
+        "'load' AS source", "IF(id = 0, NULL, 'AT') AS zone_code", "DATE'2026-08-01' AS market_day", "'r' AS run_id",
+        "timestamp_seconds(id * 900) AS ts_utc", "CAST(id AS STRING) AS load_mw", "15L AS resolution_minutes")
+    flagged = contracts.flag_rows(rows, LOAD_CONTRACT)
+    v = contracts.verdicts(flagged, LOAD_CONTRACT, digest=True)
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "functions=" in x and "decimal" in x], plan
+    hashes = [r[0] for r in flagged.where("zone_code = 'AT'").select(contracts._row_hash(LOAD_CONTRACT, contracts.BATCH)).collect()]
+    [digest] = [r.digest for r in v.collect() if r.zone_code]
+    assert digest.endswith(f":{sum(hashes)}")
+    joined = null_safe_join(flagged.hint("merge"), v.select(*contracts.BATCH, "passed"), contracts.BATCH)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [xxhash64(" in plan, plan
+    assert sorted((r.zone_code or "", r.passed) for r in joined.collect()) == [("", False)] + [("AT", True)] * 3
