@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while before[0]:
         tasks = _tasks(before[0])
         e = stored.coalesce(tasks)
-        both = e.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = both.coalesce(1) if tasks == 1 else both
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("u"), F.least("a", "m").alias("m"))
         larger = both.where(F.col("b") > F.col("a"))
